@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.registry import HOURLY_SPEC, PADDED, padded, q6, query, r6, table
-from tidemark.catalog.registry import hour_of
+from tidemark.catalog.registry import DAY, HOURLY_SPEC, PADDED, hour_of, padded, q6, query, r6, table
 from tidemark.functions.flagbits import CORE_FLAGS
 from tidemark.operators.flagging import FlagColumns
 from tidemark.plans import runner
@@ -171,7 +170,7 @@ def hourly_plan(spark, folder):
 )
 def plan_end_to_end(spark, folder):
     daily = runner.DatasetPlan(
-        HOURLY_SPEC.with_(period=runner.aggregate.Period.parse("P1D"), value="daily_mean"),
+        HOURLY_SPEC.with_(period=DAY, value="daily_mean"),
         (
             runner.Step(
                 "aggregation", (Settings("mean", {"threshold": 20, "round": 3}),), source="hourly"

@@ -153,8 +153,8 @@ MET_COLUMNS = {
 }
 _MET_LIST = ", ".join(f"({text}) AS {name}" for name, text in MET_COLUMNS.items())
 MET = f"""met AS (SELECT site, time, {_MET_LIST} FROM (
-  SELECT l_returnflag AS site, date_trunc('day', l_shipdate)::TIMESTAMP AS time, avg(l_quantity) AS q,
-         avg(l_discount) AS d, avg(l_tax) AS x, avg(l_extendedprice) AS p
+  SELECT l_returnflag AS site, date_trunc('day', l_shipdate)::TIMESTAMP AS time, avg(l_quantity) * {UNIT} AS q,
+         avg(l_discount) * {UNIT} AS d, avg(l_tax) * {UNIT} AS x, avg(l_extendedprice) * {UNIT} AS p
   FROM lineitem GROUP BY 1, 2))"""
 
 
@@ -168,10 +168,10 @@ def met_table(spark: SparkSession, folder: str) -> DataFrame:
         "l_extendedprice",
     )
     means = items.groupBy("site", "time").agg(
-        F.avg("l_quantity").alias("q"),
-        F.avg("l_discount").alias("d"),
-        F.avg("l_tax").alias("x"),
-        F.avg("l_extendedprice").alias("p"),
+        (F.avg("l_quantity") * UNIT).alias("q"),
+        (F.avg("l_discount") * UNIT).alias("d"),
+        (F.avg("l_tax") * UNIT).alias("x"),
+        (F.avg("l_extendedprice") * UNIT).alias("p"),
     )
     return means.selectExpr("site", "time", *(f"double({text}) AS {name}" for name, text in MET_COLUMNS.items()))
 
