@@ -218,13 +218,13 @@ def _match_intervals(df: DataFrame, spec: SeriesSpec, intervals: DataFrame, end_
 
 
 def join_intervals(
-    df: DataFrame, spec: SeriesSpec, intervals: DataFrame, name: str, check: bool = True
+    df: DataFrame, spec: SeriesSpec, intervals: DataFrame, *names: str, check: bool = True
 ) -> DataFrame:
-    """Add the time-varying attribute ``name`` from intervals (keys, start, end, name).
+    """Add the time-varying attributes ``names`` from intervals (keys, start, end, names).
 
     Start is inclusive, end exclusive; a null end is open. Rows outside all intervals get null.
     """
-    intervals = intervals.select(*spec.keys, "start", "end", name)
+    intervals = intervals.select(*spec.keys, "start", "end", *names)
     if check:
         check_intervals(intervals, list(spec.keys))
     return _match_intervals(df, spec, intervals, end_inclusive=False)

@@ -38,10 +38,15 @@ def gather(settings: Settings, target: SeriesSpec) -> DataFrame:
         values = [nan_to_null(first.df, frame.spec.value).alias(name) for name, frame in together.items()]
         frames.append((first.df.select(*ids, *values), first.spec.with_(time=target.time, keys=target.keys)))
     joined = frames[0][0] if len(frames) == 1 else merge_series(frames)
+    # Attributes that come from one table of intervals are joined on together.
+    tables: dict[int, dict[str, Frame]] = {}
     for name, parameter in settings.params.items():
         if isinstance(parameter, Frame):
-            intervals = parameter.df.withColumnRenamed(parameter.spec.value, name)
-            joined = join_intervals(joined, target, intervals, name)
+            tables.setdefault(id(parameter.df), {})[name] = parameter
+    for attributes in tables.values():
+        intervals = next(iter(attributes.values())).df
+        named = [F.col(frame.spec.value).alias(name) for name, frame in attributes.items()]
+        joined = join_intervals(joined, target, intervals.select(*target.keys, "start", "end", *named), *attributes)
     return joined
 
 

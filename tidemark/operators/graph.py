@@ -22,7 +22,7 @@ def dependency_edges(references: DataFrame) -> DataFrame:
 
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All datasets reached from ``roots`` (dataset) along the edges, roots included."""
-    step = edges.select("dataset", "depends_on")
+    step = cut_lineage(edges.select("dataset", "depends_on"))
     reached = frontier = cut_lineage(roots.select("dataset").distinct())
     while True:
         found = (
@@ -40,6 +40,7 @@ def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
 def dependency_closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Everything the roots need: (dataset, load_only). What a load-only edge leads to is loaded but not followed; being
     needed in full by anything that is followed wins."""
+    edges = cut_lineage(edges)
     full = reachable(edges.where("not load_only"), roots)
     loaded = (
         edges.where("load_only")

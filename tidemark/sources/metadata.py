@@ -253,12 +253,13 @@ def active_sites(sites: DataFrame, window_start: TimeLike, window_end: TimeLike)
     return sites.where(started & going)
 
 
-def network_sites(sites: DataFrame, network: str, named: list[str] | None = None) -> DataFrame:
-    """The sites of a network, or the named ones: of those, a site of another network is dropped, one of none is kept."""
+def network_sites(sites: DataFrame, network: str, named: DataFrame | None = None) -> DataFrame:
+    """The sites of a network, or those ``named`` (site): of these, a site of another network is dropped, one of none is
+    kept."""
     if named is None:
         return sites.where(F.col("network") == network)
     in_network = F.col("network").isNull() | (F.col("network") == network)
-    return sites.where(F.col("site").isin(*named) & in_network)
+    return sites.where(in_network).join(named.select("site").distinct(), "site", "left_semi")
 
 
 def select_datasets(
@@ -299,8 +300,8 @@ def sites_without_start(sites: DataFrame) -> DataFrame:
     return sites.where("start is null")
 
 
-def clamped_start(sites: DataFrame, requested: TimeLike) -> DataFrame:
-    """The requested start, or the first opening of any of the sites if that is later: one row (start). Unchanged if any
-    site has no start, or there are no sites."""
+def clamped_start(sites: DataFrame, requested: TimeLike, by: list[str] = ()) -> DataFrame:
+    """The requested start, or the first opening of any of the sites if that is later, in column ``start``: one row, or
+    one for each value of ``by``. Unchanged where any site has no start."""
     known = F.when(F.count_if(F.col("start").isNull()) == 0, F.min(F.date_trunc("day", "start").cast("timestamp_ntz")))
-    return sites.agg(F.greatest(at(requested), known).alias("start"))
+    return sites.groupBy(*by).agg(F.greatest(at(requested), known).alias("start"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,7 @@ from tidemark.operators.align import upsert
 from tidemark.spec import SeriesSpec
 
 DATE = "date"
+LISTED_DATES = 1000
 Day = dt.date | str
 
 
@@ -80,7 +82,7 @@ def upsert_days(df: DataFrame, base: str, spec: SeriesSpec) -> None:
     """Merge rows into the stored days they touch. New rows win, nulls included; other rows and columns are kept.
 
     Only the touched days are read and written again. Spark swaps the folders in when the job commits, so a task may be
-    lost and run again meanwhile.
+    lost and run again meanwhile. The new rows are kept while they are used twice, so their plan runs once.
     """
     spark = df.sparkSession
     stored = read_days(spark, base, schema=T.StructType([]))
@@ -88,11 +90,26 @@ def upsert_days(df: DataFrame, base: str, spec: SeriesSpec) -> None:
         write_days(df, base, spec)
         return
     folders = [*spec.keys, DATE]
-    touched = df.select(*spec.keys, F.to_date(spec.time).alias(DATE)).distinct()
-    # Key folders may read back as another type than they were written with.
-    typed = stored.withColumns({key: F.col(key).cast(df.schema[key].dataType) for key in spec.keys})
-    old = typed.join(touched, folders, "left_semi").drop(DATE)
-    write_days(upsert(old, df, spec.id_columns), base, spec)
+    new = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        touched = new.select(*spec.keys, F.to_date(spec.time).alias(DATE)).distinct()
+        # Key folders may read back as another type than they were written with.
+        typed = stored.withColumns({key: F.col(key).cast(df.schema[key].dataType) for key in spec.keys})
+        old = typed.where(_touched_dates(touched)).join(touched, folders, "left_semi").drop(DATE)
+        write_days(upsert(old, new, spec.id_columns), base, spec)
+    finally:
+        new.unpersist()
+
+
+def _touched_dates(touched: DataFrame) -> Column:
+    """A filter that lets the scan open only folders of touched dates: a list of them, or their range if they are many.
+    What it lets through too much, the join on keys and date drops."""
+    dates = touched.select(DATE).distinct()
+    some = [row[DATE] for row in dates.limit(LISTED_DATES + 1).collect()]
+    if len(some) <= LISTED_DATES:
+        return F.col(DATE).isin(some) if some else F.lit(False)
+    first, last = dates.agg(F.min(DATE), F.max(DATE)).first()
+    return F.col(DATE).between(first, last)
 
 
 def run_report(df: DataFrame, spec: SeriesSpec, core_flag: str | None = None, removed_bit: int = 8) -> DataFrame:
