@@ -173,6 +173,7 @@ def test_periods_never_multiply_rows(spark, values):
         for site in "AB"
         for a in (chance.randint(0, 4000) for _ in range(25))
     ]
+    periods += periods[:10]
     rows = sorted({(chance.choice("ABC"), base + dt.timedelta(hours=chance.randint(-100, 4500))) for _ in range(400)})
     df = spark.createDataFrame(rows, "site string, time timestamp_ntz")
     listed = spark.createDataFrame(periods, "site string, start timestamp_ntz, end timestamp_ntz")

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.times import slot, slot_start
 from tidemark.operators.align import pad
@@ -40,8 +41,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    """A benchmark table. Its schema is looked up once per path, not once per query."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = prepare(spark).read.parquet(path).schema
+    return prepare(spark).read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def r6(column: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import TimeLike, at, floor_div, from_micros, micros, slot, slot_start
-from tidemark.operators.chunks import CHUNK_SLOTS
+from tidemark.operators.chunks import CHUNK_SLOTS, running_max
 from tidemark.spec import SeriesSpec, check_same_cadence
 
 # Interval joins match rows and intervals by key and calendar year, then by time. Years outside this range share the
@@ -34,7 +34,8 @@ def time_grid(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     period = spec.period
     # Grids need not start on a whole period since 1970: keep the offset of the first time.
     offset = F.lit(0) if period.is_calendar else F.pmod(micros("first_time"), F.lit(period.micros))
-    partitions = bounds.sparkSession.sparkContext.defaultParallelism
+    spark = bounds.sparkSession
+    partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     low, high, block = F.col("_low"), F.col("_high"), F.col("_block")
     blocks = (
         bounds.where("first_time <= last_time")
@@ -164,24 +165,44 @@ def invalid_intervals(intervals: DataFrame, keys: list[str]) -> DataFrame:
     """Intervals that break a rule, with the reason. Start may be null (open), end may be null (open).
 
     Rules, per key: end after start; no two intervals overlap or start together; at most one open end, on the last.
+
+    Intervals are ordered within the year they start in; what follows a year is carried over from the next one, so a key
+    with very many intervals is spread over tasks.
     """
-    ordered = Window.partitionBy(*keys).orderBy(F.col("start").asc_nulls_first(), F.col("end").asc_nulls_last())
-    next_start = F.lead("start").over(ordered)
-    has_next = F.lead(F.lit(True)).over(ordered).isNotNull()
-    open_ends = F.count(F.when(F.col("end").isNull(), 1)).over(Window.partitionBy(*keys))
+    yearly = intervals.withColumn("_start_year", F.coalesce(_year(F.col("start")), F.lit(FIRST_YEAR)))
+    in_order = Window.partitionBy(*keys).orderBy("_start_year")
+    following = (
+        yearly.groupBy(*keys, "_start_year")
+        .agg(F.min("start").alias("_first"), F.count_if(F.col("end").isNull()).alias("_open"))
+        .select(
+            *keys,
+            "_start_year",
+            F.lead("_first").over(in_order).alias("_first_after"),
+            F.sum("_open").over(Window.partitionBy(*keys)).alias("_open_ends"),
+        )
+    )
+    within_year = Window.partitionBy(*keys, "_start_year").orderBy(
+        F.col("start").asc_nulls_first(), F.col("end").asc_nulls_last()
+    )
+    # Only the first interval of all can have no start, so a next interval with a null start starts together with it.
+    has_next = F.lead(F.lit(True)).over(within_year).isNotNull()
+    open_end, next_start = F.col("end").isNull(), F.col("_next_start")
+    more = F.col("_next_here") | next_start.isNotNull()
     reason = (
         F.when(F.col("end") <= F.col("start"), "end not after start")
-        .when(F.col("end").isNull() & (F.col("_open_ends") > 1), "more than one open end")
-        .when(F.col("end").isNull() & F.col("_has_next"), "open end is not last")
-        .when(F.col("_has_next") & (F.col("_next_start").isNull() | (F.col("_next_start") < F.col("end"))), "overlap")
+        .when(open_end & (F.col("_open_ends") > 1), "more than one open end")
+        .when(open_end & more, "open end is not last")
+        .when(more & (next_start.isNull() | (next_start < F.col("end"))), "overlap")
     )
     return (
-        intervals.withColumn("_next_start", next_start)
-        .withColumn("_has_next", has_next)
-        .withColumn("_open_ends", open_ends)
+        yearly.join(following, [*keys, "_start_year"])
+        .withColumn("_next_here", has_next)
+        .withColumn(
+            "_next_start", F.when(F.col("_next_here"), F.lead("start").over(within_year)).otherwise(F.col("_first_after"))
+        )
         .withColumn("reason", reason)
         .where("reason is not null")
-        .drop("_next_start", "_has_next", "_open_ends")
+        .drop("_start_year", "_first_after", "_open_ends", "_next_here", "_next_start")
     )
 
 
@@ -231,19 +252,22 @@ def join_intervals(
 
 
 def merge_periods(periods: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge overlapping closed periods per key, so that no time lies in two of them."""
+    """Merge overlapping closed periods per key, so that no time lies in two of them.
+
+    A period that starts after everything before it has ended starts a group; the others belong to the latest such start.
+    """
     far_past, far_future = at("0001-01-01 00:00:00"), at("9999-12-31 23:59:59")
     closed = periods.select(
         *keys, F.coalesce("start", far_past).alias("start"), F.coalesce("end", far_future).alias("end")
     ).where("start <= end")
-    ordered = Window.partitionBy(*keys).orderBy("start", "end")
-    reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    islands = closed.withColumn("_fresh", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn(
-        "_island", F.sum("_fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return islands.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop(
-        "_island"
-    )
+    yearly = closed.withColumn("_start_year", _year(F.col("start")))
+    order = [F.col("start"), F.col("end")]
+    reached = running_max(yearly, keys, "_start_year", order, F.col("end"), "_reached", upto=-1)
+    begins = F.when(F.col("_reached").isNull() | (F.col("start") > F.col("_reached")), F.col("start"))
+    # Of equal periods the one that starts the group comes first.
+    order.append(F.col("_reached").asc_nulls_first())
+    grouped = running_max(reached, keys, "_start_year", order, begins, "_group")
+    return grouped.groupBy(*keys, "_group").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_group")
 
 
 def mark_in_periods(df: DataFrame, spec: SeriesSpec, periods: DataFrame, name: str) -> DataFrame:

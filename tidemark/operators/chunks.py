@@ -86,7 +86,7 @@ def nearest_known(
     ahead = chunk_window(spec, F.desc(SLOT)).rowsBetween(Window.unboundedPreceding, 0)
     here = F.when(F.col("_known"), F.struct(*fields))
     return (
-        chunked.join(carried, [*spec.keys, CHUNK], "left")
+        chunked.join(carried, [*spec.keys, CHUNK])
         .withColumn("_prev", F.coalesce(F.last(here, ignorenulls=True).over(back), "_carry_prev"))
         .withColumn("_next", F.coalesce(F.last(here, ignorenulls=True).over(ahead), "_carry_next"))
         .drop("_carry_prev", "_carry_next", "_known", CHUNK)
@@ -108,7 +108,7 @@ def number_rows(df: DataFrame, spec: SeriesSpec, newest_first: bool = False) ->
     )
     rank = F.row_number().over(Window.partitionBy(*spec.keys, CHUNK).orderBy(order))
     return (
-        chunked.join(offsets, [*spec.keys, CHUNK], "left")
+        chunked.join(offsets, [*spec.keys, CHUNK])
         .withColumn("_row", F.col("_before") + rank - 1)
         .drop(CHUNK, "_before")
     )
@@ -143,10 +143,32 @@ def running_max_since(
         )
     )
     return (
-        scanned.join(carried, [*spec.keys, CHUNK], "left")
+        scanned.join(carried, [*spec.keys, CHUNK])
         .withColumn(
             "_running_max",
             F.when(F.col("_segment") > 0, F.col("_since")).when(F.col("_carries"), F.greatest("_since", "_carry")),
         )
         .drop(CHUNK, "_segment", "_since", "_carry", "_carries")
     )
+
+
+def running_max(
+    df: DataFrame, keys: list[str], chunk: str, order: list[Column], number: Column, name: str, upto: int = 0
+) -> DataFrame:
+    """Add the running maximum of ``number`` per key: up to the row itself, or up to the row before with ``upto`` -1.
+
+    ``chunk`` must follow the order. The largest number of each chunk is carried into the chunks after it.
+    """
+    held = df.withColumn("_held", number)
+    by_chunk = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        held.groupBy(*keys, chunk)
+        .agg(F.max("_held").alias("_largest"))
+        .select(*keys, chunk, F.max("_largest").over(by_chunk).alias("_carried"))
+    )
+    here = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+    return (
+        held.join(carried, [*keys, chunk])
+        .withColumn(name, F.greatest("_carried", F.max("_held").over(here)))
+        .drop("_held", "_carried")
+    )

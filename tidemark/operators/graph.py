@@ -1,11 +1,13 @@
 """Which dataset depends on which. Edges are rows (dataset, depends_on, load_only).
 
 The walks below join one level of the graph per round, so the number of rounds is the depth of the graph. What a round
-found is checkpointed: plans stay short, and a lost executor does not lose the walk.
+found is written to the shared folder: plans stay short, and a lost executor does not lose the walk.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,10 @@ def dependency_edges(references: DataFrame) -> DataFrame:
 
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All datasets reached from ``roots`` (dataset) along the edges, roots included."""
-    step = cut_lineage(edges.select("dataset", "depends_on"))
+    return _walk(cut_lineage(edges.select("dataset", "depends_on")), roots)
+
+
+def _walk(step: DataFrame, roots: DataFrame) -> DataFrame:
     reached = frontier = cut_lineage(roots.select("dataset").distinct())
     while True:
         found = (
@@ -41,7 +46,7 @@ def dependency_closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Everything the roots need: (dataset, load_only). What a load-only edge leads to is loaded but not followed; being
     needed in full by anything that is followed wins."""
     edges = cut_lineage(edges)
-    full = reachable(edges.where("not load_only"), roots)
+    full = _walk(edges.where("not load_only").select("dataset", "depends_on"), roots)
     loaded = (
         edges.where("load_only")
         .join(full, "dataset", "left_semi")
@@ -59,22 +64,29 @@ def failed_with_descendants(edges: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def layers(edges: DataFrame) -> DataFrame:
-    """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises."""
+    """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises.
+
+    Each round drops the edges to datasets that are placed. A dataset none of whose edges is left comes next.
+    """
     left = cut_lineage(edges.select("dataset", "depends_on").distinct())
-    waiting = left.select("dataset").unionByName(left.select(F.col("depends_on").alias("dataset"))).distinct()
-    waiting = cut_lineage(waiting)
-    done, layer = None, 0
-    while not waiting.isEmpty():
-        ready = cut_lineage(waiting.join(left.select("dataset").distinct(), "dataset", "left_anti"))
-        if ready.isEmpty():
-            stuck = [row["dataset"] for row in waiting.limit(5).collect()]
+    many = left.count()
+    ready = left.select(F.col("depends_on").alias("dataset")).distinct().join(_sources(left), "dataset", "left_anti")
+    placed = []
+    while many:
+        placed.append(ready.withColumn("layer", F.lit(len(placed))))
+        still = cut_lineage(left.join(ready.withColumnRenamed("dataset", "depends_on"), "depends_on", "left_anti"))
+        remaining = still.count()
+        if remaining == many:
+            stuck = [row["dataset"] for row in still.select("dataset").limit(5).collect()]
             raise ValueError(f"The dependency graph has a cycle, among or below: {stuck}")
-        placed = ready.withColumn("layer", F.lit(layer))
-        done = placed if done is None else done.unionByName(placed)
-        left = cut_lineage(left.join(ready.select(F.col("dataset").alias("depends_on")), "depends_on", "left_anti"))
-        waiting = cut_lineage(waiting.join(ready, "dataset", "left_anti"))
-        layer += 1
-    return edges.select("dataset", F.lit(0).alias("layer")).limit(0) if done is None else done
+        ready = _sources(left).join(_sources(still), "dataset", "left_anti")
+        left, many = still, remaining
+    placed.append(ready.withColumn("layer", F.lit(len(placed))))
+    return reduce(DataFrame.unionByName, placed)
+
+
+def _sources(edges: DataFrame) -> DataFrame:
+    return edges.select("dataset").distinct()
 
 
 def plan_order(steps: DataFrame) -> DataFrame:

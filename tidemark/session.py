@@ -6,14 +6,21 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+NEEDED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the session options the library relies on. Times are zone-free, so all arithmetic runs in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    for name, value in NEEDED.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -26,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Small tables: keep all threads busy, and do not record where each column was written in Python.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
@@ -55,7 +65,11 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df):
-    """Write ``df`` to the reliable checkpoint folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    Unlike a checkpoint the table is read back by column, and its size is known to the planner.
+    """
+    path = new_table_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -156,27 +156,33 @@ def arguments(settings: DataFrame) -> DataFrame:
         F.col("argument.hasValue").alias("held"),
         F.col("argument.hasStructuredValue").alias("structured"),
     )
-    is_dependency = F.col("parameter").isin("dep_ts", "load_dep_ts")
-    literal = each.select(
-        *ids, "parameter", F.lit("value").alias("role"), F.explode(text_values(F.col("held.value"))).alias("value")
-    )
-    reference = each.select(
-        *ids,
-        "parameter",
-        F.when(is_dependency, "dependency").otherwise("input").alias("role"),
-        F.explode(referenced_ids(F.col("held.valueReference"))).alias("value"),
-    )
     raw = F.col("structured")
     listed = F.when(raw.startswith("["), raw).otherwise(F.concat(F.lit("["), raw, F.lit("]")))
-    inner = each.select(*ids, "parameter", F.explode(F.from_json(listed, _INNER_ARGUMENTS)).alias("part"))
-    inner = inner.select(*ids, "parameter", F.explode("part.argument").alias("inner"))
-    nested = inner.select(
-        *ids,
-        F.concat_ws(".", "parameter", parameter_name(F.col("inner.parameter.@id"))).alias("parameter"),
-        F.lit("nested").alias("role"),
-        F.explode(text_values(F.col("inner.hasValue.value"))).alias("value"),
+    inner = F.flatten(F.transform(F.from_json(listed, _INNER_ARGUMENTS), lambda part: part["argument"]))
+
+    def entry(parameter: Column, role: Column, value: Column) -> Column:
+        return F.struct(parameter.alias("parameter"), role.alias("role"), value.alias("value"))
+
+    outer = F.col("parameter")
+    refers = F.when(outer.isin("dep_ts", "load_dep_ts"), "dependency").otherwise("input")
+    found = (
+        F.transform(text_values(F.col("held.value")), lambda value: entry(outer, F.lit("value"), value)),
+        F.transform(referenced_ids(F.col("held.valueReference")), lambda value: entry(outer, refers, value)),
+        F.flatten(
+            F.transform(
+                inner,
+                lambda part: F.transform(
+                    F.coalesce(text_values(part["hasValue"]["value"]), F.array().cast("array<string>")),
+                    lambda value: entry(
+                        F.concat_ws(".", outer, parameter_name(part["parameter"]["@id"])), F.lit("nested"), value
+                    ),
+                ),
+            )
+        ),
     )
-    return literal.unionByName(reference).unionByName(nested)
+    nothing = F.array().cast("array<struct<parameter:string,role:string,value:string>>")
+    # All shapes of an argument come out of one pass over the records.
+    return each.select(*ids, F.inline(F.concat(*(F.coalesce(entries, nothing) for entries in found))))
 
 
 def input_problems(arguments: DataFrame) -> DataFrame:

@@ -64,12 +64,13 @@ def widened(start: dt.date, end: dt.date, days: int = 1) -> tuple[dt.date, dt.da
 def write_days(df: DataFrame, base: str, spec: SeriesSpec, partition_by: list[str] | None = None) -> None:
     """Write one folder per key and day, replacing those days and no others.
 
-    Rows are brought together by key and day, so each folder gets one file and a long series many tasks.
+    Rows are brought together by key and day, so a folder gets one file. Spark evens out the tasks: small groups share
+    one, and a group far larger than the others is split over several, and then gets several files.
     """
     folders = [*(partition_by if partition_by is not None else spec.keys), DATE]
     dated = df.withColumn(DATE, F.to_date(spec.time))
     (
-        dated.repartition(*folders)
+        dated.hint("rebalance", *folders)
         .sortWithinPartitions(*folders, spec.time)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -79,7 +79,8 @@ def anchor_from_code(code: str) -> str:
 class SeriesSpec:
     """Describes the columns of a DataFrame that holds many series of one variable.
 
-    ``keys`` name the series (usually the site). A value labelled T covers [T, T + period) for the ``start`` anchor,
+    ``keys`` name the series (usually the site). Keys and time are never null: a row without them belongs to no series.
+    A value labelled T covers [T, T + period) for the ``start`` anchor,
     (T - period, T] for ``end`` and the instant T for ``point``.
     """
 
