@@ -116,6 +116,12 @@ def test_unknown_start_is_open(spark, series, values):
     assert values(align.join_intervals(frame.df, frame.spec, held, "height"), "height") == [1, 2, 2]
 
 
+def test_interval_open_at_both_ends(spark, series, values):
+    frame = series({"A": [0] * 2, "B": [0]})
+    held = intervals(spark, ("A", None, None, 4.0))
+    assert values(align.join_intervals(frame.df, frame.spec, held, "height"), "height") == [4, 4, None]
+
+
 def test_far_times_find_open_intervals(spark, values):
     df = spark.createDataFrame([("A", dt.datetime(2500, 1, 1)), ("A", dt.datetime(1500, 1, 1))], "site string, time timestamp_ntz")
     held = intervals(spark, ("A", dt.datetime(2200, 1, 1), None, 2.0), ("A", None, dt.datetime(1600, 1, 1), 1.0))

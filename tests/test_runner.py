@@ -1,9 +1,15 @@
+import datetime as dt
+
 import pytest
 
 from tidemark.functions.flagbits import CORE_FLAGS
 from tidemark.operators.flagging import FlagColumns
 from tidemark.plans.methods import Frame, Settings
+from tidemark.plans import runner
+from tidemark.plans.run import Stored, load_stored, process_window
 from tidemark.plans.runner import DatasetPlan, Step, run_plan, run_plans
+from tidemark.session import new_table_path
+from tidemark.sources import store
 from tidemark.spec import SeriesSpec
 
 HOURLY, DAILY = SeriesSpec.of("PT1H"), SeriesSpec.of("P1D", value="daily")
@@ -79,3 +85,110 @@ def test_load_only_relabels_the_anchor(series, values):
     loaded = run_plan(DatasetPlan(target, (Step("load", source="raw"),)), {"raw": series([1, 2])})
     assert loaded.df.columns == ["site", "end_time", "ta"] and loaded.spec.anchor == "end"
     assert isinstance(loaded.frame, Frame)
+
+
+# --- Parameters by site ------------------------------------------------------------------------------------------
+
+
+def table_of(spark, columns, *rows):
+    return spark.createDataFrame(list(rows), f"site string, start timestamp_ntz, end timestamp_ntz, {columns}")
+
+
+def test_each_site_and_period_has_its_own_factor(spark, series, values):
+    hour = lambda n: dt.datetime(2025, 1, 1, n)
+    factors = table_of(
+        spark, "correction_factor double", ("A", hour(0), hour(1), 2.0), ("A", hour(2), None, 3.0), ("B", None, hour(1), 10.0)
+    )
+    frame = series({"A": [1, 1, 1, 1], "B": [1, 1, 1], "C": [1]})
+    loaded = runner.load(frame, HOURLY, FlagColumns({"correction": "corr"}, {"correction": {"add": 1}}))
+    result = runner.correct(loaded, [Settings("add", by_site=factors)])
+    assert values(result.df) == [3, 3, 4, 4] + [11, 11, 1] + [1]
+    assert values(result.df, "corr") == [1, 1, 1, 1] + [1, 1, 0] + [0]
+    assert result.df.columns == ["site", "time", "value", "corr"]
+
+
+def test_checks_with_limits_by_site(spark, series, values):
+    limits = table_of(spark, "lt double, gt double", ("A", None, None, 0.0, 5.0), ("B", None, None, 0.0, 50.0))
+    flags = FlagColumns({"quality_control": "qc"}, {"quality_control": {"range": 1, "battery_v": 2, "spike": 4}})
+    frame = series({"A": [1, 10, 1], "B": [1, 10, 1], "C": [1, 10, 1]})
+    checked = runner.check(runner.load(frame, HOURLY, flags), [Settings("range", by_site=limits)])
+    assert values(checked.df) == [1, None, 1] + [1, 10, 1] + [1, 10, 1]
+    low = table_of(spark, "lt double", ("A", None, None, 5.0))
+    battery = series({"A": [1, 9, 1], "C": [1, 1, 1]}, "v")
+    checked = runner.check(
+        runner.load(frame, HOURLY, flags), [Settings("battery_v", inputs={"battv": battery}, by_site=low)]
+    )
+    assert values(checked.df, "qc") == [2, 0, 2] + [0, 0, 0] + [0, 0, 0]
+    steep = table_of(spark, "gt double", ("A", None, None, 5.0), ("B", None, None, 20.0))
+    checked = runner.check(runner.load(frame, HOURLY, flags), [Settings("spike", by_site=steep)])
+    assert values(checked.df, "qc") == [0, 4, 0] + [0, 0, 0] + [0, 0, 0]
+
+
+def test_clip_and_infill_by_site(spark, series, values):
+    limits = table_of(spark, "min double, max double", ("A", None, None, 0.0, None), ("B", None, None, None, 5.0))
+    frame = series({"A": [-1, 9], "B": [-1, 9], "C": [-1, 9]})
+    result = runner.correct(runner.Series(frame.df, HOURLY), [Settings("clip", by_site=limits)])
+    assert values(result.df) == [0, 9] + [-1, 5] + [-1, 9]
+    factors = table_of(spark, "correction_factor double", ("A", None, None, 0.5))
+    gappy = series({"A": [1, None], "B": [1, None]})
+    inputs = {"alt_data_source": series({"A": [8, 8], "B": [8, 8]}, "alt")}
+    filled = runner.fill(runner.Series(gappy.df, HOURLY), [Settings("alt_data", inputs=inputs, by_site=factors)])
+    assert values(filled.df) == [1, 4] + [1, None]
+
+
+def test_overlapping_parameters_are_an_error(spark, series):
+    factors = table_of(
+        spark, "correction_factor double", ("A", None, dt.datetime(2025, 1, 1), 2.0), ("A", dt.datetime(2025, 1, 1), None, 3.0)
+    )
+    frame = series([1])
+    with pytest.raises(ValueError, match="overlap"):
+        runner.correct(runner.Series(frame.df, HOURLY), [Settings("add", by_site=factors)])
+
+
+# --- Reading, processing and saving a window ---------------------------------------------------------------------
+
+
+def test_process_window(spark, values):
+    """Three stored days; the middle one is processed. The end-anchored daily mean needs a row of the next day."""
+    raw, out = new_table_path(spark, "raw"), new_table_path(spark, "out")
+    start = dt.datetime(2025, 1, 1)
+    rows = [("A", start + dt.timedelta(hours=n), float(n), 1.0) for n in range(73) if n != 30]
+    stored = spark.createDataFrame(rows, "site string, time timestamp_ntz, ta double, rh double")
+    store.write_days(stored, raw, HOURLY)
+    raw_ta, raw_no = HOURLY.with_(value="ta", anchor="end"), HOURLY.with_(value="gone")
+    flags = FlagColumns({"core": "TA_CORE"}, {"core": CORE_FLAGS})
+    daily = SeriesSpec.of("P1D", value="TA", anchor="end")
+    hourly_flags = FlagColumns({"core": "RH_CORE"})
+    plans = {
+        "mean": DatasetPlan(daily, (Step("aggregation", (Settings("mean"),), source="ta"),), flags),
+        "rh": DatasetPlan(HOURLY.with_(value="RH"), (Step("load", source="raw rh"),), hourly_flags),
+        "ta hourly": DatasetPlan(HOURLY.with_(value="TAH"), (Step("load", source="ta"),)),
+    }
+    inputs = {"ta": Stored(raw, raw_ta), "raw rh": Stored(raw, HOURLY.with_(value="rh"))}
+    outputs = {"mean": out + "/daily", "rh": out + "/hourly", "ta hourly": out + "/hourly"}
+    day = dt.date(2025, 1, 2)
+    process_window(spark, plans, inputs, outputs, day, day)
+    saved = store.read_days(spark, out + "/hourly")
+    assert saved.count() == 24 and {"RH", "RH_CORE", "TAH"} <= set(saved.columns)
+    assert sum(v is None for v in values(saved, "RH")) == 1
+    means = store.read_days(spark, out + "/daily")
+    assert values(means, "time") == [dt.datetime(2025, 1, 2)]
+    # The day that ended at midnight of the 2nd: hours 1 to 24.
+    assert values(means, "TA") == [12.5] and values(means, "TA_CORE") == [0]
+
+    # A dataset whose column is not stored fails alone, with those that need it; the others are saved.
+    plans["lost"] = DatasetPlan(HOURLY.with_(value="LOST"), (Step("load", source="gone"),))
+    inputs["gone"] = Stored(raw, raw_no)
+    with pytest.raises(RuntimeError, match="lost"):
+        process_window(spark, plans, inputs, outputs | {"lost": out + "/lost"}, dt.date(2025, 1, 3), dt.date(2025, 1, 3))
+    assert store.read_days(spark, out + "/hourly").count() == 48
+
+    # Datasets of differing cadence cannot share a location.
+    with pytest.raises(RuntimeError, match="Periods differ"):
+        process_window(spark, {"mean": plans["mean"], "rh": plans["rh"]}, inputs | {"gone": inputs["ta"]},
+                       {"mean": out + "/mixed", "rh": out + "/mixed"}, day, day)
+
+
+def test_nothing_stored_fails(spark):
+    loaded = load_stored(spark, {"x": Stored(new_table_path(spark, "none"), HOURLY)}, dt.date(2025, 1, 1), dt.date(2025, 1, 2))
+    assert not loaded.frames and "nothing stored" in loaded.failed["x"]

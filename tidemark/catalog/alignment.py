@@ -15,7 +15,6 @@ from tidemark.catalog.registry import (
     daily,
     day_of,
     hourly,
-    hourly_bounds,
     met_table,
     padded,
     q6,
@@ -53,12 +52,7 @@ def pad_series(spark, folder):
 )
 def pad_range(spark, folder):
     frame = hourly(spark, folder)
-    bounds = hourly_bounds(spark, folder).select(
-        "site",
-        F.lit("2023-12-31 12:00:00").cast("timestamp_ntz").alias("first_time"),
-        F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("last_time"),
-    )
-    return _hourly_out(align.pad(frame.df, frame.spec, bounds))
+    return _hourly_out(align.pad_range(frame.df, frame.spec, "2023-12-31 12:00:00", "2024-02-01 00:00:00"))
 
 
 @query(

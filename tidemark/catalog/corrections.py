@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.catalog.alignment import heights
 from tidemark.catalog.registry import MET, PADDED, column_of, met_table, padded, q6, query, r6
 from tidemark.operators.flagging import FlagColumns
 from tidemark.plans import runner
@@ -103,6 +104,34 @@ def corr_albedo_slope(spark, folder):
     return _with_met(spark, folder, "albedo", "albedo_south_slope_correction", inputs, theta_g=0.3128764)
 
 
+# A factor for every site and block of five days, as calibrations give them; days between blocks have none.
+_FACTORS = """factors AS (SELECT event_type AS site, time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '2024-01-01') AS "start",
+    time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '2024-01-01') + INTERVAL 4 DAY AS "end", 1 + avg(value) / 100 AS factor
+  FROM events GROUP BY 1, 2)"""
+
+
+@query(
+    "corr_by_site",
+    f"""WITH {PADDED}, {_FACTORS}, f AS (SELECT p.site, p.time, p.value, p.value * f.factor AS corrected, f.factor
+      FROM padded p LEFT JOIN factors f ON f.site = p.site AND p.time >= f."start" AND p.time <= f."end")
+    SELECT site, time, {q6("CASE WHEN factor IS NULL THEN value ELSE corrected END")} AS value,
+      (CASE WHEN corrected <> value THEN 1 ELSE 0 END)::INT AS corr FROM f""",
+)
+def corr_by_site(spark, folder):
+    """Each site and period has a factor of its own; one job corrects them all."""
+    blocks = heights(spark, folder)
+    factors = blocks.select(
+        "site",
+        "start",
+        F.expr("start + INTERVAL 4 DAYS").alias("end"),
+        (F.col("height") / 100 + 1).alias("correction_factor"),
+    )
+    frame = padded(spark, folder)
+    flags = FlagColumns({"correction": "corr"}, {"correction": {"scalar": 1}})
+    corrected = runner.correct(runner.load(frame, frame.spec, flags), [Settings("scalar", by_site=factors)])
+    return corrected.df.select("site", "time", r6("value").alias("value"), "corr")
+
+
 @query(
     "corr_step_flags",
     f"""WITH {PADDED}, first AS (SELECT *, CASE WHEN {_IN} THEN value * 1.25 ELSE value END AS one

@@ -175,28 +175,42 @@ def sites_named_in_network(spark, folder):
     return metadata.network_sites(sites(spark, folder), NETWORK, named)
 
 
-@query(
-    "select_datasets",
-    """WITH d AS (SELECT 'P' || p_partkey AS dataset, p_brand AS site, p_type AS variable,
-      CASE WHEN p_size < 20 THEN 'PT30M' WHEN p_size < 40 THEN 'PT1H' ELSE 'P1D' END AS periodicity,
-      CASE WHEN p_retailprice > 950 THEN 'processed' ELSE 'raw' END AS processing_level FROM part),
-    suppliers AS (SELECT DISTINCT p_brand AS site FROM part JOIN lineitem ON l_partkey = p_partkey WHERE l_quantity > 49)
-    SELECT * FROM d WHERE processing_level = 'processed' AND periodicity IN ('PT30M', 'P1D')
-      AND site IN (SELECT site FROM suppliers)""",
-)
-def select_datasets(spark, folder):
-    parts = table(spark, folder, "part")
+# Parts as datasets: their brand is the site, their type the variable.
+_DATASETS = """d AS (SELECT 'P' || p_partkey AS dataset, p_brand AS site, p_type AS variable,
+  CASE WHEN p_size < 20 THEN 'PT30M' WHEN p_size < 40 THEN 'PT1H' ELSE 'P1D' END AS periodicity,
+  CASE WHEN p_retailprice > 950 THEN 'processed' ELSE 'raw' END AS processing_level FROM part)"""
+
+
+def _datasets(spark, folder):
     size = F.col("p_size")
-    datasets = parts.select(
+    return table(spark, folder, "part").select(
         F.concat(F.lit("P"), "p_partkey").alias("dataset"),
         F.col("p_brand").alias("site"),
         F.col("p_type").alias("variable"),
         F.when(size < 20, "PT30M").when(size < 40, "PT1H").otherwise("P1D").alias("periodicity"),
         F.when(F.col("p_retailprice") > 950, "processed").otherwise("raw").alias("processing_level"),
     )
+
+
+@query(
+    "select_datasets",
+    f"""WITH {_DATASETS} SELECT * FROM d WHERE processing_level = 'processed' AND periodicity IN ('PT30M', 'P1D')
+      AND site IN (SELECT p_brand FROM part JOIN lineitem ON l_partkey = p_partkey WHERE l_quantity > 49)""",
+)
+def select_datasets(spark, folder):
     large = table(spark, folder, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey"))
-    wanted = parts.join(large, "p_partkey", "left_semi").select(F.col("p_brand").alias("site"))
-    return metadata.select_datasets(datasets, wanted, periodicities=["PT30M", "P1D"])
+    brands = table(spark, folder, "part").join(large, "p_partkey", "left_semi").select(F.col("p_brand").alias("site"))
+    return metadata.select_datasets(_datasets(spark, folder), brands, periodicities=["PT30M", "P1D"])
+
+
+@query(
+    "select_datasets_by_id",
+    f"WITH {_DATASETS} SELECT * FROM d WHERE dataset IN (SELECT 'P' || l_partkey FROM lineitem WHERE l_discount > 0.09)",
+)
+def select_datasets_by_id(spark, folder):
+    discounted = table(spark, folder, "lineitem").where("l_discount > 0.09")
+    ids = discounted.select(F.concat(F.lit("P"), "l_partkey").alias("dataset"))
+    return metadata.select_datasets(_datasets(spark, folder), ids=ids)
 
 
 @query(

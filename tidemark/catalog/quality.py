@@ -152,6 +152,30 @@ def qc_manual_removal(spark, folder):
     return _check(frame, "manual_removal", {"periods": periods}, dated=False)
 
 
+_LIMITS = """limits AS (SELECT event_type AS site, avg(value) / 4 AS lt, avg(value) * 2 AS gt FROM events
+  WHERE event_type <> 'view' GROUP BY 1)"""
+
+
+@query(
+    "qc_range_by_site",
+    f"""WITH {PADDED}, {_LIMITS} SELECT p.site, p.time,
+      {q6("CASE WHEN coalesce(value < lt OR value > gt, FALSE) THEN NULL ELSE value END")} AS value,
+      (CASE WHEN value < lt OR value > gt THEN 1 ELSE 0 END)::INT AS qc FROM padded p LEFT JOIN limits l USING (site)""",
+)
+def qc_range_by_site(spark, folder):
+    """Limits of each site from its own mean; one site has none and is not checked."""
+    events = table(spark, folder, "events").where("event_type <> 'view'")
+    means = events.groupBy(F.col("event_type").alias("site")).agg(F.avg("value").alias("mean"))
+    always = F.lit(None).cast("timestamp_ntz")
+    limits = means.select(
+        "site", always.alias("start"), always.alias("end"), (F.col("mean") / 4).alias("lt"), (F.col("mean") * 2).alias("gt")
+    )
+    frame = padded(spark, folder)
+    flags = FlagColumns({"quality_control": "qc"}, {"quality_control": {"range": 1}})
+    checked = runner.check(runner.load(frame, frame.spec, flags), [Settings("range", by_site=limits)])
+    return checked.df.select("site", "time", r6("value").alias("value"), "qc")
+
+
 # --- Steps -------------------------------------------------------------------------------------------------------
 
 _QC_FLAGS = FlagColumns(

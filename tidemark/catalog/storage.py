@@ -7,7 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.catalog.quality import MANUAL, manual_list
-from tidemark.catalog.registry import HOURLY, HOURLY_SPEC, hour_of, hourly, q6, query, r6, table
+from tidemark.catalog.registry import DAILY_SPEC, HOURLY, HOURLY_SPEC, hour_of, hourly, q6, query, r6, table
+from tidemark.operators.flagging import FlagColumns
+from tidemark.plans.methods import Settings
+from tidemark.plans.run import Stored, process_window
+from tidemark.plans.runner import DatasetPlan, Step
 from tidemark.session import new_table_path
 from tidemark.sources import fluxfiles, metadata, store
 from tidemark.sources.manualflags import read_manual_flags
@@ -444,3 +448,48 @@ def metadata_flatten_arguments(spark, folder):
         number.alias("number"),
         F.when(number.isNull(), F.col("value")).alias("text"),
     )
+
+
+@query(
+    "metadata_flatten_deployments",
+    """SELECT 'D' || s_suppkey AS deployment_id, 'anem' || s_nationkey AS platform, NULL::TIMESTAMP AS "start",
+      CASE WHEN s_acctbal < 0 THEN TIMESTAMP '2020-05-06 07:08:09' END AS "end",
+      round_even(s_acctbal / 1000, 6) AS height FROM supplier""",
+)
+def metadata_flatten_deployments(spark, folder):
+    """Suppliers as instruments on the platform of their nation; when they began is not known."""
+    records = table(spark, folder, "supplier").select(
+        F.concat(F.lit("D"), "s_suppkey").alias("@id"),
+        F.when(F.col("s_acctbal") < 0, "2020-05-06T07:08:09").alias("endedAtTime"),
+        (F.col("s_acctbal") / 1000).alias("deployedHeight"),
+        F.concat(F.lit(f"{_HOST}/platform/anem"), "s_nationkey").alias("deployedOnPlatform"),
+    )
+    flat = metadata.deployments(metadata.read_items(spark, _documents(records, "deployments"), "deployment", multi_line=False))
+    return flat.withColumn("height", r6("height"))
+
+
+@query(
+    "window_processed_and_saved",
+    f"""WITH {HOURLY}, ends AS (SELECT site, min(time) AS lo, max(time) AS hi FROM hourly
+      WHERE time::DATE BETWEEN DATE '2024-01-09' AND DATE '2024-01-21' GROUP BY site),
+    grid AS (SELECT site, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS time FROM ends),
+    checked AS (SELECT site, time, CASE WHEN h.value > 150 THEN NULL ELSE h.value END AS value FROM grid
+      LEFT JOIN hourly h USING (site, time))
+    SELECT site, date_trunc('day', time)::TIMESTAMP AS time,
+      {q6("CASE WHEN count(value) >= 20 THEN avg(value) END")} AS daily_mean FROM checked
+    WHERE time::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY 1, 2""",
+)
+def window_processed_and_saved(spark, folder):
+    """Ten days out of a stored month: read with a day either side, checked, aggregated, saved and read back."""
+    raw, out = new_table_path(spark, "raw"), new_table_path(spark, "out")
+    store.write_days(hourly(spark, folder).df, raw, HOURLY_SPEC)
+    flags = FlagColumns({"quality_control": "qc"}, {"quality_control": {"range": 1}})
+    check = Step("quality_control", (Settings("range", {"lt": 0, "gt": 150}),))
+    daily = Step("aggregation", (Settings("mean", {"threshold": 20}),), source="hourly")
+    plans = {
+        "hourly": DatasetPlan(HOURLY_SPEC, (Step("load", source="raw"), check), flags),
+        "daily": DatasetPlan(DAILY_SPEC.with_(value="daily_mean"), (daily,)),
+    }
+    window = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
+    process_window(spark, plans, {"raw": Stored(raw, HOURLY_SPEC)}, {"daily": out}, *window)
+    return store.read_days(spark, out).select("site", "time", r6("daily_mean").alias("daily_mean"))

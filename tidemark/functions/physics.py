@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import as_column
+
 Number = Column | float | int
 
 # Physical constants and published coefficients.
@@ -27,13 +29,9 @@ BURIED_MAX, BURIED_MIN = 1144.0, 141.0  # mm, Howat et al. 2018
 BURIED_A1, BURIED_A2, BURIED_A3 = 0.313, 0.082, 1.117  # Howat et al. 2018
 
 
-def _column(number: Number) -> Column:
-    return number if isinstance(number, Column) else F.lit(float(number))
-
-
 def pressure_ratio(ta: Column, altitude: Number) -> Column:
     """Pressure at the altitude (m) over pressure at sea level, for air temperature in degrees Celsius."""
-    drop = _column(altitude) * LAPSE_RATE
+    drop = as_column(altitude) * LAPSE_RATE
     return F.pow(1 - drop / (ta + drop + KELVIN_OFFSET), F.lit(PRESSURE_EXPONENT))
 
 
@@ -62,7 +60,7 @@ def penman_monteith_30min(
 
     rn and g in W m-2, ta in degrees Celsius, rh in %, ws in m s-1 at wind_height (m), pa in hPa.
     """
-    ws_2m = ws * 4.87 / F.log(_column(wind_height) * 67.8 - 5.42)
+    ws_2m = ws * 4.87 / F.log(as_column(wind_height) * 67.8 - 5.42)
     saturated = saturation_vapour_pressure(ta)
     slope = saturated * 4098.0 / F.pow(ta + 237.3, F.lit(2.0))
     gamma = pa / 10 * 0.000665
@@ -95,7 +93,7 @@ def solar_zenith(time: Column, latitude: Number) -> Column:
     hour = F.hour(time) + F.minute(time) / 60 + F.second(time) / 3600
     declination = F.sin(day * (2 * math.pi / 365) - 1.39) * 0.409
     hour_angle = (hour - 12) * (math.pi / 12)
-    phi = F.radians(_column(latitude))
+    phi = F.radians(as_column(latitude))
     return F.acos(F.sin(phi) * F.sin(declination) + F.cos(phi) * F.cos(declination) * F.cos(hour_angle))
 
 
@@ -106,21 +104,21 @@ def albedo(swin: Column, swout: Column, zenith: Column) -> Column:
 
 def neutron_intensity_factor(count: Column, ref_c0: Number, gamma: Number) -> Column:
     """Multiplier for the incoming intensity, Hawdon et al. 2014: 1 / (1 + gamma (I / I0 - 1))."""
-    return F.try_divide(F.lit(1.0), 1 + _column(gamma) * (count / _column(ref_c0) - 1))
+    return F.try_divide(F.lit(1.0), 1 + as_column(gamma) * (count / as_column(ref_c0) - 1))
 
 
 def humidity_factor(q: Column, ref_q0: Number) -> Column:
-    return 1 + (q - _column(ref_q0)) * HUMIDITY_FACTOR
+    return 1 + (q - as_column(ref_q0)) * HUMIDITY_FACTOR
 
 
 def pressure_factor(pa: Column, attenuation_length: Number, ref_pressure: Number = STANDARD_PRESSURE) -> Column:
     """exp((P - P0) / L), Desilets and Zreda 2003."""
-    return F.exp((pa - _column(ref_pressure)) / _column(attenuation_length))
+    return F.exp((pa - as_column(ref_pressure)) / as_column(attenuation_length))
 
 
 def snow_day(albedo_value: Column, low: Number, high: Number) -> Column:
     """Is the albedo that of a snow cover: from the lower to the upper threshold."""
-    return albedo_value.between(_column(low), _column(high))
+    return albedo_value.between(as_column(low), as_column(high))
 
 
 def corrected_counts(count: Column, *factors: Column) -> Column:
@@ -139,21 +137,21 @@ def water_content(
     n_max: Number,
 ) -> Column:
     """Volumetric water content in %, Desilets et al. 2010; null for counts outside [n_min, n_max]."""
-    total = F.try_divide(F.lit(NEUTRON_A0), count / _column(n0) - NEUTRON_A1) - NEUTRON_A2
-    content = (total - _column(ref_latticewater) - _column(ref_soc)) * _column(ref_bulkdensity) * 100
-    return F.when(count.between(_column(n_min), _column(n_max)), content)
+    total = F.try_divide(F.lit(NEUTRON_A0), count / as_column(n0) - NEUTRON_A1) - NEUTRON_A2
+    content = (total - as_column(ref_latticewater) - as_column(ref_soc)) * as_column(ref_bulkdensity) * 100
+    return F.when(count.between(as_column(n_min), as_column(n_max)), content)
 
 
 def snow_water(count: Column, snow_free_count: Column, n0: Number) -> Column:
     """Snow water equivalent (mm) above ground, Desilets 2017; null where the logarithm has no value."""
-    floor_count = _column(n0) * WATER_COUNT_FRACTION
+    floor_count = as_column(n0) * WATER_COUNT_FRACTION
     ratio = F.try_divide(count - floor_count, snow_free_count - floor_count)
     return F.when(ratio > 0, F.log(ratio) * -SNOW_ATTENUATION)
 
 
 def snow_water_sigma(count: Column, snow_free_count: Column, n0: Number) -> Column:
     """Standard error of ``snow_water`` from Poisson counting errors of both counts."""
-    floor_count = _column(n0) * WATER_COUNT_FRACTION
+    floor_count = as_column(n0) * WATER_COUNT_FRACTION
     relative = F.try_divide(count, F.pow(count - floor_count, F.lit(2.0))) + F.try_divide(
         snow_free_count, F.pow(snow_free_count - floor_count, F.lit(2.0))
     )
@@ -180,13 +178,13 @@ def snow_water_buried_sigma(count: Column, snow_free_count: Column) -> Column:
 
 def soil_moisture_index(vwc: Column, wilting_point: Number, field_capacity: Number, saturation: Number) -> Column:
     """0 at the wilting point, 1 at field capacity; water beyond saturation does not count."""
-    dry, full = _column(wilting_point), _column(saturation)
+    dry, full = as_column(wilting_point), as_column(saturation)
     held = F.when(vwc > full, full).otherwise(vwc)
-    return F.try_divide(held - dry, _column(field_capacity) - dry)
+    return F.try_divide(held - dry, as_column(field_capacity) - dry)
 
 
 def _bound_water(ref_soc: Number, ref_bulkdensity: Number, ref_latticewater: Number) -> Column:
-    return (_column(ref_soc) + _column(ref_latticewater)) * _column(ref_bulkdensity)
+    return (as_column(ref_soc) + as_column(ref_latticewater)) * as_column(ref_bulkdensity)
 
 
 def effective_depth(vwc: Column, ref_soc: Number, ref_bulkdensity: Number, ref_latticewater: Number) -> Column:
@@ -200,6 +198,6 @@ def penetration_depth(
     """Depth (cm) that 86% of the neutrons come from, at a distance (m) from the sensor, Koehli et al. 2015."""
     water = vwc / 100 + _bound_water(ref_soc, ref_bulkdensity, ref_latticewater)
     pressure_scale = 0.5 / (0.86 - F.exp(pa / -STANDARD_PRESSURE))
-    scaled_distance = _column(distance) / pressure_scale
+    scaled_distance = as_column(distance) / pressure_scale
     reach = (F.exp(scaled_distance * -0.01) + 0.96655) * 0.14249 * (water + 20) / (water + 0.0429)
-    return (reach + 8.321) / _column(ref_bulkdensity)
+    return (reach + 8.321) / as_column(ref_bulkdensity)

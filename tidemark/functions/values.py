@@ -30,13 +30,19 @@ def round_even(column: Column | str, decimals: int) -> Column:
     return F.bround(column, decimals)
 
 
-def clip(column: Column, low: float | None = None, high: float | None = None) -> Column:
-    """Limit to [low, high]. Null stays null, which least and greatest would not do."""
+def as_column(number: Column | float) -> Column:
+    """A number or a column of numbers, as a column of doubles."""
+    return number if isinstance(number, Column) else F.lit(float(number))
+
+
+def clip(column: Column, low: Column | float | None = None, high: Column | float | None = None) -> Column:
+    """Limit to [low, high]. Null stays null, which least and greatest would not do. A limit that is null in a row does
+    not limit that row."""
     if low is None and high is None:
         raise ValueError("At least one limit must be given")
     limited = F
     if low is not None:
-        limited = limited.when(column < low, F.lit(float(low)))
+        limited = limited.when(column < low, as_column(low))
     if high is not None:
-        limited = limited.when(column > high, F.lit(float(high)))
+        limited = limited.when(column > high, as_column(high))
     return limited.otherwise(column)

@@ -158,7 +158,8 @@ def daily_onto_hourly(
 
 
 def _year(time: Column) -> Column:
-    return F.greatest(F.least(F.year(time), F.lit(LAST_YEAR)), F.lit(FIRST_YEAR))
+    """Calendar year, limited to the first and last bucket; null for null, which least and greatest would skip."""
+    return F.when(time.isNotNull(), F.greatest(F.least(F.year(time), F.lit(LAST_YEAR)), F.lit(FIRST_YEAR)))
 
 
 def invalid_intervals(intervals: DataFrame, keys: list[str]) -> DataFrame:
@@ -283,6 +284,19 @@ def mark_in_periods(df: DataFrame, spec: SeriesSpec, periods: DataFrame, name: s
     )
 
 
+def join_site_parameters(
+    df: DataFrame, spec: SeriesSpec, table: DataFrame, prefix: str, found: str
+) -> tuple[DataFrame, list[str]]:
+    """Add the parameters that hold for each row from a table (keys, start, end, parameters), under prefixed names, and
+    boolean ``found``. Start and end are inclusive, null is open. Periods of one series must not overlap."""
+    keys = list(spec.keys)
+    names = [name for name in table.columns if name not in (*keys, "start", "end")]
+    check_intervals(table.select(*keys, "start", (F.col("end") + F.expr("INTERVAL 1 MICROSECOND")).alias("end")), keys)
+    renamed = table.withColumnsRenamed({name: f"{prefix}{name}" for name in names}).withColumn(found, F.lit(True))
+    joined = _match_intervals(df, spec, renamed, end_inclusive=True)
+    return joined.withColumn(found, F.coalesce(found, F.lit(False))), names
+
+
 def deployment_intervals(deployments: DataFrame, platform: str, attribute: str, keys: list[str]) -> DataFrame:
     """Intervals of one attribute of the deployments whose id contains the platform name. None found is an error."""
     found = deployments.where(F.col("deployment_id").contains(platform)).select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.physics import KELVIN_OFFSET, pressure_ratio
 from tidemark.functions.times import within_dates
-from tidemark.functions.values import clip, round_even
+from tidemark.functions.values import as_column, clip, round_even
 from tidemark.operators.align import left_on_time
 from tidemark.plans.methods import Frame, Settings, method
 
@@ -56,7 +56,7 @@ def scalar(frame: Frame, settings: Settings) -> DataFrame:
 
 @method("correction", "power")
 def power(frame: Frame, settings: Settings) -> DataFrame:
-    raised = F.pow(F.col(frame.spec.value), F.lit(float(settings.param("correction_factor"))))
+    raised = F.pow(F.col(frame.spec.value), as_column(settings.param("correction_factor")))
     return replace_within_dates(frame.df, frame, settings, raised)
 
 

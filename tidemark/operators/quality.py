@@ -6,6 +6,8 @@ means the check could not say, which counts as passed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,21 +32,28 @@ def _restrict(result: Column, frame: Frame, settings: Settings) -> Column:
     return result if inside is None else F.when(inside, result).otherwise(F.lit(False))
 
 
-def _outside_range(value: Column | str, settings: Settings) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
+def _outside_range(value: Column, settings: Settings) -> Column:
     return (value < settings.param("lt")) | (value > settings.param("gt"))
 
 
-def align_check(frame: Frame, other: Frame, result: Column, settings: Settings, dated: bool = True) -> DataFrame:
-    """Run a check on another series and line its result up with the rows of this one, by key and time.
+def align_check(
+    frame: Frame, other: Frame, condition: Callable[[Column], Column], settings: Settings, dated: bool = True
+) -> DataFrame:
+    """Check another series at the times of this one's rows, by key and time.
 
-    Rows the other series does not have get null; rows only the other has are dropped.
+    Rows the other series does not have get null; rows only the other has play no part.
     """
-    checked = _restrict(result, other, settings) if dated else result
-    if other.df is frame.df and other.spec.id_columns == frame.spec.id_columns:
-        return frame.df.withColumn(FAILED, checked)
     ids = [F.col(old).alias(new) for old, new in zip(other.spec.id_columns, frame.spec.id_columns)]
-    return frame.df.join(other.df.select(*ids, checked.alias(FAILED)), frame.spec.id_columns, "left")
+    value = nan_to_null(other.df, other.spec.value).alias("_other")
+    if other.df is frame.df and other.spec.id_columns == frame.spec.id_columns:
+        joined = frame.df.withColumn("_other", value).withColumn("_there", F.lit(True))
+    else:
+        companion = other.df.select(*ids, value, F.lit(True).alias("_there"))
+        joined = frame.df.join(companion, frame.spec.id_columns, "left")
+    result = condition(F.col("_other"))
+    if dated:
+        result = _restrict(result, frame, settings)
+    return joined.withColumn(FAILED, F.when(F.col("_there"), result)).drop("_other", "_there")
 
 
 @method("quality_control", "range")
@@ -86,7 +95,7 @@ def spike(frame: Frame, settings: Settings, chunk_size: int | None = None) -> Da
 def _companion_below(input_name: str):
     def check(frame: Frame, settings: Settings) -> DataFrame:
         other = settings.input(input_name)
-        return align_check(frame, other, _value(other) < settings.param("lt"), settings)
+        return align_check(frame, other, lambda value: value < settings.param("lt"), settings)
 
     check.__doc__ = f"The {input_name} series is below ``lt`` at that time."
     return check
@@ -102,21 +111,21 @@ soil_temperature = method("quality_control", "tdt_tsoil")(_companion_below("soil
 def sensor_temperature(frame: Frame, settings: Settings) -> DataFrame:
     """The sensor's own temperature is out of range at that time."""
     other = settings.input("sensor_ta")
-    return align_check(frame, other, _outside_range(_value(other), settings), settings)
+    return align_check(frame, other, lambda value: _outside_range(value, settings), settings)
 
 
 @method("quality_control", "pluvio_diag")
 def diagnostic(frame: Frame, settings: Settings) -> DataFrame:
     """The diagnostic is above ``gt`` at that time."""
     other = settings.input("sensor_diag")
-    return align_check(frame, other, _value(other) > settings.param("gt"), settings)
+    return align_check(frame, other, lambda value: value > settings.param("gt"), settings)
 
 
 @method("quality_control", "flux_qc_flag")
 def flux_flag(frame: Frame, settings: Settings) -> DataFrame:
     """The companion quality flag says 2 (poor). Dates are not looked at."""
     other = settings.input("qc_flag")
-    return align_check(frame, other, F.col(other.spec.value) == 2, settings, dated=False)
+    return align_check(frame, other, lambda value: value == 2, settings, dated=False)
 
 
 @method("quality_control", "hfp_removal")

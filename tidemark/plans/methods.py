@@ -27,13 +27,19 @@ class Frame:
 
 @dataclass(frozen=True)
 class Settings:
-    """One method run: its parameters, named inputs, and the dates it is limited to (both inclusive)."""
+    """One method run: its parameters, named inputs, and the dates it is limited to (both inclusive).
+
+    Parameters that differ from site to site, or in time, come as a table instead: ``by_site`` has the series keys,
+    ``start``, ``end`` (inclusive, null is open) and a column per parameter. The method then only acts on rows that
+    lie in one of its rows, and all sites still go through one job.
+    """
 
     method: str
     params: dict[str, Any] = field(default_factory=dict)
     inputs: dict[str, Frame] = field(default_factory=dict)
     start: dt.datetime | str | None = None
     end: dt.datetime | str | None = None
+    by_site: DataFrame | None = None
 
     def input(self, name: str) -> Frame:
         if name not in self.inputs:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.flagbits import appeared_or_vanished, changed, set_bit
 from tidemark.functions.values import round_even
 from tidemark.operators import aggregate, corrections, derive, flagging, infill, quality  # noqa: F401
+from tidemark.operators.align import join_site_parameters
 from tidemark.operators.flagging import FlagColumns
 from tidemark.operators.quality import FAILED
 from tidemark.plans.methods import Frame, Settings, get_method
@@ -47,6 +48,21 @@ def _rounded(df: DataFrame, spec: SeriesSpec, settings: Settings) -> DataFrame:
     return df if decimals is None else df.withColumn(spec.value, round_even(spec.value, decimals))
 
 
+def _run(kind: str, df: DataFrame, spec: SeriesSpec, settings: Settings) -> DataFrame:
+    """Run a method that keeps the rows of ``df``, on the rows its settings are for."""
+    function = get_method(kind, settings.method)
+    if settings.by_site is None:
+        return function(Frame(df, spec), settings)
+    joined, names = join_site_parameters(df, spec, settings.by_site, "_site_", "_set")
+    own = {name: F.col(f"_site_{name}") for name in names}
+    settings = replace(settings, params=settings.params | own, by_site=None)
+    ran = function(Frame(joined.withColumn("_unset", F.col(spec.value)), spec), settings)
+    result = ran.withColumn(spec.value, F.when(F.col("_set"), F.col(spec.value)).otherwise(F.col("_unset")))
+    if kind == "quality_control":
+        result = result.withColumn(FAILED, F.when(F.col("_set"), F.col(FAILED)).otherwise(F.lit(False)))
+    return result.drop("_set", "_unset", *(f"_site_{name}" for name in names))
+
+
 def load(source: Frame, target: SeriesSpec, flags: FlagColumns = FlagColumns()) -> Series:
     """Take over a series under the target's column names and anchor (times stay), and set its first flags."""
     ids = [F.col(old).alias(new) for old, new in zip(source.spec.id_columns, target.id_columns)]
@@ -73,7 +89,7 @@ def _change(series: Series, methods: list[Settings], kind: str, role: str, diffe
     df = series.df
     for settings in methods:
         before = df if flag is None else df.withColumn("_before", F.col(spec.value))
-        df = get_method(kind, settings.method)(Frame(before, spec), settings)
+        df = _run(kind, before, spec, settings)
         if flag is not None:
             mask = difference(df, "_before", spec.value)
             df = df.withColumn(flag, set_bit(flag, flags.bit(role, settings.method), mask)).drop("_before")
@@ -93,7 +109,7 @@ def check(series: Series, methods: list[Settings], remove: bool = True) -> Serie
     flag, core = flags.column("quality_control"), flags.column("core")
     df = series.df
     for settings in methods:
-        df = get_method("quality_control", settings.method)(Frame(df, spec), settings)
+        df = _run("quality_control", df, spec, settings)
         if flag is not None:
             df = df.withColumn(flag, set_bit(flag, flags.bit("quality_control", settings.method), F.col(FAILED)))
         df = _rounded(df.drop(FAILED), spec, settings)
@@ -198,14 +214,16 @@ class RunResult:
             raise RuntimeError(f"{len(self.failed)} dataset(s) failed: {self.failed}")
 
 
-def run_plans(plans: dict[str, DatasetPlan], sources: dict[str, Frame]) -> RunResult:
-    """Run many plans, each after what it needs. A plan that cannot be built fails with all that depend on it; the others
-    still run. Nothing is computed yet: the results are lazy."""
+def run_plans(
+    plans: dict[str, DatasetPlan], sources: dict[str, Frame], failed: dict[str, str] | None = None
+) -> RunResult:
+    """Run many plans, each after what it needs. A plan that cannot be built fails with all that depend on it, as do those
+    that need a dataset in ``failed``; the others still run. Nothing is computed yet: the results are lazy."""
     order = TopologicalSorter({name: plan.needs() - set(sources) for name, plan in plans.items()}).static_order()
-    known, done, failed = dict(sources), {}, {}
+    known, done, failed = dict(sources), {}, dict(failed or {})
     for name in order:
         if name not in plans:
-            failed[name] = "no plan and no data"
+            failed.setdefault(name, "no plan and no data")
             continue
         if broken := sorted(plans[name].needs() & set(failed)):
             failed[name] = f"depends on {broken[0]}, which failed"

@@ -273,11 +273,12 @@ def select_datasets(
     sites: DataFrame | None = None,
     variables: list[str] | None = None,
     periodicities: list[str] | None = None,
-    ids: list[str] | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Datasets by id, or processed ones by site, variable and periodicity. What is not given is not limited."""
+    """Datasets by id (dataset), or processed ones by site (site), variable and periodicity. What is not given is not
+    limited."""
     if ids is not None:
-        return datasets.where(F.col("dataset").isin(*ids))
+        return datasets.join(ids.select("dataset").distinct(), "dataset", "left_semi")
     chosen = datasets.where("processing_level = 'processed'")
     if sites is not None:
         chosen = chosen.join(sites.select("site").distinct(), "site", "left_semi")
