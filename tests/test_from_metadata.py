@@ -4,6 +4,23 @@ import pytest
 
 from tidemark.plans.from_metadata import MetadataTables, plans_by_kind, stored_inputs
 from tidemark.plans.runner import run_plans
+from tidemark.sources.metadata import resolved_arguments
+
+
+def resolve(spark, arguments, settings):
+    """Site A has a sensor height that changes in time, as an annotation; nobody asks for the altitude by that name."""
+    columns = "dataset string, configuration string, position int, parameter string, role string, value string"
+    moved = dt.datetime(2025, 1, 1, 3)
+    return (
+        spark.createDataFrame(arguments, columns),
+        spark.createDataFrame([(s[0], s[1], s[2], s[4]) for s in settings], "dataset string, site string, configuration string, position int"),
+        spark.createDataFrame([("A", None, None, None, None, 10.0), ("B", None, None, None, None, 20.0)],
+                              "site string, easting double, northing double, lat double, lon double, altitude double"),
+        spark.createDataFrame(
+            [("http://example.org/A", "sensor_height", None, moved, "100"), ("http://example.org/A", "sensor_height", moved, None, "200"),
+             ("http://example.org/B", "sensor_height", None, None, "300")],
+            "id string, property string, start timestamp_ntz, end timestamp_ntz, value string"),
+    )
 
 
 @pytest.fixture(scope="module")
@@ -45,11 +62,20 @@ def tables(spark):
         settings.append((clean, site, f"{site}-infill", "infill", 0, "linear_interp", None, None))
         arguments.append((clean, f"{site}-infill", 0, "max_gap_size", "value", "2"))
         steps.append((daily, 1, f"{site}-agg"))
-        settings.append((daily, site, f"{site}-agg", "aggregation", 0, "mean", None, None))
+        settings.append((daily, site, f"{site}-agg", "aggregate", 0, "mean", None, None))
         arguments += [
             (daily, f"{site}-agg", 0, "dep_ts", "dependency", clean),
             (daily, f"{site}-agg", 0, "threshold", "value", "3"),
         ]
+        level = f"{site}-level"
+        datasets.append((level, "net", site, "LEVEL", "time", "processed", "PT1H", "start", None))
+        steps.append((level, 1, f"{site}-calc"))
+        settings.append((level, site, f"{site}-calc", "calculate", 0, "distance_to_level", None, None))
+        arguments += [
+            (level, f"{site}-calc", 0, "dist_to_water", "input", f"{site}-raw"),
+            (level, f"{site}-calc", 0, "annotation" if site == "A" else "site_attribute", "value",
+             "SENSOR_HEIGHT" if site == "A" else "altitude"),
+        ]
     flags = [(f"{s}-clean", f"TA_{r.upper()}", f"scheme-{r}", r) for s in "AB" for r in ("quality_control", "correction", "infill")]
     members = [
         ("scheme-quality_control", "range", 1),
@@ -64,7 +90,7 @@ def tables(spark):
         make("dataset string, index int, configuration string", steps),
         make("dataset string, site string, configuration string, kind string, position int, method string, "
              "start timestamp_ntz, end timestamp_ntz", settings),
-        make("dataset string, configuration string, position int, parameter string, role string, value string", arguments),
+        resolved_arguments(*resolve(spark, arguments, settings)),
         make("dataset string, column_name string, scheme string, role string", flags),
         make("scheme string, flag string, bit int", members),
     )
@@ -72,7 +98,7 @@ def tables(spark):
 
 def test_sites_share_a_plan_and_keep_their_parameters(spark, tables, series, values):
     plans = plans_by_kind(tables)
-    assert set(plans) == {"TA/PT1H/processed", "TA/P1D/processed"}
+    assert set(plans) == {"TA/PT1H/processed", "TA/P1D/processed", "LEVEL/PT1H/processed"}
     clean = plans["TA/PT1H/processed"]
     assert [step.kind for step in clean.steps] == [
         "load", "correction", "correction", "quality_control", "quality_control", "infill",
@@ -90,13 +116,36 @@ def test_sites_share_a_plan_and_keep_their_parameters(spark, tables, series, val
     assert values(done, "TA_CORRECTION") == [3, 2, 2, 2, 2] + [0] * 5
     assert values(done, "TA_QUALITY_CONTROL") == [1, 0, 0, 1, 0] + [0, 2, 0, 1, 1]
     assert values(done, "TA_INFILL") == [0, 0, 0, 1, 0] + [0, 1, 0, 0, 0]
+    # Site A's height changes in time; site B only names an attribute that the method does not use.
+    assert values(result.done["LEVEL/PT1H/processed"].df, "LEVEL") == [99, 98, 97, 160, 195] + [None] * 5
     daily = result.done["TA/P1D/processed"].df
     assert values(daily, "TA") == [7, 2]
 
 
 def test_shaping_parameters_must_agree(spark, tables):
     other = tables.arguments.where("not (parameter = 'threshold' and dataset = 'B-daily')").union(
-        spark.createDataFrame([("B-daily", "B-agg", 0, "threshold", "value", "9")], tables.arguments.schema)
+        spark.createDataFrame([("B-daily", "B-agg", 0, "threshold", "value", "9", None, None)], tables.arguments.schema)
     )
     with pytest.raises(ValueError, match="threshold"):
         plans_by_kind(MetadataTables(tables.datasets, tables.steps, tables.settings, other, tables.flag_columns, tables.flag_members))
+
+
+def test_deployment_heights(spark):
+    ids = ("d", "c", 0)
+    arguments = [
+        (*ids, "wind_height.wind_height.source", "nested", "deployment"),
+        (*ids, "wind_height.wind_height.platform", "nested", "anem"),
+        (*ids, "wind_height.wind_height.attribute", "nested", "deployedHeight"),
+        (*ids, "lt", "value", "1"),
+    ]
+    settings = [("d", "A", "c", "calculate", 0, "calculate_pe", None, None)]
+    later = dt.datetime(2025, 1, 2)
+    deployments = spark.createDataFrame(
+        [("x-anem-1", "A", None, later, 2.0), ("x-anem-2", "A", later, None, 3.0), ("x-rain", "A", None, None, 9.0),
+         ("y-anem", "B", None, None, 7.0)],
+        "deployment_id string, platform string, start timestamp_ntz, end timestamp_ntz, height double",
+    )
+    rows = resolved_arguments(*resolve(spark, arguments, settings), deployments).collect()
+    assert {(r["parameter"], r["value"], r["start"], r["end"]) for r in rows} == {
+        ("lt", "1", None, None), ("wind_height", "2.0", None, later), ("wind_height", "3.0", later, None),
+    }

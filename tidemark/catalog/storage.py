@@ -284,7 +284,7 @@ def _schemes(spark, folder):
     flags = nations.groupBy(region.alias("scheme")).agg(F.collect_list(concept).alias("hasTopConcept"))
     return flags.select(
         F.concat(F.lit(f"{_HOST}/scheme/"), "scheme").alias("@id"),
-        _ref(F.lit("flag-type/"), F.when(F.col("scheme") == "core-flags", "core").otherwise("infill")).alias("flagType"),
+        _ref(F.lit("flag-type/"), F.when(F.col("scheme") == "core-flags", "core_flags").otherwise("infill_flags")).alias("flagType"),
         "hasTopConcept",
     )
 
@@ -468,6 +468,55 @@ def metadata_flatten_deployments(spark, folder):
     return flat.withColumn("height", r6("height"))
 
 
+@query(
+    "metadata_resolve_arguments",
+    """WITH o AS (SELECT 'D' || o_custkey AS dataset, 'G' || o_orderkey AS configuration, 0 AS position, * FROM orders
+      JOIN customer ON c_custkey = o_custkey)
+    SELECT dataset, configuration, position, 'gt' AS parameter, round_even(o_totalprice, 6) AS number,
+      NULL::TIMESTAMP AS "start" FROM o
+    UNION ALL SELECT dataset, configuration, position, 'altitude', round_even(c_acctbal / 10, 6), NULL FROM o
+    UNION ALL SELECT dataset, configuration, position, 'ref_soc', round_even(c_nationkey, 6), TIMESTAMP '2020-01-01' FROM o
+      WHERE c_acctbal > 0""",
+)
+def metadata_resolve_arguments(spark, folder):
+    """Orders as configurations: a literal, an attribute of the customer's site and an annotation some sites have."""
+    orders = table(spark, folder, "orders").select(
+        F.concat(F.lit("D"), "o_custkey").alias("dataset"),
+        F.concat(F.lit("G"), "o_orderkey").alias("configuration"),
+        F.lit(0).alias("position"),
+        F.concat(F.lit("C"), "o_custkey").alias("site"),
+        "o_totalprice",
+    )
+    entries = F.array(
+        *(
+            F.struct(F.lit(parameter).alias("parameter"), F.lit("value").alias("role"), value.alias("value"))
+            for parameter, value in (
+                ("gt", F.col("o_totalprice").cast("string")),
+                ("site_attribute", F.lit("altitude")),
+                ("annotation", F.lit("REF_SOC")),
+            )
+        )
+    )
+    arguments = orders.select("dataset", "configuration", "position", F.inline(entries))
+    customers = table(spark, folder, "customer").withColumn("site", F.concat(F.lit("C"), "c_custkey"))
+    nothing = F.lit(None).cast("double")
+    sites = customers.select(
+        "site",
+        *(nothing.alias(name) for name in ("easting", "northing", "lat", "lon")),
+        (F.col("c_acctbal") / 10).alias("altitude"),
+    )
+    notes = customers.where("c_acctbal > 0").select(
+        F.concat(F.lit(f"{_HOST}/site/"), "site").alias("id"),
+        F.lit("ref_soc").alias("property"),
+        F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("start"),
+        F.lit(None).cast("timestamp_ntz").alias("end"),
+        F.col("c_nationkey").cast("string").alias("value"),
+    )
+    resolved = metadata.resolved_arguments(arguments, orders, sites, notes)
+    number = r6(F.col("value").cast("double"))
+    return resolved.select("dataset", "configuration", "position", "parameter", number.alias("number"), "start")
+
+
 @query(
     "window_processed_and_saved",
     f"""WITH {HOURLY}, ends AS (SELECT site, min(time) AS lo, max(time) AS hi FROM hourly

@@ -19,6 +19,13 @@ CORE_FLAGS = {
 }
 # What a flag column can be for.
 FLAG_ROLES = ("core", "quality_control", "correction", "infill")
+# Flag type of the metadata -> what the flag column is for.
+FLAG_TYPES = {
+    "core_flags": "core",
+    "quality_control_flags": "quality_control",
+    "correction_flags": "correction",
+    "infill_flags": "infill",
+}
 
 
 def set_bit(flag: Column | str, bit: int, mask: Column) -> Column:

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.flagging import FlagColumns
-from tidemark.plans.methods import Settings
+from tidemark.plans.methods import Frame, Settings
 from tidemark.plans.run import Stored
 from tidemark.plans.runner import DatasetPlan, Step
+from tidemark.session import cut_lineage
 from tidemark.spec import SeriesSpec
 
 # Configuration types of the metadata -> kinds of step.
@@ -27,8 +28,8 @@ STEP_KINDS = {
     "correction": "correction",
     "qc": "quality_control",
     "infill": "infill",
-    "aggregation": "aggregation",
-    "derivation": "derivation",
+    "aggregate": "aggregation",
+    "calculate": "derivation",
 }
 # Parameters that shape a method, and so must be the same at all sites of a kind. All others are numbers by site.
 SHAPING = (
@@ -52,7 +53,7 @@ WHOLE_NUMBERS = ("round", "threshold", "n", "max_gap_size", "min_threshold", "ma
 
 @dataclass(frozen=True)
 class MetadataTables:
-    """The tables that ``sources.metadata`` flattens the records to, and the order of the steps."""
+    """The tables that ``sources.metadata`` flattens the records to. Arguments are the resolved ones."""
 
     datasets: DataFrame
     steps: DataFrame
@@ -92,7 +93,13 @@ def _inputs(tables: MetadataTables, methods: DataFrame) -> DataFrame:
 
 def _values(tables: MetadataTables, methods: DataFrame) -> DataFrame:
     literal = tables.arguments.where("role = 'value'").select(
-        "dataset", "configuration", "position", "parameter", F.col("value").alias("text")
+        "dataset",
+        "configuration",
+        "position",
+        "parameter",
+        F.col("value").alias("text"),
+        F.col("start").alias("since"),
+        F.col("end").alias("until"),
     )
     return methods.join(literal, ["dataset", "configuration", "position"])
 
@@ -119,6 +126,16 @@ def _by_site(values: DataFrame, methods: DataFrame, names: list[str]) -> DataFra
     return listed.join(renamed, condition, "left").drop(*(f"_{name}" for name in ids))
 
 
+def _attributes(values: DataFrame, names: list[str], target: SeriesSpec) -> dict[str, Frame]:
+    """Parameters of a derivation as attributes of the sites: intervals, open where a value does not change in time."""
+    wide = {}
+    for name in names:
+        own = values.where(F.col("parameter") == name)
+        rows = own.select("site", F.col("since").alias("start"), F.col("until").alias("end"), F.col("text").try_cast("double").alias(name))
+        wide[name] = Frame(rows.distinct(), target.with_(value=name))
+    return wide
+
+
 def _flags(tables: MetadataTables, kind_of: DataFrame) -> dict[str, FlagColumns]:
     declared = tables.flag_columns.join(kind_of, "dataset").select("kind_id", "role", "column_name", "scheme").distinct()
     members = {}
@@ -153,8 +170,9 @@ def plans_by_kind(tables: MetadataTables) -> dict[str, DatasetPlan]:
     A load or an aggregation reads the kind its ``dep_ts`` refers to.
     """
     specs = _specs(tables)
-    methods = _methods(tables)
-    values = _values(tables, methods)
+    # Every method's table of parameters is cut from these two, so they are made once.
+    methods = cut_lineage(_methods(tables))
+    values = cut_lineage(_values(tables, methods))
     flags = _flags(tables, with_kind(tables.datasets).select("dataset", "kind_id"))
     at = ["kind_id", "index", "kind", "position", "method"]
 
@@ -182,6 +200,8 @@ def plans_by_kind(tables: MetadataTables) -> dict[str, DatasetPlan]:
         source = needed.pop("dep_ts", None)
         params = {key: _shaping(text, key) for key, text in fixed.get(place, {}).items()}
         by_site = None
+        if STEP_KINDS[kind] == "derivation":
+            params |= _attributes(values.where(_at(place)), sorted(numeric.get(place, [])), specs[kind_id])
         if STEP_KINDS[kind] in ("correction", "quality_control", "infill"):
             here = _at(place)
             by_site = _by_site(values.where(here), methods.where(here), sorted(numeric.get(place, [])))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.flagbits import FLAG_TYPES
 from tidemark.functions.times import TimeLike, at
 from tidemark.spec import ANCHOR_CODES
 
@@ -105,11 +106,15 @@ def plan_steps(items: DataFrame) -> DataFrame:
 
 
 def flag_columns(items: DataFrame, flag_schemes: DataFrame) -> DataFrame:
-    """Flag columns with their scheme and role: (dataset, column_name, scheme, role)."""
+    """Flag columns with their scheme and role: (dataset, column_name, scheme, role). An unknown flag type is left as it
+    is, which ``operators.flagging.check_flag_roles`` finds."""
     declared = items.select(F.col("@id").alias("dataset"), F.explode("hasFlagColumn").alias("flag")).select(
         "dataset", F.col("flag.columnName").alias("column_name"), last_segment("flag.valueScheme.@id").alias("scheme")
     )
-    roles = flag_schemes.select(last_segment("@id").alias("scheme"), last_segment("flagType.@id").alias("role"))
+    known = F.create_map(*(F.lit(text) for pair in FLAG_TYPES.items() for text in pair))
+    flag_type = last_segment("flagType.@id")
+    role = F.coalesce(F.element_at(known, flag_type), flag_type)
+    roles = flag_schemes.select(last_segment("@id").alias("scheme"), role.alias("role"))
     return declared.join(roles, "scheme", "left").select("dataset", "column_name", "scheme", "role")
 
 
@@ -185,6 +190,66 @@ def arguments(settings: DataFrame) -> DataFrame:
     return each.select(*ids, F.inline(F.concat(*(F.coalesce(entries, nothing) for entries in found))))
 
 
+SITE_ATTRIBUTES = ["easting", "northing", "lat", "lon", "altitude"]
+
+
+def resolved_arguments(
+    arguments: DataFrame,
+    settings: DataFrame,
+    sites: DataFrame,
+    annotations: DataFrame,
+    deployments: DataFrame | None = None,
+) -> DataFrame:
+    """Arguments with what they point to at their site: adds ``start`` and ``end`` for values that change in time.
+
+    An ``annotation`` argument names annotations of the site and a ``site_attribute`` a column of it; either becomes a
+    parameter under that name. A structured argument whose source is ``deployment`` becomes the heights of the site's
+    deployments on the platform it names.
+    """
+    ids = ["dataset", "configuration", "position"]
+    never = F.lit(None).cast("timestamp_ntz")
+    pointers = ("annotation", "site_attribute")
+    plain = arguments.where((F.col("role") != "nested") & ~F.col("parameter").isin(*pointers))
+    plain = plain.withColumn("start", never).withColumn("end", never)
+
+    site_of = settings.select(*ids, "site").distinct()
+    asked = arguments.where((F.col("role") == "value") & F.col("parameter").isin(*pointers))
+    asked = asked.join(site_of, ids).withColumn("name", F.lower("value"))
+    notes = annotations.select(
+        last_segment("id").alias("site"), F.col("property").alias("name"), "start", "end", F.col("value").alias("held")
+    )
+    texts = sites.select("site", *(F.col(name).cast("string").alias(name) for name in SITE_ATTRIBUTES))
+    attributes = texts.unpivot("site", SITE_ATTRIBUTES, "name", "held")
+    attributes = attributes.withColumn("start", never).withColumn("end", never)
+
+    def found(pointer: str, table: DataFrame) -> DataFrame:
+        hits = asked.where(F.col("parameter") == pointer).join(table, ["site", "name"])
+        return hits.select(*ids, F.col("name").alias("parameter"), "role", F.col("held").alias("value"), "start", "end")
+
+    resolved = plain.unionByName(found("annotation", notes)).unionByName(found("site_attribute", attributes))
+    if deployments is None:
+        return resolved
+
+    part = F.element_at(F.split("parameter", r"\."), -1)
+    nested = arguments.where("role = 'nested'").withColumn("outer", F.split("parameter", r"\.")[0])
+    described = nested.groupBy(*ids, "outer").agg(
+        *(F.max(F.when(part == name, F.col("value"))).alias(f"_{name}") for name in ("source", "platform", "attribute"))
+    )
+    wanted = described.where("_source = 'deployment' and _attribute = 'deployedHeight'").join(site_of, ids)
+    at_site = deployments.withColumnRenamed("platform", "site")
+    heights = wanted.join(at_site, "site").where(F.col("deployment_id").contains(F.col("_platform")))
+    return resolved.unionByName(
+        heights.select(
+            *ids,
+            F.col("outer").alias("parameter"),
+            F.lit("value").alias("role"),
+            F.col("height").cast("string").alias("value"),
+            "start",
+            "end",
+        )
+    )
+
+
 def input_problems(arguments: DataFrame) -> DataFrame:
     """Named inputs that do not name exactly one dataset."""
     ids = ["dataset", "configuration", "position", "parameter"]
