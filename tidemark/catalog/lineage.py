@@ -83,13 +83,13 @@ def lineage_layers(spark, folder):
 @query(
     "lineage_failed",
     f"""WITH RECURSIVE {REFERENCES}, bad(dataset) AS (
-      SELECT 'supplier/' || s_suppkey FROM supplier WHERE s_acctbal < 0
+      SELECT 'supplier/' || s_suppkey FROM supplier WHERE s_acctbal < 2000
       UNION SELECT e.dataset FROM bad b JOIN edges e ON e.depends_on = b.dataset)
     SELECT dataset FROM bad""",
 )
 def lineage_failed(spark, folder):
-    """Suppliers in debt fail, and with them every order they supply."""
-    bad = table(spark, folder, "supplier").where("s_acctbal < 0").select(_named("supplier", "s_suppkey").alias("dataset"))
+    """Suppliers with little money fail, and with them every order they supply."""
+    bad = table(spark, folder, "supplier").where("s_acctbal < 2000").select(_named("supplier", "s_suppkey").alias("dataset"))
     return graph.failed_with_descendants(edges(spark, folder), bad)
 
 
@@ -178,7 +178,7 @@ def sites_named_in_network(spark, folder):
 # Parts as datasets: their brand is the site, their type the variable.
 _DATASETS = """d AS (SELECT 'P' || p_partkey AS dataset, p_brand AS site, p_type AS variable,
   CASE WHEN p_size < 20 THEN 'PT30M' WHEN p_size < 40 THEN 'PT1H' ELSE 'P1D' END AS periodicity,
-  CASE WHEN p_retailprice > 950 THEN 'processed' ELSE 'raw' END AS processing_level FROM part)"""
+  CASE WHEN p_retailprice > 910 THEN 'processed' ELSE 'raw' END AS processing_level FROM part)"""
 
 
 def _datasets(spark, folder):
@@ -188,7 +188,7 @@ def _datasets(spark, folder):
         F.col("p_brand").alias("site"),
         F.col("p_type").alias("variable"),
         F.when(size < 20, "PT30M").when(size < 40, "PT1H").otherwise("P1D").alias("periodicity"),
-        F.when(F.col("p_retailprice") > 950, "processed").otherwise("raw").alias("processing_level"),
+        F.when(F.col("p_retailprice") > 910, "processed").otherwise("raw").alias("processing_level"),
     )
 
 

@@ -221,7 +221,7 @@ def _dataset_items(spark, folder):
         F.array(_ref(F.lit("type/time-series"))).alias("@type"),
         F.upper("p_brand").alias("sourceColumnName"),
         F.lit("time").alias("timeColumnName"),
-        _ref(F.lit("level/"), F.when(F.col("p_retailprice") > 950, "processed").otherwise("raw")).alias("processingLevel"),
+        _ref(F.lit("level/"), F.when(F.col("p_retailprice") > 910, "processed").otherwise("raw")).alias("processingLevel"),
         F.array(_ref(F.lit("site/"), "p_brand", F.lit("/"))).alias("originatingSite"),
         F.array(
             F.struct(
@@ -244,7 +244,7 @@ def _dataset_items(spark, folder):
 @query(
     "metadata_flatten_datasets",
     f"""SELECT '{_HOST}/id/dataset/P' || p_partkey AS dataset, p_brand AS site, upper(p_brand) AS variable,
-      CASE WHEN p_retailprice > 950 THEN 'processed' ELSE 'raw' END AS processing_level, 'time-series' AS dataset_type,
+      CASE WHEN p_retailprice > 910 THEN 'processed' ELSE 'raw' END AS processing_level, 'time-series' AS dataset_type,
       'PT1H' AS resolution, CASE WHEN p_size < 25 THEN 'PT1H' ELSE 'P1D' END AS periodicity,
       CASE WHEN p_size < 25 THEN 'end' ELSE 'point' END AS anchor, 's3://x/' || p_brand AS access_url FROM part""",
 )
