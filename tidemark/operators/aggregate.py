@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.flagbits import CORE_FLAGS, set_bit
 from tidemark.functions.times import bucket_slot, grid_times_per_day, micros, slot_start, within_day_window
 from tidemark.functions.values import nan_to_null
-from tidemark.operators.chunks import SLOT, chunk_window, own_rows, with_halo, with_slot
+from tidemark.operators.chunks import CHUNK, SLOT, chunk_window, own_rows, with_halo, with_slot
 from tidemark.plans.methods import Frame, Settings, method
 from tidemark.spec import MICROS_PER_DAY, Period, SeriesSpec
 
@@ -142,8 +142,8 @@ def rolling_mean(frame: Frame, settings: Settings, chunk_size: int | None = None
     """Mean over a moving window of a padded series; null where the window has fewer than ``threshold`` values, or
     reaches over the end of the series.
 
-    On a regular grid the window is a number of rows. Chunks carry that many extra rows, and a frame that holds fewer
-    rows than its size lies over the end of the series.
+    On a regular grid the window is a number of rows. Chunks carry that many extra rows, and a row that has fewer rows
+    before or after it in its chunk than the window reaches is near the end of the series.
     """
     spec = frame.spec
     size = None if spec.period.is_calendar else spec.period.count(Period.parse(settings.param("window_size")))
@@ -163,15 +163,14 @@ def rolling_mean(frame: Frame, settings: Settings, chunk_size: int | None = None
     start, end = settings.params.get("start_time"), settings.params.get("end_time")
     if start and end:
         rows = rows.withColumn("_v", F.when(within_day_window(spec.time, start, end), F.col("_v")))
-    complete = (F.count("*").over(order.rowsBetween(-needed_before, 0)) == needed_before + 1) & (
-        F.count("*").over(order.rowsBetween(0, needed_after)) == needed_after + 1
-    )
+    place = F.row_number().over(order)
+    rows_in_chunk = F.count("*").over(Window.partitionBy(*spec.keys, CHUNK))
     enough = F.col("_n") >= max(int(settings.params.get("threshold") or 0), 1)
     rolled = (
-        rows.withColumn("_n", F.count("_v").over(within))
-        .withColumn("_mean", F.avg("_v").over(within))
-        .withColumn("_complete", complete)
-        .withColumn(spec.value, F.when(F.col("_complete") & enough, F.col("_mean")))
+        rows.withColumns({"_n": F.count("_v").over(within), "_sum": F.sum("_v").over(within)})
+        .withColumns({"_place": place, "_rows": rows_in_chunk})
+        .withColumn("_complete", (F.col("_place") > needed_before) & (F.col("_rows") - F.col("_place") >= needed_after))
+        .withColumn(spec.value, F.when(F.col("_complete") & enough, F.col("_sum") / F.col("_n")))
         .withColumn(f"count_{spec.value}", F.col("_n"))
         .withColumn(f"expected_count_{spec.time}", F.lit(size).cast("long"))
         .withColumn(f"valid_{spec.value}", F.col("_n") >= int(settings.params.get("threshold") or 0))
