@@ -116,13 +116,13 @@ def test_manual_flags_file(spark, tmp_path):
     path = tmp_path / "flags.csv"
     path.write_text(
         "SITE_ID,VARIABLES_AFFECTED,START_DATETIME,END_DATETIME,NOTE\n"
-        "alic1,ta; rh;,2024-01-01 00:00:00,2024-01-02 00:00:00,x\nBUNNY,all,2024-03-01 00:00:00,,y\n"
+        "hill1,ta; rh;,2024-01-01 00:00:00,2024-01-02 00:00:00,x\nMOOR,all,2024-03-01 00:00:00,,y\n"
     )
     got = {(r["site"], r["variable"]): r["end"] for r in manualflags.read_manual_flags(spark, str(path)).collect()}
     assert got == {
-        ("ALIC1", "TA"): dt.datetime(2024, 1, 2),
-        ("ALIC1", "RH"): dt.datetime(2024, 1, 2),
-        ("BUNNY", "ALL"): None,
+        ("HILL1", "TA"): dt.datetime(2024, 1, 2),
+        ("HILL1", "RH"): dt.datetime(2024, 1, 2),
+        ("MOOR", "ALL"): None,
     }
 
 

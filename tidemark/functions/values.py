@@ -36,11 +36,12 @@ def as_column(number: Column | float) -> Column:
 
 
 def clip(column: Column, low: Column | float | None = None, high: Column | float | None = None) -> Column:
-    """Limit to [low, high]. Null stays null, which least and greatest would not do. A limit that is null in a row does
+    """Limit to [low, high]. Null stays null, which least and greatest would not do, and NaN stays NaN. A limit that is null in a row does
     not limit that row."""
     if low is None and high is None:
         raise ValueError("At least one limit must be given")
-    limited = F
+    # Spark orders NaN above every number, so it is let through first.
+    limited = F.when(F.isnan(column), column)
     if low is not None:
         limited = limited.when(column < low, as_column(low))
     if high is not None:

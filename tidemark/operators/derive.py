@@ -73,6 +73,7 @@ def _formula(*names: str, inputs: list[str], attributes: list[str] = (), formula
     method("derivation", *names)(run)
 
 
+# The names of methods, inputs and parameters below are those the metadata uses.
 _SOIL = ["ref_soc", "ref_bulkdensity", "ref_latticewater"]
 
 _formula("calculate_rn", inputs=["swin", "swout", "lwin", "lwout"], formula=physics.net_radiation)
