@@ -70,7 +70,8 @@ def layers(edges: DataFrame) -> DataFrame:
     """
     left = cut_lineage(edges.select("dataset", "depends_on").distinct())
     many = left.count()
-    ready = left.select(F.col("depends_on").alias("dataset")).distinct().join(_sources(left), "dataset", "left_anti")
+    needed = left.select(F.col("depends_on").alias("dataset")).distinct()
+    ready = cut_lineage(needed.join(_sources(left), "dataset", "left_anti"))
     placed = []
     while many:
         placed.append(ready.withColumn("layer", F.lit(len(placed))))
@@ -79,7 +80,7 @@ def layers(edges: DataFrame) -> DataFrame:
         if remaining == many:
             stuck = [row["dataset"] for row in still.select("dataset").limit(5).collect()]
             raise ValueError(f"The dependency graph has a cycle, among or below: {stuck}")
-        ready = _sources(left).join(_sources(still), "dataset", "left_anti")
+        ready = cut_lineage(_sources(left).join(_sources(still), "dataset", "left_anti"))
         left, many = still, remaining
     placed.append(ready.withColumn("layer", F.lit(len(placed))))
     return reduce(DataFrame.unionByName, placed)
