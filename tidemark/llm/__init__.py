@@ -1,6 +1,17 @@
 """Operators for training data, and their queries."""
 
-from tidemark.llm import decontaminate, linefreq, packing, simhash, toxicity  # noqa: F401
+from tidemark.llm import (  # noqa: F401
+    binary_packing,
+    decontaminate,
+    license_scan,
+    linefreq,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    toxicity,
+    urls,
+)
 from tidemark.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
