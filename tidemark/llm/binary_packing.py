@@ -111,6 +111,7 @@ def packed_rows(
     documents: DataFrame, context: int = CONTEXT, block: int = BLOCK_TOKENS, vocabulary: str = VOCABULARY, ids: int = 50_257
 ) -> DataFrame:
     """The rows of all documents. ``ids``: size of the vocabulary, which decides the width of an id."""
+    ready(documents.sparkSession)
     width = "<u2" if ids <= 65_536 else "<u4"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

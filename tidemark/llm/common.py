@@ -78,6 +78,7 @@ def labelled_sample(
     bound is ``rows``, is broadcast; the texts are found by one scan of the documents.
     """
     ids = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).dropna()
+    ready(documents.sparkSession)
     if keep is not None:
         ids = ids.where(keep)
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label"))

@@ -120,6 +120,7 @@ ARROW = pa.struct(
 
 def licenses(text: Column | str) -> Column:
     """What ``scan`` finds in a text. Places of spans are characters of the lower-cased text."""
+    ready(SparkSession.active())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:

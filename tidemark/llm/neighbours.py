@@ -137,7 +137,7 @@ def best(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.
 
 def nearest(embeddings: DataFrame, is_query, k: int = 20, wanted: float = WANTED) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every row that ``is_query`` (of vec_id) picks."""
-    spark = embeddings.sparkSession
+    spark = ready(embeddings.sparkSession)
     rows = cut_lineage(points(embeddings, k))
     n = rows.count()
     nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -139,6 +139,7 @@ def places(planned: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 def cut(text: Column | str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> Column:
     """The pieces of a text: {start, length, ids_crc32}. All but the last fill a window."""
+    ready(SparkSession.active())
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]))
 
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -164,6 +165,7 @@ def cut(text: Column | str, capacity: int = CAPACITY, vocabulary: str = VOCABULA
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` with their ``sequence_id`` and ``offset``. Needs a column ``length`` from 1 to ``capacity``; equal rows
     are interchangeable."""
+    ready(pieces.sparkSession)
     columns = pieces.columns
     pieces = cut_lineage(pieces)
     counted = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()

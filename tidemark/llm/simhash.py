@@ -7,9 +7,9 @@ share a near codeword. When two fingerprints differ in at most four bits, either
 each, or two segments differ in exactly two bits and the third in none. The keys of ``KINDS`` cover every such case, so a
 join on the keys, verified by counting bits, loses no link.
 
-Only different fingerprints take part, whatever number of documents has them. A first round links every node to the
-smallest one under its own codewords, which joins most of a dense group by few links. The second round then only
-looks for links between different components; so no group is written out as all its pairs.
+Only different fingerprints take part, whatever number of documents has them. First rounds link every node to one neighbour
+for each key, which joins most of a dense group by few links. The last round then only looks for links between
+different components; so no group is written out as all its pairs.
 
 Defined results: a null text is an empty text; empty texts have fingerprint zero, which links like any other. Ties have no
 meaning here: a component is named by its smallest id. A null id is never the smallest unless all are null. Repeated rows
@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -73,6 +73,8 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def _arrow_column(function, kind: str, arrow: pa.DataType):
+    ready(SparkSession.active())
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([function(text) for text in texts.to_pylist()], arrow)
@@ -151,6 +153,8 @@ def near(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return found, new
 
 
+#: The segment by whose codeword nodes are ordered under each kind of key.
+LEFT_OUT = ("C", "B", "A", "B", "B", "A")
 #: What each kind of key is made of, on the side that is looked up and on the side that looks up. "own": the codeword
 #: of a segment, "near": its near codewords, "all": its bits. The first three allow one bit in each of two segments,
 #: the fourth none in C and two in A, the others none in one.
@@ -164,12 +168,13 @@ KINDS = (
 )
 
 
-def keys(fingerprints: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of all keys. side: 0 looked up, 1 looking up, 2 own codewords only."""
+def keys(fingerprints: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, codeword left out) of all keys. side: 0 looked up, 1 looking up, 2 own codewords only."""
     parts = segments(fingerprints)
     rows = np.arange(len(fingerprints))
     nears = {} if side == 2 else {name: near(word, WIDTHS[name]) for name, word in parts.items()}
-    found_rows, found_keys = [], []
+    words = {name: decode(word) for name, word in parts.items()}
+    found_rows, found_keys, found_rest = [], [], []
     for kind, terms in enumerate(KINDS):
         row, key = rows, np.full(len(rows), kind, dtype=np.int64)
         for name, *forms in terms:
@@ -180,25 +185,27 @@ def keys(fingerprints: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
                 at, column = np.nonzero(new[row])
                 key, row = key[at] << width | index[row[at], column], row[at]
             else:
-                value = decode(parts[name]) if form == "own" else parts[name]
+                value = words[name] if form == "own" else parts[name]
                 key = key << width | value[row]
         found_rows.append(row)
         found_keys.append(key | kind << 40)
-    return np.concatenate(found_rows), np.concatenate(found_keys)
+        found_rest.append(words[LEFT_OUT[kind]][row])
+    return np.concatenate(found_rows), np.concatenate(found_keys), np.concatenate(found_rest)
 
 
 def _with_keys(nodes: DataFrame, side: int) -> DataFrame:
-    """(key, node, fp, comp) from (node, fp, comp, salt); fingerprints of different salts never share a key."""
+    """(key, node, fp, comp, rest) from (node, fp, comp, salt); fingerprints of different salts never share a key."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, fp, comp, salt = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-            row, key = keys(np.ascontiguousarray(fp, dtype=np.int64), side)
+            row, key, rest = keys(np.ascontiguousarray(fp, dtype=np.int64), side)
             key = key | salt[row].astype(np.int64) << 48
-            columns = [pa.array(values, pa.int64()) for values in (key, node[row], fp[row], comp[row])]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "fp", "comp"])
+            columns = [pa.array(values, pa.int64()) for values in (key, node[row], fp[row], comp[row], rest)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "fp", "comp", "rest"])
 
-    return nodes.select("node", "fp", "comp", "salt").mapInArrow(task, "key long, node long, fp long, comp long")
+    schema = "key long, node long, fp long, comp long, rest long"
+    return nodes.select("node", "fp", "comp", "salt").mapInArrow(task, schema)
 
 
 def differing_bits(one: Column, other: Column) -> Column:
@@ -247,24 +254,50 @@ def _in_components(nodes: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("comp", F.coalesce("comp", "node"))
 
 
-def linked(nodes: DataFrame, verify=None) -> DataFrame:
+def _neighbour_pairs(nodes: DataFrame, side: int, turn: int) -> DataFrame:
+    """Pairs (a, b) of nodes that follow one another under a key, are in different components and close.
+
+    Under a key, nodes are put in order by the codeword of a segment that the key leaves out, in another order in each
+    turn; so near copies follow one another however many other nodes share the key. A key gives fewer pairs than nodes.
+    """
+    order = [F.xxhash64("rest", F.lit(turn)), F.xxhash64("fp", F.lit(turn)) if turn else F.col("fp"), F.col("node")]
+    before = F.lag(F.struct("node", "fp", "comp")).over(Window.partitionBy("key").orderBy(*order))
+    met = _with_keys(nodes, side).withColumn("before", before).where("comp != before.comp")
+    met = met.where(differing_bits(F.col("fp"), F.col("before.fp")) <= MAX_BITS)
+    one, other = F.col("node"), F.col("before.node")
+    return met.select(F.greatest(one, other).alias("a"), F.least(one, other).alias("b")).distinct()
+
+
+def linked(nodes: DataFrame, verify=None, turns: int = 3, every: bool = True) -> DataFrame:
     """(node, comp) of the nodes that have links, from (node, fp, salt) rows, a node having one row for each salt.
 
     Nodes link if their fingerprints of one salt differ in at most ``MAX_BITS`` bits and ``verify``, which filters pairs
-    (a, b) of nodes, lets the pair through.
+    (a, b) of nodes, lets the pair through. Neighbours under a key join most of every dense group first, in up to ``turns``
+    further turns among the nodes that were close to a neighbour. With ``every``, the last join then looks at all nodes
+    and keys, but only for links between different components, and finds every link that is still needed.
     """
     verify = verify or (lambda pairs: pairs)
-    nodes = nodes.withColumn("comp", F.col("node"))
-    own = _with_keys(nodes, 2)
-    hubs = own.groupBy("key").agg(F.min(F.struct("node", "fp")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    starred = own.join(hubs, "key").where(F.col("node") != F.col("hub.node"))
-    starred = starred.where(differing_bits(F.col("fp"), F.col("hub.fp")) <= MAX_BITS)
-    pairs = starred.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-    first = cut_lineage(verify(pairs))
-    known = cut_lineage(components(first))
 
+    def stars(known: DataFrame) -> DataFrame:
+        return known.where("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
+
+    tried = cut_lineage(_neighbour_pairs(nodes.withColumn("comp", F.col("node")), 2, 0))
+    known = cut_lineage(components(cut_lineage(verify(tried))))
+    close = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+    active = cut_lineage(nodes.join(close, "node", "left_semi"))
+    for turn in range(1, turns + 1):
+        tried = cut_lineage(_neighbour_pairs(_in_components(active, known), 0, turn))
+        if tried.isEmpty():
+            break
+        found = cut_lineage(verify(tried))
+        if found.isEmpty():
+            break
+        known = cut_lineage(components(found.union(stars(known))))
+
+    if not every:
+        return known
     nodes = cut_lineage(_in_components(nodes, known))
-    one, other = _with_keys(nodes, 0).alias("u"), _with_keys(nodes, 1).alias("v")
+    one, other = _with_keys(nodes, 0).drop("rest").alias("u"), _with_keys(nodes, 1).drop("rest").alias("v")
     met = one.join(
         other,
         (F.col("u.key") == F.col("v.key"))
@@ -272,9 +305,8 @@ def linked(nodes: DataFrame, verify=None) -> DataFrame:
         & (differing_bits(F.col("u.fp"), F.col("v.fp")) <= MAX_BITS),
     )
     pairs = met.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b")).distinct()
-    second = cut_lineage(verify(pairs))
-    stars = known.where("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
-    return components(second.union(stars))
+    last = cut_lineage(verify(pairs))
+    return components(last.union(stars(known)))
 
 
 def fingerprint_components(prints: DataFrame) -> DataFrame:
@@ -308,7 +340,7 @@ def similar(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     """
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut_lineage(pairs)
+        pairs = cut_lineage(pairs)  # used three times
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         # Equal texts share a node; any of them will do.
         chosen = texts.join(needed, "node").groupBy("node").agg(F.first("text").alias("text"))
@@ -328,6 +360,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
     Documents link if one of ``SALTS`` fingerprints of their words differs in at most ``MAX_BITS`` bits and the Jaccard
     similarity of their shingles of five words is 0.8 or more. A text is known by its 64-bit hash. Nulls are empty texts.
+    Pairs are found among neighbours under the keys, so the work grows with the documents, not with the square of a group.
     """
     ready(spark)
     node, comp, rank = fresh(docs, "node", "comp", "rank")
@@ -335,8 +368,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     texts = docs.select(key.alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     prints = texts.select("node", word_fingerprints("text", SALTS).alias("fps"))
     prints = cut_lineage(prints.groupBy("node").agg(F.first("fps").alias("fps")))
-    nodes = prints.select("node", F.posexplode("fps").alias("salt", "fp")).select("node", "fp", "salt")
-    found = cut_lineage(linked(nodes, similar(texts)))
+    nodes = cut_lineage(prints.select("node", F.posexplode("fps").alias("salt", "fp")).select("node", "fp", "salt"))
+    found = cut_lineage(linked(nodes, similar(texts), every=False))
 
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
     placed = docs.select(key.alias("node"), order.alias("rank")).groupBy("node").agg(F.min("rank").alias("rank"))

@@ -297,6 +297,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, keep: Co
     Three quarters of the labelled documents give the weights of traits (log odds of being toxic, drawn towards none where
     a trait is rare), the rest the curve.
     """
+    ready(spark)
     model = Model(language_model(documents))
     sample = labelled_sample(documents, labels, "toxic", rows, keep)
     part = F.pmod(F.xxhash64("doc_id"), F.lit(4))
@@ -379,7 +380,7 @@ PARTS, HELD_OUT = 5, 0
 
 
 def model_for(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Model:
-    return train(ready(spark), documents, labels, ~in_fold("doc_id", PARTS, HELD_OUT))
+    return train(spark, documents, labels, ~in_fold("doc_id", PARTS, HELD_OUT))
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
