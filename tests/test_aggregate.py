@@ -113,24 +113,6 @@ def test_empty_bucket_is_missing(series, values):
 
 # --- Rolling -----------------------------------------------------------------------------------------------------
 
-N = None
-COUNTS = [100, 101, 102, N, N, N, 103, 104, 105, N, N, 106, 107, 108, 109]
-ROLLED = {
-    "center": [N, N, 101, N, N, N, 104, 104, 104, 105, 106, 107, 107.5, N, N],
-    "trailing": [N, N, N, N, 101, N, N, N, 104, 104, 104, 105, 106, 107, 107.5],
-    "leading": [101, N, N, N, 104, 104, 104, 105, 106, 107, 107.5, N, N, N, N],
-}
-
-
-@pytest.mark.parametrize("alignment", ROLLED)
-@pytest.mark.parametrize("chunk", [None, 5])
-def test_rolling(series, values, alignment, chunk):
-    frame = series({"A": COUNTS, "B": COUNTS})
-    params = {"window_size": "PT5H", "threshold": 3, "alignment": alignment}
-    result = aggregate.rolling_mean(frame, Settings("rolling_mean_for_counts", params), chunk)
-    assert values(result) == pytest.approx(ROLLED[alignment] * 2)
-
-
 @pytest.mark.parametrize(("window", "alignment"), [(6, "center"), (6, "trailing"), (7, "leading"), (40, "center")])
 def test_rolling_against_plain_lists(series, values, window, alignment):
     chance = random.Random(window)
@@ -163,3 +145,14 @@ def test_mean_rad_needs_a_fixed_period(series):
     with pytest.raises(ValueError):
         run(series(DAY), "mean_rad", "P1M")
     assert math.isclose(Period.parse("P1D").seconds, 86400)
+
+
+def test_expected_count_in_a_window_that_cuts_buckets(series, values):
+    """Half past ten to two o'clock, on quarter hours: 2 in the first hour, 1 in the last, 4 in between, else none."""
+    frame = series([1.0] * 96, period="PT15M")
+    params = {"aggregation_period": "PT1H", "start_time": "10:30:00", "end_time": "14:00:00"}
+    result = get_method("aggregation", "mean")(frame, Settings("mean", params))
+    assert values(result, "expected_count_time") == [2, 4, 4, 4, 1] == values(result, "count_value")
+    ends = series([1.0] * 96, period="PT15M", anchor="end")
+    result = get_method("aggregation", "mean")(ends, Settings("mean", params))
+    assert values(result, "expected_count_time") == values(result, "count_value")

@@ -8,13 +8,18 @@ from tidemark.catalog.registry import (
     DAILY_PADDED,
     DAY,
     HOURLY,
+    HOURLY_SPEC,
     PADDED,
+    UNIT,
     daily_padded,
     hourly,
     padded,
     q6,
     query,
     r6,
+    slot,
+    slot_start,
+    table,
 )
 from tidemark.functions.flagbits import CORE_FLAGS
 from tidemark.operators import aggregate
@@ -24,7 +29,7 @@ from tidemark.operators.flagging import FlagColumns, ensure_flag_columns
 from tidemark.plans import runner
 from tidemark.plans.methods import Frame, Settings, get_method
 from tidemark.sources.store import run_report
-from tidemark.spec import SeriesSpec
+from tidemark.spec import Period, SeriesSpec
 
 DAY_OF = "date_trunc('day', time)::TIMESTAMP"
 
@@ -79,6 +84,25 @@ def agg_time_window(spark, folder):
     return _out(_run(padded(spark, folder), "mean", start_time="10:30:00", end_time="14:00:00"))
 
 
+@query(
+    "agg_time_window_hourly",
+    f"""WITH quarters AS (SELECT event_type AS site, time_bucket(INTERVAL 15 MINUTE, ts) AS time, avg(value) * {UNIT} AS value
+      FROM events GROUP BY 1, 2)
+    SELECT site, date_trunc('hour', time) AS time, {q6("avg(value)")} AS value, count(value) AS n,
+      CASE hour(date_trunc('hour', time)) WHEN 10 THEN 2 WHEN 14 THEN 1 ELSE 4 END::BIGINT AS expected, TRUE AS valid
+    FROM quarters WHERE time::TIME BETWEEN TIME '10:30:00' AND TIME '14:00:00' GROUP BY 1, 2""",
+)
+def agg_time_window_hourly(spark, folder):
+    """Quarter hours to hours, within a part of the day that cuts hours."""
+    quarter = Period.parse("PT15M")
+    events = table(spark, folder, "events").select(
+        F.col("event_type").alias("site"), slot_start(slot("ts", quarter), quarter).alias("time"), "value"
+    )
+    rows = events.groupBy("site", "time").agg((F.avg("value") * UNIT).alias("value"))
+    params = {"aggregation_period": "PT1H", "start_time": "10:30:00", "end_time": "14:00:00"}
+    return _out(get_method("aggregation", "mean")(Frame(rows, HOURLY_SPEC.with_(period=quarter)), Settings("mean", params)))
+
+
 @query(
     "agg_point_estimate",
     f"""WITH {PADDED}, numbered AS (SELECT *, row_number() OVER (PARTITION BY site, {DAY_OF} ORDER BY time) AS rn

@@ -36,7 +36,7 @@ def _stored(spark, folder, name):
 )
 def scan_date_range(spark, folder):
     base = _stored(spark, folder, "scan")
-    days = store.read_days(spark, base, dt.date(2024, 1, 5), dt.datetime(2024, 1, 11, 3), merge_schema=False)
+    days = store.read_days(spark, base, dt.date(2024, 1, 5), dt.datetime(2024, 1, 11, 3))
     return days.select("site", "time", "value", "scans")
 
 
@@ -70,7 +70,7 @@ def sink_daily_partitions(spark, folder):
     base = new_table_path(spark, "sink")
     store.write_days(hourly(spark, folder).df, base, HOURLY_SPEC)
     stored = spark.read.parquet(base).withColumn("file", F.col("_metadata.file_path"))
-    return stored.groupBy("site", "date").agg(
+    return stored.groupBy("site", F.col("date").cast("date").alias("date")).agg(
         F.count("*").alias("n"), r6(F.sum("value")).alias("total"), F.count_distinct("file").alias("files")
     )
 
@@ -96,6 +96,25 @@ def upsert_merge(spark, folder):
     return merged.select("site", "time", r6("value").alias("value"), "scans", r6("battv").alias("battv"))
 
 
+@query(
+    "upsert_numeric_keys",
+    """WITH daily AS (SELECT lpad(o_custkey::VARCHAR, 7, '0') AS site, date_trunc('month', o_orderdate)::TIMESTAMP AS time,
+      count(*)::DOUBLE AS value FROM orders WHERE o_custkey % 100 < 3 GROUP BY 1, 2)
+    SELECT site, time, CASE WHEN year(time) >= 1996 THEN value * 10 ELSE value END AS value FROM daily""",
+)
+def upsert_numeric_keys(spark, folder):
+    """Sites with names of digits: rows of the later years are stored again in part, and none may get lost."""
+    base = new_table_path(spark, "upsert")
+    orders = table(spark, folder, "orders").where("o_custkey % 100 < 3")
+    site = F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("site")
+    time = F.make_timestamp_ntz(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1), *[F.lit(0)] * 3).alias("time")
+    rows = orders.groupBy(site, time).agg(F.count("*").cast("double").alias("value"))
+    store.write_days(rows, base, HOURLY_SPEC)
+    new = rows.where(F.year("time") >= 1996).withColumn("value", F.col("value") * 10)
+    store.upsert_days(new, base, HOURLY_SPEC)
+    return store.read_days(spark, base).select("site", "time", "value")
+
+
 @query("raw_file_manifest", """SELECT ts::DATE AS date, 1::BIGINT AS files, TRUE AS has_bytes FROM events
     WHERE ts::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-19' GROUP BY 1""")
 def raw_file_manifest(spark, folder):

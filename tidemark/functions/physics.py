@@ -32,11 +32,11 @@ BURIED_A1, BURIED_A2, BURIED_A3 = 0.313, 0.082, 1.117  # Howat et al. 2018
 def pressure_ratio(ta: Column, altitude: Number) -> Column:
     """Pressure at the altitude (m) over pressure at sea level, for air temperature in degrees Celsius."""
     drop = as_column(altitude) * LAPSE_RATE
-    return F.pow(1 - drop / (ta + drop + KELVIN_OFFSET), F.lit(PRESSURE_EXPONENT))
+    return F.pow(1 - F.try_divide(drop, ta + drop + KELVIN_OFFSET), F.lit(PRESSURE_EXPONENT))
 
 
 def sea_level_pressure(pa: Column, ta: Column, altitude: Number) -> Column:
-    return pa / pressure_ratio(ta, altitude)
+    return F.try_divide(pa, pressure_ratio(ta, altitude))
 
 
 def net_radiation(swin: Column, swout: Column, lwin: Column, lwout: Column) -> Column:
@@ -50,7 +50,7 @@ def mean_of_two(first: Column, second: Column) -> Column:
 
 def saturation_vapour_pressure(ta: Column) -> Column:
     """kPa, Allen et al. 1998 (FAO-56) eq. 11."""
-    return F.exp(ta * 17.27 / (ta + 237.3)) * 0.6108
+    return F.exp(F.try_divide(ta * 17.27, ta + 237.3)) * 0.6108
 
 
 def penman_monteith_30min(
@@ -60,20 +60,20 @@ def penman_monteith_30min(
 
     rn and g in W m-2, ta in degrees Celsius, rh in %, ws in m s-1 at wind_height (m), pa in hPa.
     """
-    ws_2m = ws * 4.87 / F.log(as_column(wind_height) * 67.8 - 5.42)
+    ws_2m = F.try_divide(ws * 4.87, F.log(as_column(wind_height) * 67.8 - 5.42))
     saturated = saturation_vapour_pressure(ta)
-    slope = saturated * 4098.0 / F.pow(ta + 237.3, F.lit(2.0))
+    slope = F.try_divide(saturated * 4098.0, F.pow(ta + 237.3, F.lit(2.0)))
     gamma = pa / 10 * 0.000665
     available = (rn - g) * (SECONDS_PER_HALF_HOUR / 1e6)
     deficit = saturated * (1 - rh / 100)
-    wind_term = gamma * 18.5 / (ta + 273.0) * ws_2m * deficit
-    return (slope * available * 0.408 + wind_term) / (slope + gamma * (1 + ws_2m * 0.34))
+    wind_term = F.try_divide(gamma * 18.5, ta + 273.0) * ws_2m * deficit
+    return F.try_divide(slope * available * 0.408 + wind_term, slope + gamma * (1 + ws_2m * 0.34))
 
 
 def latent_heat_to_water(le: Column, ta: Column) -> Column:
     """Evapotranspiration in mm per half hour from latent heat flux (W m-2)."""
     heat_of_vaporisation = 2.501 - ta * 0.002361
-    return le * SECONDS_PER_HALF_HOUR / (heat_of_vaporisation * 1e6)
+    return F.try_divide(le * SECONDS_PER_HALF_HOUR, heat_of_vaporisation * 1e6)
 
 
 def latent_heat_flux(rn: Column, g: Column, h: Column) -> Column:
@@ -84,7 +84,7 @@ def latent_heat_flux(rn: Column, g: Column, h: Column) -> Column:
 def absolute_humidity(ta: Column, rh: Column) -> Column:
     """Water vapour density in g m-3."""
     vapour_pressure = saturation_vapour_pressure(ta) * rh * 10.0  # Pa
-    return vapour_pressure * 1000 / ((ta + KELVIN_OFFSET) * GAS_CONSTANT_VAPOUR)
+    return F.try_divide(vapour_pressure * 1000, (ta + KELVIN_OFFSET) * GAS_CONSTANT_VAPOUR)
 
 
 def solar_zenith(time: Column, latitude: Number) -> Column:
@@ -104,7 +104,7 @@ def albedo(swin: Column, swout: Column, zenith: Column) -> Column:
 
 def neutron_intensity_factor(count: Column, ref_c0: Number, gamma: Number) -> Column:
     """Multiplier for the incoming intensity, Hawdon et al. 2014: 1 / (1 + gamma (I / I0 - 1))."""
-    return F.try_divide(F.lit(1.0), 1 + as_column(gamma) * (count / as_column(ref_c0) - 1))
+    return F.try_divide(F.lit(1.0), 1 + as_column(gamma) * (F.try_divide(count, as_column(ref_c0)) - 1))
 
 
 def humidity_factor(q: Column, ref_q0: Number) -> Column:
@@ -113,7 +113,7 @@ def humidity_factor(q: Column, ref_q0: Number) -> Column:
 
 def pressure_factor(pa: Column, attenuation_length: Number, ref_pressure: Number = STANDARD_PRESSURE) -> Column:
     """exp((P - P0) / L), Desilets and Zreda 2003."""
-    return F.exp((pa - as_column(ref_pressure)) / as_column(attenuation_length))
+    return F.exp(F.try_divide(pa - as_column(ref_pressure), as_column(attenuation_length)))
 
 
 def snow_day(albedo_value: Column, low: Number, high: Number) -> Column:
@@ -137,7 +137,7 @@ def water_content(
     n_max: Number,
 ) -> Column:
     """Volumetric water content in %, Desilets et al. 2010; null for counts outside [n_min, n_max]."""
-    total = F.try_divide(F.lit(NEUTRON_A0), count / as_column(n0) - NEUTRON_A1) - NEUTRON_A2
+    total = F.try_divide(F.lit(NEUTRON_A0), F.try_divide(count, as_column(n0)) - NEUTRON_A1) - NEUTRON_A2
     content = (total - as_column(ref_latticewater) - as_column(ref_soc)) * as_column(ref_bulkdensity) * 100
     return F.when(count.between(as_column(n_min), as_column(n_max)), content)
 
@@ -189,7 +189,8 @@ def _bound_water(ref_soc: Number, ref_bulkdensity: Number, ref_latticewater: Num
 
 def effective_depth(vwc: Column, ref_soc: Number, ref_bulkdensity: Number, ref_latticewater: Number) -> Column:
     """Depth in cm, Franz et al. 2012."""
-    return 5.8 / (_bound_water(ref_soc, ref_bulkdensity, ref_latticewater) + vwc / 100 + 0.0829)
+    bound_water = _bound_water(ref_soc, ref_bulkdensity, ref_latticewater)
+    return F.try_divide(F.lit(5.8), bound_water + vwc / 100 + 0.0829)
 
 
 def penetration_depth(
@@ -197,7 +198,7 @@ def penetration_depth(
 ) -> Column:
     """Depth (cm) that 86% of the neutrons come from, at a distance (m) from the sensor, Koehli et al. 2015."""
     water = vwc / 100 + _bound_water(ref_soc, ref_bulkdensity, ref_latticewater)
-    pressure_scale = 0.5 / (0.86 - F.exp(pa / -STANDARD_PRESSURE))
-    scaled_distance = as_column(distance) / pressure_scale
-    reach = (F.exp(scaled_distance * -0.01) + 0.96655) * 0.14249 * (water + 20) / (water + 0.0429)
-    return (reach + 8.321) / as_column(ref_bulkdensity)
+    pressure_scale = F.try_divide(F.lit(0.5), 0.86 - F.exp(pa / -STANDARD_PRESSURE))
+    scaled_distance = F.try_divide(as_column(distance), pressure_scale)
+    reach = F.try_divide((F.exp(scaled_distance * -0.01) + 0.96655) * 0.14249 * (water + 20), water + 0.0429)
+    return F.try_divide(reach + 8.321, as_column(ref_bulkdensity))

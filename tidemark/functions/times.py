@@ -62,13 +62,13 @@ def slot_start(number: Column, period: Period) -> Column:
 
 
 def time_of_day(time: Column | str) -> Column:
-    """Time of day as text, which orders as time does: HH:mm:ss.ffffff."""
-    return F.date_format(time, "HH:mm:ss.SSSSSS")
+    """Microseconds since midnight."""
+    return F.pmod(micros(time), F.lit(MICROS_PER_DAY))
 
 
 def within_day_window(time: Column | str, start: str, end: str) -> Column:
     """True if the time of day is in [start, end], both inclusive, given as HH:MM:SS."""
-    return time_of_day(time).between(f"{start}.000000", f"{end}.000000")
+    return time_of_day(time).between(seconds_of_day(start) * 1_000_000, seconds_of_day(end) * 1_000_000)
 
 
 def within_dates(time: Column | str, start: TimeLike | None, end: TimeLike | None) -> Column:
@@ -99,3 +99,13 @@ def grid_times_per_day(period: Period, start: str, end: str) -> int:
     step = period.micros
     low, high = (seconds_of_day(clock) * 1_000_000 for clock in (start, end))
     return sum(low <= instant <= high for instant in range(0, MICROS_PER_DAY, step))
+
+
+def grid_times_before(instant: Column, period: Period, start: str, end: str) -> Column:
+    """How many grid times whose time of day is in [start, end] lie before an instant, given in microseconds; counted
+    from a fixed origin, so that differences count the times in between."""
+    step, (low, high) = period.micros, (seconds_of_day(clock) * 1_000_000 for clock in (start, end))
+    upto = F.least(F.pmod(instant, F.lit(MICROS_PER_DAY)), F.lit(high + 1))
+    today = floor_div(upto + (step - 1), step) - -(-low // step)
+    whole_days = floor_div(instant, MICROS_PER_DAY) * grid_times_per_day(period, start, end)
+    return (whole_days + F.greatest(F.lit(0), today)).cast("long")

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.flagbits import CORE_FLAGS, set_bit
-from tidemark.functions.times import bucket_slot, grid_times_per_day, micros, slot_start, within_day_window
+from tidemark.functions.times import bucket_slot, grid_times_before, micros, slot_start, within_day_window
 from tidemark.functions.values import nan_to_null
 from tidemark.operators.chunks import CHUNK, SLOT, chunk_window, own_rows, with_halo, with_slot
 from tidemark.plans.methods import Frame, Settings, method
-from tidemark.spec import MICROS_PER_DAY, Period, SeriesSpec
+from tidemark.spec import Period, SeriesSpec
 
 BUCKET = "_bucket"
 
@@ -46,10 +46,13 @@ def expected_count(spec: SeriesSpec, target: Target) -> Column:
     if source.is_calendar:
         raise ValueError("Cannot count calendar periods in a fixed period")
     bucket = F.col(BUCKET)
-    length = micros(slot_start(bucket + 1, period)) - micros(slot_start(bucket, period))
+    first, last = micros(slot_start(bucket, period)), micros(slot_start(bucket + 1, period))
     if target.window is None:
-        return (length / source.micros).cast("long")
-    return (length / MICROS_PER_DAY * grid_times_per_day(source, *target.window)).cast("long")
+        return ((last - first) / source.micros).cast("long")
+    if spec.anchor == "end":
+        # Such a bucket holds its end and not its start.
+        first, last = first + 1, last + 1
+    return grid_times_before(last, source, *target.window) - grid_times_before(first, source, *target.window)
 
 
 def in_buckets(frame: Frame, target: Target) -> DataFrame:

@@ -14,10 +14,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.align import merge_series, pad
+from tidemark.operators.align import merge_series, off_grid_rows, pad
+from tidemark.operators.despike import LOOKBACK_DAYS, despike_with_lookback
 from tidemark.plans.methods import Frame
 from tidemark.plans.runner import DatasetPlan, RunResult, run_plans
-from tidemark.sources.store import read_days, upsert_days, widened, within_window
+from tidemark.session import cut_lineage
+from tidemark.sources.store import DATE, read_days, upsert_days, widened, within_window
 from tidemark.spec import SeriesSpec, check_same_cadence
 
 
@@ -38,7 +40,7 @@ class Loaded:
 def load_stored(spark: SparkSession, datasets: dict[str, Stored], start: dt.date, end: dt.date) -> Loaded:
     """Read datasets for a window of days, each location once, and pad them to their grid.
 
-    A dataset whose column no file has fails alone; a location that cannot be read, or has nothing stored, fails with
+    A dataset whose column no file has, or with rows that padding would lose, fails alone; a location that cannot be read, or has nothing stored, fails with
     all its datasets.
     """
     frames, failed = {}, {}
@@ -51,8 +53,10 @@ def load_stored(spark: SparkSession, datasets: dict[str, Stored], start: dt.date
                 failed[name] = f"nothing stored at {base}"
             elif lacking:
                 failed[name] = f"no column {lacking[0]} at {base}"
+            elif not off_grid_rows(rows := table.select(*spec.id_columns, spec.value), spec).isEmpty():
+                failed[name] = f"rows off the grid at {base}"
             else:
-                frames[name] = Frame(pad(table.select(*spec.id_columns, spec.value), spec), spec)
+                frames[name] = Frame(pad(rows, spec), spec)
     return Loaded(frames, failed)
 
 
@@ -73,18 +77,39 @@ def merged_for_saving(result: RunResult, names: list[str]) -> tuple[DataFrame, S
     return merge_series([(one.df, one.spec) for one in series]), first
 
 
+def _staged(result: RunResult, names: list[str], start: dt.date, end: dt.date) -> tuple[DataFrame, SeriesSpec]:
+    df, spec = merged_for_saving(result, names)
+    return cut_lineage(within_window(df, spec.time, start, end)), spec
+
+
 def save_results(result: RunResult, outputs: dict[str, str], start: dt.date, end: dt.date) -> dict[str, str]:
     """Save the datasets that have an output location, cut to the days asked for. Returns what failed, by dataset.
 
-    A group that cannot be saved fails with all its datasets; the other groups are still saved.
+    Everything is computed and written to the shared folder before the first location is replaced, as locations may also
+    be inputs. Where a group fails while running, its datasets are tried one by one, so that a bad one fails alone.
     """
-    failed = {}
+    failed, staged = {}, {}
     saved = {name: base for name, base in outputs.items() if name in result.done}
     for base, names in _by_location(saved).items():
         try:
-            df, spec = merged_for_saving(result, names)
-            upsert_days(within_window(df, spec.time, start, end), base, spec)
-        except Exception as error:  # noqa: BLE001 - the other groups can still be saved
+            staged[base] = (names, [_staged(result, names, start, end)])
+        except Exception as error:  # noqa: BLE001 - the others can still be saved
+            good = []
+            for name in names if len(names) > 1 else []:
+                try:
+                    good.append((name, _staged(result, [name], start, end)))
+                except Exception as own:  # noqa: BLE001
+                    failed[name] = str(own)
+            if len(good) == len(names) or len(names) == 1:
+                # Each can be computed, so they do not go together.
+                failed |= {name: str(error) for name in names}
+            elif good:
+                staged[base] = ([name for name, _ in good], [table for _, table in good])
+    for base, (names, tables) in staged.items():
+        try:
+            spec = tables[0][1]
+            upsert_days(merge_series(tables) if len(tables) > 1 else tables[0][0], base, spec)
+        except Exception as error:  # noqa: BLE001 - the other locations can still be saved
             failed |= {name: str(error) for name in names}
     return failed
 
@@ -124,3 +149,12 @@ def process_window(
     final = RunResult({name: series for name, series in result.done.items() if name not in failed}, failed)
     final.raise_if_failed()
     return final
+
+
+def despike_days(
+    spark: SparkSession, base: str, spec: SeriesSpec, start: dt.date, end: dt.date, columns: list[str], radiation: str, **settings
+) -> DataFrame:
+    """Stored flux series of some days without spikes. Only the folders of those days and of the look-back are opened."""
+    lookback = settings.get("lookback_days", LOOKBACK_DAYS)
+    stored = read_days(spark, base, start - dt.timedelta(days=lookback), end).drop(DATE)
+    return despike_with_lookback(stored, spec, start, end, columns, radiation, **settings)

@@ -13,6 +13,8 @@ NEEDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keys in folder names stay text: 007 must not read back as 7.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

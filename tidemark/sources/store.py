@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.align import upsert
+from tidemark.session import cut_lineage, prepare
 from tidemark.spec import SeriesSpec
 
 DATE = "date"
-LISTED_DATES = 1000
+#: Conditions of an error that mean that nothing is stored; an empty folder has no schema.
+NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 Day = dt.date | str
 
 
@@ -26,25 +27,67 @@ def read_days(
     columns: list[str] | None = None,
     merge_schema: bool = True,
     schema: T.StructType | None = None,
+    levels: int = 1,
 ) -> DataFrame:
-    """Rows of the days from ``start`` to ``end``, both inclusive. Only the folders of those days are opened.
+    """Rows of the days from ``start`` to ``end``, both inclusive. With both given, only the folders of those days are
+    listed and only their files opened; ``levels`` is the number of key folders above a day.
 
     Files may differ in columns: they are merged by name. Wanted columns that no file has are left out. With ``schema``
-    given, nothing stored yet reads as no rows.
+    given, nothing stored yet reads as no rows. Keys read as text, whatever they look like.
     """
-    try:
-        stored = spark.read.option("mergeSchema", str(merge_schema).lower()).option("basePath", base).parquet(base)
-    except AnalysisException:
+    if start is not None and end is not None:
+        first, last = _day(start), _day(end)
+        stored = _read(spark, base, day_patterns(first, last), levels, merge_schema)
+    else:
+        stored = _read(spark, base, None, levels, merge_schema)
+    if stored is None:
         if schema is None:
-            raise
+            return _read(spark, base, None, levels, False, must_exist=True).where(F.lit(False))
         return spark.createDataFrame([], schema)
     if start is not None:
-        stored = stored.where(F.col(DATE) >= F.lit(str(start)[:10]).cast("date"))
+        stored = stored.where(F.col(DATE) >= F.lit(_day(start)))
     if end is not None:
-        stored = stored.where(F.col(DATE) <= F.lit(str(end)[:10]).cast("date"))
+        stored = stored.where(F.col(DATE) <= F.lit(_day(end)))
     return stored if columns is None else select_existing(stored, columns)
 
 
+def _day(day: Day) -> dt.date:
+    return dt.date.fromisoformat(str(day)[:10])
+
+
+def day_patterns(first: dt.date, last: dt.date) -> list[str]:
+    """Names of the days, with one pattern for a whole month or year."""
+    found, day = [], first
+    while day <= last:
+        next_year = dt.date(day.year + 1, 1, 1)
+        next_month = next_year if day.month == 12 else dt.date(day.year, day.month + 1, 1)
+        one = dt.timedelta(days=1)
+        if day.month == day.day == 1 and next_year - one <= last:
+            found, day = [*found, f"{day.year:04}-*"], next_year
+        elif day.day == 1 and next_month - one <= last:
+            found, day = [*found, f"{day:%Y-%m}-*"], next_month
+        else:
+            found, day = [*found, day.isoformat()], day + one
+    return found
+
+
+def _read(
+    spark: SparkSession, base: str, days: list[str] | None, levels: int, merge_schema: bool, must_exist: bool = False
+) -> DataFrame | None:
+    """The stored rows of some days, or all; None if there are none. Any other failure is raised."""
+    if days is not None and not days:
+        return None
+    path = base if days is None else "/".join([base.rstrip("/"), *["*"] * levels, f"{DATE}={{{','.join(days)}}}"])
+    reader = prepare(spark).read.option("mergeSchema", str(merge_schema).lower()).option("basePath", base)
+    try:
+        stored = reader.parquet(path)
+    except AnalysisException as error:
+        if must_exist or error.getCondition() not in NOTHING_STORED:
+            raise
+        return None
+    return stored.withColumn(DATE, F.col(DATE).cast("date")) if DATE in stored.columns else stored
+
+
 def select_existing(df: DataFrame, columns: list[str]) -> DataFrame:
     """Select the columns that exist; the others are left out rather than failing."""
     return df.select(*(name for name in columns if name in df.columns))
@@ -82,35 +125,23 @@ def write_days(df: DataFrame, base: str, spec: SeriesSpec, partition_by: list[st
 def upsert_days(df: DataFrame, base: str, spec: SeriesSpec) -> None:
     """Merge rows into the stored days they touch. New rows win, nulls included; other rows and columns are kept.
 
-    Only the touched days are read and written again. Spark swaps the folders in when the job commits, so a task may be
-    lost and run again meanwhile. The new rows are kept while they are used twice, so their plan runs once.
+    Only the folders of the touched days are listed, read and written again. Spark swaps the folders in when the job
+    commits, so a task may be lost and run again meanwhile. The new rows are written to the shared folder first, so
+    their plan runs once and before anything is replaced.
     """
     spark = df.sparkSession
-    stored = read_days(spark, base, schema=T.StructType([]))
-    if not stored.columns:
-        write_days(df, base, spec)
-        return
     folders = [*spec.keys, DATE]
-    new = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        touched = new.select(*spec.keys, F.to_date(spec.time).alias(DATE)).distinct()
-        # Key folders may read back as another type than they were written with.
-        typed = stored.withColumns({key: F.col(key).cast(df.schema[key].dataType) for key in spec.keys})
-        old = typed.where(_touched_dates(touched)).join(touched, folders, "left_semi").drop(DATE)
-        write_days(upsert(old, new, spec.id_columns), base, spec)
-    finally:
-        new.unpersist()
-
-
-def _touched_dates(touched: DataFrame) -> Column:
-    """A filter that lets the scan open only folders of touched dates: a list of them, or their range if they are many.
-    What it lets through too much, the join on keys and date drops."""
-    dates = touched.select(DATE).distinct()
-    some = [row[DATE] for row in dates.limit(LISTED_DATES + 1).collect()]
-    if len(some) <= LISTED_DATES:
-        return F.col(DATE).isin(some) if some else F.lit(False)
-    first, last = dates.agg(F.min(DATE), F.max(DATE)).first()
-    return F.col(DATE).between(first, last)
+    new = cut_lineage(df)
+    touched = new.select(*spec.keys, F.to_date(spec.time).alias(DATE)).distinct()
+    # One entry for each day of the calendar that is touched, however many rows and keys there are.
+    days = sorted(str(row[DATE]) for row in touched.select(DATE).distinct().collect() if row[DATE] is not None)
+    stored = _read(spark, base, days, len(spec.keys), True)
+    if stored is None:
+        write_days(new, base, spec)
+        return
+    typed = stored.withColumns({key: F.col(key).cast(df.schema[key].dataType) for key in spec.keys})
+    old = typed.join(touched, folders, "left_semi").drop(DATE)
+    write_days(upsert(old, new, spec.id_columns), base, spec)
 
 
 def run_report(df: DataFrame, spec: SeriesSpec, core_flag: str | None = None, removed_bit: int = 8) -> DataFrame:
