@@ -89,13 +89,13 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 OP8_SQL = f"""
 WITH pages AS (SELECT source AS host, text FROM documents WHERE text IS NOT NULL GROUP BY 1, 2),
 totals AS (SELECT host, count(*) AS total FROM pages GROUP BY 1),
-held AS (SELECT host, unnest(list_distinct(list_transform(string_split(text, chr(10)), x -> trim(x)))) AS line FROM pages),
+held AS (SELECT host, unnest(list_distinct([trim(x) for x in string_split(text, chr(10))])) AS line FROM pages),
 counted AS (SELECT host, line, count(*) AS pages FROM held WHERE line <> '' GROUP BY 1, 2),
 bad AS (SELECT c.host, list(line) AS lines FROM counted c JOIN totals t ON c.host IS NOT DISTINCT FROM t.host
   WHERE pages >= {MIN_PAGES} AND pages > total * CAST({MAX_SHARE} AS DOUBLE) GROUP BY 1),
 split AS (SELECT doc_id, text, string_split(text, chr(10)) AS all_lines, coalesce(lines, []::VARCHAR[]) AS lines
   FROM documents d LEFT JOIN bad b ON d.source IS NOT DISTINCT FROM b.host),
-kept AS (SELECT *, list_filter(all_lines, x -> NOT list_contains(lines, trim(x))) AS kept FROM split)
+kept AS (SELECT *, [x for x in all_lines if NOT list_contains(lines, trim(x))] AS kept FROM split)
 SELECT doc_id, CASE WHEN len(kept) < len(all_lines) THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END AS text,
   CAST(coalesce(len(all_lines), 0) AS INTEGER) AS n_lines,
   CAST(coalesce(len(all_lines) - len(kept), 0) AS INTEGER) AS n_dropped FROM kept"""
