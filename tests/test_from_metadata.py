@@ -1,7 +1,10 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.functions.flagbits import CORE_FLAGS
 from tidemark.plans.from_metadata import MetadataTables, plans_by_kind, stored_inputs
 from tidemark.plans.runner import run_plans
 from tidemark.sources.metadata import resolved_arguments
@@ -130,6 +133,42 @@ def test_shaping_parameters_must_agree(spark, tables):
         plans_by_kind(MetadataTables(tables.datasets, tables.steps, tables.settings, other, tables.flag_columns, tables.flag_members))
 
 
+def test_each_site_keeps_its_own_aggregation(spark, tables, series, values):
+    method = F.when(F.col("dataset") == "B-daily", "sum").otherwise(F.col("method"))
+    plans = plans_by_kind(replace(tables, settings=tables.settings.withColumn("method", method)))
+    raw = series({"A": [1, 2, 3, 4], "B": [1, 2, 3, 2]}, "ta_raw")
+    battery = series({"A": [12] * 4, "B": [12] * 4}, "battv")
+    result = run_plans(plans, {"ta_raw/PT1H/raw": raw, "battv/PT1H/raw": battery})
+    result.raise_if_failed()
+    # A: the mean of 202, out of range, then 4, 6, 8; B: the sum.
+    daily = result.done["TA/P1D/processed"].df
+    assert [(row["site"], row["TA"]) for row in daily.orderBy("site").collect()] == [("A", 6.0), ("B", 8.0)]
+
+
+def test_core_flags_follow_the_last_method_of_a_configuration(spark, tables, series, values):
+    """``add`` leaves a negative value, and its broken power is none: the correction as a whole was unsuccessful."""
+    one = F.col("configuration") == "A-correction"
+    settings = tables.settings.withColumn("method", F.when(one & (F.col("position") == 1), "power").otherwise(F.col("method")))
+    settings = settings.withColumn("start", F.when(~one, F.col("start"))).withColumn("end", F.when(~one, F.col("end")))
+    number = F.when(F.col("position") == 0, "-10").otherwise("0.5")
+    arguments = tables.arguments.withColumn("value", F.when(one, number).otherwise(F.col("value")))
+    core = spark.createDataFrame([(f"{site}-clean", "TA_CORE", "scheme-core", "core") for site in "AB"], tables.flag_columns.schema)
+    members = [("scheme-core", name, bit) for name, bit in CORE_FLAGS.items()] + [("scheme-correction", "power", 4)]
+    more = spark.createDataFrame(members, tables.flag_members.schema)
+    plans = plans_by_kind(replace(tables, settings=settings, arguments=arguments, flag_columns=tables.flag_columns.union(core),
+                                  flag_members=tables.flag_members.union(more)))
+    raw = series({"A": [1, 26, 1, 1], "B": [1, 2, 3, 2]}, "ta_raw")
+    battery = series({"A": [12] * 4, "B": [12] * 4}, "battv")
+    result = run_plans(plans, {"ta_raw/PT1H/raw": raw, "battv/PT1H/raw": battery})
+    result.raise_if_failed()
+    flags = values(result.done["TA/PT1H/processed"].df.where("site = 'A'"), "TA_CORE")
+    bits = {CORE_FLAGS["corrected"], CORE_FLAGS["unsuccessful_correction"]}
+    assert [{bit for bit in bits if flag & bit} for flag in flags] == [
+        {CORE_FLAGS["unsuccessful_correction"]}, {CORE_FLAGS["corrected"]},
+        {CORE_FLAGS["unsuccessful_correction"]}, {CORE_FLAGS["unsuccessful_correction"]},
+    ]
+
+
 def test_deployment_heights(spark):
     ids = ("d", "c", 0)
     arguments = [

@@ -167,7 +167,8 @@ def _specs(tables: MetadataTables) -> dict[str, SeriesSpec]:
 def plans_by_kind(tables: MetadataTables) -> dict[str, DatasetPlan]:
     """One plan for each kind of dataset that has steps. Each method acts on the sites, and in the periods, that list it.
 
-    A load or an aggregation reads the kind its ``dep_ts`` refers to.
+    A load or an aggregation reads the kind its ``dep_ts`` refers to. Where sites differ in their load, aggregation or
+    derivation, each makes only the rows of its own sites.
     """
     specs = _specs(tables)
     # Every method's table of parameters is cut from these two, so they are made once.
@@ -176,8 +177,12 @@ def plans_by_kind(tables: MetadataTables) -> dict[str, DatasetPlan]:
     flags = _flags(tables, with_kind(tables.datasets).select("dataset", "kind_id"))
     at = ["kind_id", "index", "kind", "position", "method"]
 
-    # The shape of all plans, small whatever the number of sites.
-    shape = [tuple(row) for row in methods.select(*at).distinct().collect()]
+    # The shape of all plans, small whatever the number of sites, and how many sites share each part of it.
+    counted = methods.groupBy(*at).agg(F.countDistinct("site").alias("n_sites")).collect()
+    shape = {tuple(row[name] for name in at): row["n_sites"] for row in counted}
+    sites_of = {row["kind_id"]: row["n_sites"] for row in methods.groupBy("kind_id").agg(F.countDistinct("site").alias("n_sites")).collect()}
+    # The methods of one configuration are one unit: core flags follow the last of them.
+    closing = {place[:3]: place for place in sorted(shape)}
     named: dict[tuple, dict[str, str]] = {}
     for row in _inputs(tables, methods).collect():
         found = named.setdefault((row["kind_id"], row["index"], row["position"], row["method"]), {})
@@ -205,9 +210,13 @@ def plans_by_kind(tables: MetadataTables) -> dict[str, DatasetPlan]:
         if STEP_KINDS[kind] in ("correction", "quality_control", "infill"):
             here = _at(place)
             by_site = _by_site(values.where(here), methods.where(here), sorted(numeric.get(place, [])))
+        sites = None
+        if STEP_KINDS[kind] in ("load", "aggregation", "derivation") and shape[place] < sites_of[kind_id]:
+            sites = methods.where(_at(place)).select("site").distinct()
         settings = Settings(name, params, by_site=by_site)
         inputs = {name: needed} if needed else {}
-        steps.setdefault(kind_id, []).append(Step(STEP_KINDS[kind], (settings,), source, inputs))
+        step = Step(STEP_KINDS[kind], (settings,), source, inputs, sites, last=closing[place[:3]] == place)
+        steps.setdefault(kind_id, []).append(step)
     return {
         kind: DatasetPlan(specs[kind], tuple(listed), flags.get(kind, FlagColumns())) for kind, listed in steps.items()
     }

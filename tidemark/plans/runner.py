@@ -72,17 +72,17 @@ def load(source: Frame, target: SeriesSpec, flags: FlagColumns = FlagColumns())
     return series if core is None else series.with_df(flagging.set_initial_core(series.df, target.value, core))
 
 
-def correct(series: Series, methods: list[Settings]) -> Series:
-    """Apply corrections; flag the rows each one changed."""
-    return _change(series, methods, "correction", "correction", changed)
+def correct(series: Series, methods: list[Settings], last: bool = True) -> Series:
+    """Apply corrections; flag the rows each one changed, and the core after the last one."""
+    return _change(series, methods, "correction", "correction", changed, last)
 
 
-def fill(series: Series, methods: list[Settings]) -> Series:
-    """Apply infill methods; flag the rows each one filled."""
-    return _change(series, methods, "infill", "infill", appeared_or_vanished)
+def fill(series: Series, methods: list[Settings], last: bool = True) -> Series:
+    """Apply infill methods; flag the rows each one filled, and the core after the last one."""
+    return _change(series, methods, "infill", "infill", appeared_or_vanished, last)
 
 
-def _change(series: Series, methods: list[Settings], kind: str, role: str, difference) -> Series:
+def _change(series: Series, methods: list[Settings], kind: str, role: str, difference, last: bool) -> Series:
     series = _with_flag_columns(series)
     spec, flags = series.spec, series.flags
     flag, core = flags.column(role), flags.column("core")
@@ -94,7 +94,7 @@ def _change(series: Series, methods: list[Settings], kind: str, role: str, diffe
             mask = difference(df, "_before", spec.value)
             df = df.withColumn(flag, set_bit(flag, flags.bit(role, settings.method), mask)).drop("_before")
         df = _rounded(df, spec, settings)
-    if core is not None and flag is not None:
+    if last and core is not None and flag is not None:
         if kind == "correction":
             df = flagging.set_core_after_correction(df, spec.value, core, flag)
         else:
@@ -148,12 +148,18 @@ def derive_to(settings: Settings, target: SeriesSpec, flags: FlagColumns = FlagC
 
 @dataclass(frozen=True)
 class Step:
-    """One step of a plan. Inputs are names of datasets; ``source`` is what a load or an aggregation reads."""
+    """One step of a plan. Inputs are names of datasets; ``source`` is what a load or an aggregation reads.
+
+    ``sites`` (the series keys) limits what a load, an aggregation or a derivation makes; rows of other series stay as
+    earlier steps left them. ``last`` is false if methods of the same configuration follow as steps of their own.
+    """
 
     kind: str
     methods: tuple[Settings, ...] = ()
     source: str | None = None
     inputs: dict[str, dict[str, str]] = field(default_factory=dict)  # method name -> input name -> dataset
+    sites: DataFrame | None = None
+    last: bool = True
 
     def needs(self) -> set[str]:
         named = {dataset for inputs in self.inputs.values() for dataset in inputs.values()}
@@ -172,6 +178,18 @@ class DatasetPlan:
         return set().union(*(step.needs() for step in self.steps))
 
 
+def _made(series: Series | None, made: Series, sites: DataFrame | None) -> Series:
+    """What a step made: of all series, or in place of the rows of ``sites`` only."""
+    if sites is None:
+        return made
+    keys = list(made.spec.keys)
+    columns = [*made.spec.id_columns, made.spec.value, *made.flags.columns.values()]
+    own = made.df.join(sites, keys, "left_semi").select(*columns)
+    if series is not None:
+        own = series.df.join(sites, keys, "left_anti").select(*columns).unionByName(own)
+    return made.with_df(own)
+
+
 def run_plan(plan: DatasetPlan, datasets: dict[str, Frame]) -> Series:
     """Run the steps of one plan. ``datasets`` holds everything the steps name."""
 
@@ -185,18 +203,19 @@ def run_plan(plan: DatasetPlan, datasets: dict[str, Frame]) -> Series:
         if series is None and step.kind in ("correction", "quality_control", "infill"):
             raise ValueError(f"A plan cannot start with {step.kind}: there is no data yet")
         if step.kind == "load":
-            series = load(datasets[step.source], plan.target, plan.flags)
+            series = _made(series, load(datasets[step.source], plan.target, plan.flags), step.sites)
         elif step.kind == "correction":
-            series = correct(series, methods)
+            series = correct(series, methods, step.last)
         elif step.kind == "quality_control":
             following = plan.steps[number + 1].kind if number + 1 < len(plan.steps) else None
             series = check(series, methods, remove=following != "quality_control")
         elif step.kind == "infill":
-            series = fill(series, methods)
+            series = fill(series, methods, step.last)
         elif step.kind == "aggregation":
-            series = aggregate_to(datasets[step.source], plan.target, methods[0], plan.flags)
+            aggregated = aggregate_to(datasets[step.source], plan.target, methods[0], plan.flags)
+            series = _made(series, aggregated, step.sites)
         elif step.kind == "derivation":
-            series = derive_to(methods[0], plan.target, plan.flags)
+            series = _made(series, derive_to(methods[0], plan.target, plan.flags), step.sites)
         else:
             raise ValueError(f"Unknown kind of step: {step.kind}")
     if series is None:
