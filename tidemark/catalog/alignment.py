@@ -249,19 +249,19 @@ def deployment_join(spark, folder):
 
 # Soil properties per return flag and year, so that a long daily series meets several; the latest is open.
 SOIL = """soil AS (SELECT l_returnflag AS site, date_trunc('year', l_shipdate)::TIMESTAMP AS "start",
-    CASE WHEN date_trunc('year', l_shipdate) < TIMESTAMP '2000-01-01'
-      THEN date_trunc('year', l_shipdate)::TIMESTAMP + INTERVAL 1 YEAR END AS "end",
+    CASE WHEN lead(date_trunc('year', l_shipdate)) OVER (PARTITION BY l_returnflag ORDER BY date_trunc('year', l_shipdate))
+      IS NOT NULL THEN date_trunc('year', l_shipdate)::TIMESTAMP + INTERVAL 1 YEAR END AS "end",
     10 + avg(l_discount) * 10 AS wilting_point, 40 + avg(l_tax) * 10 AS field_capacity, 58.0 AS saturation
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01' GROUP BY 1, 2, 3)"""
+  FROM lineitem GROUP BY l_returnflag, date_trunc('year', l_shipdate))"""
 
 
 def soil(spark, folder):
     year = F.make_timestamp_ntz(F.year("l_shipdate"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    items = table(spark, folder, "lineitem").where("l_shipdate < TIMESTAMP_NTZ '2001-01-01 00:00:00'")
-    means = items.groupBy(F.col("l_returnflag").alias("site"), year.alias("start")).agg(
+    means = table(spark, folder, "lineitem").groupBy(F.col("l_returnflag").alias("site"), year.alias("start")).agg(
         (F.avg("l_discount") * 10 + 10).alias("wilting_point"), (F.avg("l_tax") * 10 + 40).alias("field_capacity")
     )
-    ends = F.when(F.year("start") < 2000, F.expr("start + INTERVAL 1 YEAR"))
+    later = F.lead("start").over(Window.partitionBy("site").orderBy("start"))
+    ends = F.when(later.isNotNull(), F.expr("start + INTERVAL 1 YEAR"))
     return means.withColumn("end", ends).withColumn("saturation", F.lit(58.0))
 
 

@@ -77,18 +77,22 @@ def sink_daily_partitions(spark, folder):
 
 @query(
     "upsert_merge",
-    f"""WITH {HOURLY}, old AS (SELECT site, time, value, scans FROM hourly WHERE hour(time) < 18),
+    f"""WITH {HOURLY}, old AS (SELECT site, time, value, scans FROM hourly
+      WHERE hour(time) < 18 OR time < TIMESTAMP '2024-01-20 12:00:00'),
     fresh AS (SELECT site, time, TRUE AS is_new, CASE WHEN value > 100 THEN NULL ELSE value * 2 END AS value, battv
       FROM hourly WHERE time >= TIMESTAMP '2024-01-20 12:00:00')
     SELECT site, time, {q6("CASE WHEN f.is_new THEN f.value ELSE o.value END")} AS value, o.scans,
       {q6("f.battv")} AS battv FROM fresh f FULL JOIN old o USING (site, time)""",
 )
 def upsert_merge(spark, folder):
-    """Stored: hours before 18:00. New: all hours of the last days, some with null. One column is only stored, one new."""
+    """Stored: all hours of the first days, those before 18:00 of the last ones. New: all hours of the last days, some with
+    null. One column is only stored, one new."""
     base = new_table_path(spark, "upsert")
     rows = hourly(spark, folder).df
-    store.write_days(rows.where(F.hour("time") < 18).select("site", "time", "value", "scans"), base, HOURLY_SPEC)
-    new = rows.where("time >= TIMESTAMP_NTZ '2024-01-20 12:00:00'").select(
+    recent = F.expr("time >= TIMESTAMP_NTZ '2024-01-20 12:00:00'")
+    old = rows.where((F.hour("time") < 18) | ~recent)
+    store.write_days(old.select("site", "time", "value", "scans"), base, HOURLY_SPEC)
+    new = rows.where(recent).select(
         "site", "time", F.when(F.col("value") <= 100, F.col("value") * 2).alias("value"), "battv"
     )
     store.upsert_days(new, base, HOURLY_SPEC)
@@ -98,19 +102,20 @@ def upsert_merge(spark, folder):
 
 @query(
     "upsert_numeric_keys",
-    """WITH daily AS (SELECT lpad(o_custkey::VARCHAR, 7, '0') AS site, date_trunc('month', o_orderdate)::TIMESTAMP AS time,
-      count(*)::DOUBLE AS value FROM orders WHERE o_custkey % 100 < 3 GROUP BY 1, 2)
-    SELECT site, time, CASE WHEN year(time) >= 1996 THEN value * 10 ELSE value END AS value FROM daily""",
+    """WITH monthly AS (SELECT lpad((o_custkey % 5)::VARCHAR, 7, '0') AS site,
+      date_trunc('month', o_orderdate)::TIMESTAMP + to_hours((o_orderkey % 4)::BIGINT) AS time, count(*)::DOUBLE AS value
+      FROM orders GROUP BY 1, 2)
+    SELECT site, time, CASE WHEN year(time) >= 1996 AND hour(time) < 2 THEN value * 10 ELSE value END AS value FROM monthly""",
 )
 def upsert_numeric_keys(spark, folder):
-    """Sites with names of digits: rows of the later years are stored again in part, and none may get lost."""
+    """Sites with names of digits, five for all customers. Some hours of the later days are stored again; none may get lost."""
     base = new_table_path(spark, "upsert")
-    orders = table(spark, folder, "orders").where("o_custkey % 100 < 3")
-    site = F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("site")
-    time = F.make_timestamp_ntz(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1), *[F.lit(0)] * 3).alias("time")
-    rows = orders.groupBy(site, time).agg(F.count("*").cast("double").alias("value"))
+    site = F.lpad((F.col("o_custkey") % 5).cast("string"), 7, "0").alias("site")
+    hour = (F.col("o_orderkey") % 4).cast("int")
+    time = F.make_timestamp_ntz(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1), hour, F.lit(0), F.lit(0)).alias("time")
+    rows = table(spark, folder, "orders").groupBy(site, time).agg(F.count("*").cast("double").alias("value"))
     store.write_days(rows, base, HOURLY_SPEC)
-    new = rows.where(F.year("time") >= 1996).withColumn("value", F.col("value") * 10)
+    new = rows.where((F.year("time") >= 1996) & (F.hour("time") < 2)).withColumn("value", F.col("value") * 10)
     store.upsert_days(new, base, HOURLY_SPEC)
     return store.read_days(spark, base).select("site", "time", "value")
 
