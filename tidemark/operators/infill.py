@@ -25,9 +25,6 @@ from tidemark.plans.methods import Frame, Settings, method
 from tidemark.spec import Period
 
 
-SHORT_GAP = 16
-
-
 def _may_write(frame: Frame, settings: Settings) -> Column:
     if settings.start is None:
         return F.lit(True)
@@ -48,15 +45,11 @@ def _nearest_values(
     known = F.col("_v").isNotNull()
     if max_gap is None or max_gap >= chunk_size:
         return nearest_known(rows, frame.spec, known, payload, chunk_size)
-    # Values further away than the limit may be found too; the length of the gap then rules them out. Looking ahead, a
-    # short reach is searched row by row, a long one by a second sort.
+    # Values further away than the limit may be found too; the length of the gap then rules them out.
     here = F.when(known, F.struct(SLOT, *payload))
     back = chunk_window(frame.spec, SLOT).rowsBetween(Window.unboundedPreceding, 0)
-    if max_gap <= SHORT_GAP:
-        following = F.first(here, ignorenulls=True).over(chunk_window(frame.spec, SLOT).rowsBetween(0, max_gap + 1))
-    else:
-        ahead = chunk_window(frame.spec, F.desc(SLOT)).rowsBetween(Window.unboundedPreceding, 0)
-        following = F.last(here, ignorenulls=True).over(ahead)
+    ahead = chunk_window(frame.spec, F.desc(SLOT)).rowsBetween(Window.unboundedPreceding, 0)
+    following = F.last(here, ignorenulls=True).over(ahead)
     haloed = with_halo(rows, SLOT, max_gap + 1, max_gap + 1, chunk_size)
     return own_rows(haloed.withColumn("_prev", F.last(here, ignorenulls=True).over(back)).withColumn("_next", following))
 
