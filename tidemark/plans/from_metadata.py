@@ -139,7 +139,8 @@ def _attributes(values: DataFrame, names: list[str], target: SeriesSpec) -> dict
 def _flags(tables: MetadataTables, kind_of: DataFrame) -> dict[str, FlagColumns]:
     declared = tables.flag_columns.join(kind_of, "dataset").select("kind_id", "role", "column_name", "scheme").distinct()
     members = {}
-    for row in tables.flag_members.collect():
+    # Only of the schemes in use, which are few.
+    for row in tables.flag_members.join(declared.select("scheme").distinct(), "scheme", "left_semi").collect():
         members.setdefault(row["scheme"], {})[row["flag"]] = row["bit"]
     columns: dict[str, dict[str, str]] = {}
     schemes: dict[str, dict[str, dict[str, int]]] = {}

@@ -40,8 +40,8 @@ class Loaded:
 def load_stored(spark: SparkSession, datasets: dict[str, Stored], start: dt.date, end: dt.date) -> Loaded:
     """Read datasets for a window of days, each location once, and pad them to their grid.
 
-    A dataset whose column no file has, or with rows that padding would lose, fails alone; a location that cannot be read, or has nothing stored, fails with
-    all its datasets.
+    A dataset whose column no file has, or with rows that padding would lose, fails alone; a location that cannot be
+    read, or has nothing stored, fails with all its datasets.
     """
     frames, failed = {}, {}
     for base, names in _by_location({name: stored.base for name, stored in datasets.items()}).items():
