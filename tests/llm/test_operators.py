@@ -202,6 +202,58 @@ def test_one_document_of_each_group_stays(session):
     assert all(row["doc_id"] % 5 == 0 for row in kept)
 
 
+def test_near_copies_against_brute_force(session, texts):
+    """Every link counts, also those between texts that are far apart in the order under a key."""
+    chance = random.Random(8)
+    words = [f"w{k}" for k in range(60)]
+    rows = list(texts.items())
+    # Few different words: all these fingerprints are close, whatever the order of the words.
+    for group in range(60):
+        base = [chance.choice(words) for _ in range(chance.choice([60, 240, 400]))]
+        for _ in range(chance.choice([1, 2, 4])):
+            text = list(base)
+            for _ in range(chance.randrange(3)):
+                text[chance.randrange(len(text))] = chance.choice(words)
+            rows.append((1000 + len(rows), " ".join(text)))
+    rows += [(9000, None), (9001, "")]
+    prints, sets = {}, {}
+    for k, text in rows:
+        single = np.unique(simhash.shingle_hashes(text, 1))
+        prints[k] = [simhash.majority(simhash.remix(single, salt)) for salt in range(1, simhash.SALTS + 1)]
+        sets[k] = set(simhash.shingle_hashes(text, 5).tolist())
+    parent = {k: k for k in prints}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for one, other in combinations(prints, 2):
+        if any((p ^ q).bit_count() <= 4 for p, q in zip(prints[one], prints[other])):
+            shared, either = len(sets[one] & sets[other]), len(sets[one] | sets[other])
+            if either == 0 or shared >= 0.8 * either:
+                first, second = sorted((root(one), root(other)))
+                parent[second] = first
+    table = session.createDataFrame([(k, text, "en", "s", 1) for k, text in rows], documents_schema)
+    kept = {row["doc_id"] for row in simhash.keep_one_of_each(session, table, "").collect()}
+    assert kept == {k for k in parent if root(k) == k}
+
+
+def test_sketches_never_overstate_a_difference():
+    chance = np.random.default_rng(5)
+
+    def sketch(values):
+        places = 1 << max(6, len(values).bit_length())
+        odd = np.bincount(values & (places - 1), minlength=places) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+    for size in (0, 1, 63, 64, 500, 2047, 2048):
+        for extra in (0, 1, 40, 600, 3000):
+            values = np.unique(chance.integers(0, 1 << 62, size + extra))
+            assert simhash.odd_places(sketch(values[:size]), sketch(values)) <= len(values) - min(size, len(values))
+            assert simhash.odd_places(sketch(values), sketch(values)) == 0
+
+
 documents_schema = "doc_id long, text string, lang string, source string, n_chars long"
 
 

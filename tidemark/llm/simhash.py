@@ -109,6 +109,44 @@ def shingle_set(text: Column | str, size: int) -> Column:
     return _arrow_column(different, "array<bigint>", pa.list_(pa.int64()))(text)
 
 
+def shingle_sketch(text: Column | str, size: int) -> Column:
+    """(size, parity): the number of different shingles, and a bitmap of the parity of their number in each of 2^k places.
+
+    There are at least as many places as shingles. Half a bitmap laid over the other half, by exclusive or, is the bitmap
+    of half as many places; so bitmaps of any two texts can be compared.
+    """
+
+    def sketch(value: str | None) -> dict:
+        hashes = np.unique(shingle_hashes(value, size))
+        places = 1 << max(6, int(len(hashes)).bit_length())
+        odd = np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+        return {"size": len(hashes), "parity": np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()}
+
+    arrow = pa.struct([("size", pa.int64()), ("parity", pa.binary())])
+    return _arrow_column(sketch, "struct<size: bigint, parity: binary>", arrow)(text)
+
+
+def odd_places(one: bytes, other: bytes) -> int:
+    """Places in which two bitmaps of parity differ. Sets differ in at least as many elements."""
+    a, b = np.frombuffer(one, dtype="<u8"), np.frombuffer(other, dtype="<u8")
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _odd_places(one: Column | str, other: Column | str) -> Column:
+    ready(SparkSession.active())
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            yield pa.array([odd_places(a, b) for a, b in zip(left.to_pylist(), right.to_pylist())], pa.int64())
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return arrow_udf(run, "bigint")(one, other)
+
+
 # --- keys ----------------------------------------------------------------------------------------------------------
 
 
@@ -194,18 +232,19 @@ def keys(fingerprints: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _with_keys(nodes: DataFrame, side: int) -> DataFrame:
-    """(key, node, fp, comp, rest) from (node, fp, comp, salt); fingerprints of different salts never share a key."""
+    """(key, node, fp, comp, size, rest) of (node, fp, comp, size, salt); different salts never share a key."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, fp, comp, salt = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+            node, fp, comp, size, salt = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
             row, key, rest = keys(np.ascontiguousarray(fp, dtype=np.int64), side)
             key = key | salt[row].astype(np.int64) << 48
-            columns = [pa.array(values, pa.int64()) for values in (key, node[row], fp[row], comp[row], rest)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "fp", "comp", "rest"])
+            found = (key, node[row], fp[row], comp[row], size[row], rest)
+            columns = [pa.array(values, pa.int64()) for values in found]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "fp", "comp", "size", "rest"])
 
-    schema = "key long, node long, fp long, comp long, rest long"
-    return nodes.select("node", "fp", "comp", "salt").mapInArrow(task, schema)
+    schema = "key long, node long, fp long, comp long, size long, rest long"
+    return nodes.select("node", "fp", "comp", "size", "salt").mapInArrow(task, schema)
 
 
 def differing_bits(one: Column, other: Column) -> Column:
@@ -268,13 +307,14 @@ def _neighbour_pairs(nodes: DataFrame, side: int, turn: int) -> DataFrame:
     return met.select(F.greatest(one, other).alias("a"), F.least(one, other).alias("b")).distinct()
 
 
-def linked(nodes: DataFrame, verify=None, turns: int = 3, every: bool = True) -> DataFrame:
-    """(node, comp) of the nodes that have links, from (node, fp, salt) rows, a node having one row for each salt.
+def linked(nodes: DataFrame, verify=None, similarity: float = 0.0, turns: int = 3) -> DataFrame:
+    """(node, comp) of the nodes that have links, from (node, fp, size, salt) rows, a node having one row for each salt.
 
     Nodes link if their fingerprints of one salt differ in at most ``MAX_BITS`` bits and ``verify``, which filters pairs
-    (a, b) of nodes, lets the pair through. Neighbours under a key join most of every dense group first, in up to ``turns``
-    further turns among the nodes that were close to a neighbour. With ``every``, the last join then looks at all nodes
-    and keys, but only for links between different components, and finds every link that is still needed.
+    (a, b) of nodes, lets the pair through. ``verify`` lets none through whose smaller ``size`` is below ``similarity``
+    times the larger. Neighbours under a key join most of every dense group first, in up to ``turns`` further turns among
+    the nodes that were close to a neighbour. The last join then looks at all nodes and keys, but only for links between
+    different components, and finds every link that is still needed.
     """
     verify = verify or (lambda pairs: pairs)
 
@@ -294,14 +334,13 @@ def linked(nodes: DataFrame, verify=None, turns: int = 3, every: bool = True) ->
             break
         known = cut_lineage(components(found.union(stars(known))))
 
-    if not every:
-        return known
     nodes = cut_lineage(_in_components(nodes, known))
     one, other = _with_keys(nodes, 0).drop("rest").alias("u"), _with_keys(nodes, 1).drop("rest").alias("v")
     met = one.join(
         other,
         (F.col("u.key") == F.col("v.key"))
         & (F.col("u.comp") != F.col("v.comp"))
+        & (F.least("u.size", "v.size") >= similarity * F.greatest("u.size", "v.size"))
         & (differing_bits(F.col("u.fp"), F.col("v.fp")) <= MAX_BITS),
     )
     pairs = met.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b")).distinct()
@@ -312,7 +351,7 @@ def linked(nodes: DataFrame, verify=None, turns: int = 3, every: bool = True) ->
 def fingerprint_components(prints: DataFrame) -> DataFrame:
     """(fp, component_id) of all fingerprints of (doc_id, fp)."""
     ids = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
-    found = cut_lineage(linked(ids.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("salt"))))
+    found = cut_lineage(linked(ids.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("size"), F.lit(0).alias("salt"))))
     named = ids.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.withColumn("comp", F.coalesce("comp", "fp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
@@ -333,14 +372,24 @@ def simhash_components(documents: DataFrame) -> DataFrame:
 WORDS, SIMILARITY, SALTS = 5, 0.8, 3
 
 
-def similar(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY):
+def similar(texts: DataFrame, sketches: DataFrame, words: int = WORDS, similarity: float = SIMILARITY):
     """A filter for pairs (a, b) of nodes whose sets of word shingles have at least that Jaccard similarity.
 
-    ``texts``: (node, text). Sets are made only of nodes that are in a pair.
+    ``texts``: (node, text); ``sketches``: (node, size, parity). Sets that differ in d elements and are that similar have
+    sizes m, n with m + n - d >= similarity * (m + n + d). The sketch gives a lower bound of d in an eighth of a byte or
+    two for each shingle, so that sets are made and compared only for the pairs that the bound leaves.
     """
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut_lineage(pairs)  # used three times
+        one = sketches.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("parity").alias("parity_a"))
+        other = sketches.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("parity").alias("parity_b"))
+        sized = pairs.join(one, "a").join(other, "b")
+        sized = sized.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b"))
+        sized = sized.withColumn("apart", _odd_places("parity_a", "parity_b"))
+        both = F.col("size_a") + F.col("size_b")
+        # A millionth for the rounding of the product; the sets decide.
+        bound = both - F.col("apart") >= similarity * (both + F.col("apart")) - 1e-6
+        pairs = cut_lineage(sized.where(bound).select("a", "b"))  # used three times
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         # Equal texts share a node; any of them will do.
         chosen = texts.join(needed, "node").groupBy("node").agg(F.first("text").alias("text"))
@@ -360,16 +409,18 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
     Documents link if one of ``SALTS`` fingerprints of their words differs in at most ``MAX_BITS`` bits and the Jaccard
     similarity of their shingles of five words is 0.8 or more. A text is known by its 64-bit hash. Nulls are empty texts.
-    Pairs are found among neighbours under the keys, so the work grows with the documents, not with the square of a group.
+    Every such link is found, but for those within groups that other links join already.
     """
     ready(spark)
     node, comp, rank = fresh(docs, "node", "comp", "rank")
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     texts = docs.select(key.alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    prints = texts.select("node", word_fingerprints("text", SALTS).alias("fps"))
-    prints = cut_lineage(prints.groupBy("node").agg(F.first("fps").alias("fps")))
-    nodes = cut_lineage(prints.select("node", F.posexplode("fps").alias("salt", "fp")).select("node", "fp", "salt"))
-    found = cut_lineage(linked(nodes, similar(texts), every=False))
+    prints = texts.select("node", word_fingerprints("text", SALTS).alias("fps"), shingle_sketch("text", WORDS).alias("s"))
+    prints = prints.groupBy("node").agg(F.first("fps").alias("fps"), F.first("s").alias("s"))
+    prints = cut_lineage(prints.select("node", "fps", "s.size", "s.parity"))
+    salted = prints.select("node", "size", F.posexplode("fps").alias("salt", "fp"))
+    nodes = cut_lineage(salted.select("node", "fp", "size", "salt"))
+    found = cut_lineage(linked(nodes, similar(texts, prints.select("node", "size", "parity")), SIMILARITY))
 
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
     placed = docs.select(key.alias("node"), order.alias("rank")).groupBy("node").agg(F.min("rank").alias("rank"))
