@@ -420,7 +420,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     prints = cut_lineage(prints.select("node", "fps", "s.size", "s.parity"))
     salted = prints.select("node", "size", F.posexplode("fps").alias("salt", "fp"))
     nodes = cut_lineage(salted.select("node", "fp", "size", "salt"))
-    found = cut_lineage(linked(nodes, similar(texts, prints.select("node", "size", "parity")), SIMILARITY))
+    found = cut_lineage(linked(nodes, similar(texts, prints.select("node", "size", "parity")), SIMILARITY, turns=1))
 
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
     placed = docs.select(key.alias("node"), order.alias("rank")).groupBy("node").agg(F.min("rank").alias("rank"))
