@@ -239,6 +239,61 @@ def test_near_copies_against_brute_force(session, texts):
     assert kept == {k for k in parent if root(k) == k}
 
 
+def linked_by_similarity(rows, similarity=0.8):
+    """Pairs of ids, and the smallest id of each group, by the sets of shingles alone."""
+    sets = {k: set(simhash.shingle_hashes(text, 5).tolist()) for k, text in rows}
+    parent = {k: k for k in sets}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    pairs = []
+    for one, other in combinations(sets, 2):
+        shared, either = len(sets[one] & sets[other]), len(sets[one] | sets[other])
+        if either == 0 or shared >= similarity * either:
+            pairs.append((one, other))
+            first, second = sorted((root(one), root(other)))
+            parent[second] = first
+    return pairs, {k for k in parent if root(k) == k}
+
+
+def test_near_copies_by_similarity_alone(session, texts):
+    """Substituted, appended and prepended copies of texts of the table, without any condition but the similarity."""
+    chance = random.Random(12)
+    rows = [(k, text) for k, text in texts.items() if k is not None]
+    long = [text for _, text in rows if 100 <= len((text or "").split()) <= 500]
+    for k in range(90):
+        base, more = chance.choice(long).split(), chance.choice(long).split()
+        share = chance.choice([0.05, 0.12, 0.18, 0.24])
+        if k % 3:
+            added = more[: int(share * len(base))]
+            copy = base + added if k % 3 == 1 else added + base
+        else:
+            copy = list(base)
+            for _ in range(max(1, int(share * len(base) / 12))):
+                copy[chance.randrange(len(copy))] = chance.choice(more)
+        rows.append((5000 + k, " ".join(copy)))
+    pairs, expected = linked_by_similarity(rows)
+    gated = {k: [simhash.majority(simhash.remix(np.unique(simhash.shingle_hashes(text, 1)), salt)) for salt in (1, 2, 3)] for k, text in rows}
+    lost = [p for p in pairs if not any((x ^ y).bit_count() <= 4 for x, y in zip(gated[p[0]], gated[p[1]]))]
+    assert len(pairs) > 60 and len(lost) > 10  # of these, word fingerprints within four bits lose many
+    table = session.createDataFrame([(k, text, "en", "s", 1) for k, text in rows], documents_schema)
+    assert {row["doc_id"] for row in simhash.keep_one_of_each(session, table, "").collect()} == expected
+
+
+def test_keys_of_similar_sets_meet():
+    chance = np.random.default_rng(3)
+    for size in (9, 90, 2700):
+        met = 0
+        for _ in range(200):
+            values = np.unique(chance.integers(0, 1 << 63, size + size // 9 * 2, dtype=np.uint64))
+            one, other = values[: size + size // 9], np.concatenate([values[:size], values[size + size // 9 :]])
+            met += bool(set(simhash.least_keys(one)) & set(simhash.least_keys(other)))  # 9 of 11 in common
+        assert met == 200
+
+
 def test_sketches_never_overstate_a_difference():
     chance = np.random.default_rng(5)
 

@@ -92,16 +92,6 @@ def fingerprint(text: Column | str, size: int = 4) -> Column:
     return _arrow_column(one, "bigint", pa.int64())(text)
 
 
-def word_fingerprints(text: Column | str, count: int) -> Column:
-    """``count`` independent fingerprints of the different words of a text."""
-
-    def several(value: str | None) -> list[int]:
-        words = np.unique(shingle_hashes(value, 1))
-        return [int(np.uint64(majority(remix(words, salt))).astype(np.int64)) for salt in range(1, count + 1)]
-
-    return _arrow_column(several, "array<bigint>", pa.list_(pa.int64()))(text)
-
-
 def shingle_set(text: Column | str, size: int) -> Column:
     def different(value: str | None) -> np.ndarray:
         return np.unique(shingle_hashes(value, size)).view(np.int64)
@@ -109,21 +99,46 @@ def shingle_set(text: Column | str, size: int) -> Column:
     return _arrow_column(different, "array<bigint>", pa.list_(pa.int64()))(text)
 
 
+def _parity(hashes: np.ndarray, places: int) -> np.ndarray:
+    """Bitmap of the parity of the number of hashes in each place, as bytes."""
+    odd = np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def least_keys(hashes: np.ndarray) -> list[int]:
+    """``KEYS`` keys of a set, each made of the least of its elements in ``HASHES`` random orders."""
+    orders = remix(np.arange(1, KEYS * HASHES + 1, dtype=np.uint64), 7)[:, None]
+    factors, salts, short = orders.astype("<u4") | np.uint32(1), (orders >> np.uint64(32)).astype("<u4"), hashes.astype("<u4")
+    least = np.full(KEYS * HASHES, 0xFFFFFFFF, dtype="<u4")
+    for start in range(0, len(short), 1024):
+        x = (short[None, start : start + 1024] ^ salts) * factors
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x85EBCA6B)
+        np.minimum(least, x.min(axis=1), out=least)
+    rows = least.reshape(KEYS, HASHES)
+    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(rows)]
+
+
 def shingle_sketch(text: Column | str, size: int) -> Column:
-    """(size, parity): the number of different shingles, and a bitmap of the parity of their number in each of 2^k places.
+    """(size, parity, folded, keys) of the different shingles of a text: their number, a bitmap of the parity of their number
+    in each of 2^k places, the same for ``PLACES`` places as numbers, and ``least_keys``.
 
-    There are at least as many places as shingles. Half a bitmap laid over the other half, by exclusive or, is the bitmap
-    of half as many places; so bitmaps of any two texts can be compared.
+    ``parity`` has at least as many places as shingles. Half a bitmap laid over the other half, by exclusive or, is the
+    bitmap of half as many places; so bitmaps of any two texts can be compared.
     """
 
     def sketch(value: str | None) -> dict:
         hashes = np.unique(shingle_hashes(value, size))
         places = 1 << max(6, int(len(hashes)).bit_length())
-        odd = np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
-        return {"size": len(hashes), "parity": np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()}
+        return {
+            "size": len(hashes),
+            "parity": _parity(hashes, places).tobytes(),
+            "folded": _parity(hashes, PLACES).view("<i8"),
+            "keys": least_keys(hashes),
+        }
 
-    arrow = pa.struct([("size", pa.int64()), ("parity", pa.binary())])
-    return _arrow_column(sketch, "struct<size: bigint, parity: binary>", arrow)(text)
+    fields = [("size", pa.int64()), ("parity", pa.binary()), ("folded", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
+    return _arrow_column(sketch, "struct<size: bigint, parity: binary, folded: array<bigint>, keys: array<bigint>>", pa.struct(fields))(text)
 
 
 def odd_places(one: bytes, other: bytes) -> int:
@@ -369,7 +384,13 @@ def simhash_components(documents: DataFrame) -> DataFrame:
 
 # --- the stage -----------------------------------------------------------------------------------------------------
 
-WORDS, SIMILARITY, SALTS = 5, 0.8, 3
+WORDS, SIMILARITY = 5, 0.8
+#: Texts of similarity s share none of their keys with a probability of (1 - s ** HASHES) ** KEYS, 3e-6 at 0.8.
+KEYS, HASHES = 32, 5
+#: Places of the bitmap that goes into the join.
+PLACES = 512
+#: Word fingerprints that the gate of an earlier state compared. Only a test still uses it.
+SALTS = 3
 
 
 def similar(texts: DataFrame, sketches: DataFrame, words: int = WORDS, similarity: float = SIMILARITY):
@@ -404,23 +425,56 @@ def similar(texts: DataFrame, sketches: DataFrame, words: int = WORDS, similarit
     return verify
 
 
+def near_texts(sketches: DataFrame, verify, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, comp) of the nodes that have links, from (node, size, folded, keys): those that share a key and that ``verify``,
+    which filters pairs (a, b), lets through.
+
+    Nodes that follow one another under a key, in the order of the next key, join most of every group first. The last join then
+    looks at all pairs under a key, but only between different components. The bounds of ``similar`` are part of its
+    condition, with the bitmap of ``PLACES`` places, so that it makes few rows.
+    """
+    turned = F.concat(F.slice("keys", 2, KEYS - 1), F.slice("keys", 1, 1))
+    zipped = F.explode(F.arrays_zip(F.col("keys").alias("key"), turned.alias("rest")))
+    met = sketches.select("node", zipped.alias("k")).select("node", "k.key", "k.rest")
+    before = F.lag("node").over(Window.partitionBy("key").orderBy("rest", "node"))
+    met = met.select("node", before.alias("other")).where("other IS NOT NULL")
+    tried = met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+    known = cut_lineage(components(cut_lineage(verify(tried))))
+
+    placed = cut_lineage(_in_components(sketches.select("node", "size", "folded", "keys"), known))
+    keyed = placed.select("node", "comp", "size", F.explode("keys").alias("key"))
+    mixed = keyed.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last")
+    keyed = keyed.join(mixed.select("key"), "key", "left_semi")
+    keyed = cut_lineage(keyed.join(placed.select("node", "folded"), "node"))
+    one, other = keyed.alias("u"), keyed.alias("v")
+    both = F.col("u.size") + F.col("v.size")
+    apart = sum(differing_bits(F.col("u.folded")[k], F.col("v.folded")[k]) for k in range(PLACES // 64))
+    found = one.join(
+        other,
+        (F.col("u.key") == F.col("v.key"))
+        & (F.col("u.comp") < F.col("v.comp"))
+        & (F.least("u.size", "v.size") >= similarity * F.greatest("u.size", "v.size"))
+        & (both - apart >= similarity * (both + apart) - 1e-6),
+    )
+    pairs = found.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b")).distinct()
+    last = cut_lineage(verify(pairs))
+    return components(last.union(known.where("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))))
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Documents link if one of ``SALTS`` fingerprints of their words differs in at most ``MAX_BITS`` bits and the Jaccard
-    similarity of their shingles of five words is 0.8 or more. A text is known by its 64-bit hash. Nulls are empty texts.
-    Every such link is found, but for those within groups that other links join already.
+    Documents link if the Jaccard similarity of their shingles of five words is 0.8 or more. Pairs are found by ``least_keys``
+    and compared whole. A text is known by its 64-bit hash. Nulls are empty texts. Links within groups that other links join
+    already are not looked for.
     """
     ready(spark)
     node, comp, rank = fresh(docs, "node", "comp", "rank")
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     texts = docs.select(key.alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    prints = texts.select("node", word_fingerprints("text", SALTS).alias("fps"), shingle_sketch("text", WORDS).alias("s"))
-    prints = prints.groupBy("node").agg(F.first("fps").alias("fps"), F.first("s").alias("s"))
-    prints = cut_lineage(prints.select("node", "fps", "s.size", "s.parity"))
-    salted = prints.select("node", "size", F.posexplode("fps").alias("salt", "fp"))
-    nodes = cut_lineage(salted.select("node", "fp", "size", "salt"))
-    found = cut_lineage(linked(nodes, similar(texts, prints.select("node", "size", "parity")), SIMILARITY, turns=1))
+    prints = texts.select("node", shingle_sketch("text", WORDS).alias("s"))
+    prints = cut_lineage(prints.groupBy("node").agg(F.first("s").alias("s")).select("node", "s.*"))
+    found = cut_lineage(near_texts(prints, similar(texts, prints.select("node", "size", "parity"))))
 
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
     placed = docs.select(key.alias("node"), order.alias("rank")).groupBy("node").agg(F.min("rank").alias("rank"))
