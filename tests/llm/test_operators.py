@@ -463,6 +463,26 @@ def test_detections_are_resolved_by_priority_and_containment():
     assert sum(len(signatures) for _, signatures in license_scan.RULES) > 300
 
 
+@pytest.mark.parametrize(
+    "label, spellings",
+    [
+        ("gpl-1", ["GPLv1", "GPL v1"]), ("gpl-2", ["GNU GPLv2", "GNU GPL v2"]), ("gpl-3", ["GNU GPLv3", "GNU GPL v3", "GNU GPL\nv3"]),
+        ("lgpl-2", ["LGPLv2", "LGPL v2", "LGPL 2.0"]), ("lgpl-2.1", ["LGPLv2.1", "LGPL v2.1"]), ("lgpl-3", ["LGPLv3", "LGPL v3"]),
+        ("agpl-3", ["AGPLv3", "AGPL v3"]), ("mpl-1.1", ["MPLv1.1", "MPL v1.1"]), ("mpl-2", ["MPLv2", "MPL v2", "MPL 2.0"]),
+        ("cc-by", ["Creative Commons Attribution 4.0"]),
+        ("cc-by-sa", ["Creative Commons Attribution-ShareAlike", "Creative Commons Attribution-Share Alike 4.0"]),
+        ("cc-by-nd", ["Creative Commons Attribution No Derivatives", "Creative Commons Attribution-NoDerivs 4.0"]),
+        ("cc-by-nc", ["Creative Commons Attribution-NonCommercial 4.0", "CC BY-NC 4.0"]),
+        ("cc-by-nc-sa", ["Creative Commons Attribution-NonCommercial-ShareAlike", "Creative Commons Attribution NonCommercial Share Alike"]),
+        ("cc-by-nc-nd", ["Creative Commons Attribution-NonCommercial-NoDerivs", "Creative Commons Attribution-NonCommercial-No Derivatives"]),
+        ("mulan-2", ["Mulan PSL", "Mulan PSLlicense", "Mulan PSL license"]),
+    ],
+)
+def test_optional_blanks_of_licence_names(label, spellings):
+    for text in spellings:
+        assert license_scan.scan(f"This is under {text}, as said.")["labels"].split(",")[-1] == label, text
+
+
 # --- Neighbours --------------------------------------------------------------------------------------------------
 
 

@@ -98,8 +98,8 @@ class Signature:
 
 
 def _spaced(pattern: str) -> str:
-    """White space of any kind where the pattern has a blank."""
-    return pattern.replace(" ", r"\s+")
+    """White space of any kind where the pattern has a blank; none is needed where the blank is optional."""
+    return pattern.replace("[- ]", r"(?:-|\s+)").replace(" ?", r"\s*").replace(" ", r"\s+")
 
 
 def _families() -> list[tuple[tuple[str, ...], tuple[Signature, ...]]]:
