@@ -483,6 +483,60 @@ def test_optional_blanks_of_licence_names(label, spellings):
         assert license_scan.scan(f"This is under {text}, as said.")["labels"].split(",")[-1] == label, text
 
 
+def written(parsed, chance):
+    """A text that a parsed pattern matches, with white space of any kind."""
+    made = []
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            made.append(chr(value))
+        elif kind == "BRANCH":
+            made.append(written(chance.choice(value[1]), chance))
+        elif kind == "SUBPATTERN":
+            made.append(written(value[3], chance))
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, body = value
+            made += [written(body, chance) for _ in range(chance.randint(least, min(int(most), least + 1)))]
+        elif kind == "IN":
+            first, code = chance.choice(value)
+            spaces = [" ", "\n", "\t", "  "]
+            made.append({"LITERAL": lambda: chr(code), "RANGE": lambda: chr(chance.randint(*code))}.get(
+                str(first), lambda: chance.choice(spaces) if "SPACE" in str(code) and "NOT" not in str(code) else "w")())
+        elif kind == "CATEGORY":
+            made.append("w")
+    return "".join(made)
+
+
+def test_keywords_are_in_every_match():
+    """With and without keywords, the same is detected in texts written after every pattern."""
+    chance = random.Random(3)
+    tried = 0
+    for _, signatures in license_scan.RULES:
+        for sign in signatures:
+            for _ in range(30):
+                text = f"see {written(re._parser.parse(sign.pattern.pattern), chance)} ."
+                every = [
+                    (match.start(), match.end(), one.priority, one.confidence, one.label, one.kind)
+                    for _, others in license_scan.RULES for one in others for match in one.pattern.finditer(text)
+                ]
+                tried += any(found[4] == sign.label for found in every)
+                assert sorted(license_scan.detections(text)) == sorted(every), (sign.label, text)
+    assert tried > 10_000
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("GNU General\nPublic License, version 3", "gpl-3"), ("Creative\nCommons Attribution 4.0", "cc-by"),
+        ("released into the public\n  domain", "public-domain"),
+        ("Creative Commons Attribution-Non\nCommercial", "cc-by-nc"), ("Creative Commons Attribution-Non-Commercial", "cc-by-nc"),
+        ("Creative Commons Attribution-NoDerivatives 4.0", "cc-by-nd"), ("https://www.gnu.org/licenses/fdl", "gfdl-1.3"),
+    ],
+)
+def test_wrapped_licence_names_are_found(text, label):
+    assert license_scan.scan(text)["labels"] == label
+
+
 # --- Neighbours --------------------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-# Label | keywords, one of which must be in the text | patterns of the name | identifiers | address.
+# Label | keywords, one of which is in every match, its white space taken as single blanks | patterns of the name | identifiers | address.
 FAMILIES = r"""
 mit | mit | (?:the )?mit(?:/x11)?(?: style)? licen[sc]e | mit | opensource\.org/licenses/mit
 mit-0 | mit-0, no attribution | mit no attribution(?: licen[sc]e)? | mit-0 | opensource\.org/licenses/mit-0
@@ -20,7 +20,7 @@ lgpl-2.1 | lgpl, lesser general | gnu lesser general public licen[sc]e,? (?:vers
 lgpl-3 | lgpl, lesser general | gnu lesser general public licen[sc]e,? (?:version |v)3; lgpl ?v?3 | lgpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/lgpl-3\.0
 lgpl | lgpl, lesser general | gnu lesser general public licen[sc]e; gnu lgpl | lgpl | gnu\.org/licenses/lgpl\.
 agpl-3 | agpl, affero | gnu affero general public licen[sc]e(?:,? (?:version |v)3)?; agpl ?v?3 | agpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/agpl
-gfdl-1.3 | gfdl, free documentation | gnu free documentation licen[sc]e(?:,? (?:version |v)1\.3)? | gfdl-1\.[123](?:-only|-or-later)? | gnu\.org/licenses/fdl
+gfdl-1.3 | fdl, free documentation | gnu free documentation licen[sc]e(?:,? (?:version |v)1\.3)? | gfdl-1\.[123](?:-only|-or-later)? | gnu\.org/licenses/fdl
 bsd-1 | bsd | (?:1|one)[- ]clause bsd licen[sc]e | bsd-1-clause | opensource\.org/license/bsd-1-clause
 bsd-2 | bsd | (?:2|two)[- ]clause bsd licen[sc]e; simplified bsd licen[sc]e; freebsd licen[sc]e | bsd-2-clause | opensource\.org/licenses/bsd-2-clause
 bsd-3 | bsd | (?:3|three)[- ]clause bsd licen[sc]e; (?:new|revised|modified) bsd licen[sc]e | bsd-3-clause | opensource\.org/licenses/bsd-3-clause
@@ -35,7 +35,7 @@ epl-2 | epl, eclipse | eclipse public licen[sc]e(?:,? (?:version |v)?2(?:\.0)?)?
 edl-1 | edl, eclipse | eclipse distribution licen[sc]e | edl-1\.0 | eclipse\.org/org/documents/edl
 cddl-1 | cddl, common development | common development and distribution licen[sc]e | cddl-1\.[01] | opensource\.org/licenses/cddl
 cpl-1 | cpl, common public | common public licen[sc]e | cpl-1\.0 | opensource\.org/licenses/cpl
-ipl-1 | ibm public | ibm public licen[sc]e | ipl-1\.0 | opensource\.org/licenses/ipl
+ipl-1 | ipl, ibm public | ibm public licen[sc]e | ipl-1\.0 | opensource\.org/licenses/ipl
 artistic-1 | artistic | artistic licen[sc]e,? (?:version |v)?1(?:\.0)? | artistic-1\.0 | opensource\.org/licenses/artistic-license-1
 artistic-2 | artistic | artistic licen[sc]e(?:,? (?:version |v)?2(?:\.0)?)? | artistic-2\.0 | opensource\.org/licenses/artistic-license-2
 zlib | zlib | zlib(?:/libpng)? licen[sc]e | zlib | opensource\.org/licenses/zlib
@@ -43,16 +43,16 @@ libpng | libpng | libpng licen[sc]e | libpng(?:-2\.0)? | libpng\.org/pub/png/src
 bsl-1 | boost, bsl-1 | boost software licen[sc]e | bsl-1\.0 | boost\.org/license_1_0
 unlicense | unlicense | the unlicense | unlicense | unlicense\.org
 wtfpl | wtfpl, do what the | do what the f\S* you want to public licen[sc]e | wtfpl | wtfpl\.net
-cc0 | cc0 | cc0(?: 1\.0)?(?: universal)?; creative commons zero | cc0-1\.0 | creativecommons\.org/publicdomain/zero
+cc0 | cc0, creative commons zero, publicdomain/zero | cc0(?: 1\.0)?(?: universal)?; creative commons zero | cc0-1\.0 | creativecommons\.org/publicdomain/zero
 cc-by | cc by, cc-by, creative commons, creativecommons | creative commons attribution(?: licen[sc]e)?(?: [1-4]\.0)?; cc[- ]by(?: [1-4]\.0) | cc-by-[1-4]\.[05] | creativecommons\.org/licenses/by/
-cc-by-sa | by-sa, share alike, sharealike, by sa | creative commons attribution[- ]share ?alike; cc[- ]by[- ]sa(?: [1-4]\.0)? | cc-by-sa-[1-4]\.[05] | creativecommons\.org/licenses/by-sa
-cc-by-nd | by-nd, no derivatives, noderivs, by nd | creative commons attribution[- ]no ?deriv\w*; cc[- ]by[- ]nd(?: [1-4]\.0)? | cc-by-nd-[1-4]\.[05] | creativecommons\.org/licenses/by-nd
-cc-by-nc | by-nc, non ?commercial, noncommercial, by nc | creative commons attribution[- ]non ?commercial; cc[- ]by[- ]nc(?: [1-4]\.0)? | cc-by-nc-[1-4]\.[05] | creativecommons\.org/licenses/by-nc/
-cc-by-nc-sa | nc-sa, share alike, sharealike, nc sa | creative commons attribution[- ]non ?commercial[- ]share ?alike; cc[- ]by[- ]nc[- ]sa(?: [1-4]\.0)? | cc-by-nc-sa-[1-4]\.[05] | creativecommons\.org/licenses/by-nc-sa
-cc-by-nc-nd | nc-nd, no derivatives, noderivs, nc nd | creative commons attribution[- ]non ?commercial[- ]no ?deriv\w*; cc[- ]by[- ]nc[- ]nd(?: [1-4]\.0)? | cc-by-nc-nd-[1-4]\.[05] | creativecommons\.org/licenses/by-nc-nd
-public-domain | public domain | (?:dedicated|released|placed) (?:in|in)to the public domain; public domain dedication | public-domain | creativecommons\.org/publicdomain/mark
+cc-by-sa | by-sa, share alike, share-alike, sharealike, by sa | creative commons attribution[- ]share[- ]?alike; cc[- ]by[- ]sa(?: [1-4]\.0)? | cc-by-sa-[1-4]\.[05] | creativecommons\.org/licenses/by-sa
+cc-by-nd | by-nd, no deriv, no-deriv, noderiv, by nd | creative commons attribution[- ]no[- ]?deriv\w*; cc[- ]by[- ]nd(?: [1-4]\.0)? | cc-by-nd-[1-4]\.[05] | creativecommons\.org/licenses/by-nd
+cc-by-nc | by-nc, non commercial, non-commercial, noncommercial, by nc | creative commons attribution[- ]non[- ]?commercial; cc[- ]by[- ]nc(?: [1-4]\.0)? | cc-by-nc-[1-4]\.[05] | creativecommons\.org/licenses/by-nc/
+cc-by-nc-sa | nc-sa, share alike, share-alike, sharealike, nc sa | creative commons attribution[- ]non[- ]?commercial[- ]share[- ]?alike; cc[- ]by[- ]nc[- ]sa(?: [1-4]\.0)? | cc-by-nc-sa-[1-4]\.[05] | creativecommons\.org/licenses/by-nc-sa
+cc-by-nc-nd | nc-nd, no deriv, no-deriv, noderiv, nc nd | creative commons attribution[- ]non[- ]?commercial[- ]no[- ]?deriv\w*; cc[- ]by[- ]nc[- ]nd(?: [1-4]\.0)? | cc-by-nc-nd-[1-4]\.[05] | creativecommons\.org/licenses/by-nc-nd
+public-domain | public domain, public-domain, publicdomain | (?:dedicated|released|placed) (?:in|in)to the public domain; public domain dedication | public-domain | creativecommons\.org/publicdomain/mark
 odbl | odbl, open database | open database licen[sc]e | odbl-1\.0 | opendatacommons\.org/licenses/odbl
-odc-by | odc, open data commons | open data commons attribution licen[sc]e | odc-by-1\.0 | opendatacommons\.org/licenses/by
+odc-by | odc, open data commons, opendatacommons | open data commons attribution licen[sc]e | odc-by-1\.0 | opendatacommons\.org/licenses/by
 pddl | pddl, open data commons | open data commons public domain dedication | pddl-1\.0 | opendatacommons\.org/licenses/pddl
 ofl-1.1 | ofl, open font | sil open font licen[sc]e; open font licen[sc]e | ofl-1\.[01] | scripts\.sil\.org/ofl
 eupl-1.2 | eupl, european union public | european union public licen[sc]e | eupl-1\.[12] | joinup\.ec\.europa\.eu/\S*eupl
@@ -64,7 +64,7 @@ perl | perl | same terms as perl(?: itself)?; perl licen[sc]e | perl | dev\.perl
 postgresql | postgresql | postgresql licen[sc]e | postgresql | postgresql\.org/about/licence
 openssl | openssl | openssl licen[sc]e | openssl | openssl\.org/source/license
 curl | curl | curl licen[sc]e | curl | curl\.(?:se|haxx\.se)/docs/copyright
-x11 | x11 | x11 licen[sc]e; x consortium licen[sc]e | x11 | x\.org/\S*license
+x11 | x11, x consortium, x.org | x11 licen[sc]e; x consortium licen[sc]e | x11 | x\.org/\S*license
 ncsa | ncsa, illinois | university of illinois/ncsa open source licen[sc]e; ncsa licen[sc]e | ncsa | opensource\.org/licenses/uoi-ncsa
 upl-1 | upl, universal permissive | universal permissive licen[sc]e | upl-1\.0 | oss\.oracle\.com/licenses/upl
 ms-pl | ms-pl, microsoft public | microsoft public licen[sc]e | ms-pl | opensource\.org/licenses/ms-pl
@@ -74,12 +74,12 @@ osl-3 | osl, open software licen | open software licen[sc]e(?:,? (?:version |v)?
 ecl-2 | ecl, educational community | educational community licen[sc]e | ecl-[12]\.0 | opensource\.org/licenses/ecl
 lppl-1.3 | lppl, latex project | latex project public licen[sc]e | lppl-1\.3[ac]? | latex-project\.org/lppl
 vim | vim | vim licen[sc]e | vim | vimhelp\.org/uganda
-blueoak-1 | blue oak | blue oak model licen[sc]e | blueoak-1\.0\.0 | blueoakcouncil\.org/license
+blueoak-1 | blue oak, blueoak | blue oak model licen[sc]e | blueoak-1\.0\.0 | blueoakcouncil\.org/license
 mulan-2 | mulan | mulan (?:permissive software|psl) ?(?:licen[sc]e)? | mulanpsl-[12]\.0 | license\.coscl\.org\.cn/mulanpsl
-sspl-1 | sspl, server side public | server side public licen[sc]e | sspl-1\.0 | mongodb\.com/licensing/server-side-public-license
-busl-1.1 | busl, business source | business source licen[sc]e | busl-1\.1 | mariadb\.com/bsl11
+sspl-1 | sspl, server side public, server-side-public | server side public licen[sc]e | sspl-1\.0 | mongodb\.com/licensing/server-side-public-license
+busl-1.1 | busl, business source, mariadb.com/bsl11 | business source licen[sc]e | busl-1\.1 | mariadb\.com/bsl11
 elastic-2 | elastic | elastic licen[sc]e(?: 2\.0)? | elastic-2\.0 | elastic\.co/licensing/elastic-license
-openrail | rail | (?:creativeml |bigscience )?(?:open )?rail(?:\+\+)?[- ]m licen[sc]e; open responsible ai licen[sc]e | (?:creativeml-)?openrail(?:\+\+)?(?:-m)? | huggingface\.co/spaces/\S*license
+openrail | rail, responsible ai, huggingface | (?:creativeml |bigscience )?(?:open )?rail(?:\+\+)?[- ]m licen[sc]e; open responsible ai licen[sc]e | (?:creativeml-)?openrail(?:\+\+)?(?:-m)? | huggingface\.co/spaces/\S*license
 proprietary | all rights reserved, proprietary, confidential | all rights reserved; proprietary and confidential | proprietary | licenses/proprietary
 """
 
@@ -99,7 +99,7 @@ class Signature:
 
 def _spaced(pattern: str) -> str:
     """White space of any kind where the pattern has a blank; none is needed where the blank is optional."""
-    return pattern.replace("[- ]", r"(?:-|\s+)").replace(" ?", r"\s*").replace(" ", r"\s+")
+    return pattern.replace("[- ]?", r"(?:-|\s+)?").replace("[- ]", r"(?:-|\s+)").replace(" ?", r"\s*").replace(" ", r"\s+")
 
 
 def _families() -> list[tuple[tuple[str, ...], tuple[Signature, ...]]]:

@@ -1,7 +1,7 @@
 """Licence detection by ordered signatures.
 
 A text is lower-cased. Hundreds of patterns, grouped by licence, are tried only if one of the licence's keywords is in the
-text. Detections that overlap are resolved in order of priority, then length, then place: one that lies within an
+text, whatever white space parts its words. Detections that overlap are resolved in order of priority, then length, then place: one that lies within an
 accepted one, or shares text with an accepted one of higher priority, is suppressed. Besides, base phrases are looked
 for as consecutive words; their labels always stay.
 
@@ -62,8 +62,9 @@ def base_places(raw: bytes) -> list[tuple[int, str]]:
 def detections(text: str) -> list[tuple[int, int, int, float, str, str]]:
     """(start, end, priority, confidence, label, kind) of the signatures found in a lower-cased text, unresolved."""
     found = []
+    flat = " ".join(text.split())
     for keywords, signatures in RULES:
-        if any(keyword in text for keyword in keywords):
+        if any(keyword in flat for keyword in keywords):
             for sign in signatures:
                 for match in sign.pattern.finditer(text):
                     found.append((match.start(), match.end(), sign.priority, sign.confidence, sign.label, sign.kind))
