@@ -351,6 +351,18 @@ def test_windows_against_plain_sets(session):
     assert expected and {(row["doc_id"], row["item_id"]) for row in found} == expected
 
 
+def test_copies_in_other_capitals_or_lines_are_found(session):
+    asked = "Which city did Marie Curie move to from Warsaw in 1891 to study at the Sorbonne"
+    items = session.createDataFrame([(1, asked)], "item_id long, text string")
+    copies = [
+        asked, asked.lower(), asked.upper(), asked.replace(" ", "\n"), asked.replace(" ", "  "), f"So they wrote\n{asked.lower()}",
+        asked.replace("1891", "1902"), asked.lower().replace("marie curie", "ada lovelace").replace("warsaw", "london"),
+    ]
+    docs = session.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
+    found = {row["doc_id"]: row for row in decontaminate.leaks(docs, items).collect()}
+    assert set(found) == set(range(7)) and [k for k, row in found.items() if row["changed"]] == [6]
+
+
 # --- Packing -----------------------------------------------------------------------------------------------------
 
 

@@ -1,8 +1,9 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Texts become templates: numbers, names (capitalised words inside a sentence) and units after numbers give way to typed
-placeholders. Windows of five template words of the items are joined by hash with those of the documents. A document that
-holds four fifths of the windows of an item is a candidate; its slot values are then compared: along the best alignment,
+placeholders. A second template keeps names as words, so that other capitals or line ends do no harm. Windows of five template
+words of the items are joined by hash with those of the documents. A document that holds four fifths of the windows of an
+item, in either template, is a candidate; its slot values are then compared: along the best alignment,
 a value of the item must always stand for the same value in the document. So exact copies and re-parameterised questions
 are both found, while texts that agree only in placeholders are not.
 
@@ -33,21 +34,32 @@ UNITS = (
     "yards?|kilograms?|grams?|pounds?|ounces?|tons?|liters?|litres?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|"
     "years?|dollars?|cents?|euros?|degrees?|km|cm|mm|kg|mg|lbs?|oz|mph|kmh|ml|hz|khz|mhz|ghz|kb|mb|gb|tb"
 )
+LONGEST = 2**31 - 1
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 
 
 def template_words(text: Column) -> Column:
     """Lower-cased words; those that are names or units start with a mark, numbers with a digit."""
-    marked = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;] )\p{Lu}(?=\p{L})", NAME + "$0")
+    marked = F.regexp_replace(text, r"[\s\p{Z}]+", " ")
+    marked = F.regexp_replace(marked, rf"(?<=[0-9]) ?(?=(?i:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}")
+    marked = F.regexp_replace(marked, r"(?<=[\p{L}\p{N},;] )\p{Lu}(?=\p{L})", NAME + "$0")
     marked = F.regexp_replace(F.lower(marked), r"(?<=[0-9])[.,:](?=[0-9])", "")
-    marked = F.regexp_replace(marked, rf"(?<=[0-9]) ?(?=(?:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}")
     return F.array_remove(F.split(marked, r"[^\p{L}\p{N}\x01-\x03]+"), "")
 
 
+def without_names(words: Column) -> Column:
+    """The second template: names are plain words."""
+    return F.transform(words, lambda word: F.when(_first(word) == NAME, F.substring(word, 2, LONGEST)).otherwise(word))
+
+
 def _first(word: Column) -> Column:
     return F.substring(word, 1, 1)
 
 
+def has_names(words: Column) -> Column:
+    return F.exists(words, lambda word: _first(word) == NAME)
+
+
 def is_slot(word: Column) -> Column:
     return (_first(word) <= "9") & (_first(word) != "")
 
@@ -74,14 +86,31 @@ def window_hashes(words: Column, size: int = WORDS) -> Column:
     return bound(F.transform(words, lambda word: F.xxhash64(placeholder(word))), windows)
 
 
+def both_templates(words: Column, size: int = WORDS) -> Column:
+    """The different windows of both templates. Those without names are the same in both."""
+
+    def windows(words: Column) -> Column:
+        plain = F.when(has_names(words), window_hashes(without_names(words), size)).otherwise(F.array().cast("array<bigint>"))
+        return F.array_union(window_hashes(words, size), plain)
+
+    return bound(words, windows)
+
+
 def item_windows(items: DataFrame, size: int = WORDS) -> DataFrame:
-    """(item_id, item, position, window, slots): the windows of each item that are evidence, with their slot values."""
+    """(item_id, item, template, position, window, slots): the windows of each item that are evidence, with their slot values.
+
+    Template 0 has marks for names, template 1 has names as words; items without names have no template 1.
+    """
     words = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
     words = words.select("item_id", F.xxhash64("item_id", "text").alias("item"), template_words(F.col("text")).alias("words"))
-    placed = words.select("item_id", "item", "words", F.posexplode(window_hashes(F.col("words"), size)).alias("position", "window"))
+    marked, plain = words.withColumn("template", F.lit(0)), words.where(has_names(F.col("words"))).withColumn("template", F.lit(1))
+    words = marked.union(plain.withColumn("words", without_names(F.col("words"))))
+    placed = words.select(
+        "item_id", "item", "template", "words", F.posexplode(window_hashes(F.col("words"), size)).alias("position", "window")
+    )
     run = F.slice("words", F.col("position") + 1, size)
     slots = F.filter(run, is_slot)
-    placed = placed.select("item_id", "item", "position", "window", slots.alias("slots"))
+    placed = placed.select("item_id", "item", "template", "position", "window", slots.alias("slots"))
     return placed.where(F.size("slots") <= size - PLAIN_WORDS)
 
 
@@ -91,29 +120,29 @@ def leaks(documents: DataFrame, items: DataFrame, size: int = WORDS, similarity:
     ``text_key`` is the hash of the text; ``changed`` tells whether slot values differ from those of the item.
     """
     evidence = cut_lineage(item_windows(items, size))
-    lookup = evidence.select("item_id", "item", "window").distinct()
-    totals = lookup.groupBy("item").agg(F.count("*").alias("n_windows"))
+    lookup = evidence.select("item_id", "item", "template", "window").distinct()
+    totals = lookup.groupBy("item", "template").agg(F.count("*").alias("n_windows"))
     if evidence.count() <= BROADCAST_WINDOWS:
         lookup = F.broadcast(lookup)
     docs = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("text"))
-    held = F.array_distinct(window_hashes(template_words(F.col("text")), size))
-    held = docs.select("doc_id", "text_key", F.explode(held).alias("window"))
-    found = held.join(lookup, "window").groupBy("doc_id", "text_key", "item_id", "item")
-    found = found.agg(F.countDistinct("window").alias("n_found")).join(totals, "item")
+    held = docs.select("doc_id", "text_key", F.explode(both_templates(template_words(F.col("text")), size)).alias("window"))
+    found = held.join(lookup, "window").groupBy("doc_id", "text_key", "item_id", "item", "template")
+    found = found.agg(F.countDistinct("window").alias("n_found")).join(totals, ["item", "template"])
     found = cut_lineage(found.where(F.col("n_found") >= F.col("n_windows") * similarity))
 
     # Slot values of the candidates only.
-    wanted = found.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "item")
+    wanted = found.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "item", "template")
     chosen = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")))
-    chosen = chosen.select("c_id", "c_key", "item", template_words(F.col("text")).alias("words"))
-    placed = chosen.select("c_id", "c_key", "item", "words", F.posexplode(window_hashes(F.col("words"), size)).alias("at", "window"))
+    chosen = chosen.select("c_id", "c_key", "item", "template", template_words(F.col("text")).alias("words"))
+    chosen = chosen.withColumn("words", F.when(F.col("template") == 0, F.col("words")).otherwise(without_names(F.col("words"))))
+    placed = chosen.select("c_id", "c_key", "item", "template", "words", F.posexplode(window_hashes(F.col("words"), size)).alias("at", "window"))
     slots = F.filter(F.slice("words", F.col("at") + 1, size), is_slot)
-    placed = placed.select("c_id", "c_key", "item", "at", "window", slots.alias("own")).where(F.size("own") > 0)
-    aligned = placed.join(evidence.select("item", "window", "position", "slots"), ["item", "window"])
+    placed = placed.select("c_id", "c_key", "item", "template", "at", "window", slots.alias("own")).where(F.size("own") > 0)
+    aligned = placed.join(evidence.select("item", "template", "window", "position", "slots"), ["item", "template", "window"])
     pairs = aligned.select(
-        "c_id", "c_key", "item", (F.col("at") - F.col("position")).alias("shift"), F.explode(F.arrays_zip("slots", "own")).alias("pair")
+        "c_id", "c_key", "item", "template", (F.col("at") - F.col("position")).alias("shift"), F.explode(F.arrays_zip("slots", "own")).alias("pair")
     )
-    keys = ["c_id", "c_key", "item"]
+    keys = ["c_id", "c_key", "item", "template"]
     values = pairs.groupBy(*keys, "shift", F.col("pair.slots").alias("value")).agg(
         F.min("pair.own").alias("low"), F.max("pair.own").alias("high")
     )
@@ -123,15 +152,22 @@ def leaks(documents: DataFrame, items: DataFrame, size: int = WORDS, similarity:
         F.max((F.col("low") != F.col("value")) | (F.col("high") != F.col("value"))).alias("changed"),
     )
     best = F.max_by(F.struct("n_slots", "consistency", "changed"), F.struct("n_slots", "consistency", -F.abs("shift"), "shift"))
-    best = shifts.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*").withColumnRenamed("item", "c_item")
+    best = shifts.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*").withColumnsRenamed({"item": "c_item", "template": "c_template"})
     same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")) & (F.col("item") == F.col("c_item"))
+    same = same & (F.col("template") == F.col("c_template"))
     judged = found.join(best, same, "left").select(
-        "doc_id", "text_key", "item_id", "item", "n_windows", "n_found",
+        "doc_id", "text_key", "item_id", "item", "template", "n_windows", "n_found",
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
         F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
         F.coalesce("changed", F.lit(False)).alias("changed"),
     )
-    return judged.where(F.col("consistency") >= CONSISTENT)
+    judged = judged.where(F.col("consistency") >= CONSISTENT)
+    # Of the templates, the one that holds more; of equals the first.
+    values = F.struct("n_windows", "n_found", "n_slots", "consistency", "changed")
+    judged = judged.groupBy("doc_id", "text_key", "item_id", "item").agg(
+        F.max_by(values, F.struct(F.col("n_found") / F.col("n_windows"), -F.col("template"))).alias("v")
+    )
+    return judged.select("doc_id", "text_key", "item_id", "item", "v.*")
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
