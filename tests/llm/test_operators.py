@@ -363,6 +363,19 @@ def test_copies_in_other_capitals_or_lines_are_found(session):
     assert set(found) == set(range(7)) and [k for k, row in found.items() if row["changed"]] == [6]
 
 
+def test_items_without_evidence_are_found_as_they_are(session):
+    texts = ["What is 12 + 35 * 4?", "Solve for x", "Alice, Bob, Carol, Dave, Erin, Frank", "zebra", None, "?!", "a " * 30 + "b"]
+    items = session.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    copies = [
+        "Before. what is 12 + 35 * 4 ? After", "What is 13 + 35 * 4?", "first Solve\nFOR x, then", "Solve it for x",
+        "and Alice, Bob, Carol, Dave, Erin, Frank met", "and Alice, Bob, Carol, Dave, Erin, Grace met", "a zebra here", "Zebra!", None, "",
+        "a " * 30 + "b",
+    ]
+    docs = session.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
+    found = {(row["doc_id"], row["item_id"]) for row in decontaminate.leaks(docs, items).collect()}
+    assert found == {(0, 0), (2, 1), (4, 2), (7, 3), (10, 6)}
+
+
 # --- Packing -----------------------------------------------------------------------------------------------------
 
 

@@ -10,8 +10,11 @@ are both found, while texts that agree only in placeholders are not.
 Only DataFrame functions are used. The windows of the items are broadcast only if they are counted to be few; otherwise
 both sides are shuffled.
 
-Defined results: null and empty texts have no windows. Windows with fewer than three plain words are not evidence. Items
-shorter than five words, or without such windows, are never found. An item that is repeated under one id counts once;
+Windows with fewer than three plain words are not evidence. Items without evidence, such as those under five words, are looked
+for as they are: all their lower-cased words in a row, values not replaced.
+
+Defined results: null and empty texts, and items without any word, are never found. An item of a single word is found only in
+documents of that single word. Items found as they are have one window, no slots and consistency 1. An item that is repeated under one id counts once;
 under several ids it is found for each. Repeated documents are found alike. Other columns stay, whatever their names.
 """
 
@@ -114,6 +117,39 @@ def item_windows(items: DataFrame, size: int = WORDS) -> DataFrame:
     return placed.where(F.size("slots") <= size - PLAIN_WORDS)
 
 
+def word_hashes(text: Column) -> Column:
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def bare_leaks(docs: DataFrame, items: DataFrame, evidence: DataFrame) -> DataFrame | None:
+    """(doc_id, text_key, item_id, item) of the items without evidence whose words stand in a row in a document of
+    (doc_id, text_key, text); None if there are no such items."""
+    bare = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
+    bare = bare.select("item_id", F.xxhash64("item_id", "text").alias("item"), word_hashes(F.col("text")).alias("words"))
+    bare = bare.join(evidence.select("item").distinct(), "item", "left_anti").where(F.size("words") > 0)
+    bare = cut_lineage(bare.select("item_id", "item", F.size("words").alias("n"), F.xxhash64("words").alias("run")))
+    # One number for each length that occurs.
+    lengths = sorted(row["n"] for row in bare.select("n").distinct().collect())
+    if not lengths:
+        return None
+    none = F.array().cast("array<bigint>")
+
+    def runs(hashes: Column) -> Column:
+        def of(n: int) -> Column:
+            starts = F.sequence(F.lit(1), F.size(hashes) - (n - 1))
+            own = F.transform(starts, lambda start: F.xxhash64(F.slice(hashes, start, n)))
+            return F.when(F.size(hashes) == 1 if n == 1 else F.size(hashes) >= n, own).otherwise(none)
+
+        return F.array_distinct(F.concat(*map(of, lengths)))
+
+    held = docs.select("doc_id", "text_key", F.explode(bound(word_hashes(F.col("text")), runs)).alias("run"))
+    lookup = bare.select("item_id", "item", "run")
+    if bare.count() <= BROADCAST_WINDOWS:
+        lookup = F.broadcast(lookup)
+    return held.join(lookup, "run").select("doc_id", "text_key", "item_id", "item").distinct()
+
+
 def leaks(documents: DataFrame, items: DataFrame, size: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_key, item_id, item, n_windows, n_found, n_slots, consistency, changed): every item found in a document.
 
@@ -167,7 +203,17 @@ def leaks(documents: DataFrame, items: DataFrame, size: int = WORDS, similarity:
     judged = judged.groupBy("doc_id", "text_key", "item_id", "item").agg(
         F.max_by(values, F.struct(F.col("n_found") / F.col("n_windows"), -F.col("template"))).alias("v")
     )
-    return judged.select("doc_id", "text_key", "item_id", "item", "v.*")
+    judged = judged.select("doc_id", "text_key", "item_id", "item", "v.*")
+    bare = bare_leaks(docs, items, evidence)
+    if bare is None:
+        return judged
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    return judged.unionByName(
+        bare.select(
+            "*", one.alias("n_windows"), one.alias("n_found"), zero.alias("n_slots"),
+            F.lit(1.0).alias("consistency"), F.lit(False).alias("changed"),
+        )
+    )
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
