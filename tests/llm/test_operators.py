@@ -56,6 +56,15 @@ def test_obfuscated_words_are_restored(written, meant):
     assert meant in toxicity.readings(written, model)
 
 
+@pytest.mark.parametrize(
+    "written, meant", [("!d!0t", "idiot"), ("(!d!0t)", "idiot"), ("gra$$", "grass"), ("+ru|", "trul"), ("spi+", "spit"), ("*pple,", "apple")]
+)
+def test_marks_at_the_edges_may_be_letters(written, meant):
+    model = language(["idiot", "grass", "trul", "spit", "apple", "an", "to"] * 30)
+    assert meant in toxicity.readings(written, model)
+    assert toxicity.readings("idiot!", model)[0] == "idiot"
+
+
 def test_letters_set_apart_are_joined():
     model = language(["winter", "house", "a", "in"] * 50)
     assert toxicity.spaced_words("see w i n t e r now", model) == ["winter"]

@@ -54,6 +54,8 @@ STANDS_FOR = {
     "*": "aeiou",
 }
 EDGES = "\"'`´.,:;?!()[]{}<>«»¿¡*#%&=~^/\\|-_+…“”„‘’"
+#: Edges that stand for no letter.
+BARE_EDGES = "".join(mark for mark in EDGES if mark not in STANDS_FOR)
 MARKS = re.escape("0123456789@$!|+*._-")
 SUSPECT = re.compile(rf"[a-z].*[{MARKS}]|[{MARKS}].*[a-z]|([a-z])\1\1", re.DOTALL)
 SPACED = re.compile(r"(?<!\S)[a-z0-9@$!|](?:[\s.\-_*]{1,3}[a-z0-9@$!|]){2,}(?![^\s.,!?;:])")
@@ -205,12 +207,14 @@ def strip_edges(word: str) -> str:
 
 
 def readings(word: str, model: np.ndarray) -> list[str]:
-    """A word as it stands, and the words of its restored forms."""
+    """A word as it stands, and the words of its restored forms, also with the marks at its edges that may be letters."""
     core = strip_edges(word)
     found = [core]
-    if SUSPECT.search(core):
-        for start in range(0, len(core), LONGEST):
-            found += restore(core[start : start + LONGEST], model).split()
+    whole = word.strip(BARE_EDGES)
+    for form in (core, whole) if whole != core else (core,):
+        if SUSPECT.search(form):
+            for start in range(0, len(form), LONGEST):
+                found += restore(form[start : start + LONGEST], model).split()
     return found
 
 
