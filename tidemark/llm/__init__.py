@@ -5,6 +5,7 @@ from tidemark.llm import (  # noqa: F401
     decontaminate,
     license_scan,
     linefreq,
+    merkle,
     neighbours,
     packing,
     quality,
