@@ -40,7 +40,7 @@ def folders(spark):
     return odd, none, len(rows)
 
 
-ONE_ROW_EACH = ("op2_toxicity", "op4_licenses", "op6_simhash", "op8_linefreq", "op9_quality")
+ONE_ROW_EACH = ("op2_toxicity", "op4_licenses", "op6_simhash", "op8_linefreq", "op9_quality", "op11_merkle", "op12_language")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -86,7 +86,7 @@ def test_near_copies_keep_one_row_of_repeated_rows(spark, folders):
 
 def test_queries_are_registered():
     names = entry_point.queries()
-    assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near dedup", "decontamination", "packing"]
 
 

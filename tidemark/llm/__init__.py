@@ -3,6 +3,7 @@
 from tidemark.llm import (  # noqa: F401
     binary_packing,
     decontaminate,
+    language,
     license_scan,
     linefreq,
     merkle,
@@ -12,6 +13,7 @@ from tidemark.llm import (  # noqa: F401
     simhash,
     toxicity,
     urls,
+    whitening,
 )
 from tidemark.llm.common import QUERIES, SQL
 
