@@ -1,13 +1,15 @@
 import datetime as dt
 import glob
 import json
+import os
+import shutil
 
 import pytest
 
 from tidemark.plans import runner
 from tidemark.plans.methods import Settings
 from tidemark.session import new_table_path
-from tidemark.sources import fluxfiles, manualflags, metadata, store
+from tidemark.sources import dayindex, fluxfiles, manualflags, metadata, store
 from tidemark.spec import SeriesSpec
 from tidemark.streaming.lookback import reprocess_touched_days
 
@@ -73,10 +75,110 @@ def test_a_broken_file_outside_the_window_does_no_harm(spark):
         store.read_days(spark, base, schema=rows(spark, (1, 0, 1.0)).schema).collect()
 
 
-def test_day_patterns():
-    day = dt.date.fromisoformat
-    assert store.day_patterns(day("2024-02-27"), day("2024-03-01")) == ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-01"]
-    assert store.day_patterns(day("2023-12-31"), day("2025-02-01")) == ["2023-12-31", "2024-*", "2025-01-*", "2025-02-01"]
+def opened(df):
+    """Names of the folders that a plan lists."""
+    paths = df._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths()
+    return sorted(path.toString().rsplit("/", 2)[-2] + "/" + path.getName() for path in (paths.apply(k) for k in range(paths.size())))
+
+
+def test_a_window_opens_its_folders_whatever_the_history(spark, monkeypatch):
+    """Listings and paths are counted, after ten days of history and after four hundred."""
+    listings = []
+    plain = dayindex.child_names
+    monkeypatch.setattr(dayindex, "child_names", lambda spark, path: listings.append(path) or plain(spark, path))
+    seen = []
+    for length in (10, 400):
+        base = new_table_path(spark, "history")
+        first = dt.datetime(2024, 1, 1)
+        rows = [(site, first + dt.timedelta(days=k), float(k)) for site in "AB" for k in range(length)]
+        store.write_days(spark.createDataFrame(rows, SCHEMA), base, HOURLY)
+        listings.clear()
+        got = store.read_days(spark, base, "2024-01-03", "2024-01-04")
+        assert sorted((r["site"], r["value"]) for r in got.collect()) == [("A", 2.0), ("A", 3.0), ("B", 2.0), ("B", 3.0)]
+        seen.append((opened(got), [path.removeprefix(base) for path in listings]))
+    assert seen[0] == seen[1]
+    assert seen[0][0] == ["site=A/date=2024-01-03", "site=A/date=2024-01-04", "site=B/date=2024-01-03", "site=B/date=2024-01-04"]
+
+
+def test_an_upsert_opens_the_folders_it_touches(spark, monkeypatch):
+    base = new_table_path(spark, "t")
+    days = [(s, dt.datetime(2025, 1, d), float(d)) for s in "ABC" for d in range(1, 20)]
+    store.write_days(spark.createDataFrame(days, SCHEMA), base, HOURLY)
+    paths = []
+    plain = dayindex._paths
+    monkeypatch.setattr(dayindex, "_paths", lambda spark, base, folders, *rest: paths.extend(folders) or plain(spark, base, folders, *rest))
+    store.upsert_days(spark.createDataFrame([("B", dt.datetime(2025, 1, 7, 1), 70.0), ("C", dt.datetime(2025, 2, 1), 1.0)], SCHEMA), base, HOURLY)
+    assert paths == ["site=B/date=2025-01-07"]
+    got = store.read_days(spark, base, "2025-01-07", "2025-02-02")
+    assert sorted((r["site"], r["time"].day, r["value"]) for r in got.where("site = 'B' AND day(time) = 7 OR month(time) = 2").collect()) == [
+        ("B", 7, 7.0), ("B", 7, 70.0), ("C", 1, 1.0)]
+
+
+def test_a_lost_or_stale_index_is_rebuilt(spark):
+    base = new_table_path(spark, "t")
+    store.write_days(rows(spark, (1, 0, 1.0), (2, 0, 2.0), (3, 0, 3.0)), base, HOURLY)
+    shutil.rmtree(f"{base}/_index")
+    assert listed(store.read_days(spark, base, "2025-01-02", "2025-01-03")) == [(2, 0, 2.0), (3, 0, 3.0)]
+    assert os.path.isdir(f"{base}/_index")
+    # A job that died after entering a day, and a folder that somebody took away.
+    dayindex.add(dayindex.touched_folders(rows(spark, (4, 0, 4.0)), ["site"], "time"), base, rows(spark, (4, 0, 4.0)).schema)
+    shutil.rmtree(f"{base}/site=A/date=2025-01-02")
+    assert listed(store.read_days(spark, base, "2025-01-01", "2025-01-04")) == [(1, 0, 1.0), (3, 0, 3.0)]
+    store.upsert_days(rows(spark, (4, 0, 5.0), (2, 1, 9.0)), base, HOURLY)
+    assert listed(store.read_days(spark, base, "2025-01-01", "2025-01-04")) == [(1, 0, 1.0), (2, 1, 9.0), (3, 0, 3.0), (4, 0, 5.0)]
+
+
+def test_a_month_of_many_saves_is_compacted(spark, monkeypatch):
+    monkeypatch.setattr(dayindex, "MOST_FILES", 4)
+    base = new_table_path(spark, "t")
+    for k in range(6):
+        store.write_days(rows(spark, (1 + k % 3, 0, float(k))), base, HOURLY)
+    assert len(glob.glob(f"{base}/_index/month=2025-01/*.parquet")) == 2
+    assert listed(store.read_days(spark, base, "2025-01-01", "2025-01-31")) == [(1, 0, 3.0), (2, 0, 4.0), (3, 0, 5.0)]
+
+
+def test_names_of_folders_are_those_of_spark(spark):
+    names = ["plain", "", None, "a/b", "x=1", "50%", "{q}[w]^", "tab\there", "quote\"'", "a b", "é漢", "back\\slash", "c:d?e#f*", "\x7f"]
+    base = new_table_path(spark, "t")
+    day = dt.datetime(2025, 1, 1)
+    store.write_days(spark.createDataFrame([(name, day, float(k)) for k, name in enumerate(names)], SCHEMA), base, HOURLY)
+    got = store.read_days(spark, base, "2025-01-01", "2025-01-01")
+    assert sorted(r["value"] for r in got.collect()) == [float(k) for k in range(len(names))]
+    assert {r["site"] for r in got.collect()} == set(names) - {""}
+
+
+def test_columns_of_a_window_come_from_the_index(spark):
+    """No file is opened to find columns; types that disagree are left to Spark."""
+    base = new_table_path(spark, "t")
+    store.write_days(rows(spark, (1, 0, 1.0)), base, HOURLY)
+    store.write_days(rows(spark, (2, 0, 2.0, 7), schema=SCHEMA + ", more int"), base, HOURLY)
+    got = store.read_days(spark, base, "2025-01-01", "2025-01-02")
+    assert listed(got, "more") == [(1, 0, None), (2, 0, 7)] and got.columns == ["time", "value", "more", "site", "date"]
+    store.write_days(rows(spark, (3, 0, "x"), schema="site string, time timestamp_ntz, more string"), base, HOURLY)
+    with pytest.raises(Exception, match="merge"):
+        store.read_days(spark, base, "2025-01-01", "2025-01-03").collect()
+    assert dayindex.merged_schema([None, "{}"]) is None
+
+
+def test_an_empty_window_of_a_store(spark):
+    base = new_table_path(spark, "t")
+    store.write_days(rows(spark, (1, 0, 1.0)), base, HOURLY)
+    got = store.read_days(spark, base, "2025-01-02", "2025-01-05")
+    assert got.collect() == [] and {"time", "value", "site", "date"} == set(got.columns)
+
+
+def test_raw_files_of_days_that_exist(spark):
+    base = new_table_path(spark, "raw")
+    spark.createDataFrame([(f"2025-01-0{d}", f"v{d}") for d in (1, 2, 5)], "date string, value string").write.partitionBy("date").text(base)
+    got = store.raw_file_manifest(spark, base, "2025-01-02", "2025-01-06")
+    assert sorted({str(r["date"]) for r in got.collect()}) == ["2025-01-02", "2025-01-05"]
+    assert store.raw_file_manifest(spark, base, "2026-01-01", "2026-01-02").collect() == []
+
+
+def test_counts_come_from_the_job_that_reads(spark):
+    df, seen = store.counted(rows(spark, (1, 0, 1.0), (1, 1, None), (2, 0, 3.0)), "seen", ["value"])
+    store.write_days(df, new_table_path(spark, "t"), HOURLY)
+    assert seen.get == {"rows": 3, "value": 2}
 
 
 def test_upsert(spark):

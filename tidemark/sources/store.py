@@ -1,19 +1,20 @@
-"""Series stored as parquet in one folder per day: ``<base>/<key>=.../date=YYYY-MM-DD/``."""
+"""Series stored as parquet in one folder per day: ``<base>/<key>=.../date=YYYY-MM-DD/``, with an index of these folders."""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.align import upsert
 from tidemark.session import cut_lineage, prepare
+from tidemark.sources import dayindex
+from tidemark.sources.dayindex import DATE
 from tidemark.spec import SeriesSpec
 
-DATE = "date"
 #: Conditions of an error that mean that nothing is stored; an empty folder has no schema.
 NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 Day = dt.date | str
@@ -29,20 +30,22 @@ def read_days(
     schema: T.StructType | None = None,
     levels: int = 1,
 ) -> DataFrame:
-    """Rows of the days from ``start`` to ``end``, both inclusive. With both given, only the folders of those days are
-    listed and only their files opened; ``levels`` is the number of key folders above a day.
+    """Rows of the days from ``start`` to ``end``, both inclusive. With both given, the folders of those days are found in the
+    index and opened by their paths; nothing else is listed, whatever the history. ``levels`` is the number of key folders above a day.
 
     Files may differ in columns: they are merged by name. Wanted columns that no file has are left out. With ``schema``
     given, nothing stored yet reads as no rows. Keys read as text, whatever they look like.
     """
     if start is not None and end is not None:
-        first, last = _day(start), _day(end)
-        stored = _read(spark, base, day_patterns(first, last), levels, merge_schema)
+        stored = None
+        if dayindex.ensure(spark, base, levels):
+            entries = dayindex.between(spark, base, _day(start), _day(end))
+            stored = _dated(dayindex.open_folders(spark, base, entries, levels, merge_schema))
     else:
-        stored = _read(spark, base, None, levels, merge_schema)
+        stored = _read(spark, base, merge_schema)
     if stored is None:
         if schema is None:
-            return _read(spark, base, None, levels, False, must_exist=True).where(F.lit(False))
+            return _read(spark, base, False, must_exist=True).where(F.lit(False))
         return spark.createDataFrame([], schema)
     if start is not None:
         stored = stored.where(F.col(DATE) >= F.lit(_day(start)))
@@ -55,37 +58,21 @@ def _day(day: Day) -> dt.date:
     return dt.date.fromisoformat(str(day)[:10])
 
 
-def day_patterns(first: dt.date, last: dt.date) -> list[str]:
-    """Names of the days, with one pattern for a whole month or year."""
-    found, day = [], first
-    while day <= last:
-        next_year = dt.date(day.year + 1, 1, 1)
-        next_month = next_year if day.month == 12 else dt.date(day.year, day.month + 1, 1)
-        one = dt.timedelta(days=1)
-        if day.month == day.day == 1 and next_year - one <= last:
-            found, day = [*found, f"{day.year:04}-*"], next_year
-        elif day.day == 1 and next_month - one <= last:
-            found, day = [*found, f"{day:%Y-%m}-*"], next_month
-        else:
-            found, day = [*found, day.isoformat()], day + one
-    return found
-
-
-def _read(
-    spark: SparkSession, base: str, days: list[str] | None, levels: int, merge_schema: bool, must_exist: bool = False
-) -> DataFrame | None:
-    """The stored rows of some days, or all; None if there are none. Any other failure is raised."""
-    if days is not None and not days:
-        return None
-    path = base if days is None else "/".join([base.rstrip("/"), *["*"] * levels, f"{DATE}={{{','.join(days)}}}"])
+def _dated(stored: DataFrame | None) -> DataFrame | None:
+    if stored is None or DATE not in stored.columns:
+        return stored
+    return stored.withColumn(DATE, F.col(DATE).cast("date"))
+
+
+def _read(spark: SparkSession, base: str, merge_schema: bool, must_exist: bool = False) -> DataFrame | None:
+    """All stored rows; None if there are none. Any other failure is raised."""
     reader = prepare(spark).read.option("mergeSchema", str(merge_schema).lower()).option("basePath", base)
     try:
-        stored = reader.parquet(path)
+        return _dated(reader.parquet(base))
     except AnalysisException as error:
         if must_exist or error.getCondition() not in NOTHING_STORED:
             raise
         return None
-    return stored.withColumn(DATE, F.col(DATE).cast("date")) if DATE in stored.columns else stored
 
 
 def select_existing(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -104,13 +91,23 @@ def widened(start: dt.date, end: dt.date, days: int = 1) -> tuple[dt.date, dt.da
     return start - dt.timedelta(days=days), end + dt.timedelta(days=days)
 
 
-def write_days(df: DataFrame, base: str, spec: SeriesSpec, partition_by: list[str] | None = None) -> None:
-    """Write one folder per key and day, replacing those days and no others.
+def write_days(
+    df: DataFrame, base: str, spec: SeriesSpec, partition_by: list[str] | None = None, touched: DataFrame | None = None
+) -> None:
+    """Write one folder per key and day, replacing those days and no others, and enter them in the index.
 
     Rows are brought together by key and day, so a folder gets one file. Spark evens out the tasks: small groups share
-    one, and a group far larger than the others is split over several, and then gets several files.
+    one, and a group far larger than the others is split over several, and then gets several files. ``touched``: the
+    folders that the rows fall in (folder, date), if known; else the rows are written to the shared folder to find them.
     """
-    folders = [*(partition_by if partition_by is not None else spec.keys), DATE]
+    keys = list(partition_by if partition_by is not None else spec.keys)
+    folders = [*keys, DATE]
+    if touched is None:
+        df = cut_lineage(df)
+        touched = dayindex.touched_folders(df, keys, spec.time)
+    fields = [field for field in df.schema if field.name not in folders]
+    # First, so that the index never lacks a folder.
+    dayindex.add(touched, base, T.StructType(fields))
     dated = df.withColumn(DATE, F.to_date(spec.time))
     (
         dated.hint("rebalance", *folders)
@@ -125,23 +122,29 @@ def write_days(df: DataFrame, base: str, spec: SeriesSpec, partition_by: list[st
 def upsert_days(df: DataFrame, base: str, spec: SeriesSpec) -> None:
     """Merge rows into the stored days they touch. New rows win, nulls included; other rows and columns are kept.
 
-    Only the folders of the touched days are listed, read and written again. Spark swaps the folders in when the job
+    Only the folders of the touched keys and days are opened and written again. Spark swaps the folders in when the job
     commits, so a task may be lost and run again meanwhile. The new rows are written to the shared folder first, so
     their plan runs once and before anything is replaced.
     """
-    spark = df.sparkSession
-    folders = [*spec.keys, DATE]
+    spark, keys = df.sparkSession, list(spec.keys)
     new = cut_lineage(df)
-    touched = new.select(*spec.keys, F.to_date(spec.time).alias(DATE)).distinct()
-    # One entry for each day of the calendar that is touched, however many rows and keys there are.
-    days = sorted(str(row[DATE]) for row in touched.select(DATE).distinct().collect() if row[DATE] is not None)
-    stored = _read(spark, base, days, len(spec.keys), True)
+    touched = cut_lineage(dayindex.touched_folders(new, keys, spec.time))
+    stored = None
+    if dayindex.ensure(spark, base, len(keys)):
+        entries = dayindex.of_folders(spark, base, touched)
+        stored = dayindex.open_folders(spark, base, entries, len(keys), True)
     if stored is None:
-        write_days(new, base, spec)
+        write_days(new, base, spec, touched=touched)
         return
-    typed = stored.withColumns({key: F.col(key).cast(df.schema[key].dataType) for key in spec.keys})
-    old = typed.join(touched, folders, "left_semi").drop(DATE)
-    write_days(upsert(old, new, spec.id_columns), base, spec)
+    typed = stored.withColumns({key: F.col(key).cast(df.schema[key].dataType) for key in keys}).drop(DATE)
+    write_days(upsert(typed, new, spec.id_columns), base, spec, touched=touched)
+
+
+def counted(df: DataFrame, name: str, values: list[str]) -> tuple[DataFrame, Observation]:
+    """``df`` and what the job that reads it will have seen: its ``rows``, and the values of each column of ``values``."""
+    seen = Observation(name)
+    counts = [F.count_if(F.col(value).isNotNull()).alias(value) for value in values]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
 
 
 def run_report(df: DataFrame, spec: SeriesSpec, core_flag: str | None = None, removed_bit: int = 8) -> DataFrame:
@@ -159,8 +162,16 @@ def run_report(df: DataFrame, spec: SeriesSpec, core_flag: str | None = None, re
 def raw_file_manifest(
     spark: SparkSession, base: str, start: Day, end: Day, pattern: str = "*"
 ) -> DataFrame:
-    """The raw files of the days asked for: path, size, time of change and day. Contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(base)
-    day = F.col(DATE).cast("date")
-    wanted = files.where(day.between(F.lit(str(start)[:10]).cast("date"), F.lit(str(end)[:10]).cast("date")))
-    return wanted.select("path", "length", "modificationTime", day.alias(DATE))
+    """The raw files of the days asked for: path, size, time of change and day. Contents are not read.
+
+    Each day is looked up by its name; days without a folder have no files. What else is stored is not listed.
+    """
+    first, last = _day(start), _day(end)
+    days = [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+    paths = [f"{base.rstrip('/')}/{DATE}={day.isoformat()}" for day in days]
+    paths = [path for path in paths if dayindex.exists(spark, path)]
+    if not paths:
+        schema = "path string, length long, modificationTime timestamp, date date"
+        return spark.createDataFrame([], schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("basePath", base).load(paths)
+    return files.select("path", "length", "modificationTime", F.col(DATE).cast("date").alias(DATE))
