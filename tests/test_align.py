@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from tidemark.operators import align
+from tidemark.operators import align, intervals as spans
 from tidemark.operators.chunks import number_rows, running_max_since, with_slot
 from tidemark.sources import ancillary
 from tidemark.spec import SeriesSpec
@@ -106,26 +106,26 @@ def test_join_intervals(spark, series, values):
     held = intervals(
         spark, ("A", at(1), at(3), 1.0), ("A", at(5), None, 2.0), ("B", dt.datetime(1700, 1, 1), at(1), 9.0)
     )
-    joined = align.join_intervals(frame.df, frame.spec, held, "height")
+    joined = spans.join_intervals(frame.df, frame.spec, held, "height")
     assert values(joined, "height") == [None, 1, 1, None, None, 2, 2, 2] + [9, None]
 
 
 def test_unknown_start_is_open(spark, series, values):
     frame = series([0] * 3)
     held = intervals(spark, ("A", None, at(1), 1.0), ("A", at(1), None, 2.0))
-    assert values(align.join_intervals(frame.df, frame.spec, held, "height"), "height") == [1, 2, 2]
+    assert values(spans.join_intervals(frame.df, frame.spec, held, "height"), "height") == [1, 2, 2]
 
 
 def test_interval_open_at_both_ends(spark, series, values):
     frame = series({"A": [0] * 2, "B": [0]})
     held = intervals(spark, ("A", None, None, 4.0))
-    assert values(align.join_intervals(frame.df, frame.spec, held, "height"), "height") == [4, 4, None]
+    assert values(spans.join_intervals(frame.df, frame.spec, held, "height"), "height") == [4, 4, None]
 
 
 def test_far_times_find_open_intervals(spark, values):
     df = spark.createDataFrame([("A", dt.datetime(2500, 1, 1)), ("A", dt.datetime(1500, 1, 1))], "site string, time timestamp_ntz")
     held = intervals(spark, ("A", dt.datetime(2200, 1, 1), None, 2.0), ("A", None, dt.datetime(1600, 1, 1), 1.0))
-    assert values(align.join_intervals(df, HOURLY, held, "height"), "height") == [1, 2]
+    assert values(spans.join_intervals(df, HOURLY, held, "height"), "height") == [1, 2]
 
 
 @pytest.mark.parametrize(
@@ -142,13 +142,13 @@ def test_far_times_find_open_intervals(spark, values):
 def test_invalid_intervals(spark, series, rows, reason):
     frame = series([0])
     with pytest.raises(ValueError, match=reason):
-        align.join_intervals(frame.df, frame.spec, intervals(spark, *rows), "height")
+        spans.join_intervals(frame.df, frame.spec, intervals(spark, *rows), "height")
 
 
 def test_intervals_of_other_series_do_not_matter(spark, series):
     frame = series([0])
     held = intervals(spark, ("A", at(1), None, 1.0), ("B", at(0), None, 1.0), ("A", at(0), at(1), 1.0))
-    align.join_intervals(frame.df, frame.spec, held, "height")
+    spans.join_intervals(frame.df, frame.spec, held, "height")
 
 
 def test_intervals_against_every_pair(spark, values):
@@ -164,7 +164,7 @@ def test_intervals_against_every_pair(spark, values):
             held.append((site, start, None if n == 19 else cursor, float(n)))
     rows = sorted({(chance.choice("ABCD"), base + dt.timedelta(hours=chance.randint(-500, 90_000))) for _ in range(300)})
     df = spark.createDataFrame(rows, "site string, time timestamp_ntz")
-    joined = align.join_intervals(df, HOURLY, intervals(spark, *held), "height")
+    joined = spans.join_intervals(df, HOURLY, intervals(spark, *held), "height")
     expected = [
         next((v for s, a, b, v in held if s == site and a <= t and (b is None or t < b)), None) for site, t in rows
     ]
@@ -183,11 +183,74 @@ def test_periods_never_multiply_rows(spark, values):
     rows = sorted({(chance.choice("ABC"), base + dt.timedelta(hours=chance.randint(-100, 4500))) for _ in range(400)})
     df = spark.createDataFrame(rows, "site string, time timestamp_ntz")
     listed = spark.createDataFrame(periods, "site string, start timestamp_ntz, end timestamp_ntz")
-    marked = align.mark_in_periods(df, HOURLY, listed, "bad")
+    marked = spans.mark_in_periods(df, HOURLY, listed, "bad")
     expected = [any(s == site and a <= t and (b is None or t <= b) for s, a, b in periods) for site, t in rows]
     assert values(marked, "bad") == expected
 
 
+def test_lengths_of_all_kinds_against_every_pair(spark, values):
+    """Minutes to centuries, open ends and dates that stand for never, in one table."""
+    chance = random.Random(21)
+    held, rows = [], []
+    for site in "ABCD":
+        cursor = dt.datetime(1, 1, 1) if site == "B" else dt.datetime(1850, 1, 1)
+        for n in range(25):
+            minutes = chance.choice([1, 30, 1440, 50_000, 5_000_000, 60_000_000])
+            start, cursor = cursor, min(cursor + dt.timedelta(minutes=minutes), dt.datetime(9000, 1, 1))
+            if start < cursor:
+                held.append([site, start, cursor, float(n)])
+                rows += [(site, start), (site, cursor), (site, start + (cursor - start) / 2)]
+                cursor += dt.timedelta(minutes=chance.choice([0, 0, 7]))
+        held[-1][2] = {"A": None, "B": dt.datetime(9999, 12, 31, 23, 59, 59), "C": None}.get(site, held[-1][2])
+        rows.append((site, dt.datetime(9500, 1, 1)))
+    rows = sorted({(site, time.replace(microsecond=0)) for site, time in rows} | {("E", at(1))})
+    df = spark.createDataFrame(rows, "site string, time timestamp_ntz")
+    joined = spans.join_intervals(df, HOURLY, intervals(spark, *held), "height")
+    expected = [next((v for s, a, b, v in held if s == site and a <= t and (b is None or t < b)), None) for site, t in rows]
+    assert values(joined, "height") == expected and joined.columns == ["site", "time", "height"]
+    periods = [(s, None if chance.random() < 0.1 else a, b) for s, a, b, _ in held for _ in range(2)]
+    listed = spark.createDataFrame(periods[::3], "site string, start timestamp_ntz, end timestamp_ntz")
+    marked = [any(s == site and (a is None or a <= t) and (b is None or t <= b) for s, a, b in periods[::3]) for site, t in rows]
+    assert values(spans.mark_in_periods(df, HOURLY, listed, "bad"), "bad") == marked
+    none = listed.where("false")
+    assert set(values(spans.mark_in_periods(df, HOURLY, none, "bad"), "bad")) == {False}
+
+
+def test_cells_follow_the_lengths_and_spread_a_series(spark):
+    """Few copies of all intervals together, and many cells of the one interval that holds most rows."""
+    day = dt.timedelta(days=1)
+    start = dt.datetime(2000, 1, 1)
+    for rows in (
+        [("A", start, start + 3650 * day, 1.0)],
+        [("A", start, start + 3650 * day, 1.0)] + [("B", start + k * day, start + (k + 1) * day, 1.0) for k in range(2000)],
+        [("B", start + k * day / 24, start + (k + 1) * day / 24, 1.0) for k in range(500)],
+    ):
+        held = intervals(spark, *rows)
+        exponent, far = spans._survey(held)
+        cells = spans._near_place(held, exponent).groupBy("site").count().collect()
+        assert not far and sum(row["count"] for row in cells) <= (spans.COPIES + 2) * len(rows)
+        if rows[0][0] == "A":
+            assert next(row["count"] for row in cells if row["site"] == "A") >= 9
+    assert spans._survey(intervals(spark, ("A", None, None, 1.0), ("A", start, dt.datetime(9999, 1, 1), 1.0))) == (None, True)
+
+
+def test_interval_joins_take_few_exchanges(spark):
+    """With nothing broadcast: the rows once for each kind of interval, and the intervals."""
+    held = intervals(spark, ("A", at(1), at(3), 1.0), ("A", at(5), None, 2.0))
+    df = spark.createDataFrame([("A", at(k)) for k in range(9)], "site string, time timestamp_ntz")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for made in (
+            spans.join_intervals(df, HOURLY, held, "height", check=False),
+            spans.mark_in_periods(df, HOURLY, held.drop("height"), "bad"),
+        ):
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") <= 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_deployments(spark, series):
     rows = [("A", "A-anem-1", at(0), at(2), 2.0), ("A", "A-rain-1", at(0), None, 9.0), ("A", "A-anem-2", at(2), None, 3.0)]
     deployments = spark.createDataFrame(

@@ -24,7 +24,7 @@ from tidemark.catalog.registry import (
 )
 from tidemark.functions.times import within_dates
 from tidemark.functions.values import missing, present
-from tidemark.operators import align
+from tidemark.operators import align, intervals as spans
 from tidemark.plans import runner
 from tidemark.plans.methods import Frame
 from tidemark.sources import ancillary
@@ -226,7 +226,7 @@ SELECT site, time, {q6("value")} AS value,
 @query("asof_interval_join", _ASOF)
 def asof_interval_join(spark, folder):
     frame = padded(spark, folder)
-    joined = align.join_intervals(frame.df, frame.spec, heights(spark, folder), "height")
+    joined = spans.join_intervals(frame.df, frame.spec, heights(spark, folder), "height")
     return joined.select("site", "time", r6("value").alias("value"), r6("height").alias("height"))
 
 
@@ -243,7 +243,7 @@ def deployment_join(spark, folder):
         F.when(F.col("platform") == "anem", F.col("height")).otherwise(-1.0).alias("height"),
     )
     found = align.deployment_intervals(deployments, "-anem-", "height", ["site"])
-    joined = align.join_intervals(frame.df, frame.spec, found, "height")
+    joined = spans.join_intervals(frame.df, frame.spec, found, "height")
     return joined.select("site", "time", r6("value").alias("value"), r6("height").alias("height"))
 
 
@@ -272,7 +272,7 @@ def soil(spark, folder):
 )
 def annotation_join(spark, folder):
     met = met_table(spark, folder).select("site", "time", "vwc")
-    joined = align.join_intervals(met, DAILY_SPEC.with_(value="vwc"), soil(spark, folder), "wilting_point")
+    joined = spans.join_intervals(met, DAILY_SPEC.with_(value="vwc"), soil(spark, folder), "wilting_point")
     return joined.select("site", "time", r6("vwc").alias("vwc"), r6("wilting_point").alias("wilting_point"))
 
 
@@ -291,7 +291,7 @@ def validate_intervals(spark, folder):
     orders = table(spark, folder, "orders")
     end = F.when(F.col("o_orderstatus") != "O", F.expr("o_orderdate + INTERVAL 90 DAYS"))
     intervals = orders.select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("start"), end.alias("end"))
-    return align.invalid_intervals(intervals, ["customer"]).select("customer", "start", "reason")
+    return spans.invalid_intervals(intervals, ["customer"]).select("customer", "start", "reason")
 
 
 @query(
@@ -308,7 +308,7 @@ def merge_periods(spark, folder):
     orders = table(spark, folder, "orders")
     end = F.expr("o_orderdate + INTERVAL 120 DAYS")
     periods = orders.select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("start"), end.alias("end"))
-    return align.merge_periods(periods, ["customer"])
+    return spans.merge_periods(periods, ["customer"])
 
 
 # --- Tables for a flux run ---------------------------------------------------------------------------------------

@@ -8,13 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import TimeLike, at, floor_div, from_micros, micros, slot, slot_start
-from tidemark.operators.chunks import CHUNK_SLOTS, running_max
+from tidemark.operators.chunks import CHUNK_SLOTS
 from tidemark.spec import SeriesSpec, check_same_cadence
 
-# Interval joins match rows and intervals by key and calendar year, then by time. Years outside this range share the
-# first or the last bucket, so open ends cost at most this many copies of an interval.
-FIRST_YEAR, LAST_YEAR = 1900, 2100
-
 
 # --- Padding -----------------------------------------------------------------------------------------------------
 
@@ -154,147 +150,7 @@ def daily_onto_hourly(
     return dated.join(days, [*hourly_spec.keys, "_day"], "left").drop("_day")
 
 
-# --- Intervals ---------------------------------------------------------------------------------------------------
-
-
-def _year(time: Column) -> Column:
-    """Calendar year, limited to the first and last bucket; null for null, which least and greatest would skip."""
-    return F.when(time.isNotNull(), F.greatest(F.least(F.year(time), F.lit(LAST_YEAR)), F.lit(FIRST_YEAR)))
-
-
-def invalid_intervals(intervals: DataFrame, keys: list[str]) -> DataFrame:
-    """Intervals that break a rule, with the reason. Start may be null (open), end may be null (open).
-
-    Rules, per key: end after start; no two intervals overlap or start together; at most one open end, on the last.
-
-    Intervals are ordered within the year they start in; what follows a year is carried over from the next one, so a key
-    with very many intervals is spread over tasks.
-    """
-    yearly = intervals.withColumn("_start_year", F.coalesce(_year(F.col("start")), F.lit(FIRST_YEAR)))
-    in_order = Window.partitionBy(*keys).orderBy("_start_year")
-    following = (
-        yearly.groupBy(*keys, "_start_year")
-        .agg(F.min("start").alias("_first"), F.count_if(F.col("end").isNull()).alias("_open"))
-        .select(
-            *keys,
-            "_start_year",
-            F.lead("_first").over(in_order).alias("_first_after"),
-            F.sum("_open").over(Window.partitionBy(*keys)).alias("_open_ends"),
-        )
-    )
-    within_year = Window.partitionBy(*keys, "_start_year").orderBy(
-        F.col("start").asc_nulls_first(), F.col("end").asc_nulls_last()
-    )
-    # Only the first interval of all can have no start, so a next interval with a null start starts together with it.
-    has_next = F.lead(F.lit(True)).over(within_year).isNotNull()
-    open_end, next_start = F.col("end").isNull(), F.col("_next_start")
-    more = F.col("_next_here") | next_start.isNotNull()
-    reason = (
-        F.when(F.col("end") <= F.col("start"), "end not after start")
-        .when(open_end & (F.col("_open_ends") > 1), "more than one open end")
-        .when(open_end & more, "open end is not last")
-        .when(more & (next_start.isNull() | (next_start < F.col("end"))), "overlap")
-    )
-    return (
-        yearly.join(following, [*keys, "_start_year"])
-        .withColumn("_next_here", has_next)
-        .withColumn(
-            "_next_start", F.when(F.col("_next_here"), F.lead("start").over(within_year)).otherwise(F.col("_first_after"))
-        )
-        .withColumn("reason", reason)
-        .where("reason is not null")
-        .drop("_start_year", "_first_after", "_open_ends", "_next_here", "_next_start")
-    )
-
-
-def check_intervals(intervals: DataFrame, keys: list[str]) -> None:
-    """Raise if any interval breaks a rule. Looks at the intervals only, and brings one row back."""
-    bad = invalid_intervals(intervals, keys).limit(1).collect()
-    if bad:
-        raise ValueError(f"Invalid interval ({bad[0]['reason']}): {bad[0].asDict()}")
-
-
-def _by_year(intervals: DataFrame, keys: list[str]) -> DataFrame:
-    """One copy of each interval per calendar year it touches, columns renamed so that they cannot collide."""
-    first = F.coalesce(_year(F.col("start")), F.lit(FIRST_YEAR))
-    last = F.coalesce(_year(F.col("end")), F.lit(LAST_YEAR))
-    renamed = {"start": "_start", "end": "_end"} | {key: f"_key_{key}" for key in keys}
-    return intervals.withColumn("_year", F.explode(F.sequence(first, last))).withColumnsRenamed(renamed)
-
-
-def _match_intervals(df: DataFrame, spec: SeriesSpec, intervals: DataFrame, end_inclusive: bool) -> DataFrame:
-    """Left join rows to intervals that hold their time.
-
-    The join is an equality on keys and year plus a range check, so Spark may broadcast the intervals if they turn out
-    small, and otherwise shuffles both sides by key and year. No size is assumed.
-    """
-    keys = list(spec.keys)
-    time = F.col(spec.time)
-    before_end = time <= F.col("_end") if end_inclusive else time < F.col("_end")
-    same_series = reduce(lambda a, b: a & b, (F.col(key) == F.col(f"_key_{key}") for key in keys))
-    inside = (F.col("_start").isNull() | (time >= F.col("_start"))) & (F.col("_end").isNull() | before_end)
-    bucketed = df.withColumn("_row_year", _year(time))
-    return bucketed.join(
-        _by_year(intervals, keys), same_series & (F.col("_row_year") == F.col("_year")) & inside, "left"
-    ).drop("_row_year", "_year", "_start", "_end", *(f"_key_{key}" for key in keys))
-
-
-def join_intervals(
-    df: DataFrame, spec: SeriesSpec, intervals: DataFrame, *names: str, check: bool = True
-) -> DataFrame:
-    """Add the time-varying attributes ``names`` from intervals (keys, start, end, names).
-
-    Start is inclusive, end exclusive; a null end is open. Rows outside all intervals get null.
-    """
-    intervals = intervals.select(*spec.keys, "start", "end", *names)
-    if check:
-        check_intervals(intervals, list(spec.keys))
-    return _match_intervals(df, spec, intervals, end_inclusive=False)
-
-
-def merge_periods(periods: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge overlapping closed periods per key, so that no time lies in two of them.
-
-    A period that starts after everything before it has ended starts a group; the others belong to the latest such start.
-    """
-    far_past, far_future = at("0001-01-01 00:00:00"), at("9999-12-31 23:59:59")
-    closed = periods.select(
-        *keys, F.coalesce("start", far_past).alias("start"), F.coalesce("end", far_future).alias("end")
-    ).where("start <= end")
-    yearly = closed.withColumn("_start_year", _year(F.col("start")))
-    order = [F.col("start"), F.col("end")]
-    reached = running_max(yearly, keys, "_start_year", order, F.col("end"), "_reached", upto=-1)
-    begins = F.when(F.col("_reached").isNull() | (F.col("start") > F.col("_reached")), F.col("start"))
-    # Of equal periods the one that starts the group comes first.
-    order.append(F.col("_reached").asc_nulls_first())
-    grouped = running_max(reached, keys, "_start_year", order, begins, "_group")
-    return grouped.groupBy(*keys, "_group").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_group")
-
-
-def mark_in_periods(df: DataFrame, spec: SeriesSpec, periods: DataFrame, name: str) -> DataFrame:
-    """Add boolean ``name``: does the row's time lie in any period (keys, start, end) of its series, ends inclusive.
-
-    Overlapping periods are merged first, so the join finds at most one and rows are never multiplied.
-    """
-    merged = merge_periods(periods, list(spec.keys)).withColumn("_hit", F.lit(True))
-    return (
-        _match_intervals(df, spec, merged, end_inclusive=True)
-        .withColumn(name, F.coalesce("_hit", F.lit(False)))
-        .drop("_hit")
-    )
-
-
-def join_site_parameters(
-    df: DataFrame, spec: SeriesSpec, table: DataFrame, prefix: str, found: str
-) -> tuple[DataFrame, list[str]]:
-    """Add the parameters that hold for each row from a table (keys, start, end, parameters), under prefixed names, and
-    boolean ``found``. Start and end are inclusive, null is open. Periods of one series must not overlap."""
-    keys = list(spec.keys)
-    names = [name for name in table.columns if name not in (*keys, "start", "end")]
-    check_intervals(table.select(*keys, "start", (F.col("end") + F.expr("INTERVAL 1 MICROSECOND")).alias("end")), keys)
-    renamed = table.withColumnsRenamed({name: f"{prefix}{name}" for name in names}).withColumn(found, F.lit(True))
-    joined = _match_intervals(df, spec, renamed, end_inclusive=True)
-    return joined.withColumn(found, F.coalesce(found, F.lit(False))), names
+# --- Attributes of deployments ----------------------------------------------------------------------------------------
 
 
 def deployment_intervals(deployments: DataFrame, platform: str, attribute: str, keys: list[str]) -> DataFrame:

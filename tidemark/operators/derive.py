@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import physics
 from tidemark.functions.values import nan_to_null
-from tidemark.operators.align import daily_onto_hourly, join_intervals, merge_series, time_grid
+from tidemark.operators.align import daily_onto_hourly, merge_series, time_grid
 from tidemark.operators.chunks import CHUNK_SLOTS, running_max_since, with_slot
+from tidemark.operators.intervals import join_intervals
 from tidemark.plans.methods import Frame, Settings, method
 from tidemark.spec import SeriesSpec, check_same_cadence
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import within_dates, within_day_window
 from tidemark.functions.values import nan_to_null
-from tidemark.operators.align import mark_in_periods
+from tidemark.operators.intervals import mark_in_periods
 from tidemark.operators.chunks import SLOT, chunk_window, own_rows, with_halo, with_slot
 from tidemark.plans.methods import Frame, Settings, method
 

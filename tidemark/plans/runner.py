@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.flagbits import appeared_or_vanished, changed, set_bit
 from tidemark.functions.values import round_even
 from tidemark.operators import aggregate, corrections, derive, flagging, infill, quality  # noqa: F401
-from tidemark.operators.align import join_site_parameters
+from tidemark.operators.intervals import join_site_parameters
 from tidemark.operators.flagging import FlagColumns
 from tidemark.operators.quality import FAILED
 from tidemark.plans.methods import Frame, Settings, get_method
