@@ -159,7 +159,8 @@ def cut(text: Column | str, capacity: int = CAPACITY, vocabulary: str = VOCABULA
             yield pa.array(found, kind)
 
     pieces.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(pieces, "array<struct<start:bigint,length:bigint,ids_crc32:bigint>>")(text)
+    # Marked so that a filter on the pieces does not cut a text twice.
+    return arrow_udf(pieces, "array<struct<start:bigint,length:bigint,ids_crc32:bigint>>").asNondeterministic()(text)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -201,13 +202,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     return ranked.mapInArrow(place, f"{schema}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, folder: str | None = None) -> DataFrame:
-    """The pieces of all documents and their places."""
+def document_pieces(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The pieces of all documents, tokenized once."""
     ready(spark)
     cut_up = docs.select("doc_id", cut("text").alias("pieces"))
     last = F.element_at("pieces", -1)
-    cut_up = cut_up.select("doc_id", (last["start"] + last["length"]).alias("doc_tokens"), F.explode("pieces").alias("piece"))
-    packed = pack(cut_up.select("doc_id", "piece.start", "piece.length", "piece.ids_crc32", "doc_tokens"))
+    # Every document has a piece. A plain explode would first filter on the number of pieces.
+    cut_up = cut_up.select("doc_id", (last["start"] + last["length"]).alias("doc_tokens"), F.explode_outer("pieces").alias("piece"))
+    return cut_up.select("doc_id", "piece.start", "piece.length", "piece.ids_crc32", "doc_tokens")
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """The pieces of all documents and their places."""
+    packed = pack(document_pieces(spark, docs))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
