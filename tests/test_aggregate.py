@@ -1,12 +1,15 @@
 import datetime as dt
 import math
 import random
+import re
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions.flagbits import CORE_FLAGS
 from tidemark.operators import aggregate
+from tidemark.operators.chunks import moving_sums, own_rows, with_halo, with_slot
 from tidemark.operators.flagging import FlagColumns
 from tidemark.plans import runner
 from tidemark.plans.methods import Frame, Settings, get_method
@@ -131,6 +134,37 @@ def test_rolling_against_plain_lists(series, values, window, alignment):
     assert [v for v in got if v is not None] == pytest.approx([v for v in expected if v is not None])
 
 
+@pytest.mark.parametrize("chunk", [None, 8])
+@pytest.mark.parametrize("size", [1, 2, 5, 13, 90])
+def test_moving_sums_against_plain_lists(series, size, chunk):
+    chance = random.Random(size)
+    numbers = {s: [chance.choice([None, 10.0 ** chance.randint(-8, 12)]) for _ in range(n)] for s, n in (("A", 60), ("B", 3), ("C", 1))}
+    frame = series(numbers)
+    rows = with_halo(with_slot(frame.df, frame.spec), "_slot", size - 1, size - 1, chunk or 16_384)
+    got = own_rows(moving_sums(rows, frame.spec, {"x": F.col("value"), "n": F.when(F.col("value").isNotNull(), 1)}, size))
+    found = {}
+    for row in got.orderBy("time").collect():
+        found.setdefault(row["site"], []).append(row)
+    for site, own in numbers.items():
+        for k, row in enumerate(found[site]):
+            for name, part in (("back", own[max(0, k - size + 1) : k + 1]), ("ahead", own[k : k + size])):
+                held = [v for v in part if v is not None]
+                assert row[f"n_{name}"] == len(held) and row[f"x_{name}"] == pytest.approx(math.fsum(held), rel=1e-12)
+
+
+def test_work_for_a_row_does_not_depend_on_the_window(series):
+    """No frame but running ones and single rows at a distance, whatever the window; the plans differ in numbers alone."""
+    plans = []
+    for hours in (10, 10_000):
+        settings = Settings("rolling_mean_for_counts", {"window_size": f"PT{hours}H", "threshold": 1, "alignment": "trailing"})
+        rolled = aggregate.rolling_mean(series([1.0, 2.0]), settings)
+        plan = rolled._jdf.queryExecution().optimizedPlan().toString()
+        frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+), ([^)]+)\)", plan)
+        assert frames and all(low == high or "unbounded" in low for _, low, high in frames)
+        plans.append(len(plan.splitlines()))
+    assert plans[0] == plans[1]
+
+
 def test_rolling_needs_a_fixed_number_of_rows(series):
     for frame, size in ((series([1, 2, 3]), "P1M"), (series([1, 2, 3]), "PT90M")):
         params = {"window_size": size, "threshold": 1, "alignment": "center"}

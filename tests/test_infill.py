@@ -8,25 +8,47 @@ from tidemark.operators.flagging import FlagColumns
 from tidemark.plans import runner
 from tidemark.plans.methods import Settings
 
-GAPPY = [1, None, 3, None, 5, None, 7]
-TENS = [10, 20, 30, 40, 50, 60, 70]
-DATES = {"start": dt.datetime(2025, 1, 1, 2), "end": dt.datetime(2025, 1, 1, 4, 59)}
+CHANCE = random.Random(31)
+OTHER = [round(CHANCE.uniform(2, 40), 2) for _ in range(12)]
+# Gaps of one, two and three rows, and one at either end.
+OWN = [None if k in (0, 2, 4, 5, 7, 8, 9, 11) else round(CHANCE.uniform(1, 9), 2) for k in range(12)]
+DATED = range(2, 6)
+DATES = {"start": dt.datetime(2025, 1, 1, DATED[0]), "end": dt.datetime(2025, 1, 1, DATED[-1], 59)}
 
 
-def test_linear(series, values):
-    assert values(infill.linear(series(GAPPY), Settings("linear_interp"))) == [1, 2, 3, 4, 5, 6, 7]
-    assert values(infill.linear(series(GAPPY), Settings("linear_interp", **DATES))) == [1, None, 3, 4, 5, None, 7]
+def in_dates(filled, own=OWN):
+    return [value if k in DATED else old for k, (old, value) in enumerate(zip(own, filled))]
 
 
-def test_linear_leaves_the_ends_and_long_gaps(series, values):
-    frame = series([None, 1, None, None, 4, None, 6, None])
-    assert values(infill.linear(frame, Settings("linear_interp"))) == [None, 1, 2, 3, 4, 5, 6, None]
-    limited = Settings("linear_interp", {"max_gap_size": 1})
-    assert values(infill.linear(frame, limited)) == [None, 1, None, None, 4, 5, 6, None]
+def plain_alternative(own, other, factor=1.0, max_gap=None):
+    known = [k for k, v in enumerate(own) if v is not None]
+
+    def fits(k):
+        if max_gap is None:
+            return True
+        before, after = [n for n in known if n < k], [n for n in known if n > k]
+        return bool(before and after) and after[0] - before[-1] - 1 <= max_gap
+
+    return [other[k] * factor if v is None and other[k] is not None and fits(k) else v for k, v in enumerate(own)]
+
+
+def same(got, expected):
+    assert [v is None for v in got] == [v is None for v in expected]
+    assert [v for v in got if v is not None] == pytest.approx([v for v in expected if v is not None])
+
+
+@pytest.mark.parametrize("max_gap", [None, 1, 2])
+def test_linear(series, values, max_gap):
+    params = {} if max_gap is None else {"max_gap_size": max_gap}
+    expected = plain_linear(OWN, max_gap)
+    assert expected[0] is None and expected[-1] is None  # the ends are left alone
+    same(values(infill.linear(series(OWN), Settings("linear_interp", params))), expected)
+    same(values(infill.linear(series(OWN), Settings("linear_interp", params, **DATES))), in_dates(expected))
 
 
 def test_linear_treats_nan_as_missing(series, values):
-    assert values(infill.linear(series([1, float("nan"), 3]), Settings("linear_interp"))) == [1, 2, 3]
+    holes = [float("nan") if v is None else v for v in OWN[1:-1]]
+    same(values(infill.linear(series(holes), Settings("linear_interp"))), plain_linear(OWN[1:-1], None))
 
 
 def plain_linear(numbers, max_gap):
@@ -50,42 +72,45 @@ def test_linear_across_chunks(series, values, max_gap, chunk):
     settings = Settings("linear_interp", {} if max_gap is None else {"max_gap_size": max_gap})
     result = values(infill.linear(series(sites), settings, chunk))
     expected = [v for site in "ABCD" for v in plain_linear(sites[site], max_gap)]
-    assert [v is None for v in result] == [v is None for v in expected]
-    assert [v for v in result if v is not None] == pytest.approx([v for v in expected if v is not None])
-
-
-def test_alternative(series, values):
-    inputs = {"alt_data_source": series(TENS, "alt")}
-    assert values(infill.alternative(series(GAPPY), Settings("alt_data", {}, inputs))) == [1, 20, 3, 40, 5, 60, 7]
-    halved = Settings("alt_data", {"correction_factor": 0.5}, inputs, **DATES)
-    assert values(infill.alternative(series(GAPPY), halved)) == [1, None, 3, 20, 5, None, 7]
+    same(result, expected)
 
 
-def test_alternative_with_the_same_column_name(series, values):
-    inputs = {"alt_data_source": series(TENS)}
-    assert values(infill.alternative(series(GAPPY), Settings("alt_data", {}, inputs))) == [1, 20, 3, 40, 5, 60, 7]
+@pytest.mark.parametrize("name", ["alt", "value"])
+@pytest.mark.parametrize("max_gap", [None, 1, 2])
+def test_alternative(series, values, name, max_gap):
+    inputs = {"alt_data_source": series(OTHER, name)}
+    params = {"correction_factor": 0.75} | ({} if max_gap is None else {"max_gap_size": max_gap})
+    expected = plain_alternative(OWN, OTHER, 0.75, max_gap)
+    same(values(infill.alternative(series(OWN), Settings("alt_data", params, inputs))), expected)
+    same(values(infill.alternative(series(OWN), Settings("alt_data", params, inputs, **DATES))), in_dates(expected))
+    plain = Settings("alt_data", {}, {"alt_data_source": series(OTHER[:5], name)})
+    same(values(infill.alternative(series(OWN), plain)), plain_alternative(OWN, OTHER[:5] + [None] * 7))
 
 
-def test_alternative_with_gap_limit(series, values):
-    frame = series([1, None, None, 4, None, 6])
-    inputs = {"alt_data_source": series(TENS[:6], "alt")}
-    settings = Settings("alt_data", {"max_gap_size": 1}, inputs)
-    assert values(infill.alternative(frame, settings)) == [1, None, None, 4, 50, 6]
+@pytest.mark.parametrize("most", [None, 2])
+def test_dynamic(series, values, most):
+    inputs = {"alt_data_source": series(OTHER, "alt")}
+    extra = {} if most is None else {"max_threshold": most}
+    for hours, least in ((1, 0), (3, 2)):
+        params = {"window": f"PT{hours}H", "min_threshold": least} | extra
+        expected = plain_dynamic(OWN, OTHER, hours, least, most)
+        same(values(infill.alternative_scaled(series(OWN), Settings("alt_data_dynamic", params, inputs))), expected)
+        dated = Settings("alt_data_dynamic", params, inputs, **DATES)
+        same(values(infill.alternative_scaled(series(OWN), dated)), in_dates(expected))
 
 
-@pytest.mark.parametrize("extra", [{}, {"max_threshold": 2}])
-def test_dynamic(series, values, extra):
-    inputs = {"alt_data_source": series(TENS, "alt")}
-    settings = Settings("alt_data_dynamic", {"window": "PT1H"} | extra, inputs)
-    assert values(infill.alternative_scaled(series(GAPPY), settings)) == pytest.approx([1, 2, 3, 4, 5, 6, 7])
-    dated = Settings("alt_data_dynamic", {"window": "PT1H", "min_threshold": 2} | extra, inputs, **DATES)
-    assert values(infill.alternative_scaled(series(GAPPY), dated)) == pytest.approx([1, None, 3, 4, 5, None, 7])
+def test_lists_of_pairs_are_made_for_gap_edges_alone(series):
+    settings = Settings("alt_data_dynamic", {"window": "PT9H", "max_threshold": 2}, {"alt_data_source": series(OTHER, "alt")})
+    plan = infill.alternative_scaled(series(OWN), settings)._jdf.queryExecution().optimizedPlan().toString()
+    lists = [line for line in plan.splitlines() if "collect_list" in line]
+    assert lists and all("Aggregate [" in line and "_slot" in line for line in lists)
+    assert "specifiedwindowframe(RowFrame, -" not in plan.replace("-1, -1", "")
 
 
 def test_dynamic_needs_a_window(series):
-    settings = Settings("alt_data_dynamic", {}, {"alt_data_source": series(TENS, "alt")})
+    settings = Settings("alt_data_dynamic", {}, {"alt_data_source": series(OTHER, "alt")})
     with pytest.raises(ValueError):
-        infill.alternative_scaled(series(GAPPY), settings)
+        infill.alternative_scaled(series(OWN), settings)
 
 
 def plain_dynamic(own, other, window, least, most):
@@ -120,16 +145,16 @@ def test_dynamic_across_chunks(series, values, most, chunk):
     settings = Settings("alt_data_dynamic", params, {"alt_data_source": series(other, "alt")})
     result = values(infill.alternative_scaled(series(own), settings, chunk))
     expected = [v for s in "AB" for v in plain_dynamic(own[s], other[s], 4, 2, most)]
-    assert [v is None for v in result] == [v is None for v in expected]
-    assert [v for v in result if v is not None] == pytest.approx([v for v in expected if v is not None])
+    same(result, expected)
 
 
 def test_step_flags(series, values):
     flags = FlagColumns({"core": "core", "infill": "infill"}, {"infill": {"linear_interp": 1, "alt_data": 2}})
-    frame = series([1, None, 3, None, None])
+    own = [2.5, None, None, 4.0, 8.0, None, None]
+    frame = series(own)
     loaded = runner.load(frame, frame.spec, flags)
-    inputs = {"alt_data_source": series([9, 9, 9, 9], "alt")}
+    inputs = {"alt_data_source": series([6.5] * 6, "alt")}
     result = runner.fill(loaded, [Settings("linear_interp"), Settings("alt_data", {}, inputs)])
-    assert values(result.df) == [1, 2, 3, 9, None]
-    assert values(result.df, "infill") == [0, 1, 0, 2, 0]
-    assert values(result.df, "core") == [32, 38, 32, 38, 36]
+    same(values(result.df), plain_alternative(plain_linear(own, None), [6.5] * 6 + [None]))
+    assert values(result.df, "infill") == [0, 1, 1, 0, 0, 2, 0]
+    assert values(result.df, "core") == [32, 38, 38, 32, 32, 38, 36]

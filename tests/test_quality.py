@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -34,13 +35,28 @@ def test_error_code(series, values):
     assert values(run(frame, "error_code", value=2), "_failed") == [F, T, F, F, F, F, F]
 
 
+def plain_spikes(numbers, limit):
+    found = []
+    for k, v in enumerate(numbers):
+        around = [numbers[n] for n in (k - 1, k + 1) if 0 <= n < len(numbers)]
+        if v is None or len(around) < 2 or None in around:
+            found.append(None)
+        else:
+            above = [v - a > limit for a in around]
+            below = [a - v > limit for a in around]
+            found.append(all(above) or all(below))
+    return found
+
+
 @pytest.mark.parametrize("chunk", [None, 3])
 def test_spike(series, values, chunk):
-    two_sites = series({"A": [1, 2, 30, 4, 5, 60, 7], "B": [5, 5, 5, 99, 5]})
-    result = quality.spike(two_sites, Settings("spike", {"gt": 5}), chunk)
-    assert values(result, "_failed") == [N, F, T, F, F, T, N] + [N, F, F, T, N]
-    dated = quality.spike(two_sites, Settings("spike", {"gt": 5}, {}, **DATES), chunk)
-    assert values(dated, "_failed")[:7] == [F, F, T, F, F, F, F]
+    chance = random.Random(17)
+    sites = {s: [chance.choice([None, *(chance.uniform(0, 4) for _ in range(5)), 30.0, -30.0]) for _ in range(25)] for s in "AB"}
+    result = quality.spike(series(sites), Settings("spike", {"gt": 6.5}), chunk)
+    expected = {s: plain_spikes(sites[s], 6.5) for s in "AB"}
+    assert values(result, "_failed") == expected["A"] + expected["B"] and T in expected["A"]
+    dated = quality.spike(series(sites), Settings("spike", {"gt": 6.5}, {}, **DATES), chunk)
+    assert values(dated, "_failed") == [v if 2 <= k <= 4 else F for s in "AB" for k, v in enumerate(expected[s])]
 
 
 def test_time_of_day(series, values):

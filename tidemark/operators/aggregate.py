@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.flagbits import CORE_FLAGS, set_bit
 from tidemark.functions.times import bucket_slot, grid_times_before, micros, slot_start, within_day_window
 from tidemark.functions.values import nan_to_null
-from tidemark.operators.chunks import CHUNK, SLOT, chunk_window, own_rows, with_halo, with_slot
+from tidemark.operators.chunks import CHUNK, SLOT, chunk_window, moving_sums, own_rows, with_halo, with_slot
 from tidemark.plans.methods import Frame, Settings, method
 from tidemark.spec import Period, SeriesSpec
 
@@ -146,7 +146,8 @@ def rolling_mean(frame: Frame, settings: Settings, chunk_size: int | None = None
     reaches over the end of the series.
 
     On a regular grid the window is a number of rows. Chunks carry that many extra rows, and a row that has fewer rows
-    before or after it in its chunk than the window reaches is near the end of the series.
+    before or after it in its chunk than the window reaches is near the end of the series. The work for a row does not
+    depend on the length of the window.
     """
     spec = frame.spec
     size = None if spec.period.is_calendar else spec.period.count(Period.parse(settings.param("window_size")))
@@ -160,18 +161,29 @@ def rolling_mean(frame: Frame, settings: Settings, chunk_size: int | None = None
 
     extra = {} if chunk_size is None else {"chunk_size": chunk_size}
     values = with_slot(frame.df.withColumn("_v", nan_to_null(frame.df, spec.value)), spec)
+    # A window is what ends with its last row, which lies ``after`` rows ahead.
     rows = with_halo(values, SLOT, max(before, needed_before), max(after, needed_after), **extra)
     order = chunk_window(spec, SLOT)
-    within = order.rowsBetween(-before, after)
     start, end = settings.params.get("start_time"), settings.params.get("end_time")
     if start and end:
         rows = rows.withColumn("_v", F.when(within_day_window(spec.time, start, end), F.col("_v")))
-    place = F.row_number().over(order)
-    rows_in_chunk = F.count("*").over(Window.partitionBy(*spec.keys, CHUNK))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    in_chunk = Window.partitionBy(*spec.keys, CHUNK)
+    rows = rows.withColumns(
+        {
+            "_place": F.row_number().over(order),
+            "_seen": F.count("_v").over(upto),
+            "_rows": F.count("*").over(in_chunk),
+            "_all_seen": F.count("_v").over(in_chunk),
+        }
+    )
+    # Counts are whole numbers, so their differences are exact; beyond the ends of the series there is nothing.
+    seen_after = F.coalesce(F.lead("_seen", after).over(order), F.col("_all_seen"))
+    seen_before = F.coalesce(F.lag("_seen", before + 1).over(order), F.lit(0))
     enough = F.col("_n") >= max(int(settings.params.get("threshold") or 0), 1)
+    summed = moving_sums(rows, spec, {"sum": F.col("_v")}, size)
     rolled = (
-        rows.withColumns({"_n": F.count("_v").over(within), "_sum": F.sum("_v").over(within)})
-        .withColumns({"_place": place, "_rows": rows_in_chunk})
+        summed.withColumns({"_n": seen_after - seen_before, "_sum": F.lead("sum_back", after).over(order)})
         .withColumn("_complete", (F.col("_place") > needed_before) & (F.col("_rows") - F.col("_place") >= needed_after))
         .withColumn(spec.value, F.when(F.col("_complete") & enough, F.col("_sum") / F.col("_n")))
         .withColumn(f"count_{spec.value}", F.col("_n"))

@@ -51,6 +51,38 @@ def chunk_window(spec: SeriesSpec, order: str | Column, *extra: str) -> WindowSp
     return Window.partitionBy(*spec.keys, CHUNK, *extra).orderBy(order)
 
 
+def moving_sums(rows: DataFrame, spec: SeriesSpec, values: dict[str, Column], size: int) -> DataFrame:
+    """For each name the sums of its value over the ``size`` rows that end with a row, ``<name>_back``, and over those that
+    start with it, ``<name>_ahead``. Near the end of a series the rows there are; nulls add nothing, and only nulls give 0.
+
+    ``rows`` are on a padded grid, with slots, and in chunks that reach ``size`` - 1 rows over their edges. A window of
+    ``size`` slots is the end of one block of ``size`` slots and the start of the next. So running sums within blocks, in
+    either direction, do: the work for a row does not depend on ``size``, and no sum is a difference, in which digits
+    would be lost.
+    """
+    forth, back = chunk_window(spec, SLOT), chunk_window(spec, F.desc(SLOT))
+    forth_block, back_block = chunk_window(spec, SLOT, "_block"), chunk_window(spec, F.desc(SLOT), "_block")
+    earlier = forth.rowsBetween(Window.unboundedPreceding, -1)
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    place, zero = F.pmod(F.col(SLOT), F.lit(size)), F.lit(0)
+    # Numbering by chunk first: blocks then need no other exchange.
+    found = rows.withColumn("_block", floor_div(F.col(SLOT), size))
+    found = found.withColumns({f"_sum_{name}": F.coalesce(value, zero) for name, value in values.items()})
+    running = {f"_sum_{name}_upto": F.sum(f"_sum_{name}").over(forth_block.rowsBetween(Window.unboundedPreceding, 0)) for name in values}
+    running |= {f"_sum_{name}_from": F.sum(f"_sum_{name}").over(back_block.rowsBetween(Window.unboundedPreceding, 0)) for name in values}
+    found = found.withColumns(running)
+    # The whole of the block before or after, for where a series starts or ends within the window.
+    whole = {}
+    for name in values:
+        last_of_block, first_of_block = F.when(place == size - 1, F.col(f"_sum_{name}_upto")), F.when(place == 0, F.col(f"_sum_{name}_from"))
+        rest_back = F.coalesce(F.lag(f"_sum_{name}_from", size - 1).over(forth), F.last(last_of_block, True).over(earlier), zero)
+        rest_ahead = F.coalesce(F.lag(f"_sum_{name}_upto", size - 1).over(back), F.last(first_of_block, True).over(later), zero)
+        whole[f"{name}_back"] = F.col(f"_sum_{name}_upto") + F.when(place == size - 1, zero).otherwise(rest_back)
+        whole[f"{name}_ahead"] = F.col(f"_sum_{name}_from") + F.when(place == 0, zero).otherwise(rest_ahead)
+    helpers = [f"_sum_{name}{suffix}" for name in values for suffix in ("", "_upto", "_from")]
+    return found.withColumns(whole).drop("_block", *helpers)
+
+
 def nearest_known(
     df: DataFrame, spec: SeriesSpec, known: Column, payload: list[str], chunk_size: int = CHUNK_SLOTS
 ) -> DataFrame:

@@ -13,9 +13,11 @@ from tidemark.functions.times import within_dates
 from tidemark.functions.values import nan_to_null
 from tidemark.operators.align import left_on_time
 from tidemark.operators.chunks import (
+    CHUNK,
     CHUNK_SLOTS,
     SLOT,
     chunk_window,
+    moving_sums,
     nearest_known,
     own_rows,
     with_halo,
@@ -35,23 +37,9 @@ def _clean(frame: Frame) -> DataFrame:
     return frame.df.withColumn("_v", nan_to_null(frame.df, frame.spec.value))
 
 
-def _nearest_values(
-    rows: DataFrame, frame: Frame, payload: list[str], max_gap: int | None, chunk_size: int = CHUNK_SLOTS
-) -> DataFrame:
-    """Nearest rows with a value, back and ahead, as structs of slot and payload.
-
-    With a gap limit the reach is bounded, and rows copied over the chunk edges do. Otherwise chunks pass on their edges.
-    """
-    known = F.col("_v").isNotNull()
-    if max_gap is None or max_gap >= chunk_size:
-        return nearest_known(rows, frame.spec, known, payload, chunk_size)
-    # Values further away than the limit may be found too; the length of the gap then rules them out.
-    here = F.when(known, F.struct(SLOT, *payload))
-    back = chunk_window(frame.spec, SLOT).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = chunk_window(frame.spec, F.desc(SLOT)).rowsBetween(Window.unboundedPreceding, 0)
-    following = F.last(here, ignorenulls=True).over(ahead)
-    haloed = with_halo(rows, SLOT, max_gap + 1, max_gap + 1, chunk_size)
-    return own_rows(haloed.withColumn("_prev", F.last(here, ignorenulls=True).over(back)).withColumn("_next", following))
+def _nearest_values(rows: DataFrame, frame: Frame, payload: list[str], chunk_size: int = CHUNK_SLOTS) -> DataFrame:
+    """Nearest rows with a value, back and ahead, as structs of slot and payload."""
+    return nearest_known(rows, frame.spec, F.col("_v").isNotNull(), payload, chunk_size)
 
 
 def _gap_fits(max_gap: int | None) -> Column:
@@ -65,7 +53,7 @@ def _gap_fits(max_gap: int | None) -> Column:
 def linear(frame: Frame, settings: Settings, chunk_size: int = CHUNK_SLOTS) -> DataFrame:
     """Linear in time between the nearest values either side; ``max_gap_size`` limits the rows of a gap."""
     max_gap = settings.params.get("max_gap_size")
-    rows = _nearest_values(with_slot(_clean(frame), frame.spec), frame, ["_v"], max_gap, chunk_size)
+    rows = _nearest_values(with_slot(_clean(frame), frame.spec), frame, ["_v"], chunk_size)
     before, after = F.col("_prev"), F.col("_next")
     share = (F.col(SLOT) - before[SLOT]) / (after[SLOT] - before[SLOT])
     estimate = before["_v"] + (after["_v"] - before["_v"]) * share
@@ -80,7 +68,7 @@ def alternative(frame: Frame, settings: Settings) -> DataFrame:
     max_gap = settings.params.get("max_gap_size")
     rows = _clean(frame)
     if max_gap is not None:
-        rows = _nearest_values(with_slot(rows, frame.spec), frame, [], max_gap)
+        rows = _nearest_values(with_slot(rows, frame.spec), frame, [])
     rows = left_on_time(rows, frame.spec, _alt=settings.input("alt_data_source").pair())
     estimate = nan_to_null(rows, "_alt") * settings.params.get("correction_factor", 1)
     fill = F.col("_v").isNull() & _may_write(frame, settings) & _gap_fits(max_gap)
@@ -103,32 +91,24 @@ def alternative_scaled(frame: Frame, settings: Settings, chunk_size: int = CHUNK
 
     rows = left_on_time(_clean(frame), frame.spec, _alt=settings.input("alt_data_source").pair())
     rows = with_slot(rows.withColumn("_alt", nan_to_null(rows, "_alt")), frame.spec)
-    # Rows with a value summarise the window that ends, and the one that starts, with them. A gap then takes the first
-    # from the value before it and the second from the value after it.
     haloed = with_halo(rows, SLOT, window_rows, window_rows, chunk_size)
-    back = chunk_window(frame.spec, SLOT).rowsBetween(-(window_rows - 1), 0)
-    ahead = chunk_window(frame.spec, SLOT).rowsBetween(0, window_rows - 1)
     paired = F.col("_v").isNotNull() & F.col("_alt").isNotNull()
     if most is None:
-        sums = {
-            f"_{name}_{side}": total.over(reach)
-            for side, reach in (("back", back), ("ahead", ahead))
-            for name, total in (
-                ("own", F.sum(F.when(paired, F.col("_v")))),
-                ("other", F.sum(F.when(paired, F.col("_alt")))),
-                ("n", F.count(F.when(paired, 1))),
-            )
-        }
-        rows = _nearest_values(own_rows(haloed.withColumns(sums)), frame, list(sums), max_gap, chunk_size)
+        # Rows with a value summarise the window that ends, and the one that starts, with them. A gap then takes the first
+        # from the value before it and the second from the value after it.
+        parts = {"own": F.when(paired, F.col("_v")), "other": F.when(paired, F.col("_alt")), "n": F.when(paired, 1)}
+        summed = own_rows(moving_sums(haloed, frame.spec, parts, window_rows))
+        payload = [f"{name}_{side}" for name in parts for side in ("back", "ahead")]
+        rows = _nearest_values(summed, frame, payload, chunk_size)
 
         def total(name: str) -> Column:
-            before = F.col("_prev")[f"_{name}_back"]
-            after = F.col("_next")[f"_{name}_ahead"]
+            before = F.col("_prev")[f"{name}_back"]
+            after = F.col("_next")[f"{name}_ahead"]
             return F.coalesce(before, F.lit(0)) + F.coalesce(after, F.lit(0))
 
         own, other, pairs = total("own"), total("other"), total("n")
     else:
-        rows = _nearest_pairs(haloed, frame, settings, int(most), window_rows, max_gap, chunk_size)
+        rows = _nearest_pairs(haloed, frame, int(most), window_rows, chunk_size)
         own = F.aggregate("_pairs", F.lit(0.0), lambda acc, pair: acc + pair["own"])
         other = F.aggregate("_pairs", F.lit(0.0), lambda acc, pair: acc + pair["other"])
         pairs = F.size("_pairs")
@@ -143,58 +123,54 @@ def alternative_scaled(frame: Frame, settings: Settings, chunk_size: int = CHUNK
 def _nearest_pairs(
     haloed: DataFrame,
     frame: Frame,
-    settings: Settings,
     most: int,
     window_rows: int,
-    max_gap: int | None,
     chunk_size: int,
 ) -> DataFrame:
     """Add ``_pairs`` to every row: the ``most`` nearest rows around its gap where both series have a value.
 
-    Only values next to a gap list their pairs, and a list never holds more than the window's rows. The lists are joined
-    to the rows of the gap by the slot of the value before and after it.
+    The paired rows of a chunk are numbered once. A value next to a gap wants the ``most`` numbers up to its own, or from its
+    own on, and finds them by an equality join; so lists are made for the edges of gaps alone. The lists are joined to the
+    rows of the gap by the slot of the value before and after it.
     """
     spec = frame.spec
-    pair = F.struct(F.col(SLOT).alias("slot"), F.col("_v").alias("own"), F.col("_alt").alias("other"))
-    listed = F.collect_list(F.when(F.col("_v").isNotNull() & F.col("_alt").isNotNull(), pair))
-    back = chunk_window(spec, SLOT).rowsBetween(-(window_rows - 1), 0)
-    ahead = chunk_window(spec, SLOT).rowsBetween(0, window_rows - 1)
     order = chunk_window(spec, SLOT)
-    edges = own_rows(
-        haloed.withColumn("_pairs_back", listed.over(back))
-        .withColumn("_pairs_ahead", listed.over(ahead))
-        .withColumn("_gap_after", F.lead("_v").over(order).isNull())
-        .withColumn("_gap_before", F.lag("_v").over(order).isNull())
-    ).where(F.col("_v").isNotNull())
-    nearest_before = F.slice(F.reverse("_pairs_back"), 1, most)
-    nearest_after = F.slice("_pairs_ahead", 1, most)
-    before = edges.where("_gap_after").select(
-        *spec.keys, F.col(SLOT).alias("_before_slot"), nearest_before.alias("_before_pairs")
+    paired = F.col("_v").isNotNull() & F.col("_alt").isNotNull()
+    numbered = haloed.withColumns(
+        {
+            "_paired": paired,
+            "_number": F.count_if(paired).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "_gap_after": F.lead("_v").over(order).isNull(),
+            "_gap_before": F.lag("_v").over(order).isNull(),
+        }
     )
-    after = edges.where("_gap_before").select(
-        *spec.keys, F.col(SLOT).alias("_after_slot"), nearest_after.alias("_after_pairs")
+    pairs = numbered.where("_paired").select(
+        *spec.keys, CHUNK, "_number", F.struct(F.col(SLOT).alias("slot"), F.col("_v").alias("own"), F.col("_alt").alias("other")).alias("pair")
     )
-    plain = own_rows(haloed)
+    edges = own_rows(numbered.withColumn("_edge_chunk", F.col(CHUNK))).where(F.col("_v").isNotNull())
+    edges = edges.withColumnRenamed("_edge_chunk", CHUNK)
+
+    def listed(side: str, is_edge: str, numbers: Column) -> DataFrame:
+        """(keys, slot of the edge, its pairs with their distance, nearest first)."""
+        wanted = edges.where(is_edge).select(*spec.keys, CHUNK, F.col(SLOT).alias(f"_{side}_slot"), F.explode(numbers).alias("_number"))
+        distance = F.abs(F.col("pair.slot") - F.col(f"_{side}_slot"))
+        met = wanted.join(pairs, [*spec.keys, CHUNK, "_number"]).where(distance < window_rows)
+        return met.groupBy(*spec.keys, f"_{side}_slot").agg(
+            F.sort_array(F.collect_list(F.struct(distance.alias("distance"), "pair.slot", "pair.own", "pair.other"))).alias(f"_{side}_pairs")
+        )
+
+    number = F.col("_number")
+    first_on = F.when(F.col("_paired"), number).otherwise(number + 1)
+    before = listed("before", "_gap_after", F.sequence(number - (most - 1), number))
+    after = listed("after", "_gap_before", F.sequence(first_on, first_on + (most - 1)))
     rows = (
-        _nearest_values(plain, frame, [], max_gap, chunk_size)
+        _nearest_values(own_rows(haloed), frame, [], chunk_size)
         .withColumn("_gap", F.col("_v").isNull())
         .withColumn("_before_slot", F.when(F.col("_gap"), F.col("_prev")[SLOT]))
         .withColumn("_after_slot", F.when(F.col("_gap"), F.col("_next")[SLOT]))
         .join(before, [*spec.keys, "_before_slot"], "left")
         .join(after, [*spec.keys, "_after_slot"], "left")
     )
-
-    def ranked(pairs: Column, distance) -> Column:
-        return F.transform(
-            pairs,
-            lambda p: F.struct(
-                distance(p).alias("distance"), p["slot"].alias("slot"), p["own"].alias("own"), p["other"].alias("other")
-            ),
-        )
-
-    empty = F.array().cast(
-        "array<struct<distance:bigint,slot:bigint,own:double,other:double>>"
-    )
-    near_before = F.coalesce(ranked(F.col("_before_pairs"), lambda p: F.col("_before_slot") - p["slot"]), empty)
-    near_after = F.coalesce(ranked(F.col("_after_pairs"), lambda p: p["slot"] - F.col("_after_slot")), empty)
-    return rows.withColumn("_pairs", F.slice(F.sort_array(F.concat(near_before, near_after)), 1, most))
+    empty = F.array().cast("array<struct<distance:bigint,slot:bigint,own:double,other:double>>")
+    both = F.concat(F.coalesce("_before_pairs", empty), F.coalesce("_after_pairs", empty))
+    return rows.withColumn("_pairs", F.slice(F.sort_array(both), 1, most))
