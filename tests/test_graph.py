@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 
 from tidemark.operators import graph
@@ -52,6 +55,56 @@ def test_layers_reject_a_cycle(edges):
         graph.layers(edges(("a", "b"), ("b", "c"), ("c", "b")))
 
 
+def test_random_graphs_against_plain_walks(spark, edges):
+    chance = random.Random(6)
+    for size in (2, 30, 120):
+        links = sorted({(f"n{a}", f"n{b}") for a, b in (sorted(chance.sample(range(size), 2), reverse=True) for _ in range(2 * size))})
+        needs = {}
+        for a, b in links:
+            needs.setdefault(a, set()).add(b)
+
+        def layer(n):
+            return 1 + max(map(layer, needs[n])) if n in needs else 0
+
+        nodes = {n for link in links for n in link}
+        got = {r["dataset"]: r["layer"] for r in graph.layers(edges(*links)).collect()}
+        assert got == {n: layer(n) for n in nodes}
+        start, reached = f"n{size - 1}", set()
+        todo = [start]
+        while todo:
+            n = todo.pop()
+            if n not in reached:
+                reached.add(n)
+                todo += needs.get(n, ())
+        assert {r["dataset"] for r in graph.reachable(edges(*links), roots(spark, start)).collect()} == reached
+
+
+def test_a_round_opens_the_parts_of_its_frontier(spark, edges, monkeypatch):
+    """Along a chain the edges read in all are about those there are, not rounds times edges."""
+    links = [(f"n{k}", f"n{k + 1}") for k in range(14)] + [(f"x{k}", f"y{k}") for k in range(4000)]
+    monkeypatch.setattr(graph, "_parts", lambda df: 64)
+    read = []
+    plain = graph.cut_lineage
+
+    def counted(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        read.append(set(re.findall(r"PartitionFilters: \[(.*?)\]", plan)))
+        return plain(df)
+
+    monkeypatch.setattr(graph, "cut_lineage", counted)
+    got = graph.reachable(edges(*links), roots(spark, "n0"))
+    assert {r["dataset"] for r in got.collect()} == {f"n{k}" for k in range(15)}
+    pruned = [filters for filters in read if any("part" in f for f in filters)]
+    assert len(pruned) == 15  # every round after the roots, the last of which finds nothing
+    assert all(any(re.search(r"part#\d+ (=|IN|in)|\(part#\d+ = \d+\)", f) for f in filters) for filters in pruned)
+
+
+def test_no_edges(spark, edges):
+    table = edges(("a", "b")).where("false")
+    assert graph.layers(table).collect() == []
+    assert [r["dataset"] for r in graph.reachable(table, roots(spark, "q")).collect()] == ["q"]
+
+
 def test_failure_spreads(spark, edges):
     table = edges(("a", "b"), ("b", "c"), ("x", "c", "load"), ("y", "z"))
     got = graph.failed_with_descendants(table, roots(spark, "c"))

@@ -1,17 +1,22 @@
 """Which dataset depends on which. Edges are rows (dataset, depends_on, load_only).
 
-The walks below join one level of the graph per round, so the number of rounds is the depth of the graph. What a round
-found is written to the shared folder: plans stay short, and a lost executor does not lose the walk.
+Walks go by frontier: the edges are written once to the shared folder, in parts by a hash of the end that a walk comes from,
+and a round opens only the parts that hold nodes of its frontier. Layers are counted down as by Kahn: an edge is
+used once, when what it depends on is placed, and raises the count of its dataset, which is placed when the count
+is complete. What a round found is written, so plans stay short and a lost executor does not lose the walk.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, new_table_path
+
+#: Parts of the edges at most; the parts of a frontier are brought to the driver.
+MOST_PARTS = 1024
 
 
 def dependency_edges(references: DataFrame) -> DataFrame:
@@ -22,31 +27,59 @@ def dependency_edges(references: DataFrame) -> DataFrame:
     )
 
 
+# --- Edges in parts ----------------------------------------------------------------------------------------------
+
+
+def _parts(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_PARTS)
+
+
+def _part(node: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(parts)).cast("int")
+
+
+def _in_parts(edges: DataFrame, start: str) -> DataFrame:
+    """The edges as a table in the shared folder, one folder for each part of the nodes ``start``."""
+    parts = _parts(edges)
+    placed = edges.withColumn("part", _part(start, parts))
+    path = new_table_path(edges.sparkSession, "edges")
+    # A node that very many edges leave is one part; it is split over tasks, and into files.
+    placed.hint("rebalance", "part").write.partitionBy("part").parquet(path)
+    return edges.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def _frontier(df: DataFrame, parts: int) -> tuple[DataFrame, list[int], int]:
+    """A written frontier, its parts and its size, by one job."""
+    counted = df.groupBy(_part("dataset", parts).alias("part")).count().collect()
+    return df, [row["part"] for row in counted], sum(row["count"] for row in counted)
+
+
+# --- Walks -------------------------------------------------------------------------------------------------------
+
+
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All datasets reached from ``roots`` (dataset) along the edges, roots included."""
-    return _walk(cut_lineage(edges.select("dataset", "depends_on")), roots)
+    return _walk(_in_parts(edges.select("dataset", "depends_on"), "dataset"), roots)
 
 
 def _walk(step: DataFrame, roots: DataFrame) -> DataFrame:
-    reached = frontier = cut_lineage(roots.select("dataset").distinct())
+    parts = _parts(step)
+    reached = None
+    found = roots.select("dataset").distinct()
     while True:
-        found = (
-            frontier.join(step, "dataset")
-            .select(F.col("depends_on").alias("dataset"))
-            .distinct()
-            .join(reached, "dataset", "left_anti")
-        )
-        frontier = cut_lineage(found)
-        if frontier.isEmpty():
+        frontier, places, size = _frontier(cut_lineage(found), parts)
+        reached = frontier if reached is None else reached.unionByName(frontier)
+        if not size:
             return reached
-        reached = reached.unionByName(frontier)
+        leaving = step.where(F.col("part").isin(places)).join(frontier, "dataset")
+        found = leaving.select(F.col("depends_on").alias("dataset")).distinct().join(reached, "dataset", "left_anti")
 
 
 def dependency_closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Everything the roots need: (dataset, load_only). What a load-only edge leads to is loaded but not followed; being
     needed in full by anything that is followed wins."""
-    edges = cut_lineage(edges)
-    full = _walk(edges.where("not load_only").select("dataset", "depends_on"), roots)
+    edges = _in_parts(edges.select("dataset", "depends_on", "load_only"), "dataset")
+    full = _walk(edges.where("not load_only"), roots)
     loaded = (
         edges.where("load_only")
         .join(full, "dataset", "left_semi")
@@ -63,31 +96,34 @@ def failed_with_descendants(edges: DataFrame, failed: DataFrame) -> DataFrame:
     return reachable(reverse, failed)
 
 
+# --- Layers ------------------------------------------------------------------------------------------------------
+
+
 def layers(edges: DataFrame) -> DataFrame:
-    """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises.
-
-    Each round drops the edges to datasets that are placed. A dataset none of whose edges is left comes next.
-    """
-    left = cut_lineage(edges.select("dataset", "depends_on").distinct())
-    many = left.count()
-    needed = left.select(F.col("depends_on").alias("dataset")).distinct()
-    ready = cut_lineage(needed.join(_sources(left), "dataset", "left_anti"))
-    placed = []
-    while many:
-        placed.append(ready.withColumn("layer", F.lit(len(placed))))
-        still = cut_lineage(left.join(ready.withColumnRenamed("dataset", "depends_on"), "depends_on", "left_anti"))
-        remaining = still.count()
-        if remaining == many:
-            stuck = [row["dataset"] for row in still.select("dataset").limit(5).collect()]
-            raise ValueError(f"The dependency graph has a cycle, among or below: {stuck}")
-        ready = cut_lineage(_sources(left).join(_sources(still), "dataset", "left_anti"))
-        left, many = still, remaining
-    placed.append(ready.withColumn("layer", F.lit(len(placed))))
-    return reduce(DataFrame.unionByName, placed)
-
-
-def _sources(edges: DataFrame) -> DataFrame:
-    return edges.select("dataset").distinct()
+    """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises."""
+    parts = _parts(edges)
+    step = _in_parts(edges.select("dataset", "depends_on").distinct(), "depends_on")
+    needs = cut_lineage(step.groupBy("dataset").agg(F.count("*").alias("needs")))
+    left = needs.count()
+    nodes = step.select(F.col("depends_on").alias("dataset")).distinct()
+    frontier, places, size = _frontier(cut_lineage(nodes.join(needs, "dataset", "left_anti")), parts)
+    placed, waiting = [frontier.withColumn("layer", F.lit(0))], None
+    while size:
+        used = step.where(F.col("part").isin(places)).join(frontier.withColumnRenamed("dataset", "depends_on"), "depends_on")
+        met = used.groupBy("dataset").agg(F.count("*").alias("met"))
+        if waiting is not None:
+            met = met.unionByName(waiting).groupBy("dataset").agg(F.sum("met").alias("met"))
+        # Few datasets were met and are not complete; only these are written again.
+        met = cut_lineage(met.join(needs, "dataset"))
+        waiting = met.where("met < needs").select("dataset", "met")
+        frontier, places, size = _frontier(met.where("met = needs").select("dataset"), parts)
+        left -= size
+        placed.append(frontier.withColumn("layer", F.lit(len(placed))))
+    if left:
+        done = reduce(DataFrame.unionByName, placed)
+        stuck = [row["dataset"] for row in needs.join(done, "dataset", "left_anti").limit(5).collect()]
+        raise ValueError(f"The dependency graph has a cycle, among or below: {stuck}")
+    return reduce(DataFrame.unionByName, placed[:-1] if len(placed) > 1 else placed)
 
 
 def plan_order(steps: DataFrame) -> DataFrame:
