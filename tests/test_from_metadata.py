@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.flagbits import CORE_FLAGS
-from tidemark.plans.from_metadata import MetadataTables, plans_by_kind, stored_inputs
+from tidemark.plans.from_metadata import MetadataTables, broken_datasets, plans_by_kind, stored_inputs
 from tidemark.plans.runner import run_plans
 from tidemark.sources.metadata import resolved_arguments
 
@@ -102,10 +102,13 @@ def tables(spark):
 def test_sites_share_a_plan_and_keep_their_parameters(spark, tables, series, values):
     plans = plans_by_kind(tables)
     assert set(plans) == {"TA/PT1H/processed", "TA/P1D/processed", "LEVEL/PT1H/processed"}
-    clean = plans["TA/PT1H/processed"]
-    assert [step.kind for step in clean.steps] == [
-        "load", "correction", "correction", "quality_control", "quality_control", "infill",
+    shapes = sorted([step.kind for step in variant.steps] for variant in plans["TA/PT1H/processed"].variants)
+    # A is corrected and B is not; their daily means have the same shape.
+    assert shapes == [
+        ["load", "correction", "correction", "quality_control", "quality_control", "infill"],
+        ["load", "quality_control", "quality_control", "infill"],
     ]
+    assert len(plans["TA/P1D/processed"].variants) == 1
     inputs = stored_inputs(tables, plans, "/base")
     assert set(inputs) == {"ta_raw/PT1H/raw", "battv/PT1H/raw"} and inputs["battv/PT1H/raw"].spec.value == "battv"
 
@@ -125,12 +128,87 @@ def test_sites_share_a_plan_and_keep_their_parameters(spark, tables, series, val
     assert values(daily, "TA") == [7, 2]
 
 
-def test_shaping_parameters_must_agree(spark, tables):
-    other = tables.arguments.where("not (parameter = 'threshold' and dataset = 'B-daily')").union(
-        spark.createDataFrame([("B-daily", "B-agg", 0, "threshold", "value", "9", None, None)], tables.arguments.schema)
-    )
-    with pytest.raises(ValueError, match="threshold"):
-        plans_by_kind(MetadataTables(tables.datasets, tables.steps, tables.settings, other, tables.flag_columns, tables.flag_members))
+def test_shaping_parameters_may_differ(spark, tables, series, values):
+    """B wants more hours for a mean and fills shorter gaps than A."""
+    own = F.when((F.col("dataset") == "B-daily") & (F.col("parameter") == "threshold"), "9")
+    own = own.when((F.col("dataset") == "B-clean") & (F.col("parameter") == "max_gap_size"), "1")
+    plans = plans_by_kind(replace(tables, arguments=tables.arguments.withColumn("value", own.otherwise(F.col("value")))))
+    assert len(plans["TA/P1D/processed"].variants) == 2
+    raw = series({"A": [1, 2, 40, 40, 5], "B": [1, 2, 40, 40, 3]}, "ta_raw")
+    battery = series({"A": [12] * 5, "B": [12] * 5}, "battv")
+    result = run_plans(plans, {"ta_raw/PT1H/raw": raw, "battv/PT1H/raw": battery})
+    result.raise_if_failed()
+    # The gap of two hours is filled at A, between 4 and 10.
+    assert values(result.done["TA/PT1H/processed"].df, "TA") == [None, 4, 6, 8, 10] + [1, 2, None, None, 3]
+    daily = result.done["TA/P1D/processed"].df
+    assert values(daily, "TA") == [7, None]
+
+
+def broken(tables, **changed):
+    return {(r["dataset"], r["rule"]) for r in broken_datasets(replace(tables, **changed)).collect()}
+
+
+def more(spark, table, *rows):
+    return table.union(spark.createDataFrame(list(rows), table.schema))
+
+
+def test_sound_metadata_break_no_rule(tables):
+    assert broken(tables) == set()
+
+
+def test_broken_rules_fail_their_dataset_and_what_needs_it(spark, tables):
+    later = "depends on a broken dataset"
+    index = more(spark, tables.steps, ("B-clean", 30, "B-again"))
+    assert broken(tables, steps=index) == {("B-clean", "index used more than once"), ("B-daily", later)}
+    kind = tables.settings.withColumn("kind", F.when(F.col("configuration") == "B-agg", "magic").otherwise(F.col("kind")))
+    assert broken(tables, settings=kind) == {("B-daily", "unknown configuration type")}
+    method = tables.settings.withColumn("method", F.when(F.col("configuration") == "A-agg", "magic").otherwise(F.col("method")))
+    assert broken(tables, settings=method) == {("A-daily", "unknown method")}
+    arguments = tables.arguments
+    nobody = arguments.withColumn("value", F.when(F.col("value") == "B-battery", "B-gone").otherwise(F.col("value")))
+    assert broken(tables, arguments=nobody) == {("B-clean", "input is not exactly one dataset"), ("B-daily", later)}
+    two = more(spark, arguments, ("A-clean", "A-qc", 1, "battv", "input", "A-raw", None, None))
+    assert broken(tables, arguments=two) == {("A-clean", "input is not exactly one dataset"), ("A-daily", later)}
+    several = more(spark, arguments, ("A-daily", "A-agg", 0, "threshold", "value", "4", None, None))
+    assert broken(tables, arguments=several) == {("A-daily", "parameter has several values")}
+    word = arguments.withColumn("value", F.when(F.col("parameter") == "threshold", "three").otherwise(F.col("value")))
+    assert broken(tables, arguments=word) == {("A-daily", "parameter is not a number"), ("B-daily", "parameter is not a number")}
+    flags = more(spark, tables.flag_columns, ("A-daily", "X", "scheme-infill", "colour"), ("B-daily", "Y", "scheme-infill", "infill"),
+                 ("B-daily", "Z", "scheme-infill", "infill"))
+    assert broken(tables, flag_columns=flags) == {("A-daily", "flag column"), ("B-daily", "flag column")}
+    datasets = more(spark, tables.datasets, ("C-raw", "net", "C", "ta_raw", "time", "raw", "PT1H", "end", None),
+                    ("A-other", "net", "A", "battv", "time", "raw", "PT1H", "start", None))
+    assert broken(tables, datasets=datasets) >= {
+        ("C-raw", "differs from its kind in anchor, time column or unit"), ("A-other", "site has several datasets of a kind"),
+        ("A-battery", "site has several datasets of a kind"), ("A-clean", later), ("A-daily", later)}
+
+
+def test_a_broken_dataset_fails_alone(spark, tables, series, values):
+    steps = more(spark, tables.steps, ("B-clean", 30, "B-again"))
+    plans = plans_by_kind(replace(tables, steps=steps))
+    raw = series({"A": [1, 2, 3, 40, 5], "B": [1, 2, 3, 40, 5]}, "ta_raw")
+    battery = series({"A": [12] * 5, "B": [12] * 5}, "battv")
+    result = run_plans(plans, {"ta_raw/PT1H/raw": raw, "battv/PT1H/raw": battery})
+    result.raise_if_failed()
+    assert values(result.done["TA/PT1H/processed"].df, "TA") == [None, 4, 6, 8, 10]
+    assert [(r["site"], r["TA"]) for r in result.done["TA/P1D/processed"].df.collect()] == [("A", 7.0)]
+    assert {r["site"] for r in result.done["LEVEL/PT1H/processed"].df.collect()} == {"A", "B"}
+
+
+def test_steps_of_a_site_run_in_its_own_order(spark, tables, series, values):
+    """B is checked at 30 and 35, A filled at 32 in between: what B's first check finds is removed after its second."""
+    steps = tables.steps.withColumn("index", F.when(F.col("configuration") == "A-infill", 32).otherwise(F.col("index")))
+    steps = more(spark, steps, ("B-clean", 35, "B-second"))
+    settings = more(spark, tables.settings, ("B-clean", "B", "B-second", "qc", 0, "error_code", None, None))
+    arguments = more(spark, tables.arguments, ("B-clean", "B-second", 0, "value", "value", "40", None, None))
+    members = more(spark, tables.flag_members, ("scheme-quality_control", "error_code", 4))
+    plans = plans_by_kind(replace(tables, steps=steps, settings=settings, arguments=arguments, flag_members=members))
+    raw = series({"A": [1, 2, 3, 40, 5], "B": [1, 2, 3, 40, 5]}, "ta_raw")
+    battery = series({"A": [12] * 5, "B": [12] * 5}, "battv")
+    result = run_plans(plans, {"ta_raw/PT1H/raw": raw, "battv/PT1H/raw": battery})
+    result.raise_if_failed()
+    flags = values(result.done["TA/PT1H/processed"].df.where("site = 'B'"), "TA_QUALITY_CONTROL")
+    assert flags == [0, 0, 0, 1 + 4, 1]
 
 
 def test_each_site_keeps_its_own_aggregation(spark, tables, series, values):

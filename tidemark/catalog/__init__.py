@@ -8,6 +8,8 @@ from tidemark.catalog import (  # noqa: F401
     flags,
     infills,
     lineage,
+    minutes,
+    networks,
     quality,
     storage,
 )

@@ -40,6 +40,17 @@ def scan_date_range(spark, folder):
     return days.select("site", "time", "value", "scans")
 
 
+@query("scan_empty_window", f"WITH {HOURLY} SELECT site, count(*) FILTER (time::DATE = DATE '2031-05-01') AS n FROM hourly GROUP BY site")
+def scan_empty_window(spark, folder):
+    """Rows of each site in days nobody has stored, and where nothing is stored."""
+    base = _stored(spark, folder, "scan")
+    days = store.read_days(spark, base, "2031-05-01", "2031-05-03").select("site", "time", "value", "scans")
+    nothing = store.read_days(spark, new_table_path(spark, "nothing"), "2031-05-01", "2031-05-03", schema=days.schema)
+    found = days.unionByName(nothing).select("site", F.lit(1).alias("one"))
+    sites = _rows(spark, folder).select("site").distinct()
+    return sites.join(found, "site", "left").groupBy("site").agg(F.count("one").alias("n"))
+
+
 @query("scan_select_existing", f"WITH {HOURLY} SELECT site, time, scans FROM hourly")
 def scan_select_existing(spark, folder):
     base = _stored(spark, folder, "scan")

@@ -6,6 +6,7 @@ A step only builds on the DataFrame of the step before, so a whole plan is one l
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.flagbits import appeared_or_vanished, changed, set_bit
 from tidemark.functions.values import round_even
 from tidemark.operators import aggregate, corrections, derive, flagging, infill, quality  # noqa: F401
-from tidemark.operators.intervals import join_site_parameters
 from tidemark.operators.flagging import FlagColumns
+from tidemark.operators.intervals import join_site_parameters
 from tidemark.operators.quality import FAILED
 from tidemark.plans.methods import Frame, Settings, get_method
 from tidemark.spec import SeriesSpec
@@ -150,15 +151,13 @@ def derive_to(settings: Settings, target: SeriesSpec, flags: FlagColumns = FlagC
 class Step:
     """One step of a plan. Inputs are names of datasets; ``source`` is what a load or an aggregation reads.
 
-    ``sites`` (the series keys) limits what a load, an aggregation or a derivation makes; rows of other series stay as
-    earlier steps left them. ``last`` is false if methods of the same configuration follow as steps of their own.
+    ``last`` is false if methods of the same configuration follow as steps of their own.
     """
 
     kind: str
     methods: tuple[Settings, ...] = ()
     source: str | None = None
     inputs: dict[str, dict[str, str]] = field(default_factory=dict)  # method name -> input name -> dataset
-    sites: DataFrame | None = None
     last: bool = True
 
     def needs(self) -> set[str]:
@@ -168,30 +167,49 @@ class Step:
 
 @dataclass(frozen=True)
 class DatasetPlan:
-    """What a dataset is and the steps that make it, in order."""
+    """What a dataset is and the steps that make it, in order.
+
+    ``sites`` (the series keys) limits the plan to some series. A plan with ``variants`` has no steps of its own: each of them
+    makes its own series, and their rows are the dataset.
+    """
 
     target: SeriesSpec
     steps: tuple[Step, ...]
     flags: FlagColumns = field(default_factory=FlagColumns)
+    sites: DataFrame | None = None
+    variants: tuple[DatasetPlan, ...] = ()
 
     def needs(self) -> set[str]:
-        return set().union(*(step.needs() for step in self.steps))
+        return set().union(*(part.needs() for part in (*self.steps, *self.variants)))
+
+
+def _of_sites(datasets: dict[str, Frame], names: set[str], sites: DataFrame) -> dict[str, Frame]:
+    """Some datasets with the rows of some series. Datasets that are columns of one DataFrame stay that."""
+    cut: dict[int, DataFrame] = {}
+    found = {}
+    for name in names & set(datasets):
+        frame = datasets[name]
+        if id(frame.df) not in cut:
+            cut[id(frame.df)] = frame.df.join(sites, list(frame.spec.keys), "left_semi")
+        found[name] = Frame(cut[id(frame.df)], frame.spec)
+    return found
 
 
-def _made(series: Series | None, made: Series, sites: DataFrame | None) -> Series:
-    """What a step made: of all series, or in place of the rows of ``sites`` only."""
-    if sites is None:
-        return made
-    keys = list(made.spec.keys)
-    columns = [*made.spec.id_columns, made.spec.value, *made.flags.columns.values()]
-    own = made.df.join(sites, keys, "left_semi").select(*columns)
-    if series is not None:
-        own = series.df.join(sites, keys, "left_anti").select(*columns).unionByName(own)
-    return made.with_df(own)
+def _stacked(parts: list[Series]) -> Series:
+    """Series of one dataset made by variants of its plan, told apart by their keys. Flag columns are those of all."""
+    first = parts[0]
+    df = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), (part.df for part in parts))
+    columns = reduce(lambda known, part: {**part.flags.columns, **known}, parts, {})
+    schemes = reduce(lambda known, part: {**part.flags.schemes, **known}, parts, {})
+    return Series(df, first.spec, FlagColumns(columns, schemes))
 
 
 def run_plan(plan: DatasetPlan, datasets: dict[str, Frame]) -> Series:
     """Run the steps of one plan. ``datasets`` holds everything the steps name."""
+    if plan.variants:
+        return _stacked([run_plan(variant, datasets) for variant in plan.variants])
+    if plan.sites is not None:
+        datasets = datasets | _of_sites(datasets, plan.needs(), plan.sites)
 
     def resolved(step: Step, settings: Settings) -> Settings:
         named = {name: datasets[dataset] for name, dataset in step.inputs.get(settings.method, {}).items()}
@@ -203,7 +221,7 @@ def run_plan(plan: DatasetPlan, datasets: dict[str, Frame]) -> Series:
         if series is None and step.kind in ("correction", "quality_control", "infill"):
             raise ValueError(f"A plan cannot start with {step.kind}: there is no data yet")
         if step.kind == "load":
-            series = _made(series, load(datasets[step.source], plan.target, plan.flags), step.sites)
+            series = load(datasets[step.source], plan.target, plan.flags)
         elif step.kind == "correction":
             series = correct(series, methods, step.last)
         elif step.kind == "quality_control":
@@ -212,10 +230,9 @@ def run_plan(plan: DatasetPlan, datasets: dict[str, Frame]) -> Series:
         elif step.kind == "infill":
             series = fill(series, methods, step.last)
         elif step.kind == "aggregation":
-            aggregated = aggregate_to(datasets[step.source], plan.target, methods[0], plan.flags)
-            series = _made(series, aggregated, step.sites)
+            series = aggregate_to(datasets[step.source], plan.target, methods[0], plan.flags)
         elif step.kind == "derivation":
-            series = _made(series, derive_to(methods[0], plan.target, plan.flags), step.sites)
+            series = derive_to(methods[0], plan.target, plan.flags)
         else:
             raise ValueError(f"Unknown kind of step: {step.kind}")
     if series is None:
