@@ -1,7 +1,9 @@
 """Each operator against a brute-force version, a round trip or held-out labels, on small tables."""
 
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -10,11 +12,13 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from oracle import connect, differences
 from tokenizers import Tokenizer
 
-from tidemark.llm import QUERIES, SQL, binary_packing, decontaminate, license_scan, linefreq, neighbours, packing, simhash, toxicity, urls
-from tidemark.llm.common import ready
+from tidemark.llm import QUERIES, SQL, binary_packing, decontaminate, license_scan, linefreq, neighbours, packing, quality, simhash, toxicity, urls
+from tidemark.llm.common import labelled_sample, ready
+from tidemark.llm.tokens import document_ids
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -225,27 +229,37 @@ def test_near_copies_against_brute_force(session, texts):
                 text[chance.randrange(len(text))] = chance.choice(words)
             rows.append((1000 + len(rows), " ".join(text)))
     rows += [(9000, None), (9001, "")]
-    prints, sets = {}, {}
-    for k, text in rows:
-        single = np.unique(simhash.shingle_hashes(text, 1))
-        prints[k] = [simhash.majority(simhash.remix(single, salt)) for salt in range(1, simhash.SALTS + 1)]
-        sets[k] = set(simhash.shingle_hashes(text, 5).tolist())
-    parent = {k: k for k in prints}
-
-    def root(k):
-        while parent[k] != k:
-            k = parent[k]
-        return k
-
-    for one, other in combinations(prints, 2):
-        if any((p ^ q).bit_count() <= 4 for p, q in zip(prints[one], prints[other])):
-            shared, either = len(sets[one] & sets[other]), len(sets[one] | sets[other])
-            if either == 0 or shared >= 0.8 * either:
-                first, second = sorted((root(one), root(other)))
-                parent[second] = first
     table = session.createDataFrame([(k, text, "en", "s", 1) for k, text in rows], documents_schema)
     kept = {row["doc_id"] for row in simhash.keep_one_of_each(session, table, "").collect()}
-    assert kept == {k for k in parent if root(k) == k}
+    assert kept == linked_by_similarity(rows)[1]
+
+
+def test_golay_keys_of_one_bit_sketches(session, texts):
+    """All pairs within four bits of a sketch are candidates, and these are most pairs of close copies."""
+    chance = random.Random(14)
+    long = [text for _, text in texts.items() if 100 <= len((text or "").split()) <= 500]
+    rows = []
+    for k in range(150):
+        base = chance.choice(long).split()
+        rows.append((2 * k, " ".join([f"n{k}", *base])))
+        for _ in range(1 + k % 6):
+            base[chance.randrange(len(base))] = "other"
+        rows.append((2 * k + 1, " ".join([f"n{k}", *base])))
+    sketches = {}
+    for k, text in rows:
+        least = simhash.least_hashes(np.unique(simhash.shingle_hashes(text, 5)))
+        sketches[k] = [int(x) & 0xFFFFFFFFFFFFFFFF for x in simhash.one_bit_sketches(least)]
+    near = {
+        (max(a, b), min(a, b))
+        for a, b in combinations(sketches, 2)
+        if any((x ^ y).bit_count() <= 4 for x, y in zip(sketches[a], sketches[b]))
+    }
+    prints = session.createDataFrame(rows, "node long, text string").select("node", simhash.shingle_sketch("text", 5).alias("s"))
+    nodes = simhash.sketch_nodes(prints.select("node", "s.*"))
+    found = {(row["a"], row["b"]) for row in simhash.key_pairs(nodes.withColumn("comp", F.col("node"))).collect()}
+    assert found == near
+    pairs = {(max(p), min(p)) for p in linked_by_similarity(rows)[0]}
+    assert len(pairs & near) > 0.7 * len(pairs) > 50
 
 
 def linked_by_similarity(rows, similarity=0.8):
@@ -296,10 +310,14 @@ def test_keys_of_similar_sets_meet():
     chance = np.random.default_rng(3)
     for size in (9, 90, 2700):
         met = 0
+
+        def keys(values):
+            return set(simhash.least_keys(simhash.least_hashes(values)))
+
         for _ in range(200):
             values = np.unique(chance.integers(0, 1 << 63, size + size // 9 * 2, dtype=np.uint64))
             one, other = values[: size + size // 9], np.concatenate([values[:size], values[size + size // 9 :]])
-            met += bool(set(simhash.least_keys(one)) & set(simhash.least_keys(other)))  # 9 of 11 in common
+            met += bool(keys(one) & keys(other))  # 9 of 11 in common
         assert met == 200
 
 
@@ -405,7 +423,6 @@ def test_least_squares_plan_uses_every_piece_once():
 
 def test_packing_round_trip(session, documents, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {k: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4") for k, t in texts.items()}
     rows = QUERIES["op1_packing"](session, FOLDER).collect()
     by_document, by_sequence = defaultdict(list), defaultdict(list)
@@ -427,6 +444,20 @@ def test_packing_round_trip(session, documents, texts):
     assert sum(map(len, ids.values())) / (1024 * len(by_sequence)) > 0.95
 
 
+def test_ids_are_those_of_the_tokenizer_as_it_loads():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = ["a<|endoftext|>b", " <|endoftext|>\n x", "<|endoftext|><|endoftext|>", "<|endoftext|", "<|EndOfText|>", "x" * 5000, " " * 5000]
+    odd += ["\ud800 lone", "漢字 \x00 é", "1234567890 " * 400, "a\r\n\t b  ", None, ""]
+    for text in odd:
+        plain = (text or "").encode("utf-8", "replace").decode()
+        assert document_ids(text).tolist() == [*tokenizer.encode(plain, add_special_tokens=False).ids, 0]
+
+
+def test_a_text_is_tokenized_once(session, documents):
+    plan = packing.document_pieces(session, documents)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_ranks_do_not_depend_on_the_size_of_groups(session):
     pieces = session.createDataFrame([(k, 1 + k % 3) for k in range(3000)], "doc_id long, length long")
     rows = packing.pack(pieces, 8, group_rows=50).collect()
@@ -643,3 +674,187 @@ def test_odd_urls(session):
         ("", ""), ("", ""), ("a.example.net", ""), ("example.net", "/en/"), ("b:", "//c/d"), ("", ""), ("", ""),
     ]
     assert got[3]["rule"] is None and got[4]["rule"] == "example.net/en/" and got[4]["verdict"] == "allow"
+
+
+def labelled_urls(spark, seed, tell):
+    """URLs of three suffixes; ``tell`` says which are blocked, and half of each suffix has a label."""
+    chance = random.Random(seed)
+    rows = []
+    for k in range(1500):
+        host = f"{chance.choice(['a', 'b-c', 'www'])}.{chance.choice(['one', 'two', 'three'])}.com"
+        spam = chance.random() < 0.5
+        path = "/".join(chance.choice(["news", "page", "about"]) for _ in range(chance.randint(1, 3)))
+        tail = "?" + "&".join(f"p{n}={chance.randint(0, 10**9)}" for n in range(chance.randint(3, 6))) if spam else ""
+        url = f"http://{host}/{path}{tail}"
+        rows.append((k, url, host, f"/{path}", int(tell(host, spam)) if k % 2 else None, int(tell(host, spam))))
+    return spark.createDataFrame(rows, "page_id long, url string, host string, path string, known int, truth int")
+
+
+def test_url_trees_use_more_than_the_suffix(session):
+    """Where what blocks is the parameters, URLs of one suffix get different verdicts, by lexical features."""
+    table = labelled_urls(session, 3, lambda host, spam: spam)
+    judged = urls.judge(table, "url", F.col("known")).where("known IS NULL").collect()
+    assert np.mean([row["blocked"] == row["truth"] for row in judged]) > 0.97
+    for suffix in ("one.com", "two.com", "three.com"):
+        assert {row["blocked"] for row in judged if row["host"].endswith(suffix)} == {0.0, 1.0}
+    right, importance = urls.held_out(table, "url", F.col("known"))
+    assert right > 0.97 and importance["f_blocked"] + importance["f_common"] < 0.3 and sum(importance.values()) == pytest.approx(1)
+
+
+def test_url_trees_use_the_suffix_where_it_tells(session):
+    table = labelled_urls(session, 4, lambda host, spam: host.endswith("two.com"))
+    judged = urls.judge(table, "url", F.col("known")).where("known IS NULL").collect()
+    assert np.mean([row["blocked"] == row["truth"] for row in judged]) > 0.97
+    right, importance = urls.held_out(table, "url", F.col("known"))
+    assert right > 0.97 and max(importance, key=importance.get) in ("f_blocked", "f_common")
+
+
+def test_suffix_statistics_leave_the_own_fold_out(session):
+    chance = random.Random(9)
+    rows = [(chance.choice("xyz"), chance.randrange(urls.FOLDS), chance.choice([None, 0, 1])) for _ in range(400)]
+    got = {(r["suffix"], r["fold"]): r for r in urls.suffix_statistics(session.createDataFrame(rows, "suffix string, fold int, label int")).collect()}
+    known = [label for *_, label in rows if label is not None]
+    base = (sum(known) + 0.5) / (len(known) + 1)
+    for (suffix, fold), row in got.items():
+        others = [label for s, f, label in rows if s == suffix and f != fold]
+        blocked = sum(label if label is not None else base for label in others) + urls.PRIOR * base
+        assert row["f_blocked"] == pytest.approx(blocked / (len(others) + urls.PRIOR))
+        assert row["f_common"] == pytest.approx(np.log1p(sum(s == suffix for s, *_ in rows)))
+
+
+# --- Fixes of single parts ---------------------------------------------------------------------------------------
+
+
+def plainly_resolved(found):
+    """Detections kept, looked at against all that were kept before."""
+    kept = []
+    for one in sorted(found, key=lambda d: (-d[2], d[0] - d[1], d[0], d[4])):
+        if not any((o[0] <= one[0] and one[1] <= o[1]) or (one[0] < o[1] and o[0] < one[1] and o[2] > one[2]) for o in kept):
+            kept.append(one)
+    return sorted(kept)
+
+
+def test_detections_are_resolved_as_by_the_plain_definition():
+    chance = random.Random(2)
+    for size in (0, 1, 5, 60, 300):
+        found = []
+        for _ in range(size):
+            start = chance.randrange(3 * size)
+            found.append((start, start + chance.randint(1, 12), chance.randint(1, 4), 0.5, chance.choice("abc"), "k"))
+        found = list(dict.fromkeys(found))
+        assert license_scan.resolved(found) == plainly_resolved(found)
+
+
+def test_many_mentions_are_resolved_quickly():
+    text = "x licensed under the GNU General Public License, version 3. " * 16_000
+    start = time.perf_counter()
+    found = license_scan.detections(text.lower())
+    middle = time.perf_counter()
+    assert len(license_scan.resolved(found)) == 16_000
+    assert time.perf_counter() - middle < max(1.0, middle - start)
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software", "mit"),
+        ("Redistribution and use in source and binary forms, with or without\n modification, are permitted", "bsd"),
+        ("Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote products", "bsd-3"),
+        ("All advertising materials mentioning features or use of this software must display", "bsd-4"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above", "isc"),
+        ('Licensed under the Apache License, Version 2.0 (the "License")', "apache-2"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+        ("GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "gpl-3"),
+        ("the GNU General Public License, as we said, either version 2 of the License", "gpl-2"),
+        ("under the terms of the GNU Lesser General Public License; either version 2.1 of the License", "lgpl-2.1"),
+        ("the GNU Affero General Public License as published, either version 3 of the License", "agpl-3"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2"),
+        ("accompanying materials are made available under the terms of the Eclipse Public License 2.0", "epl-2"),
+        ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable", "zlib"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation", "bsl-1"),
+        ("This is free and unencumbered software released into the public domain", "unlicense"),
+        ("To the extent possible under law, the author has waived all copyright and related or neighboring rights", "cc0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("BSD 3-Clause License", "bsd-3"),
+        ("it is Apache-2.0 here", "apache-2"),
+        ("GPL-3.0", "gpl-3"),
+        ("GPL version 3", "gpl-3"),
+        ("version 2 of the GPL", "gpl-2"),
+        ("Licensed under Apache 2.0", "apache-2"),
+        ("released under mit.", "mit"),
+    ],
+)
+def test_texts_versions_and_identifiers(text, label):
+    assert label in license_scan.scan(text)["labels"].split(",")
+
+
+def test_denied_grants_are_none():
+    for text in ("this is not licensed under the ISC license", "It is no longer released under the terms of the GPL version 2"):
+        found = license_scan.scan(text)
+        assert (found["labels"], found["score"], found["spans"]) == ("", 0.0, [])
+    assert license_scan.scan("not so good, but licensed under the ISC license")["labels"] == "isc"
+
+
+def test_pairs_of_numbers_with_few_values():
+    chance = np.random.default_rng(6)
+    for x in (chance.integers(0, 2, (4000, 3)).astype(float), chance.random((4000, 3)), chance.integers(0, 4, (4000, 3)) / 3.0):
+        labels = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+        model = quality.fit(x[:3000], labels[:3000])
+        assert np.mean((model.score(x[3000:]) >= 0.5) == labels[3000:]) > 0.95
+
+
+def test_boosting_against_a_naive_loop():
+    """The first turns of the boosting, value by value."""
+    chance = np.random.default_rng(8)
+    x = chance.integers(0, 3, (60, 2)).astype(float)
+    labels = (x[:, 0] + chance.random(60) > 1.4).astype(float)
+    edges = [quality.inner_edges(column, quality.BINS) for column in x.T]
+    share = (labels.sum() + 0.5) / 61
+    logits = [math.log(share / (1 - share))] * 60
+    tables = [[0.0] * 3 for _ in range(2)]
+
+    def leaf(bins, slopes, weights):
+        return sum(slopes[b] for b in bins) / (sum(weights[b] for b in bins) + quality.RIDGE)
+
+    def gain(bins, slopes, weights):
+        return sum(slopes[b] for b in bins) ** 2 / (sum(weights[b] for b in bins) + quality.RIDGE)
+
+    def grow(bins, slopes, weights, depth):
+        options = [(gain(bins[:k], slopes, weights) + gain(bins[k:], slopes, weights) - gain(bins, slopes, weights), -k) for k in range(1, len(bins))]
+        # Bins beyond those in use hold nothing: a cut there gains nothing.
+        if depth and options and max(options)[0] > 1e-12:
+            k = -max(options)[1]
+            return grow(bins[:k], slopes, weights, depth - 1) + grow(bins[k:], slopes, weights, depth - 1)
+        return [leaf(bins, slopes, weights)] * len(bins)
+
+    for _ in range(quality.ROUNDS):
+        for k in range(2):
+            p = [1 / (1 + math.exp(-v)) for v in logits]
+            slopes, weights = [0.0] * 3, [0.0] * 3
+            for row, label, share in zip(x, labels, p):
+                slopes[int(row[k])] += label - share
+                weights[int(row[k])] += share * (1 - share)
+            step = [quality.RATE * v for v in grow([0, 1, 2], slopes, weights, 2)]
+            tables[k] = [a + b for a, b in zip(tables[k], step)]
+            logits = [v + step[int(row[k])] for v, row in zip(logits, x)]
+    model = quality.fit(x, labels)
+    assert [len(own) for own in edges] == [2, 2]
+    for k in range(2):
+        assert np.allclose(model.tables[k][:3], tables[k], atol=1e-9)
+
+
+def test_a_repeated_id_is_one_row_of_a_sample(session):
+    documents = session.createDataFrame([(1, f"t{k}") for k in range(500)] + [(2, "u"), (3, None)], "doc_id long, text string")
+    labels = session.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1)], "doc_id long, toxic int")
+    found = sorted(map(tuple, labelled_sample(documents, labels, "toxic", 100).collect()))
+    assert found == [(1, "t99", 1), (2, "u", 0), (3, "", 1)]
+
+
+def test_words_of_any_length_are_searched_whole():
+    model = language(["winter", "house", "garden", "summer", "good"] * 50)
+    filler = "garden" * 12
+    for gap in range(60, 70):
+        word = (filler * 2)[:gap] + "w1nt3r"
+        assert toxicity.restore(word, model).endswith("winter")
+    run = " ".join("summer" * 15) + " w i n t e r"
+    assert "winter" in "".join(toxicity.spaced_words(run, model))

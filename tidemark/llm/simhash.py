@@ -105,8 +105,8 @@ def _parity(hashes: np.ndarray, places: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
-def least_keys(hashes: np.ndarray) -> list[int]:
-    """``KEYS`` keys of a set, each made of the least of its elements in ``HASHES`` random orders."""
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least of the elements of a set in each of ``KEYS`` times ``HASHES`` random orders."""
     orders = remix(np.arange(1, KEYS * HASHES + 1, dtype=np.uint64), 7)[:, None]
     factors, salts, short = orders.astype("<u4") | np.uint32(1), (orders >> np.uint64(32)).astype("<u4"), hashes.astype("<u4")
     least = np.full(KEYS * HASHES, 0xFFFFFFFF, dtype="<u4")
@@ -115,13 +115,26 @@ def least_keys(hashes: np.ndarray) -> list[int]:
         x ^= x >> np.uint32(15)
         x *= np.uint32(0x85EBCA6B)
         np.minimum(least, x.min(axis=1), out=least)
-    rows = least.reshape(KEYS, HASHES)
-    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(rows)]
+    return least
+
+
+def least_keys(least: np.ndarray) -> list[int]:
+    """``KEYS`` keys of a set, each of ``HASHES`` of its least elements."""
+    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(least.reshape(KEYS, HASHES))]
+
+
+def one_bit_sketches(least: np.ndarray) -> np.ndarray:
+    """``SKETCHES`` fingerprints of 64 bits, each bit the last of a least element.
+
+    In two sets of similarity s a bit is equal with a probability of (1 + s) / 2.
+    """
+    bits = (least[: 64 * SKETCHES] & np.uint32(1)).astype(np.uint8)
+    return np.packbits(bits, bitorder="little").view("<i8")
 
 
 def shingle_sketch(text: Column | str, size: int) -> Column:
-    """(size, parity, folded, keys) of the different shingles of a text: their number, a bitmap of the parity of their number
-    in each of 2^k places, the same for ``PLACES`` places as numbers, and ``least_keys``.
+    """(size, parity, folded, keys, bits) of the different shingles of a text: their number, a bitmap of the parity of their
+    number in each of 2^k places, the same for ``PLACES`` places as numbers, ``least_keys`` and ``one_bit_sketches``.
 
     ``parity`` has at least as many places as shingles. Half a bitmap laid over the other half, by exclusive or, is the
     bitmap of half as many places; so bitmaps of any two texts can be compared.
@@ -130,15 +143,19 @@ def shingle_sketch(text: Column | str, size: int) -> Column:
     def sketch(value: str | None) -> dict:
         hashes = np.unique(shingle_hashes(value, size))
         places = 1 << max(6, int(len(hashes)).bit_length())
+        least = least_hashes(hashes)
         return {
             "size": len(hashes),
             "parity": _parity(hashes, places).tobytes(),
             "folded": _parity(hashes, PLACES).view("<i8"),
-            "keys": least_keys(hashes),
+            "keys": least_keys(least),
+            "bits": one_bit_sketches(least),
         }
 
-    fields = [("size", pa.int64()), ("parity", pa.binary()), ("folded", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
-    return _arrow_column(sketch, "struct<size: bigint, parity: binary, folded: array<bigint>, keys: array<bigint>>", pa.struct(fields))(text)
+    numbers = pa.list_(pa.int64())
+    fields = [("size", pa.int64()), ("parity", pa.binary()), ("folded", numbers), ("keys", numbers), ("bits", numbers)]
+    kind = "struct<size: bigint, parity: binary, folded: array<bigint>, keys: array<bigint>, bits: array<bigint>>"
+    return _arrow_column(sketch, kind, pa.struct(fields))(text)
 
 
 def odd_places(one: bytes, other: bytes) -> int:
@@ -273,13 +290,14 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of every node of the edges (a, b): the smallest node that can be reached.
 
     Alternates the large-star and small-star steps (Kiveris et al. 2014). Edges are written to the shared folder after each
-    pair of steps; the walk ends when a pair of steps changes nothing.
+    pair of steps; the walk ends when a pair of steps changes nothing. Minima are combined before their shuffle; the
+    joins with the centre of a large star are followed by another shuffle, so adaptive execution may split them.
     """
 
     def large(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = both.join(least, "a").where("b > a")
+        moved = both.where("b > a").join(least, "a")
         return moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
     def small(edges: DataFrame) -> DataFrame:
@@ -322,34 +340,13 @@ def _neighbour_pairs(nodes: DataFrame, side: int, turn: int) -> DataFrame:
     return met.select(F.greatest(one, other).alias("a"), F.least(one, other).alias("b")).distinct()
 
 
-def linked(nodes: DataFrame, verify=None, similarity: float = 0.0, turns: int = 3) -> DataFrame:
-    """(node, comp) of the nodes that have links, from (node, fp, size, salt) rows, a node having one row for each salt.
-
-    Nodes link if their fingerprints of one salt differ in at most ``MAX_BITS`` bits and ``verify``, which filters pairs
-    (a, b) of nodes, lets the pair through. ``verify`` lets none through whose smaller ``size`` is below ``similarity``
-    times the larger. Neighbours under a key join most of every dense group first, in up to ``turns`` further turns among
-    the nodes that were close to a neighbour. The last join then looks at all nodes and keys, but only for links between
-    different components, and finds every link that is still needed.
-    """
-    verify = verify or (lambda pairs: pairs)
+def _stars(known: DataFrame) -> DataFrame:
+    return known.where("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
 
-    def stars(known: DataFrame) -> DataFrame:
-        return known.where("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
-
-    tried = cut_lineage(_neighbour_pairs(nodes.withColumn("comp", F.col("node")), 2, 0))
-    known = cut_lineage(components(cut_lineage(verify(tried))))
-    close = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
-    active = cut_lineage(nodes.join(close, "node", "left_semi"))
-    for turn in range(1, turns + 1):
-        tried = cut_lineage(_neighbour_pairs(_in_components(active, known), 0, turn))
-        if tried.isEmpty():
-            break
-        found = cut_lineage(verify(tried))
-        if found.isEmpty():
-            break
-        known = cut_lineage(components(found.union(stars(known))))
 
-    nodes = cut_lineage(_in_components(nodes, known))
+def key_pairs(nodes: DataFrame, similarity: float = 0.0) -> DataFrame:
+    """Pairs (a, b) of all nodes of different components whose fingerprints of one salt differ in at most ``MAX_BITS`` bits and
+    whose smaller ``size`` is at least ``similarity`` times the larger, from (node, fp, comp, size, salt)."""
     one, other = _with_keys(nodes, 0).drop("rest").alias("u"), _with_keys(nodes, 1).drop("rest").alias("v")
     met = one.join(
         other,
@@ -358,9 +355,29 @@ def linked(nodes: DataFrame, verify=None, similarity: float = 0.0, turns: int =
         & (F.least("u.size", "v.size") >= similarity * F.greatest("u.size", "v.size"))
         & (differing_bits(F.col("u.fp"), F.col("v.fp")) <= MAX_BITS),
     )
-    pairs = met.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b")).distinct()
-    last = cut_lineage(verify(pairs))
-    return components(last.union(stars(known)))
+    return met.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b")).distinct()
+
+
+def linked(nodes: DataFrame, turns: int = 3) -> DataFrame:
+    """(node, comp) of the nodes that have links, from (node, fp, size, salt): those whose fingerprints differ in at most
+    ``MAX_BITS`` bits.
+
+    Neighbours under a key join most of every dense group first, in up to ``turns`` further turns among the nodes that were
+    close to a neighbour. The last join then looks at all nodes and keys, but only for links between different
+    components, and finds every link that is still needed.
+    """
+    tried = cut_lineage(_neighbour_pairs(nodes.withColumn("comp", F.col("node")), 2, 0))
+    known = cut_lineage(components(tried))
+    close = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+    active = cut_lineage(nodes.join(close, "node", "left_semi"))
+    for turn in range(1, turns + 1):
+        found = cut_lineage(_neighbour_pairs(_in_components(active, known), 0, turn))
+        if found.isEmpty():
+            break
+        known = cut_lineage(components(found.union(_stars(known))))
+
+    last = cut_lineage(key_pairs(cut_lineage(_in_components(nodes, known))))
+    return components(last.union(_stars(known)))
 
 
 def fingerprint_components(prints: DataFrame) -> DataFrame:
@@ -389,8 +406,8 @@ WORDS, SIMILARITY = 5, 0.8
 KEYS, HASHES = 32, 5
 #: Places of the bitmap that goes into the join.
 PLACES = 512
-#: Word fingerprints that the gate of an earlier state compared. Only a test still uses it.
-SALTS = 3
+#: One-bit sketches that are searched with Golay keys.
+SKETCHES = 2
 
 
 def similar(texts: DataFrame, sketches: DataFrame, words: int = WORDS, similarity: float = SIMILARITY):
@@ -412,8 +429,10 @@ def similar(texts: DataFrame, sketches: DataFrame, words: int = WORDS, similarit
         bound = both - F.col("apart") >= similarity * (both + F.col("apart")) - 1e-6
         pairs = cut_lineage(sized.where(bound).select("a", "b"))  # used three times
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        # Equal texts share a node; any of them will do.
-        chosen = texts.join(needed, "node").groupBy("node").agg(F.first("text").alias("text"))
+        # Equal texts share a node; any of them will do. The salt lets Spark split the join where one text has many rows.
+        chosen = texts.join(needed, "node").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(16)))
+        chosen = chosen.groupBy("node", "salt").agg(F.first("text").alias("text"))
+        chosen = chosen.groupBy("node").agg(F.first("text").alias("text"))
         sets = cut_lineage(chosen.select("node", shingle_set("text", words).alias("set")))
         one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         other = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
@@ -425,23 +444,26 @@ def similar(texts: DataFrame, sketches: DataFrame, words: int = WORDS, similarit
     return verify
 
 
-def near_texts(sketches: DataFrame, verify, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, comp) of the nodes that have links, from (node, size, folded, keys): those that share a key and that ``verify``,
-    which filters pairs (a, b), lets through.
+def sketch_nodes(sketches: DataFrame) -> DataFrame:
+    """(node, fp, size, salt): a row for each one-bit sketch of a text."""
+    return sketches.select("node", "size", F.posexplode("bits").alias("salt", "fp")).select("node", "fp", "size", "salt")
 
-    Nodes that follow one another under a key, in the order of the next key, join most of every group first. The last join then
-    looks at all pairs under a key, but only between different components. The bounds of ``similar`` are part of its
-    condition, with the bitmap of ``PLACES`` places, so that it makes few rows.
-    """
+
+def _least_neighbours(sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) that follow one another under a key, in the order of the next key."""
     turned = F.concat(F.slice("keys", 2, KEYS - 1), F.slice("keys", 1, 1))
     zipped = F.explode(F.arrays_zip(F.col("keys").alias("key"), turned.alias("rest")))
     met = sketches.select("node", zipped.alias("k")).select("node", "k.key", "k.rest")
     before = F.lag("node").over(Window.partitionBy("key").orderBy("rest", "node"))
     met = met.select("node", before.alias("other")).where("other IS NOT NULL")
-    tried = met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-    known = cut_lineage(components(cut_lineage(verify(tried))))
+    return met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
 
-    placed = cut_lineage(_in_components(sketches.select("node", "size", "folded", "keys"), known))
+
+def _least_pairs(placed: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components that share a key, from (node, comp, size, folded, keys).
+
+    The bounds of ``similar`` are part of the condition, with the bitmap of ``PLACES`` places, so that it makes few rows.
+    """
     keyed = placed.select("node", "comp", "size", F.explode("keys").alias("key"))
     mixed = keyed.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last")
     keyed = keyed.join(mixed.select("key"), "key", "left_semi")
@@ -456,16 +478,32 @@ def near_texts(sketches: DataFrame, verify, similarity: float = SIMILARITY) -> D
         & (F.least("u.size", "v.size") >= similarity * F.greatest("u.size", "v.size"))
         & (both - apart >= similarity * (both + apart) - 1e-6),
     )
-    pairs = found.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b")).distinct()
-    last = cut_lineage(verify(pairs))
-    return components(last.union(known.where("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))))
+    return found.select(F.greatest("u.node", "v.node").alias("a"), F.least("u.node", "v.node").alias("b"))
+
+
+def near_texts(sketches: DataFrame, verify, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, comp) of the nodes that have links, from (node, size, folded, keys, bits): pairs that ``verify``, which filters
+    pairs (a, b), lets through.
+
+    Candidates share a Golay key of a one-bit sketch and differ there in at most ``MAX_BITS`` bits, or share one of
+    ``least_keys``. Texts of similarity s differ in about 32 (1 - s) bits of a sketch, so the first finds nearly all pairs
+    above 0.9 and a part of those nearer to 0.8; the second misses almost none. Neighbours under a key of either kind join most
+    of every group first. All pairs under a key are then looked at, but only between different components.
+    """
+    nodes = cut_lineage(sketch_nodes(sketches))
+    first = _least_neighbours(sketches).union(_neighbour_pairs(nodes.withColumn("comp", F.col("node")), 2, 0)).distinct()
+    known = cut_lineage(components(cut_lineage(verify(first))))
+    placed = cut_lineage(_in_components(sketches.select("node", "size", "folded", "keys"), known))
+    others = key_pairs(_in_components(nodes, known), similarity).union(_least_pairs(placed, similarity)).distinct()
+    last = cut_lineage(verify(others))
+    return components(last.union(_stars(known)))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Documents link if the Jaccard similarity of their shingles of five words is 0.8 or more. Pairs are found by ``least_keys``
-    and compared whole. A text is known by its 64-bit hash. Nulls are empty texts. Links within groups that other links join
+    Documents link if the Jaccard similarity of their shingles of five words is 0.8 or more. Pairs are found by Golay keys of
+    one-bit sketches of the shingles and, for what those do not reach, by ``least_keys``; all are compared whole. A text is known by its 64-bit hash. Nulls are empty texts. Links within groups that other links join
     already are not looked for.
     """
     ready(spark)
