@@ -1,8 +1,9 @@
 """URL verdicts: rules by host and path, and gradient-boosted trees on lexical features for the rest.
 
 Features: length, depth, share of digits, entropy of the characters, number of parameters, hyphens and labels, and
-statistics of the host's suffix (its last two labels): how many URLs have it, and which share of the labelled ones is
-blocked. Only DataFrame functions and Spark's own trees are used.
+statistics of the host's suffix (its last two labels): how many URLs have it, and which share of them is blocked. That
+share is taken from the other folds of the URLs, so that no label tells on itself, and URLs without a label count at the overall
+share, so that a few labelled pages do not speak for a whole suffix. Only DataFrame functions and Spark's own trees are used.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and is judged by its features
 like any other. Among rules that fit, the longest wins; of equally long ones the first in the list. Without labelled
@@ -26,6 +27,8 @@ from tidemark.session import cut_lineage
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_parameters", "f_hyphens", "f_labels", "f_common", "f_blocked")
 TREES, DEPTH = 15, 4
+#: Folds of the URLs, and URLs that every suffix has besides its own, at the overall share.
+FOLDS, PRIOR = 5, 20.0
 
 
 def parsed(urls: DataFrame, url: str, host: str, path: str) -> DataFrame:
@@ -86,33 +89,81 @@ def lexical(urls: DataFrame, url: str, host: str, path: str) -> DataFrame:
     )
 
 
+def fold_of(url: Column) -> Column:
+    """Equal URLs are in one fold."""
+    return F.pmod(F.xxhash64(F.coalesce(url, F.lit(""))), F.lit(FOLDS)).cast("int")
+
+
 def suffix_statistics(urls: DataFrame) -> DataFrame:
-    """(suffix, f_common, f_blocked) from (suffix, label), where label is null for URLs without one."""
-    found = urls.groupBy("suffix").agg(F.count("*").alias("n"), F.count("label").alias("seen"), F.sum("label").alias("blocked"))
-    blocked = (F.coalesce("blocked", F.lit(0)) + 1.0) / (F.col("seen") + 2.0)
-    return found.select("suffix", F.log1p("n").alias("f_common"), blocked.alias("f_blocked"))
+    """(suffix, fold, f_common, f_blocked) from (suffix, fold, label), where label is null for URLs without one.
+
+    ``f_blocked`` of a fold is the share of blocked URLs of the suffix in the other folds, ``PRIOR`` URLs and those without a
+    label counting at the overall share. Counts are summed by suffix and fold first, so a suffix that most URLs have is
+    ``FOLDS`` rows.
+    """
+    counted = urls.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.count("label").alias("seen"), F.sum("label").alias("blocked"))
+    counted = cut_lineage(counted.withColumn("blocked", F.coalesce("blocked", F.lit(0))))
+    overall = counted.agg(F.sum("seen").alias("seen"), F.sum("blocked").alias("blocked")).first()
+    base = ((overall["blocked"] or 0) + 0.5) / ((overall["seen"] or 0) + 1.0)
+    total = counted.groupBy("suffix").agg(*(F.sum(name).alias(f"all_{name}") for name in ("n", "seen", "blocked")))
+    n, seen, blocked = (F.col(f"all_{name}") - F.col(name) for name in ("n", "seen", "blocked"))
+    share = (blocked + (n - seen + PRIOR) * base) / (n + PRIOR)
+    return counted.join(total, "suffix").select("suffix", "fold", F.log1p("all_n").alias("f_common"), share.alias("f_blocked"))
+
+
+def featured(urls: DataFrame, url: str, label: Column) -> DataFrame:
+    """``urls`` (which have columns host, path) with all features, ``label`` (1 or 0 for labelled URLs, else null) and ``fold``."""
+    marked = lexical(urls, url, "host", "path").withColumns({"suffix": suffix_of(F.col("host")), "label": label, "fold": fold_of(F.col(url))})
+    statistics = cut_lineage(suffix_statistics(marked.select("suffix", "fold", "label")))
+    return marked.join(statistics, ["suffix", "fold"]).withColumn("label", F.col("label").cast("double"))
+
+
+def _sample(urls: DataFrame, url: str, rows: int) -> DataFrame:
+    """At most ``rows`` labelled URLs, chosen by hash."""
+    found = urls.where(F.col("label").isNotNull()).orderBy(F.xxhash64(url), url).limit(rows)
+    return cut_lineage(found.select("label", "fold", *FEATURES))
+
+
+def _gather() -> VectorAssembler:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+
+
+def grown(sample: DataFrame, trees: int = TREES):
+    """Trees over labelled URLs of both kinds; None without both."""
+    if len(sample.select("label").distinct().collect()) < 2:
+        return None
+    model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=DEPTH, maxBins=32, seed=7, predictionCol="blocked")
+    return model.fit(_gather().transform(sample.coalesce(4)).select("features", "label"))
 
 
 def judge(urls: DataFrame, url: str, label: Column, rows: int = 20_000, trees: int = TREES) -> DataFrame:
     """``urls`` (which have columns host, path) with a column ``blocked``: 1.0 if the trees say so.
 
-    ``label``: 1 or 0 for labelled URLs, else null. The trees are grown on at most ``rows`` labelled URLs, chosen by hash;
-    the suffix statistics are over all URLs.
+    The trees are grown on at most ``rows`` labelled URLs; the suffix statistics are over all URLs.
     """
-    kept = urls.columns
-    marked = lexical(urls, url, "host", "path").withColumns({"suffix": suffix_of(F.col("host")), "label": label})
-    statistics = cut_lineage(suffix_statistics(marked.select("suffix", "label")))
-    sample = marked.where(F.col("label").isNotNull()).select("suffix", "label", url, *FEATURES[:-2])
-    sample = sample.orderBy(F.xxhash64(url), url).limit(rows).drop(url)
-    sample = cut_lineage(sample.join(statistics, "suffix").select(F.col("label").cast("double"), *FEATURES))
-    counts = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        return urls.withColumn("blocked", F.lit(float(max(counts, default=0.0))))
-    gather = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=DEPTH, maxBins=32, seed=7, predictionCol="blocked")
-    model = model.fit(gather.transform(sample.coalesce(4)).select("features", "label"))
-    full = marked.drop("label").join(statistics, "suffix")
-    return model.transform(gather.transform(full)).select(*kept, "blocked")
+    full = featured(urls, url, label)
+    sample = _sample(full, url, rows)
+    model = grown(sample, trees)
+    if model is None:
+        only = sample.select("label").first()
+        return urls.withColumn("blocked", F.lit(only["label"] if only else 0.0))
+    return model.transform(_gather().transform(full)).select(*urls.columns, "blocked")
+
+
+def held_out(urls: DataFrame, url: str, label: Column, rows: int = 20_000) -> tuple[float, dict[str, float]]:
+    """How many labelled URLs of the first fold trees grown on the other folds judge rightly, and the share that each feature
+    has in what these trees decide."""
+    sample = _sample(featured(urls, url, label), url, rows)
+    model = grown(sample.where("fold <> 0"))
+    if model is None:
+        return float("nan"), {}
+    judged = model.transform(_gather().transform(sample.where("fold = 0")))
+    right = judged.agg(F.avg((F.col("blocked") == F.col("label")).cast("double"))).first()[0]
+    return right, dict(zip(FEATURES, model.featureImportances.toArray().tolist()))
+
+
+def label_of(decided: Column) -> Column:
+    return F.when(decided == "block", 1).when(decided == "allow", 0)
 
 
 def verdicts(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
@@ -120,8 +171,7 @@ def verdicts(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     found = parsed(pages.select("page_id", F.col(url).alias("url")), "url", "host", "path")
     rule, verdict = best_rule(F.col("host"), F.col("path"), rules)
     found = found.withColumns({"rule": rule, "decided": verdict})
-    label = F.when(F.col("decided") == "block", 1).when(F.col("decided") == "allow", 0)
-    judged = judge(found, "url", label)
+    judged = judge(found, "url", label_of(F.col("decided")))
     method = F.when(F.col("blocked") >= 0.5, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("decided", method).alias("verdict"))
 
