@@ -10,21 +10,21 @@ FAMILIES = r"""
 mit | mit | (?:the )?mit(?:/x11)?(?: style)? licen[sc]e | mit | opensource\.org/licenses/mit
 mit-0 | mit-0, no attribution | mit no attribution(?: licen[sc]e)? | mit-0 | opensource\.org/licenses/mit-0
 apache-1.1 | apache | apache(?: software)? licen[sc]e,? (?:version |v)1\.1 | apache-1\.1 | apache\.org/licenses/license-1\.1
-apache-2 | apache | apache(?: software)? licen[sc]e,? (?:version |v)?2(?:\.0)?; apache 2\.0 licen[sc]e; apache licen[sc]e | apache-2\.0 | apache\.org/licenses/license-2\.0
-gpl-1 | gpl, general public | gnu general public licen[sc]e,? (?:version |v)1; gpl ?v1 | gpl-1\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0
-gpl-2 | gpl, general public | gnu general public licen[sc]e,? (?:version |v)2; gnu gpl ?v?2; gplv2 | gpl-2\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0
-gpl-3 | gpl, general public | gnu general public licen[sc]e,? (?:version |v)3; gnu gpl ?v?3; gplv3 | gpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/gpl-3\.0
+apache-2 | apache | apache(?: software)? licen[sc]e,? (?:version |v)?2(?:\.0)?; apache,? (?:version |v)?2(?:\.0)?(?: licen[sc]e)?; apache licen[sc]e | apache-2\.0 | apache\.org/licenses/license-2\.0
+gpl-1 | gpl, general public | gnu general public licen[sc]e,? (?:version |v)1; gpl,? ?(?:version |v)1; version 1 of the gnu general public licen[sc]e | gpl-1\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0
+gpl-2 | gpl, general public | gnu general public licen[sc]e,? (?:version |v)2; (?:gnu )?gpl,? ?(?:version |v)?2(?:\.0)?; version 2(?:\.0)? of the (?:gnu )?(?:general public licen[sc]e|gpl) | gpl-2\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0
+gpl-3 | gpl, general public | gnu general public licen[sc]e,? (?:version |v)3; (?:gnu )?gpl,? ?(?:version |v)?3(?:\.0)?; version 3(?:\.0)? of the (?:gnu )?(?:general public licen[sc]e|gpl) | gpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/gpl-3\.0
 gpl | gpl, general public | gnu general public licen[sc]e; gnu gpl | gpl | gnu\.org/licenses/gpl\.
 lgpl-2 | lgpl, library general | gnu library general public licen[sc]e; lgpl ?v?2(?:\.0)? | lgpl-2\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/old-licenses/lgpl-2\.0
-lgpl-2.1 | lgpl, lesser general | gnu lesser general public licen[sc]e,? (?:version |v)2\.1; lgpl ?v?2\.1 | lgpl-2\.1(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1
-lgpl-3 | lgpl, lesser general | gnu lesser general public licen[sc]e,? (?:version |v)3; lgpl ?v?3 | lgpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/lgpl-3\.0
+lgpl-2.1 | lgpl, lesser general | gnu lesser general public licen[sc]e,? (?:version |v)2\.1; lgpl,? ?(?:version |v)?2\.1; version 2\.1 of the (?:gnu )?(?:lesser general public licen[sc]e|lgpl) | lgpl-2\.1(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1
+lgpl-3 | lgpl, lesser general | gnu lesser general public licen[sc]e,? (?:version |v)3; lgpl,? ?(?:version |v)?3; version 3 of the (?:gnu )?(?:lesser general public licen[sc]e|lgpl) | lgpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/lgpl-3\.0
 lgpl | lgpl, lesser general | gnu lesser general public licen[sc]e; gnu lgpl | lgpl | gnu\.org/licenses/lgpl\.
-agpl-3 | agpl, affero | gnu affero general public licen[sc]e(?:,? (?:version |v)3)?; agpl ?v?3 | agpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/agpl
+agpl-3 | agpl, affero | gnu affero general public licen[sc]e(?:,? (?:version |v)3)?; agpl,? ?(?:version |v)?3; version 3 of the (?:gnu )?affero general public licen[sc]e | agpl-3\.0(?:-only|-or-later|\+)? | gnu\.org/licenses/agpl
 gfdl-1.3 | fdl, free documentation | gnu free documentation licen[sc]e(?:,? (?:version |v)1\.3)? | gfdl-1\.[123](?:-only|-or-later)? | gnu\.org/licenses/fdl
 bsd-1 | bsd | (?:1|one)[- ]clause bsd licen[sc]e | bsd-1-clause | opensource\.org/license/bsd-1-clause
-bsd-2 | bsd | (?:2|two)[- ]clause bsd licen[sc]e; simplified bsd licen[sc]e; freebsd licen[sc]e | bsd-2-clause | opensource\.org/licenses/bsd-2-clause
-bsd-3 | bsd | (?:3|three)[- ]clause bsd licen[sc]e; (?:new|revised|modified) bsd licen[sc]e | bsd-3-clause | opensource\.org/licenses/bsd-3-clause
-bsd-4 | bsd | (?:4|four)[- ]clause bsd licen[sc]e; original bsd licen[sc]e | bsd-4-clause | spdx\.org/licenses/bsd-4-clause
+bsd-2 | bsd | (?:2|two)[- ]clause bsd licen[sc]e; bsd (?:2|two)[- ]clause(?: licen[sc]e)?; simplified bsd licen[sc]e; freebsd licen[sc]e | bsd-2-clause | opensource\.org/licenses/bsd-2-clause
+bsd-3 | bsd | (?:3|three)[- ]clause bsd licen[sc]e; bsd (?:3|three)[- ]clause(?: licen[sc]e)?; (?:new|revised|modified) bsd licen[sc]e | bsd-3-clause | opensource\.org/licenses/bsd-3-clause
+bsd-4 | bsd | (?:4|four)[- ]clause bsd licen[sc]e; bsd (?:4|four)[- ]clause(?: licen[sc]e)?; original bsd licen[sc]e | bsd-4-clause | spdx\.org/licenses/bsd-4-clause
 bsd | bsd | bsd(?: style)? licen[sc]e | bsd | opensource\.org/licenses/bsd-license
 0bsd | bsd | (?:zero|0)[- ]clause bsd(?: licen[sc]e)? | 0bsd | opensource\.org/licenses/0bsd
 isc | isc | isc licen[sc]e | isc | opensource\.org/licenses/isc
@@ -83,9 +83,71 @@ openrail | rail, responsible ai, huggingface | (?:creativeml |bigscience )?(?:op
 proprietary | all rights reserved, proprietary, confidential | all rights reserved; proprietary and confidential | proprietary | licenses/proprietary
 """
 
+# Label | keyword, which is in every match | sentences of the licence's own text or of its notice; ... is up to 160 characters.
+SENTENCES = r"""
+mit | any person obtaining a copy | permission is hereby granted, free of charge, to any person obtaining a copy of this software
+mit | substantial portions of the software | (?:the )?above copyright notice and this permission notice(?: \(including the next paragraph\))? shall be included in all copies or substantial portions of the software
+mit-0 | to deal in the software without restriction | to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons to whom the software is furnished to do so\. the software is provided
+bsd | redistribution and use in source | redistribution and use in source and binary forms,? with or without modification
+bsd-3 | nor the names of | neither the name of ... nor the names of (?:its|the|their) contributors may be used to endorse or promote products
+bsd-4 | all advertising materials | all advertising materials mentioning features or use of this software must display
+0bsd | with or without fee is hereby granted | permission to use, copy, modify,? and/or distribute this software for any purpose with or without fee is hereby granted\. the software is provided
+isc | with or without fee is hereby granted | permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose with or without fee is hereby granted,? provided that the above
+postgresql | without a written agreement | permission to use, copy, modify,? and distribute this software and its documentation for any purpose, without fee, and without a written agreement
+ncsa | illinois | neither the names of ... university of illinois ... may be used to endorse
+x11 | x consortium | except as contained in this notice, the name of the x consortium shall not be used in advertising
+apache-2 | apache license | licensed under the apache license, version 2\.0 \(the ["'“]?license["'”]?\)
+apache-2 | apache license | you may not use this file except in compliance with the license\. you may obtain a copy of the license at ... apache license
+apache-2 | terms and conditions for use, reproduction | apache license version 2\.0, january 2004 ... terms and conditions for use, reproduction
+apache-1.1 | apache software foundation | this product includes software developed by the apache software foundation
+gpl | gnu general public license | this (?:program|software|library|file) is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu general public license
+gpl-2 | gnu general public license | gnu general public license as published by the free software foundation[;,] (?:either )?version 2
+gpl-3 | gnu general public license | gnu general public license as published by the free software foundation[;,:] (?:either )?version 3
+gpl-2 | gnu general public license | gnu general public license ... either version 2(?:\.0)? of the license
+gpl-3 | gnu general public license | gnu general public license ... either version 3(?:\.0)? of the license
+gpl-2 | version 2, june 1991 | gnu general public license version 2, june 1991
+gpl-3 | version 3, 29 june 2007 | gnu general public license version 3, 29 june 2007
+lgpl-2.1 | gnu lesser general public license | gnu lesser general public license ... version 2\.1 of the license
+lgpl-3 | gnu lesser general public license | gnu lesser general public license ... version 3 of the license
+lgpl-2 | gnu library general public license | gnu library general public license ... version 2 of the license
+lgpl-2.1 | version 2.1, february 1999 | gnu lesser general public license version 2\.1, february 1999
+agpl-3 | gnu affero general public license | gnu affero general public license ... version 3 of the license
+agpl-3 | version 3, 19 november 2007 | gnu affero general public license version 3, 19 november 2007
+gfdl-1.3 | free documentation license | permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation license
+mpl-2 | mozilla public license | this source code form is subject to the terms of the mozilla public license, v\. 2\.0
+mpl-2 | mozilla.org/mpl/2.0 | if a copy of the mpl was not distributed with this file, you can obtain one at https?://mozilla\.org/mpl/2\.0
+mpl-1.1 | mozilla public license version 1.1 | the contents of this file are subject to the mozilla public license version 1\.1
+epl-1 | eclipse public license v1.0 | accompanying materials are made available under the terms of the eclipse public license v1\.0
+epl-2 | eclipse public license | accompanying materials are made available under the terms of the eclipse public license 2\.0
+cddl-1 | common development and distribution license | the contents of this file are subject to the terms of the common development and distribution license
+artistic-2 | artistic license | this is free software; you can redistribute it and/or modify it under the terms of the artistic license 2\.0
+perl | same terms as | you (?:may|can) (?:redistribute|modify) it (?:and/or modify it )?under the same terms as perl itself
+zlib | in no event will the authors be held liable | this software is provided ['‘]as-is['’], without any express or implied warranty\. in no event will the authors be held liable
+zlib | must not be misrepresented | the origin of this software must not be misrepresented; you must not claim that you wrote the original software
+bsl-1 | person or organization obtaining a copy | permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation
+unlicense | free and unencumbered software | this is free and unencumbered software released into the public domain
+unlicense | anyone is free to copy | anyone is free to copy, modify, publish, use, compile, sell,? or distribute this software
+wtfpl | you just do what the | you just do what the f\S* you want to
+cc0 | waived all copyright | to the extent possible under law, ... waived all copyright and related or neighboring rights
+cc-by | creative commons attribution | this work is licensed under (?:a|the) creative commons attribution [1-4]\.0(?: international| unported| generic)? licen[sc]e
+cc-by-sa | sharealike | this work is licensed under (?:a|the) creative commons attribution-sharealike [1-4]\.0(?: international| unported| generic)? licen[sc]e
+cc-by-nc | noncommercial | this work is licensed under (?:a|the) creative commons attribution-noncommercial [1-4]\.0(?: international| unported| generic)? licen[sc]e
+ofl-1.1 | open font license | this font software is licensed under the sil open font license
+eupl-1.2 | eupl | licensed under the eupl,? version 1\.2
+openssl | openssl toolkit | this product includes software developed by the openssl project for use in the openssl toolkit
+public-domain | public domain | the authors? (?:of this (?:file|software|work) )?disclaims? copyright ... public domain
+proprietary | strictly prohibited | unauthorized (?:copying|use|distribution) of this (?:file|software|material),? via any medium is strictly prohibited
+"""
+
+#: What turns the grant that follows it into none.
+DENIAL = re.compile(r"\b(?:not|never|no longer|neither|isn't|aren't|wasn't|cannot be|can't be)\s+(?:\w+\s+){0,2}\Z")
 GRANT = r"(?:licensed|released|distributed|available|published|provided|covered)(?: \w+){0,2}? (?:under|by|with)(?: the)?(?: terms of)?(?: the)? "
 
 
+#: Identifiers with a number, as in ``apache-2.0``.
+VERSIONED = re.compile(r"-(?:\(\?:)?(?:\[?\d)")
+
+
 @dataclass(frozen=True)
 class Signature:
     """A pattern of a label. Of overlapping detections that of higher priority stays."""
@@ -111,8 +173,12 @@ def _families() -> list[tuple[tuple[str, ...], tuple[Signature, ...]]]:
             ("classifier", 3, 0.95, rf"licen[sc]e\s*[:=]\s*[\"']?{identifier}(?![\w.+-]*\w)"),
             ("address", 3, 0.95, rf"https?://(?:www\.)?{address}"),
         ]
-        for name in names.split(";"):
-            name = name.strip()
+        every = [name.strip() for name in names.split(";")]
+        if VERSIONED.search(identifier):
+            # Unlike ``mit`` or ``ruby`` an identifier with a version is no word of a text.
+            patterns.append(("identifier", 1, 0.7, rf"(?<![\w.+-]){identifier}(?![\w.+-]*\w)"))
+        patterns.append(("grant", 2, 0.9, rf"\b{GRANT}{identifier}(?![\w.+-]*\w)"))
+        for name in every:
             patterns.append(("grant", 2, 0.9, rf"\b{GRANT}{name}\b"))
             patterns.append(("name", 1, 0.6, rf"\b{name}\b"))
         own = tuple(Signature(label, kind, priority, sure, re.compile(_spaced(text))) for kind, priority, sure, text in patterns)
@@ -120,5 +186,14 @@ def _families() -> list[tuple[tuple[str, ...], tuple[Signature, ...]]]:
     return found
 
 
+def _sentences() -> list[tuple[tuple[str, ...], tuple[Signature, ...]]]:
+    found = []
+    for line in SENTENCES.strip().splitlines():
+        label, keyword, text = (part.strip() for part in line.split(" | "))
+        pattern = re.compile(_spaced(text).replace(r"\s+...\s+", r"[\s\S]{1,160}?"))
+        found.append(((keyword,), (Signature(label, "text", 4, 0.97, pattern),)))
+    return found
+
+
 #: (keywords, signatures) of every licence, in order.
-RULES = _families()
+RULES = _families() + _sentences()

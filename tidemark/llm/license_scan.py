@@ -1,8 +1,9 @@
 """Licence detection by ordered signatures.
 
-A text is lower-cased. Hundreds of patterns, grouped by licence, are tried only if one of the licence's keywords is in the
-text, whatever white space parts its words. Detections that overlap are resolved in order of priority, then length, then place: one that lies within an
-accepted one, or shares text with an accepted one of higher priority, is suppressed. Besides, base phrases are looked
+A text is lower-cased. Hundreds of patterns, of names, identifiers, addresses, grants and sentences of the licences' own texts, are tried
+only if one of their keywords is in the text, whatever white space parts its words. Detections that overlap are resolved in order of
+priority: one that lies within an accepted one, or shares text with an accepted one of higher priority, is suppressed. A grant
+that is denied ("not licensed under ...") is suppressed by the denial, which has no label. Besides, base phrases are looked
 for as consecutive words; their labels always stay.
 
 Defined results: null and empty texts have no words and no labels, and score 0. Ties are resolved by label. Repeated rows
@@ -12,6 +13,7 @@ are treated alike. Texts are read whole, whatever their length. Other columns ar
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tidemark.llm.common import query, ready, table
-from tidemark.llm.license_rules import RULES
+from tidemark.llm.license_rules import DENIAL, RULES
 
 #: Phrases as words, and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 BASE_WORDS = tuple((tuple(word.encode() for word in phrase.split()), label) for phrase, label in BASE)
+#: Priority of a denied grant.
+DENIED = 5
 #: Words of a lower-cased text in UTF-8: digits, a to z, and every byte of a character that is not ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 IN_WORD = np.zeros(256, dtype=bool)
@@ -66,28 +70,53 @@ def detections(text: str) -> list[tuple[int, int, int, float, str, str]]:
     for keywords, signatures in RULES:
         if any(keyword in flat for keyword in keywords):
             for sign in signatures:
+                grant = sign.kind == "grant"
                 for match in sign.pattern.finditer(text):
-                    found.append((match.start(), match.end(), sign.priority, sign.confidence, sign.label, sign.kind))
+                    start, end = match.span()
+                    if grant and (denied := DENIAL.search(text, max(0, start - 60), start)):
+                        # Outranks the grant and what lies within it, and is no licence itself.
+                        found.append((denied.start(), end, DENIED, 0.0, sign.label, "denial"))
+                    else:
+                        found.append((start, end, sign.priority, sign.confidence, sign.label, sign.kind))
     return found
 
 
 def resolved(found: list[tuple[int, int, int, float, str, str]]) -> list[tuple[int, int, int, float, str, str]]:
-    """What stays: in order of priority, length and place, unless it lies within what stays or overlaps a higher priority."""
+    """What stays: by falling priority, unless it shares text with a higher priority that stays or lies within one of its own
+    that stays; of equal places the first label.
+
+    What stays of the higher priorities is one sorted list of places that are apart, looked up by bisection. Within a priority
+    a place lies within another exactly if, in order of start, an earlier one ends no sooner. So the work is that of sorting.
+    """
     kept: list[tuple[int, int, int, float, str, str]] = []
-    for one in sorted(found, key=lambda d: (-d[2], d[0] - d[1], d[0], d[4])):
-        start, end, priority = one[:3]
-        if not any(
-            (other[0] <= start and end <= other[1]) or (start < other[1] and other[0] < end and other[2] > priority)
-            for other in kept
-        ):
-            kept.append(one)
+    starts, ends = [], []
+    by_priority: dict[int, list] = {}
+    for one in found:
+        by_priority.setdefault(one[2], []).append(one)
+    for priority in sorted(by_priority, reverse=True):
+        stays, reach = [], -1
+        for one in sorted(by_priority[priority], key=lambda d: (d[0], -d[1], d[4], d[5])):
+            before = bisect_left(starts, one[1]) - 1
+            if (before < 0 or ends[before] <= one[0]) and one[1] > reach:
+                stays.append(one)
+                reach = one[1]
+        kept += stays
+        places = sorted([*zip(starts, ends), *((one[0], one[1]) for one in stays)])
+        starts, ends = [], []
+        for start, end in places:
+            if ends and start < ends[-1]:
+                ends[-1] = max(ends[-1], end)
+            else:
+                starts.append(start)
+                ends.append(end)
     return sorted(kept)
 
 
 def scan(text: str | None) -> dict:
     raw = lower_ascii(text)
     places = base_places(raw)
-    kept = resolved(detections(raw.decode("utf-8")))
+    # A denied grant has done its work when it has suppressed what lies within it.
+    kept = [detection for detection in resolved(detections(raw.decode("utf-8"))) if detection[5] != "denial"]
     base = {label for _, label in places}
     missed = 1.0
     for detection in kept:
