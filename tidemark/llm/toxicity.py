@@ -7,7 +7,7 @@ their beginnings; a logistic curve turns the weights found in a document into a
 
 Defined results: a null or empty text has no words and gets the score of a text without weighted words. Without
 labelled rows, or with one label only, every text gets the (smoothed) share of that label. Repeated rows get equal scores.
-Texts are read whole, whatever their length; words over ``LONGEST`` characters are read in pieces of that length.
+Texts, words and runs of letters set apart are read whole, whatever their length.
 Other columns of the table are not looked at, and stay.
 """
 
@@ -31,8 +31,6 @@ from tidemark.llm.common import in_fold, labelled_sample, query, ready, table
 #: Codes of the language model: 0 between words, 1 to 26 letters without accents, 27 any other letter.
 OTHER = 27
 BITS = 5
-LONGEST = 64
-BEAM = 24
 CACHE = 300_000
 
 # Letters that a character may stand for.
@@ -171,7 +169,11 @@ def lattice(word: str, apart: bool = False) -> list[list[tuple[tuple[tuple[int,
 
 
 def restore(word: str, model: np.ndarray, apart: bool = False) -> str:
-    """The likeliest reading of a word; several words if separators part it."""
+    """The likeliest reading of a word; several words if separators part it.
+
+    A state is the last three letters, so there are as many as the readings of the last three runs allow, and the work grows with
+    the length of the word.
+    """
     states: dict[tuple[int, int, int], tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
     for slot in lattice(word, apart):
         reached: dict[tuple[int, int, int], tuple[float, tuple | None]] = {}
@@ -185,8 +187,6 @@ def restore(word: str, model: np.ndarray, apart: bool = False) -> str:
                     trail = (trail, letter)
                 if (old := reached.get((a, b, c))) is None or total > old[0]:
                     reached[a, b, c] = (total, trail)
-        if len(reached) > BEAM:
-            reached = dict(sorted(reached.items(), key=lambda item: -item[1][0])[:BEAM])
         states = reached
     _, trail = max(
         ((score + (model[(*state, 0)] if state[2] else 0.0), back) for state, (score, back) in states.items()),
@@ -213,8 +213,7 @@ def readings(word: str, model: np.ndarray) -> list[str]:
     whole = word.strip(BARE_EDGES)
     for form in (core, whole) if whole != core else (core,):
         if SUSPECT.search(form):
-            for start in range(0, len(form), LONGEST):
-                found += restore(form[start : start + LONGEST], model).split()
+            found += restore(form, model).split()
     return found
 
 
@@ -222,9 +221,7 @@ def spaced_words(text: str, model: np.ndarray) -> list[str]:
     """Words whose letters stand apart."""
     found = []
     for match in SPACED.finditer(text):
-        run = re.sub(r"\s+", " ", match[0])
-        for start in range(0, len(run), 2 * LONGEST):
-            found += restore(run[start : start + 2 * LONGEST], model, apart=True).split()
+        found += restore(re.sub(r"\s+", " ", match[0]), model, apart=True).split()
     return found
 
 
