@@ -68,32 +68,41 @@ def numbers(text: str | None) -> list[float]:
 
 @dataclass
 class Model:
-    """A constant, the inner edges of the bins of each number, and the tables of numbers and of pairs of numbers."""
+    """A constant, the inner edges of the bins of each number, fine ones and coarse ones for pairs, and the tables of numbers
+    and of pairs of numbers."""
 
     bias: float = 0.0
     edges: list[np.ndarray] = field(default_factory=list)
+    coarse_edges: list[np.ndarray] = field(default_factory=list)
     tables: list[np.ndarray] = field(default_factory=list)
     pairs: list[tuple[int, int]] = field(default_factory=list)
     pair_tables: list[np.ndarray] = field(default_factory=list)
 
-    def bins(self, rows: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(edges, rows[:, k], side="right") for k, edges in enumerate(self.edges)], axis=1)
-
-    def logits(self, bins: np.ndarray) -> np.ndarray:
-        total = np.full(len(bins), self.bias)
-        for k, values in enumerate(self.tables):
-            total += values[bins[:, k]]
+    def logits(self, rows: np.ndarray) -> np.ndarray:
+        total = np.full(len(rows), self.bias)
+        for own, values in zip(placed(rows, self.edges).T, self.tables):
+            total += values[own]
+        small = placed(rows, self.coarse_edges)
         for (a, b), values in zip(self.pairs, self.pair_tables):
-            total += values[coarse(bins[:, a]), coarse(bins[:, b])]
+            total += values[small[:, a], small[:, b]]
         return total
 
     def score(self, rows: np.ndarray) -> np.ndarray:
-        logits = self.logits(self.bins(rows)) if self.edges else np.full(len(rows), self.bias)
+        logits = self.logits(rows) if self.edges else np.full(len(rows), self.bias)
         return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
-def coarse(bins: np.ndarray) -> np.ndarray:
-    return bins * COARSE // BINS
+def inner_edges(values: np.ndarray, bins: int) -> np.ndarray:
+    """Between the bins that hold about equal numbers of values; each value of a number with few of them has its own."""
+    different = np.unique(values)
+    if len(different) <= bins:
+        return (different[1:] + different[:-1]) / 2
+    return np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1]))
+
+
+def placed(rows: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """The bin of each number."""
+    return np.stack([np.searchsorted(own, rows[:, k], side="right") for k, own in enumerate(edges)], axis=1)
 
 
 def _gain(slope: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -138,10 +147,11 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Model:
     model = Model(bias=float(np.log(share / (1 - share))))
     if len(labels) == 0 or len(np.unique(labels)) < 2:
         return model
-    model.edges = [np.unique(np.quantile(rows[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(rows.shape[1])]
+    model.edges = [inner_edges(column, BINS) for column in rows.T]
+    model.coarse_edges = [inner_edges(column, COARSE) for column in rows.T]
     model.tables = [np.zeros(BINS) for _ in model.edges]
-    bins = model.bins(rows)
-    logits = model.logits(bins)
+    bins, small = placed(rows, model.edges), placed(rows, model.coarse_edges)
+    logits = model.logits(rows)
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
@@ -154,7 +164,6 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Model:
             step = RATE * tree(np.bincount(own, slope, BINS), np.bincount(own, weight, BINS))
             model.tables[k] += step
             logits += step[own]
-    small = coarse(bins)
     slope, weight = slopes()
 
     def grid(a: int, b: int, values: np.ndarray) -> np.ndarray:
