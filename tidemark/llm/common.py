@@ -74,8 +74,8 @@ def labelled_sample(
 ) -> DataFrame:
     """(doc_id, text, label) of at most ``rows`` labelled ids, chosen by hash of the id; written to the shared folder.
 
-    ``keep`` restricts the ids that may be learnt from. An id with several labels has the largest. Only this sample, whose
-    bound is ``rows``, is broadcast; the texts are found by one scan of the documents.
+    ``keep`` restricts the ids that may be learnt from. An id with several labels has the largest, and one with several rows
+    the largest text. Only the ids, whose bound is ``rows``, are broadcast; the texts are found by one scan of the documents.
     """
     ids = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).dropna()
     ready(documents.sparkSession)
@@ -84,4 +84,5 @@ def labelled_sample(
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return cut_lineage(texts.join(F.broadcast(ids), "doc_id"))
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
+    return cut_lineage(found.select("doc_id", "text", "label"))
