@@ -638,6 +638,34 @@ def test_neighbours_against_brute_force(session, monkeypatch, block_rows):
     assert hits / (20 * len(got)) >= (1.0 if block_rows == 4096 else 0.9)
 
 
+def test_blocks_have_equal_sizes_whatever_the_keys(session):
+    """Half of all points share one key of the first curve; they are spread over blocks, in order of the key."""
+    chance = random.Random(1)
+    rows = [(k, [7 if k % 2 else chance.randrange(100), chance.randrange(1000)]) for k in range(1000)]
+    keyed = session.createDataFrame(rows, "point long, keys array<long>").repartition(4)
+    found = {row["point"]: row["blocks"] for row in neighbours.blocks_of(keyed, 64).collect()}
+    assert len(found) == 1000
+    for curve in range(2):
+        sizes = Counter(blocks[curve] for blocks in found.values())
+        assert sizes == {block: 64 if block < 15 else 40 for block in range(16)}
+        in_order = sorted(found, key=lambda k: (found[k][curve], rows[k][1][curve]))
+        assert [rows[k][1][curve] for k in in_order] == sorted(keys[curve] for _, keys in rows)
+
+
+def test_queries_in_chunks_find_the_same(session):
+    chance = np.random.default_rng(2)
+    rows = [(k, [float(x) for x in chance.normal(size=4)], [k // 50]) for k in range(300)]
+    placed = session.createDataFrame(rows, "point long, v array<double>, blocks array<int>")
+    asked = session.createDataFrame(rows[::3], placed.schema)
+    found = [
+        sorted(map(tuple, neighbours.candidates(placed, asked, 1, 1, 6, 5, size).collect())) for size in (1000, 7)
+    ]
+    looked_at = sum(2 if k // 50 in (0, 5) else 3 for k in range(0, 300, 3))
+    assert found[0] == found[1] and len(found[0]) == 5 * looked_at
+    best = max((float(np.dot(rows[0][1], rows[j][1])), j) for j in range(100))
+    assert max((row[2], row[1]) for row in found[0] if row[0] == 0) == pytest.approx(best)
+
+
 # --- Quality and URLs --------------------------------------------------------------------------------------------
 
 

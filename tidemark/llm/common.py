@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage, prepare
@@ -86,3 +86,25 @@ def labelled_sample(
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
     return cut_lineage(found.select("doc_id", "text", "label"))
+
+
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` with ``i``, their place in their group in order, from 0, and ``n``, the size of the group. The group is not null.
+
+    Rows are dealt out by ranges of (group, order); the place within a task is its running number, and the counts of
+    the tasks before, one row for each task and group, are added. So a group that holds most rows is spread over many tasks.
+    Rows alike in all of these are dealt out by where they were read, and their order is open.
+    """
+    given = cut_lineage(rows).withColumn("_source_row", F.monotonically_increasing_id())  # the sort samples it first
+    by = [group, *order, "_source_row"]
+    dealt = given.repartitionByRange(*by).sortWithinPartitions(*by)
+    # The number of the task in the upper bits, that of the row in the lower ones.
+    placed = cut_lineage(dealt.select(*rows.columns, F.monotonically_increasing_id().alias("_at")))
+    placed = placed.withColumn("_task", F.shiftright("_at", 33))
+    counted = placed.groupBy(group, "_task").agg(F.count("*").alias("_held"), F.min("_at").alias("_first"))
+    # One row for each task of a group, whatever the number of rows.
+    whole = Window.partitionBy(group)
+    before = F.sum("_held").over(whole.orderBy("_task")) - F.col("_held")
+    offsets = counted.select(group, "_task", "_first", before.alias("_before"), F.sum("_held").over(whole).alias("n"))
+    joined = placed.join(offsets, [group, "_task"])
+    return joined.select(*rows.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias("i"), "n")

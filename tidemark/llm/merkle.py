@@ -24,11 +24,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import in_fold, query, ready, table
+from tidemark.llm.common import in_fold, numbered, query, ready, table
 from tidemark.session import cut_lineage
 
 #: Nodes that make one node of the next level, and the levels from one stored level to the next.
@@ -111,30 +111,12 @@ class Manifest:
 
 
 def _numbered(rows: DataFrame, tree: Column, order: list[Column], hashed: Column) -> DataFrame:
-    """(tree, row, h, i, n): the place of each row in its tree, and the size of the tree.
-
-    Rows are dealt out by ranges of (tree, order, hash); the place within a task is its running number, and the counts of
-    the tasks before, one row for each task and tree, are added. So a tree that holds most rows is spread over many tasks.
-    """
+    """(tree, row, h, i, n): the place of each row in its tree, and the size of the tree."""
     keys = [f"k{k}" for k in range(len(order))]
-    # What to sort is written first: the sort samples its input before it reads it.
     given = rows.select(
         tree.alias("tree"), F.struct(*rows.columns).alias("row"), hashed.alias("h"), *[c.alias(k) for c, k in zip(order, keys)]
     )
-    given = cut_lineage(given).withColumn("source_row", F.monotonically_increasing_id())
-    by = ["tree", *keys, "h", "source_row"]
-    dealt = given.repartitionByRange(*by).sortWithinPartitions(*by)
-    # The number of the task in the upper bits, that of the row in the lower ones.
-    placed = cut_lineage(dealt.select("tree", "row", "h", F.monotonically_increasing_id().alias("at")))
-    placed = placed.withColumn("task", F.shiftright("at", 33))
-    counted = placed.groupBy("tree", "task").agg(F.count("*").alias("held"), F.min("at").alias("first"))
-    # One row for each task of a tree, whatever the number of rows.
-    whole = Window.partitionBy("tree")
-    before = F.sum("held").over(whole.orderBy("task")) - F.col("held")
-    offsets = counted.select("tree", "task", "first", before.alias("before"), F.sum("held").over(whole).alias("n"))
-    return placed.join(offsets, ["tree", "task"]).select(
-        "tree", "row", "h", (F.col("at") - F.col("first") + F.col("before")).alias("i"), "n"
-    )
+    return numbered(given, "tree", [*keys, "h"]).select("tree", "row", "h", "i", "n")
 
 
 def _ordered(group: pa.Table) -> pa.Table:

@@ -2,9 +2,9 @@
 
 Vectors get one more component that makes them equally long, so that the largest inner product is the nearest point. A
 sample fixes a centre and projections; each curve is a Hilbert curve through the cells of one randomly turned and shifted
-projection. Rows are range-partitioned along every curve into blocks of about equal size. A query is compared with the
-rows of its own block and of the blocks next to it, on each curve; the best of all are merged and ranked by the exact
-product.
+projection. Rows are numbered along every curve, by a distributed sort, and cut into blocks of equal size; rows of one key may
+lie in several blocks. A query is compared with the rows of its own block and of the blocks next to it, on each curve; the
+best of all are merged and ranked by the exact product. Queries that look at one block are dealt out in bounded chunks.
 
 How many curves and how many blocks to either side are needed depends on the vectors, so it is measured: for a small set
 of queries the true neighbours are found by comparing with every row, and the cheapest setting that finds the wanted
@@ -21,12 +21,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, ready, table
+from tidemark.llm.common import numbered, query, ready, table
 from tidemark.session import cut_lineage
 
 CURVES, DIMENSIONS, CELL_BITS = 8, 8, 6
@@ -34,6 +33,8 @@ BLOCK_ROWS, SAMPLE_ROWS, TUNING_QUERIES = 4096, 8192, 128
 #: Share of the true neighbours that tuning asks for; above the 0.9 promised, as it is measured on few queries.
 WANTED = 0.96
 SALTS = 16
+#: Queries that are compared with a block at once.
+QUERY_ROWS = 8192
 #: Products of blocks of vectors may differ in the last digit from those added up one by one.
 MARGIN = 8
 
@@ -157,15 +158,9 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, wanted: float = WANTED
                 [batch.column(0), pa.array(list(found.astype(np.int64)), pa.list_(pa.int64()))], ["point", "keys"]
             )
 
-    keyed = cut_lineage(rows.select("point", "v").mapInArrow(place, "point long, keys array<long>"))
-    # Ends of the blocks of each curve. Their number is bounded by rows over rows of a block.
-    n_blocks = max(1, n // BLOCK_ROWS)
-    ends = []
-    for curve in range(CURVES):
-        shares = [k / n_blocks for k in range(1, n_blocks)]
-        ends.append(keyed.withColumn("key", F.col("keys")[curve]).approxQuantile("key", shares, 0.1 / n_blocks) if shares else [])
-    blocks = F.array(*(_block(F.col("keys")[curve], ends[curve]) for curve in range(CURVES)))
-    placed = cut_lineage(keyed.join(rows, "point").select("point", "v", "ids", blocks.alias("blocks")))
+    keyed = rows.select("point", "v").mapInArrow(place, "point long, keys array<long>")
+    n_blocks = -(-n // BLOCK_ROWS)
+    placed = cut_lineage(rows.join(blocks_of(keyed, BLOCK_ROWS), "point"))
     own = embeddings.select(F.col("vec_id").cast("bigint").alias("query_id"), F.col("embedding").cast("array<double>").alias("q"))
     own = own.where(is_query(F.col("query_id"))).withColumn("point", F.xxhash64("q")).select("query_id", "point").distinct()
     own = cut_lineage(own.join(rows.select("point"), "point", "left_semi"))
@@ -175,8 +170,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, wanted: float = WANTED
     found = candidates(placed, asked, used, reach, n_blocks, k + 1)
     # The best points of all blocks, a few more than needed, ranked again by the product added up in one fixed order;
     # then all their ids in order of product and id, without the query's own.
-    hits = found.select("query", F.explode("best").alias("hit")).select("query", "hit.*")
-    hits = hits.groupBy("query", "point").agg(F.max("product").alias("product"))
+    hits = found.groupBy("query", "point").agg(F.max("product").alias("product"))
     order = Window.partitionBy("query").orderBy(F.desc("product"), "point")
     hits = hits.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1 + MARGIN).select("query", "point")
     hits = hits.join(rows, "point").join(asked.select(F.col("point").alias("query"), F.col("v").alias("q")), "query")
@@ -190,10 +184,14 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, wanted: float = WANTED
     return answers.select("query_id", "rank", "vec_id", F.col("product").alias("score"))
 
 
-def _block(key, ends: list[float]):
-    return F.aggregate(
-        F.array(*(F.lit(int(end)) for end in ends)).cast("array<bigint>"), F.lit(0), lambda n, end: n + (key >= end).cast("int")
-    )
+def blocks_of(keyed: DataFrame, block_rows: int) -> DataFrame:
+    """(point, blocks): the block of each point on each curve, from (point, keys). A block has ``block_rows`` points, the last one
+    fewer."""
+    lines = keyed.select("point", F.posexplode("keys").alias("curve", "key"))
+    block = F.floor(F.col("i") / block_rows).cast("int").alias("block")
+    found = numbered(lines, "curve", ["key", "point"]).select("point", "curve", block)
+    ordered = F.array_sort(F.collect_list(F.struct("curve", "block")))
+    return found.groupBy("point").agg(F.transform(ordered, lambda one: one["block"]).alias("blocks"))
 
 
 def tuned(placed: DataFrame, asked: DataFrame, n_blocks: int, k: int, wanted: float) -> tuple[int, int]:
@@ -236,27 +234,45 @@ def tuned(placed: DataFrame, asked: DataFrame, n_blocks: int, k: int, wanted: fl
     return used, reach
 
 
-def candidates(placed: DataFrame, asked: DataFrame, used: int, reach: int, n_blocks: int, k: int) -> DataFrame:
-    """(query, best): the best points for each query in each block it looks at."""
+def candidates(
+    placed: DataFrame, asked: DataFrame, used: int, reach: int, n_blocks: int, k: int, query_rows: int = QUERY_ROWS
+) -> DataFrame:
+    """(query, point, product): the best points for each query in each block it looks at.
+
+    A block that more than ``query_rows`` queries look at is copied to as many chunks of queries, dealt out by hash.
+    """
     rows = placed.select("point", "v", F.posexplode(F.slice("blocks", 1, used)).alias("curve", "block"))
-    home = asked.select("point", "v", F.posexplode(F.slice("blocks", 1, used)).alias("curve", "home"))
+    home = asked.select(F.col("point").alias("query"), F.col("v").alias("q"), F.posexplode(F.slice("blocks", 1, used)).alias("curve", "home"))
     near = F.sequence(F.greatest(F.lit(0), F.col("home") - reach), F.least(F.lit(n_blocks - 1), F.col("home") + reach))
-    wanted = home.select("point", "v", "curve", F.explode(near).alias("block"))
-
-    def compare(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query": pd.Series(dtype="int64"), "best": pd.Series(dtype="object")})
-        vectors, names = _matrix(right["v"]), right["point"].to_numpy()
-        asked_for, lines = _matrix(left["v"]), []
-        for start in range(0, len(left), 1024):
-            index, product = best(asked_for[start : start + 1024], vectors, k)
-            lines += [
-                [{"product": float(p), "point": int(names[j])} for j, p in zip(row, values)] for row, values in zip(index, product)
-            ]
-        return pd.DataFrame({"query": left["point"].to_numpy(), "best": lines})
-
-    kind = "query long, best array<struct<product:double,point:long>>"
-    return wanted.groupBy("curve", "block").cogroup(rows.groupBy("curve", "block")).applyInPandas(compare, kind)
+    wanted = home.select("query", "q", "curve", F.explode(near).alias("block"))
+    counted = wanted.groupBy("curve", "block").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("chunks"))
+    counted = cut_lineage(counted)
+    chunk = F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int").alias("chunk")
+    wanted = wanted.join(counted, ["curve", "block"]).select("curve", "block", chunk, "query", "q")
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    rows = rows.join(counted, ["curve", "block"]).select("curve", "block", every, "point", "v")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = {"query": [], "point": [], "product": []}
+        if len(left) and len(right):
+            vectors, names = _vectors(right["v"]), right["point"].to_numpy()
+            asked_for, asking = _vectors(left["q"]), left["query"].to_numpy()
+            for start in range(0, len(left), 1024):
+                index, product = best(asked_for[start : start + 1024], vectors, k)
+                found["query"].append(np.repeat(asking[start : start + 1024], index.shape[1]))
+                found["point"].append(names[index.ravel()])
+                found["product"].append(product.ravel())
+        kinds = {"query": pa.int64(), "point": pa.int64(), "product": pa.float64()}
+        return pa.table({name: pa.array(np.concatenate(parts) if parts else [], kinds[name]) for name, parts in found.items()})
+
+    by = ["curve", "block", "chunk"]
+    return wanted.groupBy(*by).cogroup(rows.groupBy(*by)).applyInArrow(compare, "query long, point long, product double")
+
+
+def _vectors(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows."""
+    flat = column.combine_chunks()
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
 @query("op5_neighbours")
