@@ -35,9 +35,21 @@ def test_pad_keeps_the_offset_of_the_grid(spark, values):
     rows = [("A", dt.datetime(2025, 1, 1, 0, 10), 1.0), ("A", dt.datetime(2025, 1, 1, 2, 10), 3.0)]
     df = spark.createDataFrame(rows, "site string, time timestamp_ntz, value double")
     assert values(align.pad(df, HOURLY)) == [1, None, 3]
-    assert align.off_grid_rows(df, HOURLY).count() == 0
-    stray = df.unionByName(spark.createDataFrame([("A", at(1), 2.0)], df.schema))
-    assert align.off_grid_rows(stray, HOURLY).count() == 1
+
+
+def test_rows_off_the_grid_are_not_lost_silently(spark, values):
+    rows = [("A", at(0), 1.0, 1.0), ("A", at(2), 3.0, None), ("A", dt.datetime(2025, 1, 1, 1, 10), 2.0, None), ("B", at(5), 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "site string, time timestamp_ntz, value double, other double")
+    with pytest.raises(Exception, match="off the grid of series"):
+        align.pad(df, HOURLY).collect()
+    padded, lost = align.pad_together(df, HOURLY, ["other", "value"])
+    assert lost == ["value"] and values(padded, "other") == [1, None, None, 1]
+    months = spark.createDataFrame([("A", dt.datetime(2025, 1, 1), 1.0), ("A", dt.datetime(2025, 2, 3), 1.0)], "site string, time timestamp_ntz, value double")
+    with pytest.raises(Exception, match="off the grid"):
+        align.pad(months, SeriesSpec.of("P1M")).collect()
+    assert align.pad_together(months, SeriesSpec.of("P1M"), ["value"])[1] == ["value"]
+    none, lost = align.pad_together(df.where("false"), HOURLY, ["value"])
+    assert none.count() == 0 and lost == []
 
 
 def test_pad_months(spark, values):

@@ -167,7 +167,12 @@ def test_process_window(spark, values):
     inputs = {"ta": Stored(raw, raw_ta), "raw rh": Stored(raw, HOURLY.with_(value="rh"))}
     outputs = {"mean": out + "/daily", "rh": out + "/hourly", "ta hourly": out + "/hourly"}
     day = dt.date(2025, 1, 2)
-    process_window(spark, plans, inputs, outputs, day, day)
+    result = process_window(spark, plans, inputs, outputs, day, day)
+    assert result.counts == {
+        "mean": {"rows": 1, "values": 1, "missing": 0},
+        "rh": {"rows": 24, "values": 23, "missing": 1},
+        "ta hourly": {"rows": 24, "values": 23, "missing": 1},
+    }
     saved = store.read_days(spark, out + "/hourly")
     assert saved.count() == 24 and {"RH", "RH_CORE", "TAH"} <= set(saved.columns)
     assert sum(v is None for v in values(saved, "RH")) == 1
@@ -189,6 +194,18 @@ def test_process_window(spark, values):
                        {"mean": out + "/mixed", "rh": out + "/mixed"}, day, day)
 
 
+def test_a_dataset_off_the_grid_fails_alone(spark, values):
+    """Both lie in one location; a row off the grid has a value of one only."""
+    raw = new_table_path(spark, "raw")
+    start = dt.datetime(2025, 1, 1)
+    rows = [("A", start + dt.timedelta(hours=n), float(n), 1.0) for n in range(5)] + [("A", start + dt.timedelta(minutes=90), 7.0, None)]
+    store.write_days(spark.createDataFrame(rows, "site string, time timestamp_ntz, ta double, rh double"), raw, HOURLY)
+    stored = {"ta": Stored(raw, HOURLY.with_(value="ta")), "rh": Stored(raw, HOURLY.with_(value="rh"))}
+    loaded = load_stored(spark, stored, start.date(), start.date())
+    assert loaded.failed == {"ta": f"rows off the grid at {raw}"}
+    assert values(loaded.frames["rh"].df, "rh") == [1.0] * 5
+
+
 def test_nothing_stored_fails(spark):
     loaded = load_stored(spark, {"x": Stored(new_table_path(spark, "none"), HOURLY)}, dt.date(2025, 1, 1), dt.date(2025, 1, 2))
     assert not loaded.frames and "nothing stored" in loaded.failed["x"]

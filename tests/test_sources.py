@@ -229,6 +229,18 @@ def test_flux_files(spark, flux_folder):
     assert {r["site"] for r in got} == {"A"}
 
 
+def test_quoted_commas_and_quotes(spark, tmp_path):
+    (tmp_path / "one.csv").write_text(
+        'g,,,,\n"filename","date",time,"H, corrected",H\n,[],[],[],[]\n"a, ""b"".dat",2026-01-20,00:30,"1",2\n'
+        '"date, time",2026-01-20,01:00,3\n"x",2026-01-20,01:30,5,6,7,8\n'
+    )
+    (tmp_path / "two.csv").write_text("date,time,H\n2026-01-20,02:00,9\n")
+    got = fluxfiles.read_flux_files(spark, str(tmp_path), "*.csv").orderBy("DateTime").collect()
+    assert [(r["filename"], r["H, corrected"], r["H"]) for r in got] == [
+        ('a, "b".dat', 1.0, 2.0), ("date, time", 3.0, None), ("x", 5.0, 6.0), (None, None, 9.0)
+    ]
+
+
 def test_flux_bundle(spark, flux_folder):
     full, quality, biomet = (
         fluxfiles.read_flux_files(spark, flux_folder, f"*{kind}*") for kind in ("full_output", "qc_details", "biomet")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import PADDED, hourly, padded, q6, query, r6, table
 from tidemark.functions.flagbits import appeared_or_vanished, changed, clear_bit, has_bit, set_bit
 from tidemark.operators import despike, flagging
+from tidemark.plans.run import despike_days
+from tidemark.session import new_table_path
+from tidemark.sources import store
 from tidemark.spec import SeriesSpec
 
 _BASE = f"""{PADDED}, f AS (SELECT *, CASE WHEN scans > 3 THEN 3 WHEN scans = 2 THEN 4 ELSE 0 END AS flag FROM padded)"""
@@ -193,15 +198,10 @@ _LOOKBACK_FLUX = _FLUX.replace(
     ),
 )
 def mad_despike_lookback(spark, folder):
+    """From the stored month, of which the days and their look-back are opened."""
     names = {"H": "H_despiked", "Tau": "Tau_L2"}
-    rows = despike.despike_with_lookback(
-        flux(spark, folder),
-        FLUX_SPEC,
-        "2024-01-18",
-        "2024-01-22",
-        ["H", "Tau"],
-        "light",
-        output_names=names,
-        sensitivity=2.5,
-    )
+    base = new_table_path(spark, "flux")
+    store.write_days(flux(spark, folder), base, FLUX_SPEC)
+    window = dt.date(2024, 1, 18), dt.date(2024, 1, 22)
+    rows = despike_days(spark, base, FLUX_SPEC, *window, ["H", "Tau"], "light", output_names=names, sensitivity=2.5)
     return rows.select("site", "time", *(r6(name).alias(name) for name in ("H", "H_despiked", "Tau_L2", "H_L2")))

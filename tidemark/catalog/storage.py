@@ -168,11 +168,11 @@ def _write_flux_files(spark, folder, name, header, line, where="true", group_row
 
 
 def _full_output(spark, folder):
-    """Every fifth value or so is written as a null mark; the last header name repeats."""
+    """Every fifth value or so is written as a null mark; the last header name repeats; names of files hold commas and quotes."""
     value = F.round("value", 4).cast("string")
     line = F.concat_ws(
         ",",
-        F.concat("site", F.lit(".dat")),
+        F.concat(F.lit('"'), "site", F.lit(', ""raw"".dat"')),
         F.date_format("time", "yyyy-MM-dd"),
         F.date_format("time", "HH:mm"),
         F.when(F.col("scans") == 1, "-9999").when(F.col("scans") == 2, "NAN").otherwise(value),
@@ -182,7 +182,7 @@ def _full_output(spark, folder):
     return _write_flux_files(spark, folder, "full", ["filename", "date", "time", "H", "Tau", "Tau"], line)
 
 
-_FULL = """full_output AS (SELECT site, time AS DateTime, site || '.dat' AS filename,
+_FULL = """full_output AS (SELECT site, time AS DateTime, site || ', "raw".dat' AS filename,
     CASE WHEN scans > 2 THEN round(value, 4) END AS H, CASE WHEN scans <= 4 THEN battv END AS Tau, scans AS Tau_1
   FROM hourly)"""
 

@@ -9,17 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import TimeLike, at, floor_div, from_micros, micros, slot, slot_start
 from tidemark.operators.chunks import CHUNK_SLOTS
+from tidemark.session import cut_lineage
 from tidemark.spec import SeriesSpec, check_same_cadence
 
 
 # --- Padding -----------------------------------------------------------------------------------------------------
 
 
-def series_bounds(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """First and last time of each series."""
-    return df.groupBy(*spec.keys).agg(F.min(spec.time).alias("first_time"), F.max(spec.time).alias("last_time"))
-
-
 def time_grid(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Every time from ``first_time`` to ``last_time`` of each row of ``bounds``, one period apart.
 
@@ -50,31 +46,54 @@ def time_grid(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     return blocks.withColumn("_at", F.explode(slots)).select(*spec.keys, time.alias(spec.time))
 
 
+def _off_grid(spec: SeriesSpec, where: Column | None = None) -> Column:
+    """An aggregate over the rows of a series: does any, of those that count, not lie on the grid that its first time starts?"""
+    if spec.period.is_calendar:
+        off = slot_start(slot(spec.time, spec.period), spec.period) != F.col(spec.time)
+        return F.coalesce(F.bool_or(off if where is None else off & where), F.lit(False))
+    place = F.pmod(micros(spec.time), F.lit(spec.period.micros))
+    counted = place if where is None else F.when(where, place)
+    start = F.pmod(F.min(micros(spec.time)), F.lit(spec.period.micros))
+    return F.coalesce((F.min(counted) != start) | (F.max(counted) != start), F.lit(False))
+
+
 def pad(df: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None) -> DataFrame:
     """Put each series on its regular grid from its first to its last time; new rows hold nulls.
 
     ``bounds`` (keys, first_time, last_time) can be given where it is cheaper to get than from ``df``. The join is on
-    keys and time, so a long series is spread over all tasks.
+    keys and time, so a long series is spread over all tasks. Rows off the grid would be lost: the job then fails, unless
+    bounds were given.
     """
-    bounds = series_bounds(df, spec) if bounds is None else bounds
+    if bounds is None:
+        lost = F.raise_error(F.concat(F.lit("Rows off the grid of series "), F.to_json(F.struct(*spec.keys))))
+        first = F.when(F.col("_off"), lost.cast("timestamp_ntz")).otherwise(F.col("first_time"))
+        bounds = df.groupBy(*spec.keys).agg(
+            F.min(spec.time).alias("first_time"), F.max(spec.time).alias("last_time"), _off_grid(spec).alias("_off")
+        )
+        bounds = bounds.select(*spec.keys, first.alias("first_time"), "last_time")
     return time_grid(bounds, spec).join(df, spec.id_columns, "left").select(*df.columns)
 
 
+def pad_together(df: DataFrame, spec: SeriesSpec, values: list[str]) -> tuple[DataFrame, list[str]]:
+    """Several value columns of the same rows on one grid, and those of ``values`` that have values off it.
+
+    One aggregate, written to the shared folder, gives the ends of all series and looks at the values of all columns; rows off
+    the grid without a value lose nothing. The grid and the join are made once for all columns.
+    """
+    off = [_off_grid(spec, F.col(name).isNotNull()).alias(f"_off_{k}") for k, name in enumerate(values)]
+    ends = df.groupBy(*spec.keys).agg(F.min(spec.time).alias("first_time"), F.max(spec.time).alias("last_time"), *off)
+    ends = cut_lineage(ends)
+    seen = ends.agg(*(F.max(f"_off_{k}").alias(f"_off_{k}") for k in range(len(values)))).first()
+    lost = [name for k, name in enumerate(values) if seen[f"_off_{k}"]]
+    return pad(df, spec, ends.select(*spec.keys, "first_time", "last_time")), lost
+
+
 def pad_range(df: DataFrame, spec: SeriesSpec, start: TimeLike, end: TimeLike) -> DataFrame:
     """Put each series on the regular grid from ``start`` to ``end``, both inclusive."""
     bounds = df.select(*spec.keys).distinct().withColumn("first_time", at(start)).withColumn("last_time", at(end))
     return pad(df, spec, bounds)
 
 
-def off_grid_rows(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Rows that do not lie on the grid of their series, which padding would lose. Empty for valid data."""
-    bounds = series_bounds(df, spec)
-    if spec.period.is_calendar:
-        return df.where(slot_start(slot(spec.time, spec.period), spec.period) != F.col(spec.time))
-    off = F.pmod(micros(spec.time) - micros("first_time"), F.lit(spec.period.micros)) != 0
-    return df.join(bounds, [*spec.keys]).where(off).select(*df.columns)
-
-
 # --- Joins on time -----------------------------------------------------------------------------------------------
 
 

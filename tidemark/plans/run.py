@@ -7,6 +7,7 @@ together and written together.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -14,12 +15,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.align import merge_series, off_grid_rows, pad
+from tidemark.operators.align import merge_series, pad_together
 from tidemark.operators.despike import LOOKBACK_DAYS, despike_with_lookback
 from tidemark.plans.methods import Frame
 from tidemark.plans.runner import DatasetPlan, RunResult, run_plans
 from tidemark.session import cut_lineage
-from tidemark.sources.store import DATE, read_days, upsert_days, widened, within_window
+from tidemark.sources.store import DATE, counted, read_days, upsert_days, widened, within_window
 from tidemark.spec import SeriesSpec, check_same_cadence
 
 
@@ -38,14 +39,15 @@ class Loaded:
 
 
 def load_stored(spark: SparkSession, datasets: dict[str, Stored], start: dt.date, end: dt.date) -> Loaded:
-    """Read datasets for a window of days, each location once, and pad them to their grid.
+    """Read datasets for a window of days, each location once, and pad those that share keys, time and cadence on one grid.
 
-    A dataset whose column no file has, or with rows that padding would lose, fails alone; a location that cannot be
+    A dataset whose column no file has, or with values that padding would lose, fails alone; a location that cannot be
     read, or has nothing stored, fails with all its datasets.
     """
     frames, failed = {}, {}
     for base, names in _by_location({name: stored.base for name, stored in datasets.items()}).items():
         table = read_days(spark, base, start, end, schema=T.StructType([]))
+        grids: dict[tuple, list[str]] = {}
         for name in names:
             spec = datasets[name].spec
             lacking = [column for column in (*spec.id_columns, spec.value) if column not in table.columns]
@@ -53,10 +55,17 @@ def load_stored(spark: SparkSession, datasets: dict[str, Stored], start: dt.date
                 failed[name] = f"nothing stored at {base}"
             elif lacking:
                 failed[name] = f"no column {lacking[0]} at {base}"
-            elif not off_grid_rows(rows := table.select(*spec.id_columns, spec.value), spec).isEmpty():
-                failed[name] = f"rows off the grid at {base}"
             else:
-                frames[name] = Frame(pad(rows, spec), spec)
+                grids.setdefault((tuple(spec.id_columns), spec.period), []).append(name)
+        for (ids, _), group in grids.items():
+            values = sorted({datasets[name].spec.value for name in group})
+            padded, lost = pad_together(table.select(*ids, *values), datasets[group[0]].spec, values)
+            for name in group:
+                spec = datasets[name].spec
+                if spec.value in lost:
+                    failed[name] = f"rows off the grid at {base}"
+                else:
+                    frames[name] = Frame(padded.select(*ids, spec.value), spec)
     return Loaded(frames, failed)
 
 
@@ -77,41 +86,66 @@ def merged_for_saving(result: RunResult, names: list[str]) -> tuple[DataFrame, S
     return merge_series([(one.df, one.spec) for one in series]), first
 
 
-def _staged(result: RunResult, names: list[str], start: dt.date, end: dt.date) -> tuple[DataFrame, SeriesSpec]:
+@dataclass(frozen=True)
+class Staged:
+    """Datasets that go to one place together, written to the shared folder, and how many rows and values that job saw."""
+
+    names: list[str]
+    df: DataFrame
+    spec: SeriesSpec
+    seen: dict[str, int]
+
+    def counts(self, result: RunResult) -> dict[str, dict[str, int]]:
+        """Rows, values and missing values of each dataset."""
+        values = {name: self.seen[result.done[name].spec.value] for name in self.names}
+        return {name: {"rows": self.seen["rows"], "values": n, "missing": self.seen["rows"] - n} for name, n in values.items()}
+
+
+def _staged(result: RunResult, names: list[str], start: dt.date, end: dt.date) -> Staged:
     df, spec = merged_for_saving(result, names)
-    return cut_lineage(within_window(df, spec.time, start, end)), spec
+    values = [result.done[name].spec.value for name in names]
+    df, seen = counted(within_window(df, spec.time, start, end), f"saved {uuid.uuid4().hex}", values)
+    return Staged(names, cut_lineage(df), spec, seen.get)
 
 
-def save_results(result: RunResult, outputs: dict[str, str], start: dt.date, end: dt.date) -> dict[str, str]:
-    """Save the datasets that have an output location, cut to the days asked for. Returns what failed, by dataset.
+def save_results(
+    result: RunResult, outputs: dict[str, str], start: dt.date, end: dt.date
+) -> tuple[dict[str, str], dict[str, dict[str, int]]]:
+    """Save the datasets that have an output location, cut to the days asked for. Returns what failed, and the counts of what
+    was saved, by dataset; the counts come from the job that computes the rows.
 
     Everything is computed and written to the shared folder before the first location is replaced, as locations may also
     be inputs. Where a group fails while running, its datasets are tried one by one, so that a bad one fails alone.
     """
-    failed, staged = {}, {}
+    failed, counts = {}, {}
+    staged: dict[str, list[Staged]] = {}
     saved = {name: base for name, base in outputs.items() if name in result.done}
     for base, names in _by_location(saved).items():
         try:
-            staged[base] = (names, [_staged(result, names, start, end)])
+            staged[base] = [_staged(result, names, start, end)]
         except Exception as error:  # noqa: BLE001 - the others can still be saved
             good = []
             for name in names if len(names) > 1 else []:
                 try:
-                    good.append((name, _staged(result, [name], start, end)))
+                    good.append(_staged(result, [name], start, end))
                 except Exception as own:  # noqa: BLE001
                     failed[name] = str(own)
             if len(good) == len(names) or len(names) == 1:
                 # Each can be computed, so they do not go together.
                 failed |= {name: str(error) for name in names}
             elif good:
-                staged[base] = ([name for name, _ in good], [table for _, table in good])
-    for base, (names, tables) in staged.items():
+                staged[base] = good
+    for base, parts in staged.items():
+        names = [name for part in parts for name in part.names]
         try:
-            spec = tables[0][1]
-            upsert_days(merge_series(tables) if len(tables) > 1 else tables[0][0], base, spec)
+            tables = [(part.df, part.spec) for part in parts]
+            upsert_days(merge_series(tables) if len(tables) > 1 else tables[0][0], base, tables[0][1])
         except Exception as error:  # noqa: BLE001 - the other locations can still be saved
             failed |= {name: str(error) for name in names}
-    return failed
+        else:
+            for part in parts:
+                counts |= part.counts(result)
+    return failed, counts
 
 
 def used_more_than_once(plans: dict[str, DatasetPlan], outputs: dict[str, str]) -> list[str]:
@@ -130,7 +164,8 @@ def process_window(
     end: dt.date,
     margin_days: int = 1,
 ) -> RunResult:
-    """Read, process and save a window of days, for all sites. Raises at the end if any dataset failed.
+    """Read, process and save a window of days, for all sites. The result has the counts of what was saved. Raises at the end
+    if any dataset failed.
 
     A margin of days either side is read, so that buckets and moving windows at the edges are complete, and cut off again
     before saving.
@@ -142,11 +177,12 @@ def process_window(
     for df in shared:
         df.persist(StorageLevel.DISK_ONLY)
     try:
-        failed = result.failed | save_results(result, outputs, start, end)
+        unsaved, counts = save_results(result, outputs, start, end)
     finally:
         for df in shared:
             df.unpersist()
-    final = RunResult({name: series for name, series in result.done.items() if name not in failed}, failed)
+    failed = result.failed | unsaved
+    final = RunResult({name: series for name, series in result.done.items() if name not in failed}, failed, counts)
     final.raise_if_failed()
     return final
 

@@ -244,6 +244,8 @@ def run_plan(plan: DatasetPlan, datasets: dict[str, Frame]) -> Series:
 class RunResult:
     done: dict[str, Series]
     failed: dict[str, str]
+    #: Rows, values and missing values of what was saved.
+    counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def raise_if_failed(self) -> None:
         if self.failed:

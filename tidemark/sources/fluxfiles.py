@@ -1,7 +1,8 @@
 """Delimited flux output: a row of column names, a row of units, then data; perhaps a row of group names first.
 
-Files differ in their columns. Each line is read as text, joined to the column names of its own file, and becomes a map
-from name to cell; columns are then picked by name. Files may lie in key folders such as ``site=A``.
+Files differ in their columns. Lines are parsed by Spark's CSV parser, with as many columns as the widest header has, joined
+to the column names of their own file, and become a map from name to cell; columns are then picked by name. Headers are looked for
+at the start of files only. Files may lie in key folders such as ``site=A``.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.align import keep_first, stack_series
+from tidemark.operators.align import keep_first
 
 # Cells that mean no value, and the format of date and time together.
 NULL_CELLS = ("NA", "NAN", "NaN", "-9999", "")
@@ -17,8 +18,14 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
-def _cells(line: Column) -> Column:
-    return F.transform(F.split(line, ","), lambda cell: F.trim(F.regexp_replace(F.trim(cell), '^"|"$', "")))
+#: Quoted cells may hold commas, and quotes that are doubled.
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+
+
+def _cells(line: Column, width: int) -> Column:
+    """The first ``width`` cells of a line; those it does not have are null."""
+    parsed = F.from_csv(line, ", ".join(f"c{k} string" for k in range(width)), CSV)
+    return F.array(*(F.trim(parsed[f"c{k}"]) for k in range(width)))
 
 
 def _unique_names(names: Column) -> Column:
@@ -34,18 +41,24 @@ def _unique_names(names: Column) -> Column:
 def read_lines(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
     """Lines of all matching files as cells, with their file and their order in it."""
     lines = spark.read.option("pathGlobFilter", pattern).text(base)
-    return lines.select(
+    lines = lines.select(
         *(name for name in lines.columns if name != "value"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_offset"),
         F.monotonically_increasing_id().alias("_line"),
-        _cells(F.col("value")).alias("_cells"),
+        "value",
     )
+    # A header names date and time, and has no more cells than commas and one.
+    heads = lines.where((F.col("_offset") == 0) & F.col("value").contains("date") & F.col("value").contains("time"))
+    width = heads.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    return lines.withColumn("_cells", _cells(F.col("value"), width)).drop("value")
 
 
 def column_names(lines: DataFrame) -> DataFrame:
     """The column names of each file: the first line that names both a date and a time column."""
-    named = lines.where(F.array_contains("_cells", "date") & F.array_contains("_cells", "time"))
+    named = lines.where((F.col("_offset") == 0) & F.array_contains("_cells", "date") & F.array_contains("_cells", "time"))
+    # Cells beyond the end of a shorter header.
+    named = named.withColumn("_cells", F.filter("_cells", lambda cell: cell.isNotNull()))
     first = named.groupBy("_file").agg(F.min_by("_cells", F.struct("_offset", "_line")).alias("_names"))
     return first.select("_file", _unique_names(F.col("_names")).alias("_names"))
 
@@ -115,8 +128,3 @@ def flux_bundle(
         bundle = bundle.join(keep_first(biomet, ids, order).select(*ids, *more), ids, "left")
     earlier = F.col("DateTime") - F.expr("INTERVAL 30 MINUTES")
     return bundle.withColumn("time", earlier.cast("timestamp_ntz")).drop("DateTime")
-
-
-def concat_files(frames: list[DataFrame]) -> DataFrame:
-    """Rows of files with differing columns, by column name."""
-    return stack_series(frames)

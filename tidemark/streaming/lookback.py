@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemark.session import cut_lineage
 from tidemark.sources.store import DATE, read_days, upsert_days
 from tidemark.spec import SeriesSpec
 
@@ -28,6 +29,7 @@ def reprocess_touched_days(
     """A stream writer: new raw rows go to the raw store, and the plan's result for their days to the processed store."""
 
     def run_batch(batch: DataFrame, _: int) -> None:
+        batch = cut_lineage(batch)  # read several times below
         if batch.isEmpty():
             return
         upsert_days(batch, raw_base, spec)
