@@ -221,6 +221,8 @@ def sample(documents: DataFrame, rows: int) -> tuple[list[str], DataFrame]:
         [(name, k, min(1.0, 1.5 * (each + 20) / max(1, sizes[name]))) for k, name in enumerate(languages)],
         "lang string, language int, bound double",
     )
+    # Written, so that Spark knows its size and need not shuffle the texts for it.
+    bounds = cut_lineage(bounds)
     place = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
     near = documents.join(bounds, "lang").where(place < F.col("bound"))
     near = near.groupBy("language", "doc_id", place.alias("place")).agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
