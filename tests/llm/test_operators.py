@@ -403,6 +403,21 @@ def test_items_without_evidence_are_found_as_they_are(session):
     assert found == {(0, 0), (2, 1), (4, 2), (7, 3), (10, 6)}
 
 
+def test_items_without_blanks_are_found(session):
+    """Chinese, Japanese and Thai, whole or with another number, inside longer texts; a shared beginning is none."""
+    items = session.createDataFrame(
+        [(1, "小明有48个苹果他给了小红12个然后回家吃饭"), (2, "東京タワーの高さは何メートルですか"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "短い")],
+        "item_id long, text string",
+    )
+    docs = [
+        "前面的话。小明有48个苹果他给了小红12个然后回家吃饭。后面的话", "开头小明有95个苹果他给了小红31个然后回家吃饭", "小明有一只狗", "質問:東京タワーの高さは何メートルですか?",
+        "ก่อน ประเทศไทยมีกี่จังหวัด หลัง", "これは短い文", "東京は大きい", "nothing",
+    ]
+    table = session.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {(row["doc_id"], row["item_id"]) for row in decontaminate.leaks(table, items).collect()}
+    assert found == {(0, 1), (1, 1), (3, 2), (4, 3), (5, 4)}
+
+
 # --- Packing -----------------------------------------------------------------------------------------------------
 
 

@@ -13,7 +13,10 @@ both sides are shuffled.
 Windows with fewer than three plain words are not evidence. Items without evidence, such as those under five words, are looked
 for as they are: all their lower-cased words in a row, values not replaced.
 
-Defined results: null and empty texts, and items without any word, are never found. An item of a single word is found only in
+A character of a script without blanks between words is a word of its own.
+
+Defined results: null and empty texts, and items without any word, are never found. Texts are looked at whole, whatever their
+length. Of the alignments of an item that with most slots counts, then the most consistent, then the least shifted. An item of a single word is found only in
 documents of that single word. Items found as they are have one window, no slots and consistency 1. An item that is repeated under one id counts once;
 under several ids it is found for each. Repeated documents are found alike. Other columns stay, whatever their names.
 """
@@ -37,13 +40,20 @@ UNITS = (
     "yards?|kilograms?|grams?|pounds?|ounces?|tons?|liters?|litres?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|"
     "years?|dollars?|cents?|euros?|degrees?|km|cm|mm|kg|mg|lbs?|oz|mph|kmh|ml|hz|khz|mhz|ghz|kb|mb|gb|tb"
 )
+# Scripts written without blanks; each of their characters is a word.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 LONGEST = 2**31 - 1
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 
 
+def spread(text: Column) -> Column:
+    """A text with blanks around characters of scripts that have none between words."""
+    return F.regexp_replace(text, UNSPACED, " $0 ")
+
+
 def template_words(text: Column) -> Column:
     """Lower-cased words; those that are names or units start with a mark, numbers with a digit."""
-    marked = F.regexp_replace(text, r"[\s\p{Z}]+", " ")
+    marked = F.regexp_replace(spread(text), r"[\s\p{Z}]+", " ")
     marked = F.regexp_replace(marked, rf"(?<=[0-9]) ?(?=(?i:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}")
     marked = F.regexp_replace(marked, r"(?<=[\p{L}\p{N},;] )\p{Lu}(?=\p{L})", NAME + "$0")
     marked = F.regexp_replace(F.lower(marked), r"(?<=[0-9])[.,:](?=[0-9])", "")
@@ -118,7 +128,7 @@ def item_windows(items: DataFrame, size: int = WORDS) -> DataFrame:
 
 
 def word_hashes(text: Column) -> Column:
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    words = F.array_remove(F.split(F.lower(spread(text)), r"[^\p{L}\p{N}]+"), "")
     return F.transform(words, lambda word: F.xxhash64(word))
 
 

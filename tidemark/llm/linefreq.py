@@ -5,8 +5,8 @@ same text count once: otherwise a copied page would make boilerplate of its own
 leading and trailing spaces, by a 64-bit hash within their host.
 
 Defined results: a null text stays null and counts as no page; empty lines are never dropped; a null host is a host of
-its own; a text of which every line is dropped becomes empty, its row stays. Repeated rows are treated alike. Other columns
-stay, whatever their names.
+its own; a text of which every line is dropped becomes empty, its row stays. Repeated rows are treated alike; there are
+no ties. Texts are read whole, whatever their length. Other columns stay, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,8 +7,8 @@ values, for a batch of texts at a time.
 
 The model is fitted on the driver to the numbers (not the texts) of a bounded sample of labelled documents; all documents
 are scored in tasks. Defined results: a null or empty text is a text of no words and has a score too. Without labelled
-rows, or with one label only, every text gets the smoothed share of that label. Repeated rows get equal scores. Other
-columns are not looked at.
+rows, or with one label only, every text gets the smoothed share of that label. Repeated rows get equal scores, and
+texts are read whole, whatever their length; of equally good cuts the first is taken. Other columns are not looked at.
 """
 
 from __future__ import annotations

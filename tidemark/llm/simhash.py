@@ -13,7 +13,8 @@ different components; so no group is written out as all its pairs.
 
 Defined results: a null text is an empty text; empty texts have fingerprint zero, which links like any other. Ties have no
 meaning here: a component is named by its smallest id. A null id is never the smallest unless all are null. Repeated rows
-are in one component. Empty tables give empty results. Other columns are not looked at, and stay.
+are in one component. Empty tables give empty results. Texts are read
+whole, whatever their length. Other columns are not looked at, and stay.
 """
 
 from __future__ import annotations

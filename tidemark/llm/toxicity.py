@@ -6,7 +6,8 @@ language model, whose counts are taken from all documents. A lexicon learnt from
 their beginnings; a logistic curve turns the weights found in a document into a score.
 
 Defined results: a null or empty text has no words and gets the score of a text without weighted words. Without
-labelled rows, or with one label only, every text gets the (smoothed) share of that label. Repeated rows get equal scores.
+labelled rows, or with one label only, every text gets the (smoothed) share of that label. Repeated rows get equal scores; of
+equally likely readings the first found counts.
 Texts, words and runs of letters set apart are read whole, whatever their length.
 Other columns of the table are not looked at, and stay.
 """
