@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and columns with clashing names, for operators and stages."""
 
+from collections import Counter
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -8,9 +10,10 @@ from tidemark.llm import QUERIES
 from tidemark.llm.common import ready
 from tidemark.session import new_table_path
 
-EXTRA = "score double, node long, label int, window long, host string, _salt int, gone array<long>, sequence_id string, comp string"
+EXTRA = "score double, node long, label int, window long, host string, _salt int, gone array<long>, sequence_id string, comp string, "
+EXTRA += "rank string, text_key int, gone_id string, host_key long, i string, n string, tree int, `row` string, lang_pred int, path string"
 DOCUMENTS = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
-CLASH = (0.5, 1, 2, 3, "h", 4, [1], "s", "c")
+CLASH = (0.5, 1, 2, 3, "h", 4, [1], "s", "c", "r", 1, "g", 2, "i", "n", 3, "w", 4, "p")
 
 
 @pytest.fixture(scope="module")
@@ -63,6 +66,19 @@ def test_odd_rows_have_the_stated_results(spark, folders):
     assert [(row["length"], row["doc_tokens"]) for row in packed] == [(1, 1)] * 2
     found = QUERIES["op5_neighbours"](spark, odd).collect()
     assert [(row["query_id"], row["vec_id"]) for row in found] == [(0, 3)]
+    languages = {row["doc_id"]: (row["lang_pred"], row["score"]) for row in QUERIES["op12_language"](spark, odd).collect()}
+    assert languages[0] == languages[1] == languages[2] == languages[3] == ("und", 0.0) and languages[4] == ("en", 1.0)
+    merkle = QUERIES["op11_merkle"](spark, odd).collect()
+    assert len({row["root"] for row in merkle}) == 1 and len({row["subroot"] for row in merkle}) == 2  # of en and of null
+    assert all(row["verified"] == (row["folded_root"] == row["root"]) for row in merkle) and any(row["verified"] for row in merkle)
+    whitened = QUERIES["op13_whitening"](spark, odd).collect()
+    assert {row["vec_id"] for row in whitened} == {0, 40, 3, None} and {row["n"] for row in whitened} == {4}
+    assert Counter(row["component"] for row in whitened) == {1: 5, 2: 5}
+    lines = {row["doc_id"]: row for row in QUERIES["op8_linefreq"](spark, odd).collect()}
+    assert (lines[0]["text"], lines[0]["n_lines"], lines[1]["text"], lines[3]["text"]) == (None, 0, "", "\n\n")
+    for name in ("op2_toxicity", "op9_quality"):
+        scores = {row["doc_id"]: row["score"] for row in QUERIES[name](spark, odd).collect()}
+        assert all(0 <= score <= 1 for score in scores.values()) and scores[0] == scores[1]
     licences = {row["doc_id"]: row for row in QUERIES["op4_licenses"](spark, odd).collect()}
     assert (licences[0]["n_words"], licences[0]["first_word"], licences[0]["labels"], licences[0]["score"]) == (0, None, "", 0)
 
