@@ -178,7 +178,22 @@ def test_raw_files_of_days_that_exist(spark):
 def test_counts_come_from_the_job_that_reads(spark):
     df, seen = store.counted(rows(spark, (1, 0, 1.0), (1, 1, None), (2, 0, 3.0)), "seen", ["value"])
     store.write_days(df, new_table_path(spark, "t"), HOURLY)
-    assert seen.get == {"rows": 3, "value": 2}
+    assert store.counts_of(seen, ["value"]) == {"rows": 3, "value": 2}
+    for none in (spark.createDataFrame([], SCHEMA), rows(spark, (1, 0, 1.0)).where("false"), rows(spark, (1, 0, 1.0)).where("value > 5")):
+        df, seen = store.counted(none, "none seen", ["value"])
+        df.write.format("noop").mode("overwrite").save()
+        assert store.counts_of(seen, ["value"]) == {"rows": 0, "value": 0}
+
+
+def test_nothing_to_write(spark):
+    """No rows, and rows without a time, which belong to no day."""
+    base = new_table_path(spark, "t")
+    none = spark.createDataFrame([], SCHEMA)
+    store.write_days(none, base, HOURLY)
+    store.upsert_days(none, base, HOURLY)
+    store.write_days(rows(spark, (1, 0, 1.0)), base, HOURLY)
+    store.upsert_days(none, base, HOURLY)
+    assert listed(store.read_days(spark, base, "2025-01-01", "2025-01-31")) == [(1, 0, 1.0)]
 
 
 def test_upsert(spark):

@@ -20,7 +20,7 @@ from tidemark.operators.despike import LOOKBACK_DAYS, despike_with_lookback
 from tidemark.plans.methods import Frame
 from tidemark.plans.runner import DatasetPlan, RunResult, run_plans
 from tidemark.session import cut_lineage
-from tidemark.sources.store import DATE, counted, read_days, upsert_days, widened, within_window
+from tidemark.sources.store import DATE, counted, counts_of, read_days, upsert_days, widened, within_window
 from tidemark.spec import SeriesSpec, check_same_cadence
 
 
@@ -105,7 +105,7 @@ def _staged(result: RunResult, names: list[str], start: dt.date, end: dt.date) -
     df, spec = merged_for_saving(result, names)
     values = [result.done[name].spec.value for name in names]
     df, seen = counted(within_window(df, spec.time, start, end), f"saved {uuid.uuid4().hex}", values)
-    return Staged(names, cut_lineage(df), spec, seen.get)
+    return Staged(names, cut_lineage(df), spec, counts_of(seen, values))
 
 
 def save_results(

@@ -108,15 +108,20 @@ def of_folders(spark: SparkSession, base: str, touched: DataFrame) -> DataFrame:
 
 
 def add(touched: DataFrame, base: str, columns: T.StructType) -> None:
-    """Enter folders (folder, date) that are about to be written with these columns."""
+    """Enter folders (folder, date) that are about to be written with these columns. Months between the first and the last of
+    them that have many files are compacted."""
     spark = touched.sparkSession
     entries = touched.select(
         "folder", DATE, F.lit(json.dumps(columns.jsonValue())).alias("columns"), F.current_timestamp().alias("saved")
     )
+    first, last = touched.agg(F.min(DATE), F.max(DATE)).first()
+    if first is None:
+        return
     _write(entries, base, "append")
     index = f"{base.rstrip('/')}/{FOLDER}"
-    wanted = [row[0] for row in touched.select(F.date_format(DATE, "yyyy-MM")).distinct().collect()]
-    long = [month for month in wanted if len(child_names(spark, f"{index}/{MONTH}={month}") or []) > MOST_FILES]
+    there = set(child_names(spark, index) or [])
+    near = [month for month in months(first, last) if f"{MONTH}={month}" in there]
+    long = [month for month in near if len(child_names(spark, f"{index}/{MONTH}={month}") or []) > MOST_FILES]
     if long:
         _write(cut_lineage(_entries(spark, base, long)), base, "overwrite")
 

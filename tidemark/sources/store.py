@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -147,6 +148,14 @@ def counted(df: DataFrame, name: str, values: list[str]) -> tuple[DataFrame, Obs
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
 
 
+def counts_of(seen: Observation, values: list[str]) -> dict[str, int]:
+    """What a job has seen; nothing where Spark knew beforehand that there are no rows, and ran none."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return dict.fromkeys(["rows", *values], 0)
+
+
 def run_report(df: DataFrame, spec: SeriesSpec, core_flag: str | None = None, removed_bit: int = 8) -> DataFrame:
     """Per series: rows, values, missing values and removed values."""
     value = F.col(spec.value)
