@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.infills import _LINE, NEAREST
-from tidemark.catalog.registry import hourly, padded, q6, query, r6
+from tidemark.catalog.registry import hourly, padded, q6, query, r6, table
 from tidemark.operators.align import stack_series
-from tidemark.plans.from_metadata import MetadataTables, plans_by_kind
+from tidemark.plans.from_metadata import MetadataTables, broken_rules, plans_by_kind
 from tidemark.plans.runner import run_plans
 
 # What differs between sites: rows of a gap that are filled, hours for a daily mean, hours of a moving mean.
@@ -84,3 +84,58 @@ def plan_from_metadata(spark, folder):
             for kind, name in names.items()
         ]
     )
+
+
+# Orders as datasets of sites of their own, their line items as steps, settings and arguments. What the tables hold breaks rules:
+# line numbers and parts repeat within an order, and suppliers need not be orders.
+_ORDER, _PART = "concat('O', {})", "concat('C', l_partkey)"
+_KIND = "CASE l_returnflag WHEN 'A' THEN 'qc' WHEN 'N' THEN 'correction' ELSE 'odd' END"
+_METHOD = "CASE WHEN l_linestatus = 'F' THEN 'mystery' WHEN l_returnflag = 'A' THEN 'range' ELSE 'add' END"
+_ANCHOR = "CASE WHEN o_totalprice > 400000 THEN 'end' ELSE 'start' END"
+_ROLE = "CASE o_orderstatus WHEN 'P' THEN 'colour' ELSE 'core' END"
+_THRESHOLD = "CASE WHEN l_quantity > 45 THEN 'many' ELSE '3' END"
+
+
+def _orders_as_metadata(spark, folder) -> MetadataTables:
+    orders, items = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    dataset, own = f"{_ORDER.format('o_orderkey')} AS dataset", f"{_ORDER.format('l_orderkey')} AS dataset"
+    site, configuration = "concat('S', {}) AS site".format, f"{_PART} AS configuration"
+    never = ["cast(null AS timestamp_ntz) AS start", "cast(null AS timestamp_ntz) AS `end`"]
+    arguments = [
+        items.selectExpr(own, configuration, "0 AS position", "'dep_ts' AS parameter", "'dependency' AS role",
+                         f"{_ORDER.format('l_suppkey')} AS value", *never),
+        items.selectExpr(own, configuration, "0 AS position", "'threshold' AS parameter", "'value' AS role", f"{_THRESHOLD} AS value", *never),
+    ]
+    return MetadataTables(
+        orders.selectExpr(dataset, "'net' AS network", site("o_orderkey"), "o_orderpriority AS variable", "'time' AS time_column",
+                          "'raw' AS processing_level", "'P1D' AS periodicity", f"{_ANCHOR} AS anchor", "cast(null AS string) AS unit"),
+        items.selectExpr(own, "l_linenumber AS index", configuration),
+        items.selectExpr(own, site("l_orderkey"), configuration, f"{_KIND} AS kind", "0 AS position", f"{_METHOD} AS method", *never),
+        stack_series(arguments),
+        orders.selectExpr(dataset, "'F' AS column_name", "'scheme' AS scheme", f"{_ROLE} AS role"),
+        spark.createDataFrame([("scheme", "add", 1)], "scheme string, flag string, bit int"),
+    )
+
+
+@query(
+    "metadata_broken_rules",
+    f"""WITH d AS (SELECT {_ORDER.format('o_orderkey')} AS dataset, * FROM orders),
+    i AS (SELECT {_ORDER.format('l_orderkey')} AS dataset, {_PART} AS configuration, {_KIND} AS kind, {_METHOD} AS method,
+      {_THRESHOLD} AS threshold, {_ORDER.format('l_suppkey')} AS needed, * FROM lineitem),
+    -- Methods, and their parameters, are those of datasets that exist.
+    m AS (SELECT * FROM i SEMI JOIN d USING (dataset))
+    SELECT DISTINCT dataset, rule, detail FROM (
+      SELECT dataset, 'index used more than once' AS rule, l_linenumber::VARCHAR AS detail FROM i GROUP BY dataset, l_linenumber HAVING count(*) > 1
+      UNION ALL SELECT dataset, 'unknown configuration type', kind FROM m WHERE kind = 'odd'
+      UNION ALL SELECT dataset, 'unknown method', method FROM m WHERE kind <> 'odd' AND method = 'mystery'
+      UNION ALL SELECT dataset, 'parameter has several values', 'threshold' FROM m GROUP BY dataset, configuration HAVING count(DISTINCT threshold) > 1
+      UNION ALL SELECT dataset, 'parameter is not a number', 'threshold' FROM m WHERE threshold = 'many'
+      UNION ALL SELECT dataset, 'input is not exactly one dataset', 'dep_ts' FROM i GROUP BY dataset, configuration
+        HAVING count(*) <> 1 OR count(*) FILTER (needed IN (SELECT dataset FROM d)) <> 1
+      UNION ALL SELECT dataset, 'flag column', 'unknown role: colour' FROM d WHERE o_orderstatus = 'P'
+      UNION ALL SELECT dataset, 'differs from its kind in anchor, time column or unit', '{{"anchor":"end","time_column":"time"}}' FROM d
+        WHERE o_totalprice > 400000)""",
+)
+def metadata_broken_rules(spark, folder):
+    """Every rule that a dataset breaks, from one table."""
+    return broken_rules(_orders_as_metadata(spark, folder))
