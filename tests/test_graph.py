@@ -45,7 +45,7 @@ def test_closure_ends_in_a_cycle(spark, edges):
 
 
 def test_layers(edges):
-    table = edges(("d", "b"), ("d", "c"), ("b", "a"), ("c", "a"), ("e", "a"), ("e", "d"))
+    table = edges(("d", "b"), ("d", "c"), ("d", "c"), ("b", "a"), ("c", "a"), ("e", "a"), ("e", "d"))
     got = {r["dataset"]: r["layer"] for r in graph.layers(table).collect()}
     assert got == {"a": 0, "b": 1, "c": 1, "d": 2, "e": 3}
 

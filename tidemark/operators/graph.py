@@ -100,9 +100,10 @@ def failed_with_descendants(edges: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def layers(edges: DataFrame) -> DataFrame:
-    """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises."""
+    """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises. An edge that is there twice is needed
+    and met twice."""
     parts = _parts(edges)
-    step = _in_parts(edges.select("dataset", "depends_on").distinct(), "depends_on")
+    step = _in_parts(edges.select("dataset", "depends_on"), "depends_on")
     needs = cut_lineage(step.groupBy("dataset").agg(F.count("*").alias("needs")))
     left = needs.count()
     nodes = step.select(F.col("depends_on").alias("dataset")).distinct()
