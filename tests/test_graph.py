@@ -55,6 +55,58 @@ def test_layers_reject_a_cycle(edges):
         graph.layers(edges(("a", "b"), ("b", "c"), ("c", "b")))
 
 
+def test_layers_reject_edges_without_a_name(edges):
+    for row in ((None, "a"), ("b", None)):
+        with pytest.raises(ValueError, match="cycle"):
+            graph.layers(edges(("c", "b"), ("b", "a"), row))
+
+
+def test_layers_of_copies_and_of_a_raw_dataset_that_all_need(edges):
+    table = edges(("b", "a"), *[(f"top{k}", need) for k in range(200) for need in ("a", "b", "b")])
+    got = graph.layers(table).collect()
+    assert len(got) == 202
+    assert {r["dataset"]: r["layer"] for r in got} == {"a": 0, "b": 1} | {f"top{k}": 2 for k in range(200)}
+
+
+def test_rounds_of_layers_leave_out_what_nothing_depends_on(edges, monkeypatch):
+    """Datasets that nothing depends on are most of them; neither a frontier nor a table of waiting ones holds them."""
+    seen, rounds, frontier, plain = set(), [], graph._frontier, graph.cut_lineage
+
+    def watched(df, parts):
+        rounds.append(df.count())
+        return frontier(df, parts)
+
+    def written(df):
+        table = plain(df)
+        if "depends_on" not in table.columns:
+            seen.update(row["dataset"] for row in table.select("dataset").collect())
+        return table
+
+    monkeypatch.setattr(graph, "_frontier", watched)
+    monkeypatch.setattr(graph, "cut_lineage", written)
+    table = edges(("b", "a"), ("c", "b"), *[(f"top{k}", need) for k in range(50) for need in ("raw", "a", "b", "c")])
+    got = {r["dataset"]: r["layer"] for r in graph.layers(table).collect()}
+    assert got == {"a": 0, "raw": 0, "b": 1, "c": 2} | {f"top{k}": 3 for k in range(50)}
+    assert seen == {"a", "b", "c", "raw"}
+    assert rounds == [2, 1, 1]  # no round for what nothing leaves
+
+
+def test_references_are_shuffled_once_for_edges_and_their_datasets(spark, monkeypatch):
+    rows = [(f"x{k}", "dep_ts", f"x{k // 2}") for k in range(1, 40)] + [("x7", "load_dep_ts", "x3")]
+    refs = spark.createDataFrame(rows, "dataset string, parameter string, depends_on string")
+    plans, plain = [], graph.cut_lineage
+
+    def planned(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df)
+
+    monkeypatch.setattr(graph, "cut_lineage", planned)
+    got = graph.layers(graph.dependency_edges(refs.repartition("dataset")), refs)
+    assert {r["dataset"]: r["layer"] for r in got.collect()} == {"x0": 0} | {f"x{k}": k.bit_length() for k in range(1, 40)}
+    [plan] = [text for columns, text in plans if "depends_on" in columns]
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2  # the references, and the names of what is needed
+
+
 def test_random_graphs_against_plain_walks(spark, edges):
     chance = random.Random(6)
     for size in (2, 30, 120):

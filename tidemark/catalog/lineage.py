@@ -77,7 +77,9 @@ def lineage_closure(spark, folder):
     SELECT dataset, max(layer)::INT AS layer FROM deep GROUP BY dataset""",
 )
 def lineage_layers(spark, folder):
-    return graph.layers(edges(spark, folder))
+    refs = references(spark, folder)
+    # The references of a dataset are brought together once, for its edges and for their walk.
+    return graph.layers(graph.dependency_edges(refs.repartition("dataset")), refs)
 
 
 @query(

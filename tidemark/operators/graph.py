@@ -3,7 +3,8 @@
 Walks go by frontier: the edges are written once to the shared folder, in parts by a hash of the end that a walk comes from,
 and a round opens only the parts that hold nodes of its frontier. Layers are counted down as by Kahn: an edge is
 used once, when what it depends on is placed, and raises the count of its dataset, which is placed when the count
-is complete. What a round found is written, so plans stay short and a lost executor does not lose the walk.
+is complete. Datasets that nothing depends on, often most of them, stay out of these rounds: their layers follow from
+the others by one join. What a round found is written, so plans stay short and a lost executor does not lose the walk.
 """
 
 from __future__ import annotations
@@ -99,17 +100,28 @@ def failed_with_descendants(edges: DataFrame, failed: DataFrame) -> DataFrame:
 # --- Layers ------------------------------------------------------------------------------------------------------
 
 
-def layers(edges: DataFrame) -> DataFrame:
+def layers(edges: DataFrame, references: DataFrame | None = None) -> DataFrame:
     """(dataset, layer): a dataset's dependencies are all in lower layers. A cycle raises. An edge that is there twice is needed
-    and met twice."""
+    and met twice.
+
+    Rounds place the datasets that others depend on. All others are placed at once, one above the highest of what they
+    depend on. ``references`` are the rows the edges were made of, which name what is depended on without making the edges.
+    """
     parts = _parts(edges)
-    step = _in_parts(edges.select("dataset", "depends_on"), "depends_on")
+    named = (edges if references is None else references).select(F.col("depends_on").alias("dataset"))
+    needed = cut_lineage(named.distinct())
+    # Nodes are hashed, not edges sorted: a node is one row here, its edges may be very many.
+    is_needed = needed.where("dataset is not null").withColumn("needed", F.lit(True)).hint("shuffle_hash")
+    edges = cut_lineage(edges.select("dataset", "depends_on").join(is_needed, "dataset", "left"))
+    unnamed = edges.where("dataset is null or depends_on is null").select("dataset").limit(5).collect()
+    if unnamed:
+        raise _stuck(unnamed)
+    step = _in_parts(edges.where("needed").select("dataset", "depends_on"), "depends_on")
     needs = cut_lineage(step.groupBy("dataset").agg(F.count("*").alias("needs")))
     left = needs.count()
-    nodes = step.select(F.col("depends_on").alias("dataset")).distinct()
-    frontier, places, size = _frontier(cut_lineage(nodes.join(needs, "dataset", "left_anti")), parts)
+    frontier, places, size = _frontier(cut_lineage(needed.join(needs, "dataset", "left_anti")), parts)
     placed, waiting = [frontier.withColumn("layer", F.lit(0))], None
-    while size:
+    while size and left:
         used = step.where(F.col("part").isin(places)).join(frontier.withColumnRenamed("dataset", "depends_on"), "depends_on")
         met = used.groupBy("dataset").agg(F.count("*").alias("met"))
         if waiting is not None:
@@ -120,11 +132,16 @@ def layers(edges: DataFrame) -> DataFrame:
         frontier, places, size = _frontier(met.where("met = needs").select("dataset"), parts)
         left -= size
         placed.append(frontier.withColumn("layer", F.lit(len(placed))))
+    inner = reduce(DataFrame.unionByName, placed)
     if left:
-        done = reduce(DataFrame.unionByName, placed)
-        stuck = [row["dataset"] for row in needs.join(done, "dataset", "left_anti").limit(5).collect()]
-        raise ValueError(f"The dependency graph has a cycle, among or below: {stuck}")
-    return reduce(DataFrame.unionByName, placed[:-1] if len(placed) > 1 else placed)
+        raise _stuck(needs.join(inner, "dataset", "left_anti").limit(5).collect())
+    by_need = inner.withColumnRenamed("dataset", "depends_on").hint("shuffle_hash")
+    below = edges.where("needed is null").join(by_need, "depends_on")
+    return inner.unionByName(below.groupBy("dataset").agg((F.max("layer") + 1).alias("layer")))
+
+
+def _stuck(rows: list) -> ValueError:
+    return ValueError(f"The dependency graph has a cycle, among or below: {[row['dataset'] for row in rows]}")
 
 
 def plan_order(steps: DataFrame) -> DataFrame:
